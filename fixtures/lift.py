@@ -8,7 +8,6 @@ the same in Spark and DuckDB, so both engines start from equal triples.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -132,11 +131,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lift(spark: SparkSession, sf_dir: str, lifts: list[Lift] = SOURCES) -> DataFrame:
-    parts = [table(spark, sf_dir, one.table).selectExpr(*one.columns()) for one in lifts]
-    return reduce(DataFrame.union, parts)
+    tables = {name: table(spark, sf_dir, name) for name in {one.table for one in lifts}}
+    return spark.sql(lift_sql(lifts, "{{{}}}"), **tables)
 
 
-def lift_sql(lifts: list[Lift] = SOURCES) -> str:
+def lift_sql(lifts: list[Lift] = SOURCES, name: str = "{}") -> str:
     return "\nUNION ALL ".join(
-        f"SELECT {', '.join(one.columns())} FROM {one.table}" for one in lifts
+        f"SELECT {', '.join(one.columns())} FROM {name.format(one.table)}" for one in lifts
     )

@@ -12,6 +12,7 @@ from rdfweave.operators.expand import expand_by_source, expanded_counts
 from rdfweave.operators.match import match_subjects
 from rdfweave.operators.paging import PAGE_SIZE, order_columns, page_per_group
 from rdfweave.operators.scale import broadcast_if_small
+from rdfweave.operators.stage import stage
 
 
 def with_total(counts: DataFrame) -> DataFrame:
@@ -100,12 +101,13 @@ def dereference(
 
     Every matched triple has at least one solution and sorts first by its own
     terms, so each request is cut to its first ``offset + limit`` matched triples
-    before anything is expanded, and to the exact page afterwards.
+    before anything is expanded, and to the exact page afterwards.  The cut is
+    staged, since every depth level and every hop starts from it.
     """
-    wanted = broadcast_if_small(requests.select("request_id", "uri"))
+    wanted = broadcast_if_small(stage(requests.select("request_id", "uri"), "requests"))
     found = match_subjects(data, wanted, hash_variants).select("request_id", *M.SOURCE, *M.TERMS)
     first = page_per_group(found, ["request_id"], order_columns(), offset + limit)
-    solutions = expand_by_source(first, data, depths, levels)
+    solutions = expand_by_source(stage(first, "pages"), data, depths, levels, few=True)
     return page_per_group(
         solutions, ["request_id"], order_columns(max(levels)), limit, offset
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rdfweave import model as M
 from rdfweave.operators.expand import expand, path_columns
 from rdfweave.operators.scale import BROADCAST_ROWS
+from rdfweave.operators.stage import stage
 
 # Fixed value: page size when a request names none.
 PAGE_SIZE = 100
@@ -146,7 +147,7 @@ def expanded_page(
         return page(base, limit, offset)
     if offset + limit > TOP_ROWS:
         return page(expand(base, data, depth), limit, offset, depth)
-    first = base.orderBy(*_order(order_columns())).limit(offset + limit)
+    first = stage(base.orderBy(*_order(order_columns())).limit(offset + limit), "page")
     return page(expand(first, data, depth, few=True), limit, offset, depth)
 
 
