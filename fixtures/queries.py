@@ -17,8 +17,9 @@ from rdfweave import model as M
 from rdfweave.functions import text, uri
 from rdfweave.model import Pattern, Term
 from rdfweave.operators import describe, expand, federate, fragments, match, paging, resolve, resources
-from rdfweave.operators.stage import stage
-from rdfweave.sources import answers, catalog, ntriples
+from rdfweave.operators.stage import new_folder, stage
+from rdfweave.plans import query as plans
+from rdfweave.sources import answers, catalog, ntriples, rdfxml, store, turtle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1078,3 +1079,199 @@ def resource_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("list", lambda o: o["value"]), "|").alias("objects"),
         F.size("list").cast("long").alias("n"),
     )
+
+
+@register(
+    "turtle_blocks",
+    with_sql(
+        TRIPLES,
+        "g AS (SELECT DISTINCT s_kind, s, p, CASE WHEN s_kind = 'uri' THEN concat('<', s, '>') ELSE s END AS subject, "
+        "concat('<', p, '>') AS predicate, CASE WHEN o_kind = 'uri' THEN concat('<', o, '>') WHEN o_kind = 'bnode' THEN o "
+        "WHEN o_datatype IS NULL THEN concat('\"', o, '\"') ELSE concat('\"', o, '\"^^<', o_datatype, '>') END AS object "
+        "FROM triples)",
+        "l AS (SELECT s_kind, s, subject, predicate, string_agg(object, concat(' ,', chr(10), '    ') ORDER BY object) AS objects "
+        "FROM g GROUP BY ALL)",
+        "SELECT s_kind, s, 0 AS part, concat(subject, chr(10), '  ', string_agg(concat(predicate, ' ', objects), "
+        "concat(' ;', chr(10), '  ') ORDER BY concat(predicate, ' ', objects)), ' .') AS value FROM l GROUP BY s_kind, s, subject",
+    ),
+)
+def turtle_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resources.turtle_blocks(L.lift(spark, sf_dir))
+
+
+# --- documents ------------------------------------------------------------------
+
+TURTLE = f"docs AS ({X.TURTLE})"
+_ORDER = "concat('http://ex.org/orders/', o_orderkey)"
+_ACCOUNT = "concat('_:s', o_orderkey, '.', o_orderkey, '.-node')"
+
+
+def _rows(table: str, *rows: tuple[str, str, str, str, str, str, str]) -> str:
+    """UNION of (s, s_kind, p, o, o_kind, datatype, lang) expressions."""
+    return "\nUNION ALL ".join(
+        f"SELECT {s} AS s, '{sk}' AS s_kind, '{p}' AS p, {o} AS o, '{ok}' AS o_kind, "
+        f"nullif('{dt}', '') AS o_datatype, nullif('{lang}', '') AS o_lang FROM {table}"
+        for s, sk, p, o, ok, dt, lang in rows
+    )
+
+
+_TURTLE_ROWS = _rows(
+    "orders",
+    (_ORDER, "uri", V + "status", "o_orderstatus", "literal", "", ""),
+    (_ORDER, "uri", V + "priority", "o_orderpriority", "literal", "", ""),
+    (_ORDER, "uri", V + "customer", "concat('http://ex.org/customer/', o_custkey)", "uri", "", ""),
+    (_ORDER, "uri", V + "customer", _ACCOUNT, "bnode", "", ""),
+    (_ACCOUNT, "bnode", V + "key", "cast(o_custkey as string)", "literal", M.XSD_INTEGER, ""),
+    (_ORDER, "uri", M.RDF_TYPE, f"'{V}Order'", "uri", "", ""),
+    (_ORDER, "uri", V + "date", "cast(cast(o_orderdate as date) as string)", "literal", M.XSD + "date", ""),
+)
+
+
+@register(
+    "turtle_corpus",
+    with_sql(
+        f"t AS ({_TURTLE_ROWS})",
+        # the number in a made label is a token position
+        "SELECT regexp_replace(s, 'node$', '') AS s, s_kind, p, regexp_replace(o, 'node$', '') AS o, o_kind, o_datatype, o_lang FROM t",
+    ),
+)
+def turtle_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = X.frame(spark, sf_dir, X.TURTLE)
+    found = turtle.parse(docs, "body", "doc")
+    return found.select(
+        F.regexp_replace("s", r"node\d+$", "").alias("s"), "s_kind", "p",
+        F.regexp_replace("o", r"node\d+$", "").alias("o"), "o_kind", "o_datatype", "o_lang",
+    )
+
+
+@register(
+    "turtle_rejects", "SELECT count(*) AS documents, count(*) AS rejected FROM documents"
+)
+def turtle_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prose is no Turtle: every document is set aside as a whole."""
+    docs = L.table(spark, sf_dir, "documents").select("doc_id", "text")
+    bad = turtle.rejects(docs, "text", "doc_id")
+    return docs.join(bad.select("doc_id", "reason"), "doc_id", "left").agg(
+        F.count(F.lit(1)).alias("documents"), F.count("reason").alias("rejected")
+    )
+
+
+_CUSTOMER = "concat('http://ex.org/customer/', c_custkey)"
+_NODE = "concat('_:s', c_custkey, '.', c_custkey, '.-node1')"
+_GRAPH = "(SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING')"
+_RDFXML_ROWS = _rows(
+    _GRAPH,
+    (_CUSTOMER, "uri", M.RDF_TYPE, f"'{V}Customer'", "uri", "", ""),
+    (_CUSTOMER, "uri", V + "segment", "c_mktsegment", "literal", "", ""),
+    (_CUSTOMER, "uri", V + "name", "c_name", "literal", "", "en"),
+    (_CUSTOMER, "uri", V + "nation", "concat('http://ex.org/nation/', c_nationkey)", "uri", "", ""),
+    (_CUSTOMER, "uri", V + "account", _NODE, "bnode", "", ""),
+    (_NODE, "bnode", V + "balance", "cast(cast(round(c_acctbal * 100) as bigint) as string)", "literal", M.XSD_INTEGER, ""),
+)
+
+
+@register("rdfxml_corpus", f"SELECT {TERMS} FROM ({_RDFXML_ROWS})")
+def rdfxml_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return answers.graphs(X.frame(spark, sf_dir, X.RDFXML)).select(*M.TERMS)
+
+
+@register(
+    "rdfxml_rejects",
+    "SELECT cast(c_custkey as string) AS source_id, concat('no graph for ', c_name) AS value, "
+    "'answer is not RDF/XML' AS reason FROM customer WHERE c_mktsegment = 'BUILDING'",
+)
+def rdfxml_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return answers.rejected(X.frame(spark, sf_dir, X.RDFXML))
+
+
+# Fragment pages as Turtle: one page per order with its metadata in front.
+FRAGMENT_BODIES = (
+    "SELECT cast(o_orderkey as string) AS doc, concat('{start}?page=', o_orderkey) AS url, '{start}' AS startfragment, "
+    "concat('@prefix hydra: <{hydra}> .\n@prefix void: <{void}> .\n@prefix v: <{v}> .\n"
+    "<?page=', o_orderkey, '> a hydra:PagedCollection ; hydra:totalItems ', o_custkey, ' ; hydra:itemsPerPage 2 .\n"
+    "<#dataset> hydra:search [ hydra:template \"t\" ; hydra:mapping [ hydra:variable \"s\" ] ] .\n"
+    "<{ns}orders/', o_orderkey, '> v:status \"', o_orderstatus, '\"@en ; v:customer <{ns}customer/', o_custkey, '> .') "
+    "AS body FROM orders"
+).format(start=X.START, hydra=M.HYDRA, void=M.VOID, v=V, ns=NS)
+
+
+@register(
+    "fragment_scan",
+    with_sql(
+        "t AS ("
+        + _rows(
+            "orders",
+            (_ORDER, "uri", V + "status", "o_orderstatus", "literal", "", "en"),
+            (_ORDER, "uri", V + "customer", "concat('http://ex.org/customer/', o_custkey)", "uri", "", ""),
+        ).replace("SELECT", f"SELECT concat('{X.START}?page=', o_orderkey) AS url, cast(o_custkey as bigint) AS total, cast(2 as bigint) AS page_size,")
+        + ")",
+        "SELECT * FROM t",
+    ),
+)
+def fragment_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = X.frame(spark, sf_dir, FRAGMENT_BODIES)
+    rows = stage(turtle.parse(pages, "body", "doc", base=F.col("startfragment")))
+    stated = fragments.totals(rows).drop("startfragment")
+    return fragments.strip_metadata(rows).join(stated, "url").drop("doc", "startfragment")
+
+
+# --- store ----------------------------------------------------------------------
+
+
+@register(
+    "replace_graph",
+    with_sql(
+        TRIPLES,
+        f"kept AS (SELECT DISTINCT {TERMS}, graph, source_id FROM triples WHERE (source_id = 2 AND p <> '{V}segment') "
+        "OR source_id = 3 OR source_id = 5)",
+        "SELECT graph, count(*) AS n, count(DISTINCT s) AS subjects FROM kept GROUP BY graph",
+    ),
+)
+def replace_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all graphs, replace one by a smaller one, empty two, and read what is left."""
+    folder = new_folder(spark, "store")
+    triples = L.lift(spark, sf_dir)
+    store.append(triples, folder)
+    smaller = triples.filter((F.col("source_id") == 2) & (F.col("p") != V + "segment"))
+    store.replace(smaller, folder, [L.graph(2), L.graph(4)])
+    store.clear(spark, folder, L.graph(1))
+    return store.read(spark, folder).groupBy("graph").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("s").alias("subjects")
+    )
+
+
+@register(
+    "store_pattern_query",
+    with_sql(
+        TRIPLES,
+        DATA,
+        f"base AS (SELECT * FROM data WHERE p = '{V}nation')",
+        f"page AS (SELECT * FROM ({expand_sql('base', 3)}) ORDER BY {order_sql(3)} LIMIT 100 OFFSET 40)",
+        construct_sql("page", 3),
+    ),
+)
+def store_pattern_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "store")
+    store.append(L.lift(spark, sf_dir), folder)
+    stored = match.default_graphs(store.read(spark, folder))
+    answer = plans.pattern_query(stored, Pattern(p=Term.iri(V + "nation")), 100, 40, depth=3)
+    return answer.triples
+
+
+@register(
+    "store_dereference_query",
+    with_sql(
+        TRIPLES,
+        DATA,
+        DEPTHS,
+        f"base AS (SELECT * FROM data WHERE s = '{NS}nation/3' AND s_kind = 'uri')",
+        f"solutions AS ({_by_depth_sql('base')})",
+        f"page AS (SELECT * FROM solutions ORDER BY {order_sql(3)} LIMIT 100)",
+        construct_sql("page", 3),
+    ),
+)
+def store_dereference_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "store")
+    store.append(L.lift(spark, sf_dir), folder)
+    stored = match.default_graphs(store.read(spark, folder))
+    return plans.dereference_query(stored, NS + "nation/3", depths(spark), LEVELS).triples

@@ -149,6 +149,28 @@ FRAGMENTS = "\nUNION ALL ".join(
     ]
 )
 
+# One Turtle document per order, with both directive forms and all list marks.
+TURTLE = (
+    "SELECT cast(o_orderkey as string) AS doc, concat('@prefix v: <http://ex.org/v#> .\n"
+    "PREFIX xsd: <http://www.w3.org/2001/XMLSchema#> # types\n@base <http://ex.org/orders/> .\n<', o_orderkey, "
+    "'> v:status \"', o_orderstatus, '\" ; v:priority \"\"\"', o_orderpriority, '\"\"\" ;\n  v:customer "
+    "<http://ex.org/customer/', o_custkey, '> , [ v:key ', o_custkey, ' ] .\n<', o_orderkey, '> a v:Order ; v:date \"', "
+    "cast(cast(o_orderdate as date) as string), '\"^^xsd:date .\n') AS body FROM orders"
+)
+
+# One RDF/XML document per customer; BUILDING customers are answered by an error text.
+RDFXML = (
+    "SELECT cast(c_custkey as string) AS source_id, CASE WHEN c_mktsegment = 'BUILDING' "
+    "THEN concat('no graph for ', c_name) ELSE concat("
+    "'<?xml version=\"1.0\"?>\n<rdf:RDF xmlns:rdf=\"http://www.w3.org/1999/02/22-rdf-syntax-ns#\" "
+    "xmlns:v=\"http://ex.org/v#\">\n<v:Customer rdf:about=\"http://ex.org/customer/', c_custkey, "
+    "'\" v:segment=\"', c_mktsegment, '\">\n<v:name xml:lang=\"en\">', c_name, '</v:name>\n"
+    "<v:nation rdf:resource=\"http://ex.org/nation/', c_nationkey, '\"/>\n<v:account><rdf:Description>"
+    "<v:balance rdf:datatype=\"http://www.w3.org/2001/XMLSchema#integer\">', "
+    "cast(round(c_acctbal * 100) as bigint), '</v:balance></rdf:Description></v:account>\n"
+    "</v:Customer>\n</rdf:RDF>') END AS body FROM customer"
+)
+
 # Answers whose statistics are described: one per customer, page size and offset
 # vary so that first, middle, last and only pages all occur.
 RESULTS = (

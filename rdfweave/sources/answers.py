@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rdfweave.sources import rdfxml
+
 # Fixed value: where a count answer holds its number.
 COUNT_PATH = "$.results.bindings[0].count.value"
 
@@ -25,6 +27,11 @@ def is_graph() -> Column:
     return F.col("body").startswith("<")
 
 
+def graphs(answers: DataFrame, doc: str = "source_id") -> DataFrame:
+    """Triples of the graph answers, with the other columns of ``answers``."""
+    return rdfxml.parse(answers.filter(is_graph()), "body", doc)
+
+
 def rejected(answers: DataFrame) -> DataFrame:
     """Answers that are no graph, as quarantine rows; empty ones are left out."""
     return answers.filter(~is_graph() & (F.length("body") > 0)).select(
