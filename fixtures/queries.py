@@ -1271,7 +1271,8 @@ def store_pattern_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def store_dereference_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = new_folder(spark, "store")
+    folder, table = new_folder(spark, "store"), new_folder(spark, "published")
     store.append(L.lift(spark, sf_dir), folder)
-    stored = match.default_graphs(store.read(spark, folder))
+    store.publish(spark, folder, table)
+    stored = store.published(spark, table)
     return plans.dereference_query(stored, NS + "nation/3", depths(spark), LEVELS).triples

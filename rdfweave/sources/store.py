@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rdfweave import model as M
-from rdfweave.operators.match import subject_base
+from rdfweave.operators.match import default_graphs, subject_base
 
 STORE_SCHEMA = T.StructType(
     [f for f in M.TRIPLES_SCHEMA.fields if f.name != "graph"]
@@ -86,3 +86,36 @@ def clear(spark: SparkSession, store: str, graph: str) -> None:
 def quarantine(rejects: DataFrame, path: str) -> None:
     """Keep what could not be read, with the reason and its source."""
     rejects.select("value", "reason", "source_id").write.mode("append").parquet(path)
+
+
+PUBLISHED_SCHEMA = T.StructType(
+    [T.StructField("source_rank", T.IntegerType())]
+    + [f for f in M.TRIPLES_SCHEMA.fields if f.name in M.TERMS]
+    + [T.StructField("s_base", T.StringType()), T.StructField("source_key", T.StringType())]
+)
+
+
+def publish(spark: SparkSession, store: str, table: str, source_keys: list[str] | None = None) -> None:
+    """Write the default graphs of a store once, so that queries need not merge copies.
+
+    All loaded files become the one graph ``local``.  After graphs were replaced, name
+    their ``source_keys``; only those folders are rewritten.
+    """
+    data = default_graphs(read(spark, store))
+    if source_keys is not None:
+        data = data.filter(F.col("source_key").isin(source_keys))
+    key = ["source_key", "p", "s", "o"]
+    (
+        data.select(*PUBLISHED_SCHEMA.names)
+        .repartitionByRange(*key)
+        .sortWithinPartitions(*key)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("source_key")
+        .parquet(table)
+    )
+
+
+def published(spark: SparkSession, table: str) -> DataFrame:
+    """The default graphs as queries take them."""
+    return spark.read.schema(PUBLISHED_SCHEMA).parquet(table)

@@ -99,6 +99,12 @@ def _tokens(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFr
         rows.withColumn("after", F.lead("token", 1).over(order))
         .withColumn("second", F.lead("token", 2).over(order))
         .withColumn("after_pos", F.lead("pos", 1).over(order))
+        .withColumn(
+            "level",
+            F.sum(F.when(token.isin("[", "("), 1).when(token.isin("]", ")"), -1).otherwise(0)).over(
+                order.rowsBetween(Window.unboundedPreceding, 0)
+            ),
+        )
     )
     kind = _directive(token)
     # The token that names an IRI here: what a directive declares, a literal's
@@ -171,26 +177,18 @@ def _items(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFra
         | F.coalesce((_directive(F.col("back2")) == "base") & F.col("back2").startswith("@"), no)
         | F.coalesce((_directive(F.col("back3")) == "prefix") & F.col("back3").startswith("@"), no)
     )
-    step = F.when(t.isin("[", "("), 1).when(t.isin("]", ")"), -1).otherwise(0)
-    order = Window.partitionBy(doc).orderBy("pos")
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    rows = (
-        _tokens(docs, body, doc, base)
-        .select(
-            *keep,
-            "pos",
-            "after_pos",
-            "directive",
-            kind.alias("kind"),
-            value.alias("value"),
-            F.when(datatype != M.XSD + "string", datatype).alias("datatype"),
-            (typed & datatype.isNull()).alias("untyped"),
-            lang.alias("lang"),
-            (after == ")").alias("closes"),
-            attached.alias("attached"),
-            step.alias("step"),
-        )
-        .withColumn("level", F.sum("step").over(so_far))
+    rows = _tokens(docs, body, doc, base).select(
+        *keep,
+        "pos",
+        "after_pos",
+        "level",
+        kind.alias("kind"),
+        value.alias("value"),
+        F.when(datatype != M.XSD + "string", datatype).alias("datatype"),
+        (typed & datatype.isNull()).alias("untyped"),
+        lang.alias("lang"),
+        (after == ")").alias("closes"),
+        attached.alias("attached"),
     )
     last = F.col("after_pos").isNull()
     reason = (
@@ -281,21 +279,28 @@ def _structure(items: DataFrame, doc: str, keep: list[str]) -> DataFrame:
         "datatype",
         "lang",
     )
-    frame = Window.partitionBy(doc, "depth", "frame").orderBy("pos")
-    frame_upto = frame.rowsBetween(Window.unboundedPreceding, 0)
+    # Frames follow one another inside a level, so all of this keeps the same order.
     is_term = F.col("role") == "term"
+    same_frame = F.lag("frame").over(inside).eqNullSafe(F.col("frame"))
     rows = (
         rows.withColumn("node", node)
-        .withColumn("n", F.row_number().over(frame))
-        .withColumn("before", F.lag("role").over(frame))
-        .withColumn("next_item", F.lead("pos").over(frame))
-        .withColumn("first", F.first("node").over(frame_upto))
-        .withColumn("is_predicate", is_term & ((F.col("n") == 2) | (F.col("before") == ";")))
+        .withColumn("starts", ~same_frame)
+        .withColumn("before", F.lag("role").over(inside))
         .withColumn(
-            "predicate",
-            F.last(F.when(F.col("is_predicate"), F.col("value")), ignorenulls=True).over(frame_upto),
+            "next_item",
+            F.when(F.lead("frame").over(inside) == F.col("frame"), F.lead("pos").over(inside)),
         )
     )
+    rows = rows.withColumn(
+        "first", F.last(F.when(F.col("starts"), F.col("node")), ignorenulls=True).over(upto)
+    ).withColumn(
+        "is_predicate",
+        is_term & ~F.col("starts") & (F.lag("starts").over(inside) | (F.col("before") == ";")),
+    )
+    rows = rows.withColumn(
+        "predicate",
+        F.last(F.when(F.col("is_predicate"), F.col("value")), ignorenulls=True).over(upto),
+    )
     in_list = F.coalesce(F.col("bracket") == "(", F.lit(False))
 
     def triple(s_kind: Column, s: Column, p: Column, o: Column) -> Column:
@@ -334,7 +339,7 @@ def _structure(items: DataFrame, doc: str, keep: list[str]) -> DataFrame:
         )
     )
     return (
-        rows.filter(is_term & (in_list | ((F.col("n") > 2) & ~F.col("is_predicate"))))
+        rows.filter(is_term & (in_list | (~F.col("starts") & ~F.col("is_predicate"))))
         .select(*keep, F.inline(F.when(in_list, listed).otherwise(stated)))
     )
 
