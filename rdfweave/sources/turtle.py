@@ -36,7 +36,7 @@ TOKEN = "|".join(
         r"\S",
     ]
 )
-_NUMBER = r"^[+-]?[0-9.][0-9.eE+-]*$"
+_NUMBER = r"^[+-]?\.?[0-9][0-9.eE+-]*$"
 _MARKS = [".", ";", ",", "[", "]", "(", ")"]
 
 
@@ -44,9 +44,21 @@ def _quoted(token: Column) -> Column:
     return token.startswith('"') | token.startswith("'")
 
 
-def _directive(token: Column) -> Column:
-    name = F.lower(F.ltrim(token, F.lit("@")))
-    return F.when(name.isin("prefix", "base"), name)
+# What a token is to its neighbours.
+_OTHER, _QUOTE, _CARET, _AT_PREFIX, _PREFIX, _AT_BASE, _BASE = range(7)
+
+
+def _mark(token: Column) -> Column:
+    word = F.when(F.substring(token, 1, 1).isin("@", "p", "P", "b", "B"), F.lower(token))
+    return (
+        F.when(_quoted(token), _QUOTE)
+        .when(token == "^^", _CARET)
+        .when(word == "@prefix", _AT_PREFIX)
+        .when(word == "prefix", _PREFIX)
+        .when(word == "@base", _AT_BASE)
+        .when(word == "base", _BASE)
+        .otherwise(_OTHER)
+    )
 
 
 def resolve_iri(iri: Column, base: Column) -> Column:
@@ -85,61 +97,69 @@ def _tokens(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFr
     start = F.lit(None).cast("string") if base is None else base
     keep = [c for c in docs.columns if c != body]
     found = F.regexp_extract_all(F.col(body), F.lit(f"(?s){TOKEN}"), F.lit(0))
+    # A number of partitions is given so that they are not merged by text size: the
+    # token rows made from a text are many times larger.
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (
-        docs.repartition(F.col(doc))
+        docs.repartition(partitions, F.col(doc))
         .withColumn("_start", start)
         .select(*keep, "_start", F.posexplode(found).alias("pos", "token"))
         .filter(~F.col("token").startswith("#"))
     )
     order = Window.partitionBy(doc).orderBy("pos")
-    token = F.col("token")
-    for n in (1, 2, 3):
-        rows = rows.withColumn(f"back{n}", F.lag("token", n).over(order))
-    rows = (
-        rows.withColumn("after", F.lead("token", 1).over(order))
-        .withColumn("second", F.lead("token", 2).over(order))
-        .withColumn("after_pos", F.lead("pos", 1).over(order))
-        .withColumn(
-            "level",
-            F.sum(F.when(token.isin("[", "("), 1).when(token.isin("]", ")"), -1).otherwise(0)).over(
-                order.rowsBetween(Window.unboundedPreceding, 0)
-            ),
-        )
+    token, mark = F.col("token"), F.col("mark")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    nesting = F.when(token.isin("[", "("), 1).when(token.isin("]", ")"), -1).otherwise(0)
+    rows = rows.withColumn("mark", _mark(token)).withColumns(
+        {
+            "back1": F.lag("mark", 1, _OTHER).over(order),
+            "back2": F.lag("mark", 2, _OTHER).over(order),
+            "back3": F.lag("mark", 3, _OTHER).over(order),
+            "after": F.lead("token", 1).over(order),
+            "second": F.lead("token", 2).over(order),
+            "after_pos": F.lead("pos", 1).over(order),
+            "level": F.sum(nesting).over(upto),
+        }
     )
-    kind = _directive(token)
     # The token that names an IRI here: what a directive declares, a literal's
     # datatype, or the token itself.
+    declares_prefix, declares_base = mark.isin(_AT_PREFIX, _PREFIX), mark.isin(_AT_BASE, _BASE)
     named = (
-        F.when(kind == "prefix", F.col("second"))
-        .when(kind == "base", F.col("after"))
-        .when(_quoted(token) & (F.col("after") == "^^"), F.col("second"))
-        .otherwise(token)
+        F.when(mark == _OTHER, token)
+        .when(declares_base, F.col("after"))
+        .when(declares_prefix | (F.col("after") == "^^"), F.col("second"))
     )
-    rows = rows.withColumn("directive", kind).withColumn("named", named)
+    rows = rows.withColumn("named", named)
     rows = rows.withColumn("reference", F.when(F.col("named").startswith("<"), _inner(F.col("named"))))
-    declared_base = F.when(kind == "base", resolve_iri(F.col("reference"), F.col("_start")))
+    declared_base = F.when(declares_base, resolve_iri(F.col("reference"), F.col("_start")))
     rows = rows.withColumn(
-        "base",
-        F.coalesce(F.last(declared_base, ignorenulls=True).over(order), F.col("_start")),
+        "base", F.coalesce(F.last(declared_base, ignorenulls=True).over(upto), F.col("_start"))
     )
     rows = rows.withColumn("absolute", resolve_iri(F.col("reference"), F.col("base"))).withColumn(
-        "prefix", F.when(kind == "prefix", F.col("after")).otherwise(_prefix(F.col("named")))
+        "prefix", _prefix(F.col("named"))
     )
-    declared = F.when(kind == "prefix", F.col("absolute"))
-    by_prefix = Window.partitionBy(doc, "prefix").orderBy("pos")
-    return rows.withColumn("declared", F.last(declared, ignorenulls=True).over(by_prefix)).drop("_start")
+    # The few prefixes in force travel with each token; the last declaration counts.
+    declaration = F.struct(F.col("after").alias("name"), F.col("absolute").alias("iri"))
+    known = F.collect_list(F.when(declares_prefix, declaration)).over(upto)
+    rows = rows.withColumn("_known", known)
+    same = F.filter("_known", lambda d: d["name"] == F.col("prefix"))
+    declared = F.when(F.col("prefix").isNotNull(), F.get(same, F.size(same) - 1)["iri"])
+    return rows.withColumn("declared", declared).drop("_start", "_known")
 
 
 def _items(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFrame:
     """Terms and marks with their nesting level, and ``reason`` where one is wrong."""
     keep = [c for c in docs.columns if c != body]
     t, after = F.col("token"), F.col("after")
-    local = F.regexp_replace(
-        F.substring("named", F.length("prefix") + 1, F.length("named")), r"\\(.)", "$1"
-    )
+    local = F.substring("named", F.length("prefix") + 1, F.length("named"))
+    local = F.when(
+        F.contains(F.col("named"), F.lit("\\")), F.regexp_replace(local, r"\\(.)", "$1")
+    ).otherwise(local)
     iri = F.when(F.col("prefix").isNotNull(), F.concat("declared", local)).otherwise(F.col("absolute"))
-    number = F.regexp_like(t, F.lit(_NUMBER)) & (t != ".")
-    literal = _quoted(t) | number | t.isin("true", "false")
+    digit = F.substring(t, 1, 1)
+    number = (digit.between("0", "9") | digit.isin("+", "-", ".")) & F.regexp_like(t, F.lit(_NUMBER))
+    quoted = F.col("mark") == _QUOTE
+    literal = quoted | number | t.isin("true", "false")
     kind = (
         F.when(t.isin(*_MARKS), t)
         .when(literal, M.LITERAL)
@@ -148,13 +168,13 @@ def _items(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFra
         .otherwise("?")
     )
     value = (
-        F.when(_quoted(t), _literal_value(t))
+        F.when(quoted, _literal_value(t))
         .when(literal | t.isin(*_MARKS), t)
         .when(t.startswith("_:"), F.substring(t, F.lit(3), F.length(t)))
         .when(t == "a", M.RDF_TYPE)
         .otherwise(iri)
     )
-    typed = _quoted(t) & (after == "^^")
+    typed = quoted & F.coalesce(after == "^^", F.lit(False))
     datatype = (
         F.when(typed, iri)
         .when(t.isin("true", "false"), M.XSD + "boolean")
@@ -163,19 +183,15 @@ def _items(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFra
         .when(number, M.XSD_INTEGER)
     )
     lang = F.when(
-        _quoted(t) & after.startswith("@") & _directive(after).isNull(),
+        quoted & after.startswith("@") & ~F.lower(after).isin("@prefix", "@base"),
         F.substring(after, F.lit(2), F.length(after)),
     )
-    no = F.lit(False)
     attached = (
-        (t == "^^")
-        | F.coalesce(F.col("back1") == "^^", no)
-        | (t.startswith("@") & F.coalesce(_quoted(F.col("back1")), no))
-        | F.col("directive").isNotNull()
-        | _directive(F.col("back1")).isNotNull()
-        | F.coalesce(_directive(F.col("back2")) == "prefix", no)
-        | F.coalesce((_directive(F.col("back2")) == "base") & F.col("back2").startswith("@"), no)
-        | F.coalesce((_directive(F.col("back3")) == "prefix") & F.col("back3").startswith("@"), no)
+        (F.col("mark") > _QUOTE)
+        | F.col("back1").isin(_CARET, _AT_PREFIX, _PREFIX, _AT_BASE, _BASE)
+        | F.col("back2").isin(_AT_PREFIX, _PREFIX, _AT_BASE)
+        | (F.col("back3") == _AT_PREFIX)
+        | (t.startswith("@") & (F.col("back1") == _QUOTE))
     )
     rows = _tokens(docs, body, doc, base).select(
         *keep,
