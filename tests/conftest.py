@@ -11,6 +11,7 @@ def make_session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "5000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
