@@ -134,7 +134,7 @@ def expand(
         expanded = nodes.join(chain, NODE, "left").select(*columns)
     else:
         full = nodes.join(chain, NODE, "inner").select(*columns)
-        ends = chain.select(*NODE).distinct()
+        ends = path_counts(data, depth - 1, large=True).select(*NODE)
         none = skew_join(nodes, ends, NODE, "left_anti", large=True)
         expanded = full.unionByName(_without_path(none, depth).select(*columns))
     return literals.select(*columns).unionByName(expanded)
@@ -254,6 +254,19 @@ def expanded_counts(
     return ends.join(counts, NODE, "left").groupBy(*by).agg(F.sum(solutions).alias("solutions"))
 
 
+def with_solution_number(
+    base: DataFrame, data: DataFrame, depth: int, large: bool | None = None
+) -> DataFrame:
+    """Adds to every matched triple how many solutions it has, without expanding it."""
+    literals = base.filter(~_not_literal("o_kind")).withColumn("solutions", F.lit(1).cast("long"))
+    nodes = _object_node(base.filter(_not_literal("o_kind")))
+    counts = path_counts(data, depth - 1, large)
+    numbered = skew_join(nodes, counts, NODE, "left", large=large).select(
+        *base.columns, F.coalesce(F.col("paths"), F.lit(1)).alias("solutions")
+    )
+    return literals.unionByName(numbered)
+
+
 def _reachable(data: DataFrame, start: DataFrame, hops: int) -> DataFrame:
     """The triples within ``hops`` steps of a short list of nodes, else all of ``data``."""
     out = None

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rdfweave import model as M
+from rdfweave.operators.scale import skew_join
 
 PAGE = ["url", "startfragment"]
 
@@ -82,8 +83,8 @@ def metadata_subjects(rows: DataFrame) -> DataFrame:
 def strip_metadata(rows: DataFrame) -> DataFrame:
     """The data triples of every page, all term columns kept."""
     dataset = F.concat(F.col("startfragment"), F.lit("#dataset"))
-    return rows.filter(F.col("s") != dataset).join(
-        metadata_subjects(rows), ["url", "s"], "left_anti"
+    return skew_join(
+        rows.filter(F.col("s") != dataset), metadata_subjects(rows), ["url", "s"], "left_anti"
     )
 
 

@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rdfweave import model as M
-from rdfweave.operators.expand import expand, path_columns
-from rdfweave.operators.scale import BROADCAST_ROWS
+from rdfweave.operators.expand import expand, path_columns, with_solution_number
 from rdfweave.operators.stage import stage
 
 # Fixed value: page size when a request names none.
 PAGE_SIZE = 100
-# Up to here a page is a plain top-k; Spark keeps that many rows per task.
-TOP_ROWS = BROADCAST_ROWS
+# Up to here a page is a plain top-k; every task sends that many rows to the last one.
+TOP_ROWS = 2000
 # Split keys per narrowing pass over a deep page, and rows drawn to find them.
 SPLITS = 16
 DRAWN_ROWS = 4096
@@ -75,23 +74,31 @@ def _between(df: DataFrame, columns: list[str], low, high) -> DataFrame:
 
 
 def _narrow(
-    solutions: DataFrame, columns: list[str], offset: int, limit: int, top_rows: int
+    solutions: DataFrame,
+    columns: list[str],
+    offset: int,
+    limit: int,
+    top_rows: int,
+    weight: Column | None = None,
 ) -> tuple[DataFrame, int]:
     """Cut ``solutions`` to a key range that still holds the whole page.
 
+    With ``weight`` every row stands for that many rows of the page.
+
     Every pass draws a few split keys, counts the rows below each of them in one
     aggregation and keeps the ranges that overlap the page.  The draw only decides
     how even the ranges are, never what is in the page.  Keys are compared on the
     leading columns first and on more of them when one subject fills the range.
     """
-    rows = solutions.count()
+    weight = F.lit(1) if weight is None else weight
+    rows = solutions.agg(F.sum(weight)).first()[0] or 0
     if offset >= rows:
         return solutions.limit(0), 0
     used = len(M.SOURCE) + 1
     while offset + limit > top_rows:
         prefix = columns[:used]
         keys = _split_keys(solutions, prefix, rows)
-        below = _rows_below(solutions, prefix, keys)
+        below = _rows_below(solutions, prefix, keys, weight)
         low = max((i for i, n in enumerate(below) if 0 < n <= offset), default=None)
         high = min((i for i, n in enumerate(below) if offset + limit <= n < rows), default=None)
         if low is None and high is None:
@@ -111,15 +118,17 @@ def _narrow(
     return solutions, offset
 
 
-def _rows_below(solutions: DataFrame, columns: list[str], keys: list) -> list[int]:
+def _rows_below(
+    solutions: DataFrame, columns: list[str], keys: list, weight: Column
+) -> list[int]:
     if not keys:
         return []
     here = _key(columns)
     counters = [
-        F.count(F.when(here < _key(columns, key, solutions.schema), 1)).alias(f"c{i}")
+        F.sum(F.when(here < _key(columns, key, solutions.schema), weight)).alias(f"c{i}")
         for i, key in enumerate(keys)
     ]
-    return list(solutions.agg(*counters).first())
+    return [n or 0 for n in solutions.agg(*counters).first()]
 
 
 def _split_keys(solutions: DataFrame, columns: list[str], rows: int) -> list:
@@ -136,19 +145,27 @@ def expanded_page(
     depth: int,
     limit: int = PAGE_SIZE,
     offset: int = 0,
+    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
-    """A page of ``expand(base, data, depth)`` without expanding what comes after it.
+    """A page of ``expand(base, data, depth)`` without expanding what lies outside it.
 
-    Every matched triple has at least one solution and solutions sort by their
-    matched triple first, so the page lies within the first ``offset + limit``
-    matched triples; only these are expanded.
+    Solutions sort by their matched triple first, and every matched triple has at
+    least one.  So a page near the start lies within the first ``offset + limit``
+    matched triples.  For a deep page the matched triples are numbered with their
+    solutions and narrowed to those the page falls on.  Only these are expanded.
     """
     if depth == 1:
-        return page(base, limit, offset)
-    if offset + limit > TOP_ROWS:
-        return page(expand(base, data, depth), limit, offset, depth)
-    first = stage(base.orderBy(*_order(order_columns())).limit(offset + limit), "page")
-    return page(expand(first, data, depth, few=True), limit, offset, depth)
+        return page(base, limit, offset, top_rows=top_rows)
+    if offset + limit <= top_rows:
+        first = base.orderBy(*_order(order_columns())).limit(offset + limit)
+    else:
+        numbered = stage(with_solution_number(base, data, depth), "numbered")
+        first, offset = _narrow(
+            numbered, order_columns(), offset, limit, top_rows, F.col("solutions")
+        )
+        first = first.drop("solutions")
+    solutions = expand(stage(first, "page"), data, depth, few=True)
+    return page(solutions, limit, offset, depth, top_rows)
 
 
 def page_per_group(

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is only broadcast when the planner's size estimate is below this.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# A side is only broadcast when the planner's size estimate is below this.  The
+# estimate rests on compressed files, so the bound leaves room for a tenfold growth.
+BROADCAST_BYTES = 16 * 1024 * 1024
 # Up to this many node values are pushed into the scan as an IN filter.
 PUSHED_VALUES = 1000
 # A key set is broadcast when a bounded count has shown it has at most this many rows.
@@ -47,11 +48,13 @@ def keep_nodes(data: DataFrame, nodes: DataFrame, value: str = "node") -> DataFr
     ``None`` and the caller joins in the ordinary way.  Rows of other kinds of node
     with an equal label may be kept too; an exact join follows.
     """
-    first = nodes.select(value).distinct().limit(PUSHED_VALUES + 1).collect()
+    if not at_most(nodes, 10 * BROADCAST_ROWS):
+        return None
+    keys = nodes.select(F.col(value).alias("_node")).distinct()
+    first = keys.limit(PUSHED_VALUES + 1).collect()
     if len(first) <= PUSHED_VALUES:
         return data.filter(F.col("s").isin([row[0] for row in first]))
-    if at_most(nodes, BROADCAST_ROWS):
-        keys = nodes.select(F.col(value).alias("_node")).distinct()
+    if at_most(keys, BROADCAST_ROWS):
         return data.join(F.broadcast(keys), F.col("s") == F.col("_node"), "left_semi")
     return None
 

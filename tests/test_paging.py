@@ -51,6 +51,7 @@ def test_expanded_page_equals_page_of_expansion(spark):
     for offset in (0, 17, 90):
         want = paging.page(expand.expand(base, data, 2), 20, offset, 2).collect()
         assert paging.expanded_page(base, data, 2, 20, offset).collect() == want
+        assert paging.expanded_page(base, data, 2, 20, offset, top_rows=25).collect() == want
 
 
 def test_page_per_group_with_a_hot_group(spark):
