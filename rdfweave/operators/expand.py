@@ -8,13 +8,16 @@ Paths never leave their ``source_key`` and never start at a literal.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rdfweave import model as M
 from rdfweave.model import Pattern
 from rdfweave.operators.match import match
-from rdfweave.operators.scale import broadcast_if_small, is_large, keep_nodes, skew_join
+from rdfweave.operators.scale import PUSHED_VALUES, is_large, keep_nodes, skew_join
+from rdfweave.operators.stage import join_catalog
 
 # Allowed depths of a source, and the depth of the loaded graphs
 # when a URI is dereferenced.
@@ -140,6 +143,31 @@ def expand(
     return literals.select(*columns).unionByName(expanded)
 
 
+def by_depth(depths: DataFrame) -> Callable[[DataFrame, int], DataFrame]:
+    """A function that keeps the rows of the sources with a given depth.
+
+    Sources that ``depths(source_key, depth)`` does not name have depth one.  The keys
+    of an ordinary catalog become a plain filter, so that the folders of other sources
+    are not even listed; a very long catalog is joined.
+    """
+    catalog = depths.select("source_key", "depth")
+    rows = catalog.limit(PUSHED_VALUES + 1).collect()
+
+    def listed(df: DataFrame, depth: int) -> DataFrame:
+        if depth == MIN_DEPTH:
+            return df.filter(~F.col("source_key").isin([r[0] for r in rows if r[1] > depth]))
+        return df.filter(F.col("source_key").isin([r[0] for r in rows if r[1] == depth]))
+
+    def joined(df: DataFrame, depth: int) -> DataFrame:
+        if depth == MIN_DEPTH:
+            deeper = catalog.filter(F.col("depth") > depth).select("source_key")
+            return join_catalog(df, deeper, ["source_key"], "left_anti")
+        keys = catalog.filter(F.col("depth") == depth).select("source_key")
+        return join_catalog(df, keys, ["source_key"], "left_semi")
+
+    return listed if len(rows) <= PUSHED_VALUES else joined
+
+
 def expand_by_source(
     base: DataFrame,
     data: DataFrame,
@@ -150,19 +178,12 @@ def expand_by_source(
     """Expansion where each source has its own depth: ``depths(source_key, depth)``.
 
     One branch per depth level, over the sources of that level only.  Sources that
-    ``depths`` does not name get depth one.  ``depths`` is the source catalog and
-    is broadcast only if it is small.
+    ``depths`` does not name get depth one.
     """
-    catalog = broadcast_if_small(depths.select("source_key", F.col("depth").alias("_depth")))
-    deepest = max(levels)
-
-    def level(df: DataFrame, depth: int) -> DataFrame:
-        known = df.join(catalog, "source_key", "left")
-        return known.filter(F.coalesce(F.col("_depth"), F.lit(1)) == depth).drop("_depth")
-
+    deepest, at_depth = max(levels), by_depth(depths)
     out = None
     for depth in levels:
-        part = expand(level(base, depth), level(data, depth), depth, few=few)
+        part = expand(at_depth(base, depth), at_depth(data, depth), depth, few=few)
         missing = [c for c in path_columns(deepest) if c not in part.columns]
         part = part.select("*", *[F.lit(None).cast("string").alias(c) for c in missing])
         out = part if out is None else out.unionByName(part)

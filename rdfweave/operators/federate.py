@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rdfweave import model as M
-from rdfweave.operators.expand import expand_by_source, expanded_counts
+from rdfweave.operators.expand import by_depth, expand_by_source, expanded_counts
 from rdfweave.operators.match import match_subjects
 from rdfweave.operators.paging import PAGE_SIZE, order_columns, page_per_group
 from rdfweave.operators.scale import broadcast_if_small
@@ -27,14 +27,10 @@ def counts_by_source(
     base: DataFrame, data: DataFrame, depths: DataFrame, levels: tuple[int, ...], few: bool = False
 ) -> DataFrame:
     """Solutions per source, each expanded to its own depth, without expanding them."""
-    catalog = broadcast_if_small(depths.select("source_key", F.col("depth").alias("_depth")))
-
-    def level(df: DataFrame, depth: int) -> DataFrame:
-        known = df.join(catalog, "source_key", "left")
-        return known.filter(F.coalesce(F.col("_depth"), F.lit(1)) == depth).drop("_depth")
-
+    at_depth = by_depth(depths)
     parts = [
-        expanded_counts(level(base, d), level(data, d), d, M.SOURCE, few=few) for d in levels
+        expanded_counts(at_depth(base, d), at_depth(data, d), d, M.SOURCE, few=few)
+        for d in levels
     ]
     return reduce(DataFrame.unionByName, parts)
 

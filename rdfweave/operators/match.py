@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rdfweave import model as M
 from rdfweave.model import Pattern, Term
+from rdfweave.operators.scale import short_list
 
 
 def subject_base(subject: Column) -> Column:
@@ -79,8 +80,13 @@ def match_subjects(
     """Match many subjects at once: ``requests(request_id, uri, ...)`` against subjects.
 
     With ``hash_variants`` the equi-join is on the fragment-free lower-case key
-    and the exact test runs on the joined rows.
+    and the exact test runs on the joined rows.  A few requests also become an IN
+    filter that reaches the scan.
     """
+    column, wanted = ("s_base", subject_base(F.col("uri"))) if hash_variants else ("s", F.col("uri"))
+    values = short_list(requests.select(wanted.alias("value")))
+    if values is not None and column in data.columns:
+        data = data.filter(F.col(column).isin(values))
     if not hash_variants:
         return data.filter(F.col("s_kind") == M.IRI).join(
             requests, F.col("s") == F.col("uri"), "inner"

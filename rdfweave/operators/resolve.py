@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rdfweave.functions import uri as U
 from rdfweave.operators.scale import broadcast_if_small
+from rdfweave.operators.stage import stage
 
 
 def identified(requests: DataFrame, formats: Sequence[str] = U.FORMATS) -> DataFrame:
@@ -72,10 +73,10 @@ def resolve(
 
     In order: a published ``dataset``, a ``core`` resource (by its first segment), a
     ``collection``, the ``triples`` of a subject; null when there is nothing.
-    Catalog tables are broadcast when small.  Subjects are first cut down to those
-    that are requested at all.
+    Requests are staged, catalog tables are broadcast when small, and subjects are
+    first cut down to those that are requested at all.
     """
-    named = identified(requests, formats)
+    named = stage(identified(requests, formats), "requests")
     datasets = definitions.select(
         F.concat_ws("/", _collection_uri(), "resource_name").alias("identifier")
     ).distinct()

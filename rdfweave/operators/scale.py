@@ -40,22 +40,36 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def short_list(values: DataFrame) -> list[str] | None:
+    """The distinct values of a one-column frame, if there are only a few of them.
+
+    A staged frame has a known size; any other is first counted up to a bound, so that
+    a long list is never made distinct just to be turned down.
+    """
+    small = estimated_bytes(values) <= BROADCAST_BYTES
+    if not small and not at_most(values, 10 * BROADCAST_ROWS):
+        return None
+    first = values.distinct().limit(PUSHED_VALUES + 1).collect()
+    return [row[0] for row in first] if len(first) <= PUSHED_VALUES else None
+
+
 def keep_nodes(data: DataFrame, nodes: DataFrame, value: str = "node") -> DataFrame | None:
     """Rows of ``data`` whose subject is among ``nodes``, if ``nodes`` is a short list.
 
-    The list is measured first: a very short one becomes an IN filter that reaches
-    the Parquet scan, a short one is broadcast.  For a long list the answer is
-    ``None`` and the caller joins in the ordinary way.  Rows of other kinds of node
-    with an equal label may be kept too; an exact join follows.
+    A very short list becomes an IN filter that reaches the Parquet scan, a short one
+    is broadcast.  For a long list the answer is ``None`` and the caller joins in the
+    ordinary way.  Rows of other kinds of node with an equal label may be kept too; an
+    exact join follows.
     """
-    if not at_most(nodes, 10 * BROADCAST_ROWS):
-        return None
-    keys = nodes.select(F.col(value).alias("_node")).distinct()
-    first = keys.limit(PUSHED_VALUES + 1).collect()
-    if len(first) <= PUSHED_VALUES:
-        return data.filter(F.col("s").isin([row[0] for row in first]))
-    if at_most(keys, BROADCAST_ROWS):
-        return data.join(F.broadcast(keys), F.col("s") == F.col("_node"), "left_semi")
+    keys = nodes.select(F.col(value).alias("_node"))
+    values = short_list(keys)
+    if values is not None:
+        return data.filter(F.col("s").isin(values))
+    if estimated_bytes(keys) <= BROADCAST_BYTES or (
+        at_most(keys, 10 * BROADCAST_ROWS) and at_most(keys.distinct(), BROADCAST_ROWS)
+    ):
+        keys = F.broadcast(keys.distinct())
+        return data.join(keys, F.col("s") == F.col("_node"), "left_semi")
     return None
 
 

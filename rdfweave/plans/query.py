@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rdfweave.model import Pattern
+from rdfweave.model import Pattern, Term
 from rdfweave.operators import describe, expand, federate, paging
-from rdfweave.operators.match import match, match_subjects
+from rdfweave.operators.match import match
 from rdfweave.operators.stage import stage
 
 
@@ -75,7 +75,7 @@ def dereference_query(
 ) -> Answer:
     """Everything known about one URI, each source expanded to its own depth."""
     request = data.sparkSession.createDataFrame([(0, uri)], "request_id long, uri string")
-    base = match_subjects(data, F.broadcast(request), hash_variants)
+    base = match(data, Pattern(s=Term.iri(uri), hash_variants=hash_variants))
     counts = stage(federate.counts_by_source(base, data, depths, levels, few=True), "counts")
     total = counts.agg(F.sum("solutions")).first()[0] or 0
     pages = stage(

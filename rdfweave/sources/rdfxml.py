@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rdfweave import model as M
-from rdfweave.operators.scale import broadcast_if_small
+from rdfweave.operators.stage import join_catalog
 from rdfweave.sources.turtle import resolve_iri
 
 _XML = "{http://www.w3.org/XML/1998/namespace}"
@@ -234,13 +234,11 @@ def read_descriptions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .groupBy("file")
         .agg(F.first(F.regexp_extract("value", root, 1)).alias("head"))
     )
-    return (
-        pieces.withColumn("element", F.regexp_extract("value", r"(?s)(<rdf:Description\b.*)$", 1))
-        .filter(F.col("element") != "")
-        .join(broadcast_if_small(heads), "file", "inner")
-        .select(
-            F.concat_ws(".", "file", F.col("piece").cast("string")).alias("doc"),
-            "file",
-            F.concat("head", "element", F.lit(f"{_CLOSE}</rdf:RDF>")).alias("body"),
-        )
+    elements = pieces.withColumn(
+        "element", F.regexp_extract("value", r"(?s)(<rdf:Description\b.*)$", 1)
+    ).filter(F.col("element") != "")
+    return join_catalog(elements, heads, ["file"]).select(
+        F.concat_ws(".", "file", F.col("piece").cast("string")).alias("doc"),
+        "file",
+        F.concat("head", "element", F.lit(f"{_CLOSE}</rdf:RDF>")).alias("body"),
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rdfweave import model as M
 from rdfweave.functions.text import unescape
-from rdfweave.operators.scale import broadcast_if_small
+from rdfweave.operators.stage import join_catalog
 
 # Token patterns, tried in this order.  Repeats are possessive, so long literals
 # cannot overflow the matcher's stack.
@@ -407,12 +407,9 @@ def read_statements(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             ).alias("head")
         )
     )
-    return (
-        pieces.filter(~directive & (F.trim("value") != ""))
-        .join(broadcast_if_small(heads), "file", "left")
-        .select(
-            F.concat_ws(".", "file", F.col("piece").cast("string")).alias("doc"),
-            "file",
-            F.concat_ws("\n", "head", F.concat("value", F.lit(" ."))).alias("body"),
-        )
+    statements = pieces.filter(~directive & (F.trim("value") != ""))
+    return join_catalog(statements, heads, ["file"], "left").select(
+        F.concat_ws(".", "file", F.col("piece").cast("string")).alias("doc"),
+        "file",
+        F.concat_ws("\n", "head", F.concat("value", F.lit(" ."))).alias("body"),
     )
