@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from rdfweave import model as M
 from rdfweave.operators.expand import expand, path_columns, with_solution_number
+from rdfweave.operators.scale import estimated_bytes
 from rdfweave.operators.stage import stage
 
 # Fixed value: page size when a request names none.
 PAGE_SIZE = 100
-# Up to here a page is a plain top-k; every task sends that many rows to the last one.
-TOP_ROWS = 2000
+# In a plain top-k every task sends a whole page to the last one; this many rows are
+# no burden to it.
+LAST_TASK_ROWS = 2_000_000
+TASK_BYTES = 128 * 1024 * 1024
+# Up to here the matched triples of an expanded page are found by their own order.
+FIRST_ROWS = 10_000
 # Split keys per narrowing pass over a deep page, and rows drawn to find them.
 SPLITS = 16
 DRAWN_ROWS = 4096
@@ -31,17 +36,20 @@ def page(
     limit: int = PAGE_SIZE,
     offset: int = 0,
     depth: int = 1,
-    top_rows: int = TOP_ROWS,
+    last_rows: int = LAST_TASK_ROWS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Rows ``offset .. offset + limit`` of all solutions, sources in their order.
 
     The order is total: source, then every term and path column, nulls first.
-    A page near the start is a top-k.  A deep page is first narrowed, by counting,
-    to the key range it lies in; that leaves a shallow page of a small range.
+    A page is a top-k where that is cheap: not too many rows times ``tasks`` (by
+    default estimated from the input size).  Otherwise the solutions are first
+    narrowed, by counting, to a short key range that holds the page.
     """
     columns = order_columns(depth)
-    if offset + limit > top_rows:
-        solutions, offset = _narrow(solutions, columns, offset, limit, top_rows)
+    tasks = 1 + estimated_bytes(solutions) // TASK_BYTES if tasks is None else tasks
+    if (offset + limit) * tasks > last_rows:
+        solutions, offset = _narrow(solutions, columns, offset, limit, last_rows)
     return solutions.orderBy(*_order(columns)).offset(offset).limit(limit)
 
 
@@ -78,7 +86,7 @@ def _narrow(
     columns: list[str],
     offset: int,
     limit: int,
-    top_rows: int,
+    last_rows: int,
     weight: Column | None = None,
 ) -> tuple[DataFrame, int]:
     """Cut ``solutions`` to a key range that still holds the whole page.
@@ -95,7 +103,7 @@ def _narrow(
     if offset >= rows:
         return solutions.limit(0), 0
     used = len(M.SOURCE) + 1
-    while offset + limit > top_rows:
+    while rows > max(last_rows, 2 * limit):
         prefix = columns[:used]
         keys = _split_keys(solutions, prefix, rows)
         below = _rows_below(solutions, prefix, keys, weight)
@@ -145,7 +153,8 @@ def expanded_page(
     depth: int,
     limit: int = PAGE_SIZE,
     offset: int = 0,
-    top_rows: int = TOP_ROWS,
+    first_rows: int = FIRST_ROWS,
+    last_rows: int = LAST_TASK_ROWS,
 ) -> DataFrame:
     """A page of ``expand(base, data, depth)`` without expanding what lies outside it.
 
@@ -155,17 +164,18 @@ def expanded_page(
     solutions and narrowed to those the page falls on.  Only these are expanded.
     """
     if depth == 1:
-        return page(base, limit, offset, top_rows=top_rows)
-    if offset + limit <= top_rows:
-        first = base.orderBy(*_order(order_columns())).limit(offset + limit)
+        return page(base, limit, offset, last_rows=last_rows)
+    if offset + limit <= first_rows:
+        first = page(base, offset + limit, 0, last_rows=last_rows)
     else:
         numbered = stage(with_solution_number(base, data, depth), "numbered")
         first, offset = _narrow(
-            numbered, order_columns(), offset, limit, top_rows, F.col("solutions")
+            numbered, order_columns(), offset, limit, last_rows, F.col("solutions")
         )
         first = first.drop("solutions")
-    solutions = expand(stage(first, "page"), data, depth, few=True)
-    return page(solutions, limit, offset, depth, top_rows)
+    first = stage(first, "page")
+    tasks = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return page(expand(first, data, depth, few=True), limit, offset, depth, last_rows, tasks)
 
 
 def page_per_group(

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rdfweave import model as M
 from rdfweave.functions import uri as U
-from rdfweave.operators.scale import broadcast_if_small
+from rdfweave.operators.scale import BROADCAST_BYTES, estimated_bytes, join_lookup
 from rdfweave.operators.stage import stage
 
 
@@ -84,24 +85,22 @@ def resolve(
         F.explode(_ancestors(_collection_uri())).alias("identifier")
     ).distinct()
     core = core_resources.select(F.col("name").alias("_first")).distinct()
-    asked = broadcast_if_small(named.select("uri").distinct())
-    subjects = (
-        data.filter(F.col("s_kind") == "uri")
-        .select(F.col("s").alias("uri"))
-        .join(asked, "uri", "left_semi")
-        .distinct()
-    )
-
-    def flag(df: DataFrame, name: str) -> DataFrame:
-        return broadcast_if_small(df.withColumn(name, F.lit(True)))
-
-    joined = (
-        named.withColumn("_first", U.first_segment(F.col("identifier")))
-        .join(flag(datasets, "_dataset"), "identifier", "left")
-        .join(flag(core, "_core"), "_first", "left")
-        .join(flag(collections, "_collection"), "identifier", "left")
-        .join(subjects.withColumn("_triples", F.lit(True)), "uri", "left")
-    )
+    asked = named.select("uri").distinct()
+    subjects = data.filter(F.col("s_kind") == M.IRI).select(F.col("s").alias("uri"))
+    if estimated_bytes(asked) <= BROADCAST_BYTES:
+        subjects = subjects.join(F.broadcast(asked), "uri", "left_semi").distinct()
+    else:
+        # Made distinct before the shuffle, a subject with many triples is one row.
+        subjects = subjects.distinct().join(asked, "uri", "left_semi")
+
+    joined = named.withColumn("_first", U.first_segment(F.col("identifier")))
+    for lookup, key, name in (
+        (datasets, "identifier", "_dataset"),
+        (core, "_first", "_core"),
+        (collections, "identifier", "_collection"),
+        (subjects, "uri", "_triples"),
+    ):
+        joined = join_lookup(joined, lookup.withColumn(name, F.lit(True)), [key])
     resolution = (
         F.when(F.col("_dataset"), "dataset")
         .when(F.col("_core"), "core")
@@ -118,8 +117,7 @@ def list_collections(resolved: DataFrame, definitions: DataFrame) -> DataFrame:
     asked = resolved.filter(F.col("resolution") == "collection").select(
         "request_id", "root", "identifier"
     )
-    members = broadcast_if_small(collection_members(definitions))
-    return asked.join(members, "identifier", "inner").select(
+    return join_lookup(asked, collection_members(definitions), ["identifier"], "inner").select(
         "request_id",
         "identifier",
         "kind",
@@ -129,14 +127,16 @@ def list_collections(resolved: DataFrame, definitions: DataFrame) -> DataFrame:
 
 def unresolved(requests: DataFrame, answers: DataFrame) -> DataFrame:
     """Requests without any answer row."""
-    return requests.join(answers.select("request_id").distinct(), "request_id", "left_anti")
+    return join_lookup(
+        requests, answers.select("request_id").distinct(), ["request_id"], "left_anti"
+    )
 
 
 def with_found(requests: DataFrame, answers: DataFrame) -> DataFrame:
     """Adds ``found`` to every request."""
     hits = answers.select("request_id").distinct().withColumn("_hit", F.lit(True))
     return (
-        requests.join(hits, "request_id", "left")
+        join_lookup(requests, hits, ["request_id"])
         .withColumn("found", F.coalesce(F.col("_hit"), F.lit(False)))
         .drop("_hit")
     )

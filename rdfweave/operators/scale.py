@@ -122,3 +122,14 @@ def skew_join(
         .drop("_slices")
     )
     return left_cut.join(right_cut, [*on, "_slice"], how).drop("_slice")
+
+
+def join_lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join many rows to a lookup table of one row (or few) per key.
+
+    A lookup that is known to be small is broadcast.  Otherwise both sides are
+    shuffled, and hot keys of a large ``left`` are sliced.
+    """
+    if estimated_bytes(right) <= BROADCAST_BYTES:
+        return left.join(F.broadcast(right), on, how)
+    return skew_join(left, right, on, how)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from rdfweave import model as M
 from rdfweave.operators.expand import LOCAL_DEPTH, MAX_DEPTH, MIN_DEPTH
-from rdfweave.operators.scale import broadcast_if_small
+from rdfweave.operators.scale import join_lookup
 
 
 def _schema(**columns: T.DataType) -> T.StructType:
@@ -62,19 +62,15 @@ def resolve(parents: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """Configuration of every source: parent joined to the child table of its type."""
     child = children(tables).withColumnRenamed("id", "source_id")
     columns = [c for c in child.columns if c not in ("source_id", "type")]
-    return (
-        parents.withColumn("type", type_name(F.col("source_type")))
-        .join(broadcast_if_small(child), ["type", "source_id"], "inner")
-        .select("id", "type", *columns)
-    )
+    typed = parents.withColumn("type", type_name(F.col("source_type")))
+    return join_lookup(typed, child, ["type", "source_id"], "inner").select("id", "type", *columns)
 
 
 def orphans(parents: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """Parents whose child row is missing."""
     child = children(tables).select("type", F.col("id").alias("source_id"))
-    return parents.withColumn("type", type_name(F.col("source_type"))).join(
-        broadcast_if_small(child), ["type", "source_id"], "left_anti"
-    )
+    typed = parents.withColumn("type", type_name(F.col("source_type")))
+    return join_lookup(typed, child, ["type", "source_id"], "left_anti")
 
 
 def is_empty(column: Column, kind: T.DataType) -> Column:

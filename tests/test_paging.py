@@ -40,7 +40,7 @@ def test_deep_page_equals_plain_page(spark, offset):
     rows = [("hot", f"p{i % 7}", f'"{i}"') for i in range(400)] + [(f"s{i}", "p", '"x"') for i in range(200)]
     data = match.default_graphs(triples(spark, rows)).cache()
     plain = [tuple(r) for r in paging.page(data, 25, offset).collect()]
-    deep = [tuple(r) for r in paging.page(data, 25, offset, top_rows=40).collect()]
+    deep = [tuple(r) for r in paging.page(data, 25, offset, last_rows=60).collect()]
     assert deep == plain
 
 
@@ -51,7 +51,7 @@ def test_expanded_page_equals_page_of_expansion(spark):
     for offset in (0, 17, 90):
         want = paging.page(expand.expand(base, data, 2), 20, offset, 2).collect()
         assert paging.expanded_page(base, data, 2, 20, offset).collect() == want
-        assert paging.expanded_page(base, data, 2, 20, offset, top_rows=25).collect() == want
+        assert paging.expanded_page(base, data, 2, 20, offset, first_rows=10, last_rows=45).collect() == want
 
 
 def test_page_per_group_with_a_hot_group(spark):
