@@ -186,11 +186,15 @@ def _items(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFra
         quoted & after.startswith("@") & ~F.lower(after).isin("@prefix", "@base"),
         F.substring(after, F.lit(2), F.length(after)),
     )
-    attached = (
-        (F.col("mark") > _QUOTE)
-        | F.col("back1").isin(_CARET, _AT_PREFIX, _PREFIX, _AT_BASE, _BASE)
+    declares = (
+        (F.col("mark") > _CARET)
+        | F.col("back1").isin(_AT_PREFIX, _PREFIX, _AT_BASE, _BASE)
         | F.col("back2").isin(_AT_PREFIX, _PREFIX, _AT_BASE)
         | (F.col("back3") == _AT_PREFIX)
+    )
+    suffix = (
+        (F.col("mark") == _CARET)
+        | (F.col("back1") == _CARET)
         | (t.startswith("@") & (F.col("back1") == _QUOTE))
     )
     rows = _tokens(docs, body, doc, base).select(
@@ -204,19 +208,17 @@ def _items(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFra
         (typed & datatype.isNull()).alias("untyped"),
         lang.alias("lang"),
         (after == ")").alias("closes"),
-        attached.alias("attached"),
+        (declares | suffix).alias("attached"),
+        declares.alias("declares"),
     )
     last = F.col("after_pos").isNull()
     reason = (
         F.when(~F.col("attached") & (F.col("kind") == "?"), "unreadable token")
         .when(~F.col("attached") & (F.col("value").isNull() | F.col("untyped")), "unknown prefix")
         .when((F.col("level") < 0) | (last & (F.col("level") != 0)), "unbalanced brackets")
-        .when(
-            last & (F.col("kind") != ".") & (~F.col("attached") | F.col("lang").isNotNull()),
-            "statement has no closing dot",
-        )
+        .when(last & (F.col("kind") != ".") & ~F.col("declares"), "statement has no closing dot")
     )
-    return rows.withColumn("reason", reason)
+    return rows.withColumn("reason", reason).drop("declares", "untyped")
 
 
 def parse(
@@ -234,13 +236,22 @@ def parse(
     scope = F.col(doc) if scope is None else scope
     placed = docs.withColumn("_scope", scope.cast("string"))
     keep = [c for c in docs.columns if c != body]
-    items = _items(placed, body, doc, base)
+    rows = _structure(_readable(placed, body, doc, base), doc)
     whole = Window.partitionBy(doc)
-    good = items.withColumn("_bad", F.max("reason").over(whole)).filter(F.col("_bad").isNull())
-    return _structure(good.filter(~F.col("attached")).drop("_bad", "reason", "attached"), doc, keep)
+    good = rows.withColumn("_wrong", F.max("wrong").over(whole)).filter(F.col("_wrong").isNull())
+    return _triples(good, doc, keep)
+
+
+def _readable(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFrame:
+    """Terms and marks of the documents whose tokens are all in order."""
+    items = _items(docs, body, doc, base)
+    bad = F.max("reason").over(Window.partitionBy(doc))
+    good = items.withColumn("_bad", bad).filter(F.col("_bad").isNull() & ~F.col("attached"))
+    return good.drop("_bad", "reason", "attached")
 
 
-def _structure(items: DataFrame, doc: str, keep: list[str]) -> DataFrame:
+def _structure(items: DataFrame, doc: str) -> DataFrame:
+    """Adds to every term its frame, its role there, and ``wrong`` where it cannot stand."""
     opens, closes = F.col("kind").isin("[", "("), F.col("kind").isin("]", ")")
     def role(name: str, depth: Column) -> Column:
         return F.struct(F.lit(name).alias("role"), depth.cast("int").alias("depth"))
@@ -274,12 +285,6 @@ def _structure(items: DataFrame, doc: str, keep: list[str]) -> DataFrame:
         ),
     )
 
-    def made(kind: str, pos: Column) -> Column:
-        """Label of a node without a label; no written label starts with a dash."""
-        return F.concat(
-            F.lit("_:s"), "_scope", F.lit("."), F.col(doc).cast("string"), F.lit(f".-{kind}"), pos.cast("string")
-        )
-
     empty_list = (F.col("kind") == "(") & F.col("closes")
     node = F.struct(
         F.when(empty_list, M.IRI)
@@ -287,8 +292,8 @@ def _structure(items: DataFrame, doc: str, keep: list[str]) -> DataFrame:
         .otherwise(F.col("kind"))
         .alias("kind"),
         F.when(empty_list, M.RDF + "nil")
-        .when(F.col("kind") == "[", made("node", F.col("pos")))
-        .when(F.col("kind") == "(", made("list", F.col("after_pos")))
+        .when(F.col("kind") == "[", _made(doc, "node", F.col("pos")))
+        .when(F.col("kind") == "(", _made(doc, "list", F.col("after_pos")))
         .when(F.col("kind") == M.BNODE, F.concat(F.lit("_:s"), "_scope", F.lit("."), "value"))
         .otherwise(F.col("value"))
         .alias("value"),
@@ -313,11 +318,33 @@ def _structure(items: DataFrame, doc: str, keep: list[str]) -> DataFrame:
         "is_predicate",
         is_term & ~F.col("starts") & (F.lag("starts").over(inside) | (F.col("before") == ";")),
     )
-    rows = rows.withColumn(
+    in_list = F.coalesce(F.col("bracket") == "(", F.lit(False))
+    next_role = F.when(F.lead("frame").over(inside) == F.col("frame"), F.lead("role").over(inside))
+    no_object = F.col("is_predicate") & ~next_role.eqNullSafe(F.lit("term"))
+    alone = F.col("starts") & is_term & (F.col("kind") != "[") & (next_role == ".")
+    wrong = (
+        F.when(~in_list & F.col("is_predicate") & (F.col("kind") != M.IRI), "predicate is no IRI")
+        .when(
+            (F.col("depth") == 0) & F.col("starts") & (F.col("kind") == M.LITERAL), "subject is a literal"
+        )
+        .when(~in_list & (no_object | alone), "statement has no object")
+    )
+    return rows.withColumn(
         "predicate",
         F.last(F.when(F.col("is_predicate"), F.col("value")), ignorenulls=True).over(upto),
+    ).withColumn("wrong", wrong).withColumn("in_list", in_list)
+
+
+def _made(doc: str, kind: str, pos: Column) -> Column:
+    """Label of a node without a label; no written label starts with a dash."""
+    return F.concat(
+        F.lit("_:s"), "_scope", F.lit("."), F.col(doc).cast("string"), F.lit(f".-{kind}"), pos.cast("string")
     )
-    in_list = F.coalesce(F.col("bracket") == "(", F.lit(False))
+
+
+def _triples(rows: DataFrame, doc: str, keep: list[str]) -> DataFrame:
+    """The triples that the terms of readable documents state."""
+    in_list, is_term = F.col("in_list"), F.col("role") == "term"
 
     def triple(s_kind: Column, s: Column, p: Column, o: Column) -> Column:
         return F.struct(
@@ -338,9 +365,9 @@ def _structure(items: DataFrame, doc: str, keep: list[str]) -> DataFrame:
         )
 
     rest = F.when(
-        F.col("next_item").isNotNull(), plain(F.lit(M.BNODE), made("list", F.col("next_item")))
+        F.col("next_item").isNotNull(), plain(F.lit(M.BNODE), _made(doc, "list", F.col("next_item")))
     ).otherwise(plain(F.lit(M.IRI), F.lit(M.RDF + "nil")))
-    here = made("list", F.col("pos"))
+    here = _made(doc, "list", F.col("pos"))
     listed = F.array(
         triple(F.lit(M.BNODE), here, F.lit(M.RDF + "first"), F.col("node")),
         triple(F.lit(M.BNODE), here, F.lit(M.RDF + "rest"), rest),
@@ -349,7 +376,7 @@ def _structure(items: DataFrame, doc: str, keep: list[str]) -> DataFrame:
     stated = F.array(
         triple(
             F.when(at_top, F.col("first.kind")).otherwise(M.BNODE),
-            F.when(at_top, F.col("first.value")).otherwise(made("node", F.col("frame"))),
+            F.when(at_top, F.col("first.value")).otherwise(_made(doc, "node", F.col("frame"))),
             F.col("predicate"),
             F.col("node"),
         )
@@ -363,10 +390,18 @@ def _structure(items: DataFrame, doc: str, keep: list[str]) -> DataFrame:
 def rejects(docs: DataFrame, body: str, doc: str, base: Column | None = None) -> DataFrame:
     """Documents that cannot be read, as quarantine rows with the whole text."""
     keep = [c for c in docs.columns if c != body]
+    placed = docs.withColumn("_scope", F.col(doc).cast("string"))
+    found = [
+        _items(placed, body, doc, base).select(F.col(doc).alias("_doc"), "reason"),
+        _structure(_readable(placed, body, doc, base), doc).select(
+            F.col(doc).alias("_doc"), F.col("wrong").alias("reason")
+        ),
+    ]
     reasons = (
-        _items(docs, body, doc, base)
+        found[0]
+        .unionByName(found[1])
         .filter(F.col("reason").isNotNull())
-        .groupBy(F.col(doc).alias("_doc"))
+        .groupBy("_doc")
         .agg(F.max("reason").alias("reason"))
     )
     return docs.join(reasons, F.col(doc) == F.col("_doc"), "inner").select(

@@ -108,6 +108,12 @@ def test_turtle_bad_documents(spark):
         "<a> <b> <c>": "statement has no closing dot",
         "<a> <b> [ <c> <d> .": "unbalanced brackets",
         "<a> <b> !": "unreadable token",
+        '<a> <b> "x"@en': "statement has no closing dot",
+        "<a> <b> .": "statement has no object",
+        "<a> <b> <c> ; <d> .": "statement has no object",
+        "<a> .": "statement has no object",
+        '"s" <b> <c> .': "subject is a literal",
+        "<a> _:b <c> .": "predicate is no IRI",
     }
     docs = spark.createDataFrame([(str(i), b) for i, b in enumerate(bad)], "doc string, body string")
     assert {r["value"]: r["reason"] for r in turtle.rejects(docs, "body", "doc").collect()} == bad
