@@ -62,6 +62,18 @@ def training_labels(labels: DataFrame, column: str) -> DataFrame:
     )
 
 
+def sample(df: DataFrame, limit: int, *key: str) -> DataFrame:
+    """About ``limit`` rows at most, those with the least hashes of ``key``.
+
+    The bound on the hash follows from the count, so tasks send no more than the sample.
+    """
+    count = df.count()
+    if count <= limit:
+        return df
+    bound = int((1 << 30) * (limit / count))
+    return df.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < bound)
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each value, null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

@@ -256,10 +256,7 @@ def main_text(nodes: list[Node], content: np.ndarray) -> str:
 
 def learn(pages: DataFrame, limit: int = TRAINING_PAGES) -> Model:
     """A model from the built-in labelled pages and a bounded sample of the table."""
-    rows = (
-        common.only(pages, "page_id", "html").filter("html IS NOT NULL")
-        .select("html", F.xxhash64("html").alias("h")).orderBy("h").limit(limit).select("html").collect()
-    )
+    rows = sorted(common.sample(common.only(pages, "html").filter("html IS NOT NULL"), limit, "html").collect())
     own = [parse(x) for x in LABELLED]
     # The built-in pages show layouts that the sample may lack; together they weigh as much.
     return fit(own * max(1, len(rows) // len(own)) + [parse(r["html"]) for r in rows])

@@ -92,13 +92,9 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def fit(rows: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> boosting.Forest:
-    """Trees fitted on the statistics of at most ``limit`` labelled rows of the training folds."""
-    sample = (
-        rows.join(common.training_labels(labels, "quality"), "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS)
-        .limit(limit)
-        .toPandas()
-    )
+    """Trees fitted on the statistics of about ``limit`` labelled rows of the training folds."""
+    labelled = rows.join(common.training_labels(labels, "quality"), "doc_id")
+    sample = common.sample(labelled, limit, "doc_id").toPandas().sort_values(["doc_id", *STATISTICS])
     return boosting.train(sample[STATISTICS].to_numpy(np.float32), sample["label"].to_numpy(float))
 
 

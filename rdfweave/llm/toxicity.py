@@ -123,15 +123,13 @@ def fit(
     if not toxic:
         return train([], [], 0.0)
     rows = common.only(docs, "doc_id", "text").filter(F.col("doc_id").isNotNull() & ~common.held_out(F.col("doc_id")))
-    least = lambda ids, n, flag: (
-        ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).withColumn("confirmed", F.lit(flag))
-    )
+    least = lambda ids, n, flag: common.sample(ids.select("doc_id").distinct(), n, "doc_id").withColumn("confirmed", F.lit(flag))
     # Ids first: texts are read only for the rows of the samples, whose number is bounded.
     chosen = least(rows.select("doc_id").join(labels.filter("label = 1"), "doc_id", "left_semi"), confirmed_rows, 1)
     chosen = common.stage(chosen.unionByName(least(rows, unlabelled_rows, 0)), "chosen")
     got = rows.join(F.broadcast(chosen), "doc_id").mapInArrow(_featured, "confirmed int, features binary").collect()
     split: tuple[list, list] = ([], [])
-    for row in got:
+    for row in sorted(got, key=lambda r: (r["confirmed"], bytes(r["features"]))):
         split[row["confirmed"]].append(np.frombuffer(bytes(row["features"]), np.uint64))
     return train(split[1], split[0], toxic / total)
 
