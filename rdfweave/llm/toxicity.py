@@ -61,29 +61,20 @@ class Linear:
 
 
 def train(
-    confirmed: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
+    known: np.ndarray, confirmed: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     steps: int = 600, rate: float = 0.1, ridge: float = 1e-3,
 ) -> Linear:
     """Minimise prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) by Adam on all rows.
 
-    The losses are sigmoid losses.  Where the corrected negative risk falls below
-    zero, the step goes the other way, as the non-negative estimator prescribes.
+    A row holds the indexes of its features among ``known``.  The losses are sigmoid
+    losses.  Where the corrected negative risk falls below zero, the step goes the other
+    way, as the non-negative estimator prescribes.
     """
-    empty = Linear(np.zeros(0, np.uint64), np.zeros(0), -1.0)
-    if not confirmed or not unlabelled:
-        return empty
-    flat = lambda rows: (np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows))
-    (po, ph), (uo, uh) = flat(confirmed), flat(unlabelled)
-    names, counts = np.unique(ph, return_counts=True)
-    other, others = np.unique(uh, return_counts=True)
-    at = np.minimum(np.searchsorted(other, names), max(len(other) - 1, 0))
-    in_u = np.where(other[at] == names, others[at], 0) if len(other) else np.zeros(len(names))
-    lift = (counts / len(confirmed)) / ((in_u + 1) / (len(unlabelled) + 1))
-    model = Linear(names[(lift >= min(LIFT, 0.5 / prior)) & (counts >= LEAST)], np.zeros(0), -1.0)
-    if not len(model.known):
-        return empty
-    (po, pc), (uo, uc) = model.columns(po, ph), model.columns(uo, uh)
-    m = len(model.known)
+    m = len(known)
+    if not m or not confirmed or not unlabelled:
+        return Linear(known[:0], np.zeros(0), -1.0)
+    flat = lambda rows: (np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows).astype(np.int64))
+    (po, pc), (uo, uc) = flat(confirmed), flat(unlabelled)
     w, b = np.full(m, 0.5), -1.0
     moment, square = np.zeros(m + 1), np.zeros(m + 1)
     for step in range(1, steps + 1):
@@ -99,15 +90,21 @@ def train(
         moment, square = 0.9 * moment + 0.1 * g, 0.999 * square + 0.001 * g * g
         move = rate * moment / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.999**step)) + 1e-9)
         w, b = w - move[:-1], b - move[-1]
-    return Linear(model.known, w, float(b))
+    return Linear(known, w, float(b))
 
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(feature, confirmed, unlabelled): in how many rows of a chunk each feature is."""
     for batch, raw in common.chunks(batches):
+        flag = batch.column("confirmed").to_numpy()
         owner, h = features(raw)
-        at = np.searchsorted(owner, np.arange(len(raw) + 1))
-        rows = [h[at[i] : at[i + 1]].tobytes() for i in range(len(raw))]
-        yield pa.RecordBatch.from_arrays([batch.column("confirmed"), pa.array(rows, pa.binary())], names=["confirmed", "features"])
+        name, at = np.unique(h, return_inverse=True)
+        toxic = np.bincount(at[flag[owner] == 1], minlength=len(name))
+        rest = np.bincount(at[flag[owner] == 0], minlength=len(name))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(name.view(np.int64)), pa.array(toxic, pa.int64()), pa.array(rest, pa.int64())],
+            names=["feature", "confirmed", "unlabelled"],
+        )
 
 
 def fit(
@@ -117,21 +114,49 @@ def fit(
 
     The class prior is the share of toxic among all labelled rows of the training folds.
     The unlabelled rows are drawn from the training folds, whatever their label is.
+    Features are chosen by counts over the samples, and only those reach the driver.
     """
+    nothing = Linear(np.zeros(0, np.uint64), np.zeros(0), -1.0)
     labels = common.training_labels(labels, "toxic")
     total, toxic = labels.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not toxic:
-        return train([], [], 0.0)
+        return nothing
+    prior = toxic / total
     rows = common.only(docs, "doc_id", "text").filter(F.col("doc_id").isNotNull() & ~common.held_out(F.col("doc_id")))
-    least = lambda ids, n, flag: common.sample(ids.select("doc_id").distinct(), n, "doc_id").withColumn("confirmed", F.lit(flag))
+    drawn = lambda ids, n, flag: common.sample(ids.select("doc_id").distinct(), n, "doc_id").withColumn("confirmed", F.lit(flag))
     # Ids first: texts are read only for the rows of the samples, whose number is bounded.
-    chosen = least(rows.select("doc_id").join(labels.filter("label = 1"), "doc_id", "left_semi"), confirmed_rows, 1)
-    chosen = common.stage(chosen.unionByName(least(rows, unlabelled_rows, 0)), "chosen")
-    got = rows.join(F.broadcast(chosen), "doc_id").mapInArrow(_featured, "confirmed int, features binary").collect()
+    chosen = common.stage(
+        drawn(rows.select("doc_id").join(labels.filter("label = 1"), "doc_id", "left_semi"), confirmed_rows, 1)
+        .unionByName(drawn(rows, unlabelled_rows, 0)),
+        "chosen",
+    )
+    texts = common.stage(rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "confirmed", "text"), "texts")
+    sizes = {r["confirmed"]: r["count"] for r in texts.groupBy("confirmed").count().collect()}
+    if len(sizes) < 2:
+        return nothing
+    lift = F.expr(f"(confirmed / {sizes[1]}) / ((unlabelled + 1) / {sizes[0] + 1})")
+    known = np.sort(np.array([
+        r["feature"]
+        for r in texts.mapInArrow(_counted, "feature long, confirmed long, unlabelled long")
+        .groupBy("feature").agg(F.sum("confirmed").alias("confirmed"), F.sum("unlabelled").alias("unlabelled"))
+        .filter((F.col("confirmed") >= LEAST) & (lift >= min(LIFT, 0.5 / prior)))
+        .select("feature").collect()
+    ], np.int64).view(np.uint64))
+
+    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Linear(known, np.zeros(len(known)), 0.0)
+        for batch, raw in common.chunks(batches):
+            owner, column = model.columns(*features(raw))
+            at = np.searchsorted(owner, np.arange(len(raw) + 1))
+            found = [column[at[i] : at[i + 1]].astype(np.int32).tobytes() for i in range(len(raw))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("confirmed"), pa.array(found, pa.binary())], names=["doc_id", "confirmed", "used"]
+            )
+
     split: tuple[list, list] = ([], [])
-    for row in sorted(got, key=lambda r: (r["confirmed"], bytes(r["features"]))):
-        split[row["confirmed"]].append(np.frombuffer(bytes(row["features"]), np.uint64))
-    return train(split[1], split[0], toxic / total)
+    for row in sorted(texts.mapInArrow(used, "doc_id long, confirmed int, used binary").collect()):
+        split[row["confirmed"]].append(np.frombuffer(bytes(row["used"]), np.int32))
+    return train(known, split[1], split[0], prior)
 
 
 def scored(docs: DataFrame, model: Linear) -> DataFrame:
