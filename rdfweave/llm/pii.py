@@ -210,10 +210,12 @@ def find(spark: SparkSession, docs: DataFrame) -> DataFrame:
     source = common.only(docs, "doc_id", "text")
     found = common.stage(source.mapInArrow(_found, FOUND), "found")
     risky = common.stage(disclosing(docs, found), "disclosing")
-    terms = (
+    # Staged, so that its size is known: a short list is broadcast and texts stay in place.
+    terms = common.stage(
         found.filter("doc_id IS NOT NULL").select("doc_id", F.explode("found").alias("value"))
         .join(risky, "value")
-        .groupBy("doc_id").agg(F.collect_set(F.struct("term", "action")).alias("terms"))
+        .groupBy("doc_id").agg(F.collect_set(F.struct("term", "action")).alias("terms")),
+        "terms",
     )
     wider = (
         source.join(terms, "doc_id").select("doc_id", "text", "terms")
