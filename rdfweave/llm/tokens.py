@@ -3,20 +3,17 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 
 END = 2
-#: Entries of a worker's word caches; they are emptied when they are full.
-CACHE_WORDS = 600_000
-#: White space in any reading, before a space or a line feed or after a line feed: a text
-#: that has it, or begins or ends so, is encoded whole.
-GAP = "[\\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-ODD = re.compile(f"{GAP}[ \\n]|\\n{GAP}|^{GAP}|{GAP}\\Z")
-PUNCTUATION = ".,;:!?|%$&#*"
+#: Entries of a worker's word cache; it is emptied when it is full.
+CACHE_WORDS = 1_000_000
+#: Separators that stand together; a text with such is encoded whole.
+DOUBLE = ("  ", " \n", "\n ", "\n\n")
 
 _encoders: dict = {}
 
@@ -27,12 +24,38 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def plain(text: str) -> bool:
+    """Whether all white space, in any reading, is single spaces and line feeds between words."""
+    return not (
+        not text or text[0] in " \n" or text[-1] in " \n" or any(d in text for d in DOUBLE)
+    ) and len(text.split()) == text.count(" ") + text.count("\n") + 1
+
+
+def byte_spelling(tokenizer) -> dict[int, str]:
+    """How the pre-tokenizer spells each byte; empty if it does more than that to words."""
+    from tokenizers import models, pre_tokenizers
+
+    if not (
+        isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) and isinstance(tokenizer.model, models.BPE)
+        and tokenizer.normalizer is None and not tokenizer.pre_tokenizer.add_prefix_space
+    ):
+        return {}
+    out: dict[int, str] = {}
+    bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    # Characters that together hold every byte of UTF-8.
+    for point in [*range(0x800), *range(0x800, 0x10000, 0x40), *range(0x10000, 0x110000, 0x1000)]:
+        if not 0xD800 <= point < 0xE000:
+            spelled = "".join(x for x, _ in bytewise.pre_tokenize_str(chr(point)))
+            out.update(zip(chr(point).encode(), spelled, strict=True))
+    return out
+
+
 class Encoder:
     """Ids as little-endian 16 or 32 bit integers.
 
-    The byte-level pre-tokenizer never joins a single space, or a single line feed, to
-    what stands before it, nor a letter or digit to punctuation behind it.  So a text may
-    be cut there, and each distinct piece is encoded once.
+    The byte-level pre-tokenizer never joins a single space or line feed to what stands
+    before it, nor a line feed to the word behind it, nor a letter to punctuation.  So a text may be cut there, and
+    each distinct piece is encoded once.
     """
 
     def __init__(self, path: str | None = None) -> None:
@@ -41,67 +64,67 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path or default_path())
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.kind = np.dtype("<u2" if self.code == "H" else "<u4")
         self.end = np.array([END], self.kind).tobytes()
         self.feed = self.whole(["\n"])[0]
-        self.words: dict[str, bytes] = {}  # what stands between two spaces, encoded with the space
-        self.stems: dict[str, bytes] = {}  # its parts, with the space or line feed before them
+        self.spelling = byte_spelling(self.tokenizer)
+        self.marks = dict(zip(".,", self.whole([".", ","]), strict=True))
+        self.words: dict[str, bytes] = {}  # a word, with its line feed or without its space
 
     @classmethod
     def shared(cls, path: str | None = None) -> Encoder:
-        """The worker's encoder for ``path``; its caches serve later tasks too."""
+        """The worker's encoder for ``path``; its cache serves later tasks too."""
         if path not in _encoders:
             _encoders[path] = cls(path)
         return _encoders[path]
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [
-            np.array(e.ids, self.kind).tobytes()
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
-
-    @staticmethod
-    def parts(piece: str) -> list[str]:
-        """The parts of a piece that are encoded by themselves."""
-        out = []
-        for i, x in enumerate((" " + piece).split("\n")):
-            stem = x.rstrip(PUNCTUATION)
-            if i:
-                out.append("\n")
-            if stem and len(stem) < len(x) and stem[-1].isalnum():
-                out += [stem, x[len(stem) :]]
-            elif x:
-                out.append(x)
-        return out
+        code = self.code
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def letters(self, word: str) -> bytes:
+        """Ids of letters behind one space or none, which the pre-tokenizer leaves together."""
+        spelled = word.encode().decode("latin-1").translate(self.spelling)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
 
     def learn(self, pieces: set[str]) -> None:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        if len(self.stems) > CACHE_WORDS:
-            self.stems.clear()
-        cut = [(p, self.parts(p)) for p in pieces if p not in self.words]
-        stems = self.stems
-        new = list({x for _, parts in cut for x in parts if x not in stems})
-        for i in range(0, len(new), 20_000):
-            stems.update(zip(new[i : i + 20_000], self.whole(new[i : i + 20_000]), strict=True))
-        for p, parts in cut:
-            self.words[p] = b"".join([stems[x] for x in parts])
+        new = pieces - self.words.keys()
+        # Punctuation behind a letter or digit is encoded by itself.
+        marked = [p for p in new if p[-1] in ".," and p[:-1] and p[-2].isalnum()]
+        new.difference_update(marked)
+        new.update({p[:-1] for p in marked} - self.words.keys())
+        todo = list(new)
+        if self.spelling:
+            self.words.update((p, self.letters(" " + p)) for p in todo if p.isalpha())
+            self.words.update((p, self.feed + self.letters(p[1:])) for p in todo if p[0] == "\n" and p[1:].isalpha())
+            todo = [p for p in todo if p not in self.words]
+        for i in range(0, len(todo), 20_000):
+            part = todo[i : i + 20_000]
+            self.words.update(zip(part, self.whole([p if p[0] == "\n" else " " + p for p in part]), strict=True))
+        for p in marked:
+            self.words[p] = self.words[p[:-1]] + self.marks[p[-1]]
 
     def encode(self, raw: list[bytes]) -> list[bytes]:
         """Ids of each text, the end id last."""
         texts = [x.decode("utf-8", "replace") for x in raw]
-        odd = [i for i, x in enumerate(texts) if ODD.search(x)]
-        out: list[bytes] = [b""] * len(texts)
-        for i, ids in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
-            out[i] = ids + self.end
-        skip = set(odd)
-        plain = [i for i in range(len(texts)) if i not in skip]
-        pieces = [texts[i].split(" ") for i in plain]
-        self.learn({p for x in pieces for p in x[1:]})
+        simple = [plain(x) for x in texts]
+        whole = iter(self.whole([x for x, s in zip(texts, simple, strict=True) if not s]))
+        cut = [x.replace("\n", " \n").split(" ") if s else [] for x, s in zip(texts, simple, strict=True)]
+        heads = iter(self.whole([x[0] for x in cut if x]))
+        for x in cut:
+            if x:
+                x[0] = "\n"  # stands in for the first word, which has no space
+        self.learn(set().union(*cut))
         get = self.words.__getitem__
-        heads = self.whole([x[0] for x in pieces])
-        for i, x, head in zip(plain, pieces, heads, strict=True):
-            out[i] = b"".join([head, *map(get, x[1:]), self.end])
+        out = []
+        for x in cut:
+            if x:
+                out.append(b"".join([next(heads), *map(get, x[1:]), self.end]))
+            else:
+                out.append(next(whole) + self.end)
         return out
 
     def ids(self, encoded: bytes) -> np.ndarray:
