@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 FOLDER_SETTING = "spark.checkpoint.dir"
 # Bytes of text that a task looks at together; a longer document is a chunk of its own.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 #: Labels are learned only where this is not 0.
 FOLDS = 5
 

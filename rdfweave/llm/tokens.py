@@ -11,9 +11,14 @@ import pyarrow as pa
 
 END = 2
 #: Entries of a worker's word cache; it is emptied when it is full.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 #: Separators that stand together; a text with such is encoded whole.
-DOUBLE = ("  ", " \n", "\n ", "\n\n")
+DOUBLE = (b"  ", b" \n", b"\n ", b"\n\n")
+#: White space besides them, or the beginning of its bytes.
+OTHER_ASCII = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+OTHER = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
+#: Punctuation that the pre-tokenizer leaves together and parts from letters before it.
+PUNCTUATION = ".,;:!?|%$&#*()-"
 
 _encoders: dict = {}
 
@@ -24,11 +29,13 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def plain(text: str) -> bool:
+def plain(raw: bytes, text: str) -> bool:
     """Whether all white space, in any reading, is single spaces and line feeds between words."""
-    return not (
-        not text or text[0] in " \n" or text[-1] in " \n" or any(d in text for d in DOUBLE)
-    ) and len(text.split()) == text.count(" ") + text.count("\n") + 1
+    if not text or text[0] in " \n" or text[-1] in " \n" or any(d in raw for d in DOUBLE):
+        return False
+    if len(raw.translate(None, OTHER_ASCII)) == len(raw) and not any(x in raw for x in OTHER):
+        return True
+    return len(text.split()) == text.count(" ") + text.count("\n") + 1
 
 
 def byte_spelling(tokenizer) -> dict[int, str]:
@@ -69,7 +76,7 @@ class Encoder:
         self.end = np.array([END], self.kind).tobytes()
         self.feed = self.whole(["\n"])[0]
         self.spelling = byte_spelling(self.tokenizer)
-        self.marks = dict(zip(".,", self.whole([".", ","]), strict=True))
+        self.tails: dict[str, bytes] = {}  # punctuation behind words
         self.words: dict[str, bytes] = {}  # a word, with its line feed or without its space
 
     @classmethod
@@ -93,9 +100,19 @@ class Encoder:
             self.words.clear()
         new = pieces - self.words.keys()
         # Punctuation behind a letter or digit is encoded by itself.
-        marked = [p for p in new if p[-1] in ".," and p[:-1] and p[-2].isalnum()]
-        new.difference_update(marked)
-        new.update({p[:-1] for p in marked} - self.words.keys())
+        marked = []
+        for p in new:
+            if not p[-1:].isalnum():
+                stem = p.rstrip(PUNCTUATION)
+                if stem and len(stem) < len(p) and stem[-1].isalnum():
+                    marked.append((p, stem, p[len(stem) :]))
+        new.difference_update([p for p, _, _ in marked])
+        new.update({stem for _, stem, _ in marked} - self.words.keys())
+        tails = list({tail for _, _, tail in marked} - self.tails.keys())
+        if len(self.tails) > CACHE_WORDS:
+            self.tails.clear()
+            tails = list({tail for _, _, tail in marked})
+        self.tails.update(zip(tails, self.whole(tails), strict=True))
         todo = list(new)
         if self.spelling:
             self.words.update((p, self.letters(" " + p)) for p in todo if p.isalpha())
@@ -104,13 +121,13 @@ class Encoder:
         for i in range(0, len(todo), 20_000):
             part = todo[i : i + 20_000]
             self.words.update(zip(part, self.whole([p if p[0] == "\n" else " " + p for p in part]), strict=True))
-        for p in marked:
-            self.words[p] = self.words[p[:-1]] + self.marks[p[-1]]
+        for p, stem, tail in marked:
+            self.words[p] = self.words[stem] + self.tails[tail]
 
     def encode(self, raw: list[bytes]) -> list[bytes]:
         """Ids of each text, the end id last."""
         texts = [x.decode("utf-8", "replace") for x in raw]
-        simple = [plain(x) for x in texts]
+        simple = [plain(r, x) for r, x in zip(raw, texts, strict=True)]
         whole = iter(self.whole([x for x, s in zip(texts, simple, strict=True) if not s]))
         cut = [x.replace("\n", " \n").split(" ") if s else [] for x, s in zip(texts, simple, strict=True)]
         heads = iter(self.whole([x[0] for x in cut if x]))
