@@ -17,6 +17,9 @@ CHUNK_BYTES = 1 << 20
 FOLDS = 5
 
 
+_own: list[str] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -28,9 +31,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {FOLDER_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="llm-shared-")
-    spark.conf.set(FOLDER_SETTING, folder)
-    return folder
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="llm-shared-"))
+    return _own[0]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -2,10 +2,9 @@ import pytest
 
 
 @pytest.fixture(scope="session")
-def shared(spark, tmp_path_factory):
-    """The session with a shared folder of its own."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+def shared(spark):
+    """The session, which names a shared folder."""
+    assert spark.conf.get("spark.checkpoint.dir")
     return spark
 
 
