@@ -329,7 +329,7 @@ def hash_variants_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
         s=Term.iri(NS.upper() + "nation/3"), p=Term.iri(V + "region"), hash_variants=True
     )
     all_triples = data(spark, sf_dir)
-    return expand.construct(expand.expand(match.match(all_triples, pattern), all_triples, 3, few=True), 3)
+    return expand.construct(expand.expand(match.match(all_triples, pattern), all_triples, 3), 3)
 
 
 # --- expansion ------------------------------------------------------------------
@@ -378,7 +378,7 @@ def expand_depth3_construct(spark: SparkSession, sf_dir: str) -> DataFrame:
 def expand_subject_construct(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_triples = data(spark, sf_dir)
     base = match.match(all_triples, Pattern(s=Term.iri(NS + "region/1")))
-    return expand.construct(expand.expand(base, all_triples, 3, few=True), 3)
+    return expand.construct(expand.expand(base, all_triples, 3), 3)
 
 
 def _by_depth_sql(base: str, extra: str = "") -> str:
@@ -402,7 +402,7 @@ def _by_depth_sql(base: str, extra: str = "") -> str:
 def expand_depth_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_triples = data(spark, sf_dir)
     solutions = expand.expand_by_source(
-        match.match(all_triples, Pattern()), all_triples, depths(spark), LEVELS
+        match.match(all_triples, Pattern()), all_triples, depths(spark)
     )
     return solutions.groupBy("source_key").agg(
         F.count(F.lit(1)).alias("solutions"), F.count("p2").alias("depth2"), F.count("p3").alias("depth3")
@@ -416,7 +416,7 @@ def expand_depth_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def count_depth_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_triples = data(spark, sf_dir)
     return federate.counts_by_source(
-        match.match(all_triples, Pattern()), all_triples, depths(spark), LEVELS
+        match.match(all_triples, Pattern()), all_triples, depths(spark)
     )
 
 
@@ -610,7 +610,7 @@ def unresolved_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dereference_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = resolved(spark, sf_dir).filter(F.col("resolution") == "triples")
-    return federate.dereference(data(spark, sf_dir), asked, depths(spark), LEVELS, offset=2)
+    return federate.dereference(data(spark, sf_dir), asked, depths(spark), offset=2)
 
 
 @register(
@@ -629,7 +629,7 @@ def dereference_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dereference_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = resolved(spark, sf_dir).filter(F.col("resolution") == "triples")
-    pages = federate.dereference(data(spark, sf_dir), asked, depths(spark), LEVELS)
+    pages = federate.dereference(data(spark, sf_dir), asked, depths(spark))
     return expand.construct(pages, 3, by=["request_id"])
 
 
@@ -1275,4 +1275,4 @@ def store_dereference_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.append(L.lift(spark, sf_dir), folder)
     store.publish(spark, folder, table)
     stored = store.published(spark, table)
-    return plans.dereference_query(stored, NS + "nation/3", depths(spark), LEVELS).triples
+    return plans.dereference_query(stored, NS + "nation/3", depths(spark)).triples

@@ -16,8 +16,14 @@ from pyspark.sql import functions as F
 from rdfweave import model as M
 from rdfweave.model import Pattern
 from rdfweave.operators.match import match
-from rdfweave.operators.scale import PUSHED_VALUES, is_large, keep_nodes, skew_join
-from rdfweave.operators.stage import join_catalog
+from rdfweave.operators.scale import (
+    PUSHED_VALUES,
+    broadcast_if_small,
+    is_large,
+    keep_nodes,
+    skew_join,
+)
+from rdfweave.operators.stage import join_catalog, stage
 
 # Allowed depths of a source, and the depth of the loaded graphs
 # when a URI is dereferenced.
@@ -59,27 +65,42 @@ def _hop(data: DataFrame, hop: int) -> DataFrame:
     )
 
 
-def paths(data: DataFrame, depth: int, start: DataFrame | None = None) -> DataFrame:
-    """Every path of ``depth - 1`` triples with its first node.
+def paths(data: DataFrame, depth: int, start: DataFrame) -> DataFrame:
+    """Every path of ``depth - 1`` triples from the nodes ``start``, with its first node.
 
-    ``start`` (``NODE`` keys) says that only paths from these few nodes are asked
-    for: each hop then reads only the triples of the nodes reached so far, as long
-    as their list stays short.
+    Each hop joins the triples to the nodes reached so far, never to each other as a
+    whole.  While the list of nodes is short, it filters the scan.
     """
-    chain = None
-    reached = start
-    for hop in range(2, depth + 1):
-        rows = data
-        if reached is not None:
-            kept = keep_nodes(data, reached)
-            rows, reached = (data, None) if kept is None else (kept, reached)
-        chain = _hop(rows, hop) if chain is None else _next_hop(chain, rows, hop)
-        if reached is not None and hop < depth:
-            _, o, kind, _, _ = hop_columns(hop)
-            reached = chain.filter(_not_literal(kind)).select(F.col(o).alias("node"))
+    rows = _starting_at(data, start)
+    chain = _hop(rows, 2)
+    for hop in range(3, depth + 1):
+        _, o, kind, _, _ = hop_columns(hop - 1)
+        reached = chain.filter(_not_literal(kind)).select(
+            "source_key", F.col(kind).alias("node_kind"), F.col(o).alias("node")
+        )
+        chain = _next_hop(chain, _starting_at(data, reached), hop)
     return chain
 
 
+def _starting_at(data: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The triples that start at ``nodes`` (``NODE`` keys).
+
+    The distinct nodes are staged, so their number is known when the join is planned:
+    a short list becomes a filter or a broadcast, a long one an ordinary semi-join.
+    """
+    keys = stage(nodes.select(*NODE).distinct(), "nodes")
+    kept = keep_nodes(data, keys)
+    rows = data if kept is None else kept
+    joined = keys.select(*[F.col(c).alias(f"_{c}") for c in NODE])
+    return rows.join(
+        broadcast_if_small(joined),
+        (F.col("source_key") == F.col("_source_key"))
+        & (F.col("s_kind") == F.col("_node_kind"))
+        & (F.col("s") == F.col("_node")),
+        "left_semi",
+    )
+
+
 def _next_hop(chain: DataFrame, data: DataFrame, hop: int) -> DataFrame:
     _, o, kind, _, _ = hop_columns(hop - 1)
     step = _hop(data, hop).select(
@@ -113,14 +134,12 @@ def expand(
     base: DataFrame,
     data: DataFrame,
     depth: int,
-    few: bool = False,
     large: bool | None = None,
 ) -> DataFrame:
     """Solutions of the matched triples ``base`` down to ``depth``.
 
-    ``few`` says that ``base`` probably holds few triples (a bound subject, one
-    page): paths are then grown from the objects of ``base`` only, so that each hop
-    filters the triples in the scan instead of shuffling all of them.
+    Paths are grown from the objects of ``base``, whatever their number: what the
+    pattern does not reach is never joined.
 
     Literal objects cannot have a path and skip the join.  On large data the left
     join becomes an inner join (skew on either side is split) plus an anti join.
@@ -131,18 +150,25 @@ def expand(
     columns = [*base.columns, *path_columns(depth)]
     literals = _without_path(base.filter(~_not_literal("o_kind")), depth)
     nodes = _object_node(base.filter(_not_literal("o_kind")))
-    start = nodes.select("node") if few else None
-    chain = paths(data, depth, start)
+    chain = paths(data, depth, nodes)
     if not (is_large(data) if large is None else large):
         expanded = nodes.join(chain, NODE, "left").select(*columns)
     else:
         full = nodes.join(chain, NODE, "inner").select(*columns)
-        ends = path_counts(data, depth - 1, large=True).select(*NODE)
+        ends = chain.select(*NODE).distinct()
         none = skew_join(nodes, ends, NODE, "left_anti", large=True)
         expanded = full.unionByName(_without_path(none, depth).select(*columns))
     return literals.select(*columns).unionByName(expanded)
 
 
+def levels_of(depths: DataFrame) -> list[int]:
+    """The depths that occur, with the one of sources that ``depths`` does not name."""
+    found = {MIN_DEPTH, *[row[0] for row in depths.select("depth").distinct().limit(100).collect()]}
+    for depth in found:
+        _check(depth)
+    return sorted(found)
+
+
 def by_depth(depths: DataFrame) -> Callable[[DataFrame, int], DataFrame]:
     """A function that keeps the rows of the sources with a given depth.
 
@@ -172,18 +198,17 @@ def expand_by_source(
     base: DataFrame,
     data: DataFrame,
     depths: DataFrame,
-    levels: tuple[int, ...] = tuple(range(MIN_DEPTH, MAX_DEPTH + 1)),
-    few: bool = False,
 ) -> DataFrame:
     """Expansion where each source has its own depth: ``depths(source_key, depth)``.
 
     One branch per depth level, over the sources of that level only.  Sources that
     ``depths`` does not name get depth one.
     """
-    deepest, at_depth = max(levels), by_depth(depths)
+    levels, at_depth = levels_of(depths), by_depth(depths)
+    deepest = max(levels)
     out = None
     for depth in levels:
-        part = expand(at_depth(base, depth), at_depth(data, depth), depth, few=few)
+        part = expand(at_depth(base, depth), at_depth(data, depth), depth)
         missing = [c for c in path_columns(deepest) if c not in part.columns]
         part = part.select("*", *[F.lit(None).cast("string").alias(c) for c in missing])
         out = part if out is None else out.unionByName(part)
@@ -208,16 +233,23 @@ def construct(solutions: DataFrame, depth: int, by: list[str] | None = None) ->
     )
 
 
-def path_counts(data: DataFrame, hops: int, large: bool | None = None) -> DataFrame:
-    """How many paths of ``hops`` triples start at each node, without building one.
+def path_counts(
+    data: DataFrame, hops: int, start: DataFrame, large: bool | None = None
+) -> DataFrame:
+    """How many paths of ``hops`` triples start at each of the nodes ``start``, without
+    building one.
 
-    Works backwards from out-degrees; every step is a join to one row per node
-    followed by a sum, so nothing grows with the number of paths.
+    The nodes of each hop are found forwards, then paths are counted backwards from
+    out-degrees; every step is a join to one row per node followed by a sum, so nothing
+    grows with the number of paths, or with what the nodes do not reach.
     """
     node = [F.col("source_key"), F.col("s_kind").alias("node_kind"), F.col("s").alias("node")]
-    counts = data.groupBy(*node).agg(F.count(F.lit(1)).alias("paths"))
+    steps = [_starting_at(data, start)]
     for _ in range(hops - 1):
-        edges = data.filter(_not_literal("o_kind")).select(
+        steps.append(_starting_at(data, _object_node(steps[-1].filter(_not_literal("o_kind")))))
+    counts = steps[-1].groupBy(*node).agg(F.count(F.lit(1)).alias("paths"))
+    for step in steps[-2::-1]:
+        edges = step.filter(_not_literal("o_kind")).select(
             "source_key",
             "s_kind",
             "s",
@@ -248,7 +280,7 @@ def solution_counts(
     base = match(data, pattern)
     if not counts_expansion(pattern, depth):
         return base.groupBy(*M.SOURCE).agg(F.count(F.lit(1)).alias("solutions"))
-    return expanded_counts(base, data, depth, M.SOURCE, few=pattern.s is not None, large=large)
+    return expanded_counts(base, data, depth, M.SOURCE, large=large)
 
 
 def expanded_counts(
@@ -256,7 +288,6 @@ def expanded_counts(
     data: DataFrame,
     depth: int,
     by: list[str],
-    few: bool = False,
     large: bool | None = None,
 ) -> DataFrame:
     """Count the solutions of ``expand(base, data, depth)`` per ``by`` without expanding."""
@@ -269,8 +300,7 @@ def expanded_counts(
         F.when(_not_literal("o_kind"), F.col("o_kind")).alias("node_kind"),
         node.alias("node"),
     ).agg(F.count(F.lit(1)).alias("_rows"))
-    reached = _reachable(data, ends.filter(F.col("node").isNotNull()), depth - 1) if few else data
-    counts = path_counts(reached, depth - 1, large)
+    counts = path_counts(data, depth - 1, ends.filter(F.col("node").isNotNull()), large)
     solutions = F.col("_rows") * F.coalesce(F.col("paths"), F.lit(1))
     return ends.join(counts, NODE, "left").groupBy(*by).agg(F.sum(solutions).alias("solutions"))
 
@@ -281,21 +311,9 @@ def with_solution_number(
     """Adds to every matched triple how many solutions it has, without expanding it."""
     literals = base.filter(~_not_literal("o_kind")).withColumn("solutions", F.lit(1).cast("long"))
     nodes = _object_node(base.filter(_not_literal("o_kind")))
-    counts = path_counts(data, depth - 1, large)
+    counts = path_counts(data, depth - 1, nodes, large)
     numbered = skew_join(nodes, counts, NODE, "left", large=large).select(
         *base.columns, F.coalesce(F.col("paths"), F.lit(1)).alias("solutions")
     )
     return literals.unionByName(numbered)
 
-
-def _reachable(data: DataFrame, start: DataFrame, hops: int) -> DataFrame:
-    """The triples within ``hops`` steps of a short list of nodes, else all of ``data``."""
-    out = None
-    nodes = start
-    for hop in range(hops):
-        step = keep_nodes(data, nodes)
-        if step is None:
-            return data
-        out = step if out is None else out.unionByName(step)
-        nodes = step.filter(_not_literal("o_kind")).select(F.col("o").alias("node"))
-    return out if hops == 1 else out.distinct()

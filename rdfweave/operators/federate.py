@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rdfweave import model as M
-from rdfweave.operators.expand import by_depth, expand_by_source, expanded_counts
+from rdfweave.operators.expand import by_depth, expand_by_source, expanded_counts, levels_of
 from rdfweave.operators.match import match_subjects
 from rdfweave.operators.paging import PAGE_SIZE, order_columns, page_per_group
 from rdfweave.operators.scale import broadcast_if_small
@@ -23,14 +23,12 @@ def with_total(counts: DataFrame) -> DataFrame:
     )
 
 
-def counts_by_source(
-    base: DataFrame, data: DataFrame, depths: DataFrame, levels: tuple[int, ...], few: bool = False
-) -> DataFrame:
+def counts_by_source(base: DataFrame, data: DataFrame, depths: DataFrame) -> DataFrame:
     """Solutions per source, each expanded to its own depth, without expanding them."""
     at_depth = by_depth(depths)
     parts = [
-        expanded_counts(at_depth(base, d), at_depth(data, d), d, M.SOURCE, few=few)
-        for d in levels
+        expanded_counts(at_depth(base, d), at_depth(data, d), d, M.SOURCE)
+        for d in levels_of(depths)
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -88,7 +86,6 @@ def dereference(
     data: DataFrame,
     requests: DataFrame,
     depths: DataFrame,
-    levels: tuple[int, ...],
     limit: int = PAGE_SIZE,
     offset: int = 0,
     hash_variants: bool = False,
@@ -103,7 +100,7 @@ def dereference(
     wanted = broadcast_if_small(stage(requests.select("request_id", "uri"), "requests"))
     found = match_subjects(data, wanted, hash_variants).select("request_id", *M.SOURCE, *M.TERMS)
     first = page_per_group(found, ["request_id"], order_columns(), offset + limit)
-    solutions = expand_by_source(stage(first, "pages"), data, depths, levels, few=True)
+    solutions = expand_by_source(stage(first, "pages"), data, depths)
     return page_per_group(
-        solutions, ["request_id"], order_columns(max(levels)), limit, offset
+        solutions, ["request_id"], order_columns(max(levels_of(depths))), limit, offset
     )

@@ -175,7 +175,7 @@ def expanded_page(
         first = first.drop("solutions")
     first = stage(first, "page")
     tasks = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return page(expand(first, data, depth, few=True), limit, offset, depth, last_rows, tasks)
+    return page(expand(first, data, depth), limit, offset, depth, last_rows, tasks)
 
 
 def page_per_group(

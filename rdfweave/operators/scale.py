@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 16 * 1024 * 1024
 # Up to this many node values are pushed into the scan as an IN filter.
 PUSHED_VALUES = 1000
-# A key set is broadcast when a bounded count has shown it has at most this many rows.
-BROADCAST_ROWS = 100_000
 # Below this a whole join side fits one task, so a hot key cannot hurt.
 SKEW_BYTES = 256 * 1024 * 1024
 # A hot key is cut into slices of about this many rows.
@@ -35,42 +33,23 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; reads at most one row beyond."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def short_list(values: DataFrame) -> list[str] | None:
-    """The distinct values of a one-column frame, if there are only a few of them.
-
-    A staged frame has a known size; any other is first counted up to a bound, so that
-    a long list is never made distinct just to be turned down.
-    """
-    small = estimated_bytes(values) <= BROADCAST_BYTES
-    if not small and not at_most(values, 10 * BROADCAST_ROWS):
+    """The distinct values of a one-column frame of small estimated size, if they are few."""
+    if estimated_bytes(values) > BROADCAST_BYTES:
         return None
     first = values.distinct().limit(PUSHED_VALUES + 1).collect()
     return [row[0] for row in first] if len(first) <= PUSHED_VALUES else None
 
 
 def keep_nodes(data: DataFrame, nodes: DataFrame, value: str = "node") -> DataFrame | None:
-    """Rows of ``data`` whose subject is among ``nodes``, if ``nodes`` is a short list.
+    """Rows of ``data`` whose subject is among the staged ``nodes``, if they are few.
 
-    A very short list becomes an IN filter that reaches the Parquet scan, a short one
-    is broadcast.  For a long list the answer is ``None`` and the caller joins in the
-    ordinary way.  Rows of other kinds of node with an equal label may be kept too; an
-    exact join follows.
+    Up to ``PUSHED_VALUES`` nodes become an IN filter that reaches the Parquet scan; for
+    a longer list the answer is ``None`` and the caller joins.  Rows of other kinds of
+    node with an equal label may be kept too; an exact join follows.
     """
-    keys = nodes.select(F.col(value).alias("_node"))
-    values = short_list(keys)
-    if values is not None:
-        return data.filter(F.col("s").isin(values))
-    if estimated_bytes(keys) <= BROADCAST_BYTES or (
-        at_most(keys, 10 * BROADCAST_ROWS) and at_most(keys.distinct(), BROADCAST_ROWS)
-    ):
-        keys = F.broadcast(keys.distinct())
-        return data.join(keys, F.col("s") == F.col("_node"), "left_semi")
-    return None
+    values = short_list(nodes.select(value))
+    return None if values is None else data.filter(F.col("s").isin(values))
 
 
 def is_large(df: DataFrame, limit: int | None = None) -> bool:

@@ -6,7 +6,6 @@ of any of them, and has a known size, so later broadcast decisions rest on facts
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,19 +16,23 @@ from rdfweave.operators.scale import BROADCAST_BYTES, estimated_bytes, skew_join
 FOLDER_SETTING = "spark.checkpoint.dir"
 
 
+_own: list[str] = []
+
+
+def use_folder(path: str) -> None:
+    """Stage in ``path`` where a session has no setting; Spark fixes it when it starts."""
+    _own[:] = [path]
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
+    """The folder that the session names in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder of its own.
+    All executors and the driver must share it, so there is no default.
     """
-    folder = spark.conf.get(FOLDER_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {FOLDER_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="rdfweave-")
-    spark.conf.set(FOLDER_SETTING, folder)
-    return folder
+    folder = spark.conf.get(FOLDER_SETTING, None) or next(iter(_own), None)
+    if not folder:
+        raise ValueError(f"set {FOLDER_SETTING} to a folder that all executors share")
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -46,8 +46,9 @@ def read_source(
         raise ValueError(f"{source_type} sources are not loaded")
     source = F.lit(source_id)
     if uri.endswith(".nt"):
-        lines = ntriples.read_lines(spark, uri)
-        good, bad = ntriples.parse(lines, source), ntriples.rejects(lines)
+        lines = ntriples.read_lines(spark, uri, with_file=True)
+        good = ntriples.parse(lines, F.concat_ws(".", source, "file"))
+        bad = ntriples.rejects(lines)
     else:
         reader = READERS[source_type]
         if pieces:
@@ -75,7 +76,7 @@ def load(
     """Replace the graphs of all file sources of a resolved catalog; returns their names.
 
     The catalog has one row per source; endpoints and fragment servers are skipped.
-    Bad statements and documents go to the quarantine table.
+    Bad statements and documents take the place of the sources' rows in the quarantine table.
     """
     rows = sources.filter(catalog.is_loaded(F.col("type"))).select("id", "type", "uri").collect()
     if not rows:
@@ -87,5 +88,6 @@ def load(
     graphs = [graph_name(row["id"], base) for row in rows]
     triples = stage(reduce(DataFrame.unionByName, [good for good, _ in read]), "load")
     store.replace(triples, store_path, graphs)
-    store.quarantine(reduce(DataFrame.unionByName, [bad for _, bad in read]), quarantine_path)
+    rejects = reduce(DataFrame.unionByName, [bad for _, bad in read])
+    store.quarantine(rejects, quarantine_path, [row["id"] for row in rows])
     return graphs

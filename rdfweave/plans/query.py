@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rdfweave import model as M
 from rdfweave.model import Pattern, Term
 from rdfweave.operators import describe, expand, federate, paging
 from rdfweave.operators.match import match
@@ -66,7 +67,6 @@ def dereference_query(
     data: DataFrame,
     uri: str,
     depths: DataFrame,
-    levels: tuple[int, ...],
     offset: int = 0,
     hash_variants: bool = False,
     root: str = "http://localhost",
@@ -75,18 +75,24 @@ def dereference_query(
 ) -> Answer:
     """Everything known about one URI, each source expanded to its own depth."""
     request = data.sparkSession.createDataFrame([(0, uri)], "request_id long, uri string")
-    base = match(data, Pattern(s=Term.iri(uri), hash_variants=hash_variants))
-    counts = stage(federate.counts_by_source(base, data, depths, levels, few=True), "counts")
+    pattern = Pattern(s=Term.iri(uri), hash_variants=hash_variants)
+    base = match(data, pattern)
+    # The count rule of pattern queries: hash variants are counted as matched triples.
+    if expand.counts_expansion(pattern, expand.MAX_DEPTH):
+        counts = federate.counts_by_source(base, data, depths)
+    else:
+        counts = expand.expanded_counts(base, data, expand.MIN_DEPTH, M.SOURCE)
+    counts = stage(counts, "counts")
     total = counts.agg(F.sum("solutions")).first()[0] or 0
     pages = stage(
         federate.dereference(
-            data, request, depths, levels, offset=offset, hash_variants=hash_variants
+            data, request, depths, offset=offset, hash_variants=hash_variants
         ),
         "answer",
     )
     return Answer(
         solutions=pages,
-        triples=expand.construct(pages, max(levels)),
+        triples=expand.construct(pages, max(expand.levels_of(depths))),
         counts=counts,
         total=total,
         found=not pages.isEmpty(),

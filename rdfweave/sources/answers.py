@@ -33,7 +33,12 @@ def graphs(answers: DataFrame, doc: str = "source_id") -> DataFrame:
 
 
 def rejected(answers: DataFrame) -> DataFrame:
-    """Answers that are no graph, as quarantine rows; empty ones are left out."""
-    return answers.filter(~is_graph() & (F.length("body") > 0)).select(
+    """Answers that are no graph, as quarantine rows; empty ones are left out.
+
+    Markup that is no RDF/XML, such as an error page, is none either.
+    """
+    text = answers.filter(~is_graph() & (F.length("body") > 0)).select(
         F.col("body").alias("value"), F.lit("answer is not RDF/XML").alias("reason"), "source_id"
     )
+    markup = rdfxml.rejects(answers.filter(is_graph()), "body").select("value", "reason", "source_id")
+    return text.unionByName(markup)

@@ -25,8 +25,11 @@ STATEMENT = (
 _GROUPS = "\n".join(f"${n}" for n in range(1, 10))
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return spark.read.text(paths)
+def read_lines(spark: SparkSession, paths: str | list[str], with_file: bool = False) -> DataFrame:
+    """The lines of files, with the ``file`` of each if asked for: blank nodes of two
+    files of one source are two nodes."""
+    lines = spark.read.text(paths)
+    return lines.select("value", F.sha1(F.col("_metadata.file_path")).alias("file")) if with_file else lines
 
 
 def with_statement(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -49,7 +52,7 @@ def _given(part: Column) -> Column:
 
 
 def parse(lines: DataFrame, source_id: Column, line: str = "value") -> DataFrame:
-    """Triples of the good lines.  Blank nodes are scoped by the source.
+    """Triples of the good lines.  Blank nodes are scoped by ``source_id``.
 
     Other columns of ``lines`` are kept.
     """

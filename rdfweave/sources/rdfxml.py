@@ -25,6 +25,9 @@ _CLOSE = "</rdf:Description>"
 
 
 def _iri(tag: str) -> str:
+    """The address of an element or attribute name; plain markup has none."""
+    if not tag.startswith("{"):
+        raise ValueError(f"name without a namespace: {tag}")
     return tag[1:].replace("}", "", 1)
 
 

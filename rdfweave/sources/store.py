@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from rdfweave import model as M
 from rdfweave.operators.match import default_graphs, subject_base
+from rdfweave.operators.stage import stage
 
 STORE_SCHEMA = T.StructType(
     [f for f in M.TRIPLES_SCHEMA.fields if f.name != "graph"]
@@ -83,9 +84,18 @@ def clear(spark: SparkSession, store: str, graph: str) -> None:
     spark.createDataFrame([], columns).write.mode("overwrite").parquet(graph_folder(store, graph))
 
 
-def quarantine(rejects: DataFrame, path: str) -> None:
-    """Keep what could not be read, with the reason and its source."""
-    rejects.select("value", "reason", "source_id").write.mode("append").parquet(path)
+def quarantine(rejects: DataFrame, path: str, source_ids: list[int]) -> None:
+    """Keep what could not be read, with the reason, in the place of what the named
+    sources had there; a source without bad rows has none left."""
+    spark = rejects.sparkSession
+    rows = rejects.filter(F.col("source_id").isin(source_ids)).select("value", "reason", "source_id")
+    rows = stage(rows, "quarantine")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(path)
+    filled = {row[0] for row in rows.select("source_id").distinct().collect()}
+    empty = rows.drop("source_id").limit(0)
+    for source_id in source_ids:
+        if source_id not in filled:
+            empty.write.mode("overwrite").parquet(f"{path}/source_id={source_id}")
 
 
 PUBLISHED_SCHEMA = T.StructType(

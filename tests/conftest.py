@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -11,6 +13,7 @@ def make_session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rdfweave-tests-"))
         .config("spark.sql.maxMetadataStringLength", "5000")
         .getOrCreate()
     )

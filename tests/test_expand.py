@@ -43,12 +43,11 @@ def expected(rows, p, depth):
 
 
 @pytest.mark.parametrize("large", [False, True])
-@pytest.mark.parametrize("few", [False, True])
 @pytest.mark.parametrize("depth", [1, 2, 3, 4])
-def test_all_or_nothing(spark, depth, few, large):
+def test_all_or_nothing(spark, depth, large):
     data = match.default_graphs(triples(spark, CHAIN))
     base = match.match(data, Pattern(p=Term.iri(N + "nation")))
-    got = found(expand.expand(base, data, depth, few=few, large=large), depth)
+    got = found(expand.expand(base, data, depth, large=large), depth)
     assert got == expected(CHAIN, "nation", depth)
 
 

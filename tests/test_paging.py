@@ -101,8 +101,30 @@ def test_dereference_query(spark):
     rows = [("a", "p", "b"), ("b", "q", "c"), ("a#x", "p", '"y"')]
     data = match.default_graphs(triples(spark, rows))
     depths = spark.createDataFrame([("local", 3)], "source_key string, depth int")
-    answer = query.dereference_query(data, N + "a", depths, (1, 3))
+    answer = query.dereference_query(data, N + "a", depths)
     assert (answer.total, answer.found, answer.triples.count()) == (1, True, 1)
-    hashed = query.dereference_query(data, N + "A", depths, (1, 3), hash_variants=True)
+    hashed = query.dereference_query(data, N + "A", depths, hash_variants=True)
     assert {r["s"] for r in hashed.triples.collect()} == {N + "a", N + "a#x"}
-    assert not query.dereference_query(data, N + "none", depths, (1, 3)).found
+    # The total counts matched triples, as a pattern query with hash variants does.
+    variants = Pattern(s=Term.iri(N + "A"), hash_variants=True)
+    assert hashed.total == query.pattern_query(data, variants, depth=3).total == 2
+    assert not query.dereference_query(data, N + "none", depths).found
+
+
+def test_no_source_vanishes(spark):
+    rows = [(f"n{i}", "p", f"n{i + 1}", source, kind) for i in range(6) for source, kind in ((1, "turtle"), (3, "sparql"), (4, "sparql"), (5, "ldf"))]
+    data = match.default_graphs(triples(spark, rows))
+    keys = {r[0] for r in data.select("source_key").distinct().collect()}
+    assert len(keys) == 4
+    named = sorted(keys)
+    depths = spark.createDataFrame([(named[0], 5), (named[1], 4), (named[2], 2)], "source_key string, depth int")
+    base = match.match(data, Pattern())
+    counts = federate.counts_by_source(base, data, depths)
+    solutions = expand.expand_by_source(base, data, depths)
+    assert {r["source_key"]: r["solutions"] for r in counts.collect()} == dict.fromkeys(keys, 6)
+    longest = solutions.filter("p5 IS NOT NULL").select("source_key").distinct().collect()
+    assert [r[0] for r in longest] == [named[0]]
+    asked = spark.createDataFrame([(0, N + "n0")], "request_id long, uri string")
+    assert {r["source_key"] for r in federate.dereference(data, asked, depths).collect()} == keys
+    with pytest.raises(ValueError, match="depth"):
+        expand.levels_of(spark.createDataFrame([("x", 6)], "source_key string, depth int"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rdfweave import model as M
 from rdfweave.functions import text
-from rdfweave.operators import fragments, resources
+from rdfweave.operators import fragments, resources, stage
 from rdfweave.plans import load
 from rdfweave.sources import answers, catalog, ntriples, rdfxml, store, turtle
 from tests.frames import N, triples
@@ -303,3 +303,33 @@ def test_fragment_page_plan(spark):
         "http://f?page=0", "http://f?page=1", "http://g?x=1&page=0", "http://g?x=1&page=1",
     ]
     assert fragments.unusable(stated).count() == 1
+
+
+def test_error_pages_are_rejected(spark):
+    rows = [(1, "<html><body>502 Bad Gateway</body></html>"), (2, "<html><br></html>"), (3, "no markup"), (4, "")]
+    bad = answers.rejected(spark.createDataFrame(rows, "source_id int, body string")).collect()
+    assert sorted(r["source_id"] for r in bad) == [1, 2, 3]
+
+
+def test_quarantine_is_replaced_and_blank_nodes_are_scoped(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.nt").write_text(f'_:x <{N}p> "{name}" .\nbad line of {name}\n')
+    good, bad = load.read_source(spark, 1, "turtle", f"{tmp_path}/*.nt", "g")
+    assert good.select("s").distinct().count() == 2
+    path = str(tmp_path / "quarantine")
+    for _ in range(2):
+        store.quarantine(bad, path, [1, 2])
+    assert spark.read.parquet(path).count() == 2
+    store.quarantine(bad.limit(0), path, [1])
+    assert spark.read.parquet(f"{path}/source_id=1").count() == 0
+
+
+def test_a_shared_folder_is_required(monkeypatch):
+    class Session:
+        conf = {}
+
+    monkeypatch.setattr(stage, "_own", [])
+    with pytest.raises(ValueError, match="share"):
+        stage.shared_folder(Session)
+    Session.conf = {"spark.checkpoint.dir": "hdfs://shared/"}
+    assert stage.shared_folder(Session) == "hdfs://shared"
