@@ -7,7 +7,6 @@ import zlib
 from array import array
 
 import numpy as np
-import pyarrow as pa
 
 END = 2
 #: Entries of a worker's word cache; it is emptied when it is full.
