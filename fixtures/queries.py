@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures import lift as L
@@ -18,6 +18,7 @@ from rdfweave.functions import text, uri
 from rdfweave.model import Pattern, Term
 from rdfweave.operators import describe, expand, federate, fragments, match, paging, resolve, resources
 from rdfweave.operators.stage import new_folder, stage
+from rdfweave.plans import load
 from rdfweave.plans import query as plans
 from rdfweave.sources import answers, catalog, ntriples, rdfxml, store, turtle
 
@@ -913,7 +914,7 @@ def json_answer_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.table(spark, sf_dir, "events").select(
-        "event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k")
+        "event_id", answers.number(F.col("props"), "$.k").alias("k")
     )
 
 
@@ -1276,3 +1277,70 @@ def store_dereference_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.publish(spark, folder, table)
     stored = store.published(spark, table)
     return plans.dereference_query(stored, NS + "nation/3", depths(spark)).triples
+
+
+# --- files ----------------------------------------------------------------------
+
+_SUPPLIERS = (
+    f"SELECT s_nationkey AS part, concat('<rdf:RDF xmlns:rdf=\"{M.RDF}\" xmlns:v=\"{V}\" xml:base=\"{NS}supplier/all\">\n', "
+    "concat_ws('\n', collect_list(concat('<rdf:Description rdf:about=\"', s_suppkey, '\"><v:name>', s_name, "
+    "'</v:name><v:nation rdf:resource=\"../nation/', s_nationkey, '\"/></rdf:Description>'))), '\n</rdf:RDF>') AS value "
+    "FROM supplier GROUP BY s_nationkey"
+)
+
+
+def _written_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as Turtle, suppliers as one RDF/XML file per nation, documents as lines of
+    N-Triples with bad lines between them; returns the catalog of these sources."""
+    folder = new_folder(spark, "files")
+    customers = L.lift(spark, sf_dir).filter(F.col("source_id") == 2)
+    resources.write_turtle(customers, f"{folder}/turtle")
+    X.frame(spark, sf_dir, _SUPPLIERS).write.partitionBy("part").text(f"{folder}/rdf")
+    docs = L.table(spark, sf_dir, "documents")
+    bad = docs.select(F.concat(F.lit("no statement "), "doc_id").alias("value"))
+    lines = ntriples.lines(L.lift(spark, sf_dir, L.DOCUMENTS)).unionByName(bad)
+    lines.write.text(f"{folder}/lines")
+    rows = [(1, "turtle", "turtle", None), (2, "rdf", "rdf", None), (3, "turtle", "lines", "ntriples")]
+    rows += [(4, "sparql", None, None)]
+    return spark.createDataFrame(
+        [(i, kind, name and f"{folder}/{name}", form) for i, kind, name, form in rows],
+        "id int, type string, uri string, format string",
+    )
+
+
+@register(
+    "load_files",
+    with_sql(
+        f"triples AS ({L.lift_sql()})",
+        f"texts AS ({L.lift_sql(L.DOCUMENTS)})",
+        f"suppliers AS ({_rows('supplier', (L.SUPPLIER, 'uri', V + 'name', 's_name', 'literal', '', ''), (L.SUPPLIER, 'uri', V + 'nation', L.iri('nation', 's_nationkey'), 'uri', '', ''))})",
+        f"SELECT DISTINCT '{load.GRAPH_BASE}1' AS graph, {TERMS} FROM triples WHERE source_id = 2 "
+        f"UNION ALL SELECT DISTINCT '{load.GRAPH_BASE}2', {TERMS} FROM suppliers "
+        f"UNION ALL SELECT DISTINCT '{load.GRAPH_BASE}3', {TERMS} FROM texts",
+    ),
+)
+def load_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the tables as files in three formats, load them, and read the store."""
+    folder = new_folder(spark, "loaded")
+    load.load(spark, _written_sources(spark, sf_dir), f"{folder}/store", f"{folder}/bad")
+
+    def label(value: str) -> Column:
+        # labels are scoped by source and file
+        return F.regexp_replace(value, r"^_:s\d+\.[0-9a-f]{40}\.", "_:").alias(value)
+
+    return store.read(spark, f"{folder}/store").select(
+        "graph", *[label(c) if c in ("s", "o") else F.col(c) for c in M.TERMS]
+    )
+
+
+@register(
+    "load_twice",
+    "SELECT 3 AS source_id, concat('no statement ', doc_id) AS value, 'statement has no closing dot' AS reason FROM documents",
+)
+def load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad lines stand in the quarantine table once, however often their file is loaded."""
+    folder = new_folder(spark, "loaded")
+    sources = _written_sources(spark, sf_dir)
+    for _ in range(2):
+        load.load(spark, sources, f"{folder}/store", f"{folder}/bad")
+    return spark.read.parquet(f"{folder}/bad").select(F.col("source_id").cast("int"), "value", "reason")

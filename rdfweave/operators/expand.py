@@ -20,10 +20,11 @@ from rdfweave.operators.scale import (
     PUSHED_VALUES,
     broadcast_if_small,
     is_large,
+    join_catalog,
     keep_nodes,
     skew_join,
 )
-from rdfweave.operators.stage import join_catalog, stage
+from rdfweave.operators.stage import stage
 
 # Allowed depths of a source, and the depth of the loaded graphs
 # when a URI is dereferenced.

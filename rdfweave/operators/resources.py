@@ -7,35 +7,22 @@ from pyspark.sql import functions as F
 
 from rdfweave import model as M
 from rdfweave.functions.text import written_predicate, written_subject, written_value
-from rdfweave.operators.scale import skew_join
-
-# A subject with more triples than this is written in several parts.
-PART_ROWS = 50_000
 
 SUBJECT = ["s_kind", "s"]
 
 
-def with_part(triples: DataFrame, rows: int = PART_ROWS, large: bool | None = None) -> DataFrame:
-    """Adds ``part``, so that no (subject, part) group grows with its subject.
+def with_part(triples: DataFrame, parts: int = 1) -> DataFrame:
+    """Adds ``part``: every subject is spread over up to ``parts`` rows by a hash of its triples.
 
-    Subjects of up to ``rows`` triples have the single part 0.  Bigger ones are
-    spread over as many parts as they need.
+    The caller names the number, so the shape of the result never depends on the data.
     """
-    big = (
-        triples.groupBy(*SUBJECT)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > rows)
-        .select(*SUBJECT, F.ceil(F.col("_rows") / F.lit(rows)).cast("int").alias("_parts"))
-    )
-    part = F.pmod(F.xxhash64("p", "o", "o_kind", "o_datatype", "o_lang"), F.col("_parts"))
-    return (
-        skew_join(triples, big, SUBJECT, "left", large=large)
-        .withColumn("part", F.coalesce(part, F.lit(0)).cast("int"))
-        .drop("_parts")
-    )
+    if parts == 1:
+        return triples.withColumn("part", F.lit(0))
+    part = F.pmod(F.xxhash64("p", "o", "o_kind", "o_datatype", "o_lang"), F.lit(parts))
+    return triples.withColumn("part", part.cast("int"))
 
 
-def resource_map(triples: DataFrame, rows: int = PART_ROWS, large: bool | None = None) -> DataFrame:
+def resource_map(triples: DataFrame, parts: int = 1) -> DataFrame:
     """``(s_kind, s, part, properties)`` with predicate -> sorted list of objects."""
     value = F.struct(
         F.col("o").alias("value"),
@@ -45,7 +32,7 @@ def resource_map(triples: DataFrame, rows: int = PART_ROWS, large: bool | None =
     )
     graph = triples.select(*M.TERMS).distinct()
     lists = (
-        with_part(graph, rows, large)
+        with_part(graph, parts)
         .groupBy(*SUBJECT, "part", "p")
         .agg(F.sort_array(F.collect_list(value)).alias("objects"))
     )
@@ -54,15 +41,15 @@ def resource_map(triples: DataFrame, rows: int = PART_ROWS, large: bool | None =
     )
 
 
-def write_json(triples: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One JSON object per subject and part."""
-    resource_map(triples).write.mode(mode).option("ignoreNullFields", "true").json(path)
+def write_json(triples: DataFrame, path: str, mode: str = "errorifexists", parts: int = 1) -> None:
+    """One JSON object per subject (and part)."""
+    resource_map(triples, parts).write.mode(mode).option("ignoreNullFields", "true").json(path)
 
 
-def turtle_blocks(triples: DataFrame, rows: int = PART_ROWS, large: bool | None = None) -> DataFrame:
+def turtle_blocks(triples: DataFrame, parts: int = 1) -> DataFrame:
     """One Turtle block per subject (and part): ``(s_kind, s, part, value)``."""
     graph = triples.select(*M.TERMS).distinct()
-    written = with_part(graph, rows, large).select(
+    written = with_part(graph, parts).select(
         *SUBJECT,
         "part",
         written_subject().alias("subject"),
@@ -81,5 +68,5 @@ def turtle_blocks(triples: DataFrame, rows: int = PART_ROWS, large: bool | None
     )
 
 
-def write_turtle(triples: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    turtle_blocks(triples).select("value").write.mode(mode).text(path)
+def write_turtle(triples: DataFrame, path: str, mode: str = "errorifexists", parts: int = 1) -> None:
+    turtle_blocks(triples, parts).select("value").write.mode(mode).text(path)

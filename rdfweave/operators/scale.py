@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rdfweave.operators.stage import stage
+
 # A side is only broadcast when the planner's size estimate is below this.  The
 # estimate rests on compressed files, so the bound leaves room for a tenfold growth.
 BROADCAST_BYTES = 16 * 1024 * 1024
@@ -14,9 +16,6 @@ PUSHED_VALUES = 1000
 SKEW_BYTES = 256 * 1024 * 1024
 # A hot key is cut into slices of about this many rows.
 SLICE_ROWS = 2_000_000
-# At most this many keys are treated as hot.  Any other key holds less than
-# 1/HOT_KEYS of the rows, which is no more than an ordinary shuffle partition.
-HOT_KEYS = 8192
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -74,8 +73,8 @@ def skew_join(
     that partitioning and cannot split a skewed partition of ``left`` by itself.
     Hot keys of ``left`` are cut into slices and the matching rows of ``right``
     are repeated once per slice; all other keys keep one slice.  The list of hot
-    keys has at most ``HOT_KEYS`` rows, so it is safe to broadcast, and it is
-    counted exactly, so both sides always agree on the slices.
+    keys is counted exactly and staged, so both sides always agree on the slices;
+    it is broadcast if its size allows it, else joined as Spark sees fit.
 
     ``how`` may be inner, left, left_semi or left_anti.
     """
@@ -85,18 +84,17 @@ def skew_join(
         left.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > slice_rows)
-        .orderBy(F.desc("_rows"), *on)
-        .limit(HOT_KEYS)
         .select(*on, F.ceil(F.col("_rows") / F.lit(slice_rows)).cast("int").alias("_slices"))
     )
+    hot = broadcast_if_small(stage(hot, "hot_keys"))
     slices = F.coalesce(F.col("_slices"), F.lit(1))
     left_cut = (
-        left.join(F.broadcast(hot), on, "left")
+        left.join(hot, on, "left")
         .withColumn("_slice", F.pmod(F.xxhash64(*left.columns), slices).cast("int"))
         .drop("_slices")
     )
     right_cut = (
-        right.join(F.broadcast(hot), on, "left")
+        right.join(hot, on, "left")
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("_slices")
     )
@@ -112,3 +110,15 @@ def join_lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "le
     if estimated_bytes(right) <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), on, how)
     return skew_join(left, right, on, how)
+
+
+def join_catalog(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join many rows to a short table on a key that few values may fill.
+
+    The short table is staged, so its size is known: normally it is broadcast and
+    ``left`` is not shuffled.  Should it be long after all, hot keys are sliced.
+    """
+    right = stage(right, "catalog")
+    if estimated_bytes(right) <= BROADCAST_BYTES:
+        return left.join(F.broadcast(right), on, how)
+    return skew_join(left, right, on, how, large=True)

@@ -9,9 +9,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from rdfweave.operators.scale import BROADCAST_BYTES, estimated_bytes, skew_join
 
 FOLDER_SETTING = "spark.checkpoint.dir"
 
@@ -45,15 +42,3 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def join_catalog(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join many rows to a short table on a key that few values may fill.
-
-    The short table is staged, so its size is known: normally it is broadcast and
-    ``left`` is not shuffled.  Should it be long after all, hot keys are sliced.
-    """
-    right = stage(right, "catalog")
-    if estimated_bytes(right) <= BROADCAST_BYTES:
-        return left.join(F.broadcast(right), on, how)
-    return skew_join(left, right, on, how, large=True)

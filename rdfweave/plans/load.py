@@ -4,65 +4,106 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rdfweave import model as M
 from rdfweave.operators.stage import stage
-from rdfweave.sources import catalog, ntriples, rdfxml, store, turtle
+from rdfweave.sources import catalog, ntriples, pieces, rdfxml, store, turtle
 
 GRAPH_BASE = "urn:rdfweave:graph:"
-READERS = {"turtle": turtle, "rdf": rdfxml}
+#: How a file is written, where the catalog's ``format`` column says nothing.
+FORMATS = {"turtle": "turtle", "rdf": "rdfxml"}
+LINES = "ntriples"
+_LINE_NAMES = r"(?i)\.nt(?:\.(?:gz|bz2|zst|zstd|lz4|snappy))?$"
 
 
 def graph_name(source_id: int, base: str = GRAPH_BASE) -> str:
     return f"{base}{source_id}"
 
 
-def with_source(terms: DataFrame, source_id: int, source_type: str, graph: str) -> DataFrame:
-    return terms.select(
-        *M.TERMS,
-        F.lit(graph).alias("graph"),
-        F.lit(source_id).alias("source_id"),
-        F.lit(source_type).alias("source_type"),
-    )
+def formats(sources: DataFrame) -> Column:
+    """Format of each source: its ``format``, or one that its name or its type tells."""
+    own = F.col("format") if "format" in sources.columns else F.lit(None).cast("string")
+    by_type = F.element_at(F.create_map(*[F.lit(x) for pair in FORMATS.items() for x in pair]), F.col("type"))
+    by_name = F.when((F.col("type") == "turtle") & F.regexp_like("uri", F.lit(_LINE_NAMES)), LINES)
+    return F.coalesce(own, by_name, by_type)
 
 
-def read_source(
-    spark: SparkSession,
-    source_id: int,
-    source_type: str,
-    uri: str,
-    graph: str,
-    pieces: bool = False,
+def _read_format(
+    spark: SparkSession, kind: str, paths: dict[int, str], whole: bool
 ) -> tuple[DataFrame, DataFrame]:
-    """Triples and quarantine rows of one source.
+    """Triples and quarantine rows of all sources of one format, each with ``source_id``.
 
-    ``uri`` may be a file, a folder or a pattern.  Files that end in ``.nt`` are read
-    line by line; others as whole documents, or in ``pieces`` where their layout
-    allows it (see the readers).
+    The files are read and staged once, and parsed once for both.
     """
-    if source_type not in READERS:
-        raise ValueError(f"{source_type} sources are not loaded")
-    source = F.lit(source_id)
-    if uri.endswith(".nt"):
-        lines = ntriples.read_lines(spark, uri, with_file=True)
-        good = ntriples.parse(lines, F.concat_ws(".", source, "file"))
-        bad = ntriples.rejects(lines)
-    else:
-        reader = READERS[source_type]
-        if pieces:
-            cut = turtle.read_statements if source_type == "turtle" else rdfxml.read_descriptions
-            docs, scope = cut(spark, uri), F.concat_ws(".", source, "file")
+
+    def scan(source_id: int, path: str) -> DataFrame:
+        if kind == LINES:
+            rows = ntriples.read_lines(spark, path, with_file=True)
+        elif whole:
+            rows = pieces.read_documents(spark, path)
+        elif kind == "turtle":
+            rows = turtle.read_statements(spark, path)
         else:
-            docs = reader.read_documents(spark, uri)
-            scope = F.concat_ws(".", source, "doc")
-        good = reader.parse(docs, "body", "doc", scope=scope, base=F.lit(uri))
-        bad = turtle.rejects(docs, "body", "doc") if reader is turtle else rdfxml.rejects(docs, "body")
-    return (
-        with_source(good, source_id, source_type, graph),
-        bad.select("value", "reason", source.alias("source_id")),
+            rows = rdfxml.read_descriptions(spark, path)
+        return rows.withColumn("source_id", F.lit(source_id))
+
+    docs = stage(reduce(DataFrame.unionByName, [scan(*item) for item in paths.items()]), "documents")
+    scope = F.concat_ws(".", F.col("source_id").cast("string"), "file")
+    if kind == LINES:
+        return ntriples.parse(docs, scope), ntriples.rejects(docs)
+    # Two sources may name the same file.
+    docs = docs.withColumn("doc", F.concat_ws(".", F.col("source_id").cast("string"), "doc"))
+    reader = turtle if kind == "turtle" else rdfxml
+    read = stage(reader.read(docs, "body", "doc", scope=scope, base=F.col("path")), "read")
+    good = read.filter(F.col("reason").isNull())
+    return good, pieces.reasons(read, docs, "body", "doc")
+
+
+def read_sources(
+    spark: SparkSession, sources: DataFrame, base: str = GRAPH_BASE, whole: bool = False
+) -> tuple[DataFrame, DataFrame, list[int]]:
+    """Triples, quarantine rows and ids of all file sources of a resolved catalog.
+
+    A ``uri`` may be a file, a folder or a pattern; relative addresses in a file are
+    resolved against the file's own path.  The ``format`` of a source is ``turtle``,
+    ``rdfxml`` or ``ntriples``.  Files are cut into pieces that many tasks read; ``whole``
+    makes every file one document.
+    """
+    listed = sources.filter(catalog.is_loaded(F.col("type")))
+    # The catalog is edited by hand: one row per source comes to the driver.
+    rows = listed.select("id", "type", "uri", formats(listed).alias("format")).orderBy("id").collect()
+    unknown = sorted({r["format"] for r in rows} - {*FORMATS.values(), LINES})
+    if unknown:
+        raise ValueError(f"formats that cannot be read: {unknown}")
+    good, bad = [], []
+    for kind in sorted({r["format"] for r in rows}):
+        found, wrong = _read_format(spark, kind, {r["id"]: r["uri"] for r in rows if r["format"] == kind}, whole)
+        good.append(found.select(*M.TERMS, "source_id"))
+        bad.append(wrong.select("value", "reason", "source_id"))
+    if not rows:
+        empty = spark.createDataFrame([], M.TRIPLES_SCHEMA)
+        return empty, spark.createDataFrame([], ntriples.QUARANTINE_SCHEMA), []
+    ids = [r["id"] for r in rows]
+    types = F.create_map(*[F.lit(x) for r in rows for x in (r["id"], r["type"])])
+    triples = reduce(DataFrame.unionByName, good).select(
+        *M.TERMS,
+        F.concat(F.lit(base), F.col("source_id").cast("string")).alias("graph"),
+        "source_id",
+        F.element_at(types, F.col("source_id")).alias("source_type"),
     )
+    return triples, reduce(DataFrame.unionByName, bad), ids
+
+
+def read_source(
+    spark: SparkSession, source_id: int, source_type: str, uri: str, base: str = GRAPH_BASE, whole: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Triples and quarantine rows of one source."""
+    if source_type not in FORMATS:
+        raise ValueError(f"{source_type} sources are not loaded")
+    source = spark.createDataFrame([(source_id, source_type, uri)], "id int, type string, uri string")
+    return read_sources(spark, source, base, whole)[:2]
 
 
 def load(
@@ -71,23 +112,16 @@ def load(
     store_path: str,
     quarantine_path: str,
     base: str = GRAPH_BASE,
-    pieces: bool = False,
+    whole: bool = False,
 ) -> list[str]:
     """Replace the graphs of all file sources of a resolved catalog; returns their names.
 
     The catalog has one row per source; endpoints and fragment servers are skipped.
     Bad statements and documents take the place of the sources' rows in the quarantine table.
     """
-    rows = sources.filter(catalog.is_loaded(F.col("type"))).select("id", "type", "uri").collect()
-    if not rows:
-        return []
-    read = [
-        read_source(spark, row["id"], row["type"], row["uri"], graph_name(row["id"], base), pieces)
-        for row in rows
-    ]
-    graphs = [graph_name(row["id"], base) for row in rows]
-    triples = stage(reduce(DataFrame.unionByName, [good for good, _ in read]), "load")
-    store.replace(triples, store_path, graphs)
-    rejects = reduce(DataFrame.unionByName, [bad for _, bad in read])
-    store.quarantine(rejects, quarantine_path, [row["id"] for row in rows])
+    triples, rejects, ids = read_sources(spark, sources, base, whole)
+    graphs = [graph_name(i, base) for i in ids]
+    if ids:
+        store.replace(triples, store_path, graphs)
+        store.quarantine(rejects, quarantine_path, ids)
     return graphs

@@ -11,13 +11,17 @@ from rdfweave.sources import rdfxml
 COUNT_PATH = "$.results.bindings[0].count.value"
 
 
+def number(body: Column, path: str) -> Column:
+    """The whole number at a path of a JSON text; null where there is none."""
+    return F.get_json_object(body, path).try_cast("long")
+
+
 def counts(answers: DataFrame) -> DataFrame:
     """``(source_id, body)`` -> ``(source_id, solutions)``.
 
     An empty or unreadable answer contributes nothing.
     """
-    number = F.get_json_object("body", COUNT_PATH).try_cast("long")
-    return answers.select("source_id", number.alias("solutions")).filter(
+    return answers.select("source_id", number(F.col("body"), COUNT_PATH).alias("solutions")).filter(
         F.col("solutions").isNotNull()
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rdfweave import model as M
-from rdfweave.operators.stage import join_catalog
+from rdfweave.sources import pieces
 from rdfweave.sources.turtle import resolve_iri
 
 _XML = "{http://www.w3.org/XML/1998/namespace}"
@@ -161,24 +161,29 @@ def _documents(docs: DataFrame, body: str) -> DataFrame:
     return docs.mapInPandas(read, schema)
 
 
-def parse(
+def read(
     docs: DataFrame,
     body: str,
     doc: str,
     scope: Column | None = None,
     base: Column | None = None,
 ) -> DataFrame:
-    """Triples of all readable documents, with the other columns of ``docs``.
+    """Triples of all readable documents, and one row with a ``reason`` for each other one.
 
-    ``doc`` names a unique key column fit for blank-node labels.  Labels written in
-    a document are scoped by ``scope`` (default: the document itself).
+    Other columns of ``docs`` are kept.  ``doc`` names a unique key column fit for
+    blank-node labels.  Labels written in a document are scoped by ``scope`` (default:
+    the document itself).
     """
     scope = F.col(doc) if scope is None else scope
     start = F.lit(None).cast("string") if base is None else base
     keep = [c for c in docs.columns if c != body]
     placed = docs.withColumn("_scope", scope.cast("string")).withColumn("_start", start)
     rows = _documents(placed, body).select(
-        *keep, "_scope", F.coalesce("_base", "_start").alias("_base"), F.inline("_found")
+        *keep,
+        "_scope",
+        F.coalesce(resolve_iri(F.col("_base"), F.col("_start")), F.col("_start")).alias("_base"),
+        F.col("_reason").alias("reason"),
+        F.inline_outer("_found"),
     )
 
     def term(value: Column, kind: Column) -> Column:
@@ -192,8 +197,10 @@ def parse(
             .otherwise(value)
         )
 
-    return rows.select(
+    stated = F.col("p").isNotNull() | F.col("reason").isNotNull()
+    return rows.filter(stated).select(
         *keep,
+        "reason",
         term(F.col("s"), F.col("s_kind")).alias("s"),
         "s_kind",
         "p",
@@ -204,6 +211,17 @@ def parse(
     )
 
 
+def parse(
+    docs: DataFrame,
+    body: str,
+    doc: str,
+    scope: Column | None = None,
+    base: Column | None = None,
+) -> DataFrame:
+    """The triples that ``read`` finds."""
+    return read(docs, body, doc, scope, base).filter(F.col("reason").isNull()).drop("reason")
+
+
 def rejects(docs: DataFrame, body: str) -> DataFrame:
     """Documents that cannot be read, as quarantine rows with the whole text."""
     keep = [c for c in docs.columns if c != body]
@@ -212,36 +230,52 @@ def rejects(docs: DataFrame, body: str) -> DataFrame:
     )
 
 
-def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Whole files as documents: ``(doc, body)``."""
-    return spark.read.text(paths, wholetext=True).select(
-        F.sha1(F.col("_metadata.file_path")).alias("doc"), F.col("value").alias("body")
+# The start of a file up to its root element, and the end of one.
+_HEAD = r"^\s*(?:<\?xml[^<>]*\?>)?\s*(?:<!--(?:[^-]|-(?!->))*+-->\s*)*<(?:[A-Za-z_][\w.\-]*:)?RDF(?:\s[^<>]*[^<>/]|\s)?>"
+_TAIL = r"</(?:[A-Za-z_][\w.\-]*:)?RDF\s*>\s*$"
+_ROOT = r"<((?:[A-Za-z_][\w.\-]*:)?RDF)[\s>]"
+
+
+def _balanced(text: Column) -> Column:
+    """Whether every element that begins in a piece ends there.  Pieces with comments,
+    other markup declarations or a ``>`` that ends no tag count as not."""
+    opens = F.regexp_count(text, F.lit(r"<[^<>/!?](?:[^<>]*[^<>/])?>"))
+    closes = F.regexp_count(text, F.lit(r"</[^<>]*>"))
+    empty = F.regexp_count(text, F.lit(r"<[^<>/!?][^<>]*/>"))
+    tags = opens + closes + empty
+    return (
+        (opens == closes)
+        & (F.regexp_count(text, F.lit("<")) == tags)
+        & (F.regexp_count(text, F.lit(">")) == tags)
     )
 
 
+def _marked(found: DataFrame) -> DataFrame:
+    head = F.when(F.col("first"), F.regexp_extract("text", _HEAD, 0)).otherwise("")
+    rest = F.substring("text", F.length(head) + 1, F.length("text"))
+    ended = F.regexp_like(rest, F.lit(_TAIL))
+    content = F.trim(F.when(F.col("last"), F.regexp_replace(rest, _TAIL, "")).otherwise(rest))
+    content = F.regexp_replace(content, r"^\s+$", "")
+    alone = (~F.col("first") | (head != "")) & (~F.col("last") | ended)
+    return found.withColumns(
+        {"declares": F.when(head != "", head), "content": content}
+    ).withColumn("alone", alone & _balanced(F.col("content")))
+
+
+def _foot(head: Column) -> Column:
+    return F.concat(F.lit("</"), F.regexp_extract(head, _ROOT, 1), F.lit(">"))
+
+
+def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Whole files as documents: ``(doc, file, path, body)``."""
+    return pieces.read_documents(spark, paths)
+
+
 def read_descriptions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files of any size, cut after every ``</rdf:Description>``: ``(doc, file, body)``.
+    """Files of any size, cut after every ``</rdf:Description>``: ``(doc, file, path, body)``.
 
-    For files made of flat ``rdf:Description`` elements; such a file is read by many
-    tasks.  Every piece gets the root element of its file, so that prefixes hold.
+    A file whose elements all end before the cuts is read by many tasks; every piece gets
+    the root element of its file, so that prefixes hold.  Any other file is one document.
     Scope blank nodes by ``file``.
     """
-    pieces = spark.read.option("lineSep", _CLOSE).text(paths).select(
-        F.sha1(F.col("_metadata.file_path")).alias("file"),
-        "value",
-        F.monotonically_increasing_id().alias("piece"),
-    )
-    root = r"(?s)(<rdf:RDF\b[^>]*>)"
-    heads = (
-        pieces.filter(F.contains("value", F.lit("<rdf:RDF")))
-        .groupBy("file")
-        .agg(F.first(F.regexp_extract("value", root, 1)).alias("head"))
-    )
-    elements = pieces.withColumn(
-        "element", F.regexp_extract("value", r"(?s)(<rdf:Description\b.*)$", 1)
-    ).filter(F.col("element") != "")
-    return join_catalog(elements, heads, ["file"]).select(
-        F.concat_ws(".", "file", F.col("piece").cast("string")).alias("doc"),
-        "file",
-        F.concat("head", "element", F.lit(f"{_CLOSE}</rdf:RDF>")).alias("body"),
-    )
+    return pieces.read(spark, paths, _CLOSE, _marked, _foot)

@@ -13,29 +13,34 @@ from pyspark.sql import functions as F
 
 from rdfweave import model as M
 from rdfweave.functions.text import unescape
-from rdfweave.operators.stage import join_catalog
+from rdfweave.sources import pieces
 
 # Token patterns, tried in this order.  Repeats are possessive, so long literals
 # cannot overflow the matcher's stack.
 _LOCAL = r"[\p{L}\p{N}_:\-]|%[0-9a-fA-F]{2}|\\[_~.!$&'()*+,;=/?#@%\-]"
-TOKEN = "|".join(
-    [
-        r"#[^\n\r]*+",
-        r'<[^<>"{}|^`\x00-\x20]*+>',
-        r'"""[^"\\]*+(?:(?:\\.|"(?!""))[^"\\]*+)*+"""',
-        r"'''[^'\\]*+(?:(?:\\.|'(?!''))[^'\\]*+)*+'''",
-        r'"[^"\\\n\r]*+(?:\\.[^"\\\n\r]*+)*+"',
-        r"'[^'\\\n\r]*+(?:\\.[^'\\\n\r]*+)*+'",
-        r"@[a-zA-Z]+(?:-[a-zA-Z0-9]+)*+",
-        r"\^\^",
-        r"_:[\p{L}\p{N}_](?:[\p{L}\p{N}_\-]|\.++(?=[\p{L}\p{N}_\-]))*+",
-        rf"(?:\p{{L}}(?:[\p{{L}}\p{{N}}_\-]|\.(?=[\p{{L}}\p{{N}}_\-.]*:))*+)?:(?:{_LOCAL}|\.++(?={_LOCAL}))*+",
-        r"[+-]?(?:[0-9]++\.[0-9]*+[eE][+-]?[0-9]++|\.?[0-9]++[eE][+-]?[0-9]++|[0-9]*+\.[0-9]++|[0-9]++)",
-        r"[a-zA-Z]++",
-        r"[.;,\[\]()]",
-        r"\S",
-    ]
-)
+_COMMENT = r"#[^\n\r]*+"
+_IRI = r'<[^<>"{}|^`\x00-\x20]*+>'
+_LONG = [
+    r'"""[^"\\]*+(?:(?:\\.|"(?!""))[^"\\]*+)*+"""',
+    r"'''[^'\\]*+(?:(?:\\.|'(?!''))[^'\\]*+)*+'''",
+]
+_SHORT = [
+    r'"[^"\\\n\r]*+(?:\\.[^"\\\n\r]*+)*+"',
+    r"'[^'\\\n\r]*+(?:\\.[^'\\\n\r]*+)*+'",
+]
+_NAMES = [
+    r"_:[\p{L}\p{N}_](?:[\p{L}\p{N}_\-]|\.++(?=[\p{L}\p{N}_\-]))*+",
+    rf"(?:\p{{L}}(?:[\p{{L}}\p{{N}}_\-]|\.(?=[\p{{L}}\p{{N}}_\-.]*:))*+)?:(?:{_LOCAL}|\.++(?={_LOCAL}))*+",
+]
+_REST = [
+    r"@[a-zA-Z]+(?:-[a-zA-Z0-9]+)*+",
+    r"\^\^",
+    r"[+-]?(?:[0-9]++\.[0-9]*+[eE][+-]?[0-9]++|\.?[0-9]++[eE][+-]?[0-9]++|[0-9]*+\.[0-9]++|[0-9]++)",
+    r"[a-zA-Z]++",
+    r"[.;,\[\]()]",
+    r"\S",
+]
+TOKEN = "|".join([_COMMENT, _IRI, *_LONG, *_SHORT, *_NAMES, *_REST])
 _NUMBER = r"^[+-]?\.?[0-9][0-9.eE+-]*$"
 _MARKS = [".", ";", ",", "[", "]", "(", ")"]
 
@@ -61,17 +66,40 @@ def _mark(token: Column) -> Column:
     )
 
 
+def _without_dots(iri: Column) -> Column:
+    """An address with the ``.`` and ``..`` segments of its path carried out."""
+    parts = r"^([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/?#]*)?)(/[^?#]*)([?#].*)?$"
+    segments = F.split(F.regexp_extract(iri, parts, 2), "/")
+    # The first segment is empty and stands for the root; a last dot leaves a slash.
+    kept = F.aggregate(
+        segments,
+        F.array().cast("array<string>"),
+        lambda done, x: F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .when(x == ".", done)
+        .otherwise(F.concat(done, F.array(x))),
+    )
+    tail = F.when(F.element_at(segments, -1).isin(".", ".."), "/").otherwise("")
+    clean = F.concat(
+        F.regexp_extract(iri, parts, 1), F.array_join(kept, "/"), tail, F.regexp_extract(iri, parts, 3)
+    )
+    return F.when(F.regexp_like(iri, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/?#]*)?/(?:[^?#]*/)?\.\.?(?:[/?#]|$)")), clean).otherwise(iri)
+
+
 def resolve_iri(iri: Column, base: Column) -> Column:
     """``iri`` against ``base``: absolute, ``//host``, ``/path``, ``#part``, ``?query``, relative."""
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/?#]*)?)", 1)
+    path = F.substring(F.regexp_replace(base, "[?#].*$", ""), F.length(origin) + 1, F.length(base))
+    # A host without a path has the root for its folder.
+    root = F.when((path == "") & F.contains(origin, F.lit("//")), "/").otherwise("")
+    folder = F.concat(origin, root, F.regexp_replace(path, "[^/]*$", ""))
     return (
         F.when(base.isNull() | F.regexp_like(iri, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:")), iri)
         .when(iri == "", F.substring_index(base, "#", 1))
         .when(iri.startswith("//"), F.concat(F.substring_index(base, ":", 1), F.lit(":"), iri))
-        .when(iri.startswith("/"), F.concat(origin, iri))
+        .when(iri.startswith("/"), _without_dots(F.concat(origin, iri)))
         .when(iri.startswith("#"), F.concat(F.substring_index(base, "#", 1), iri))
         .when(iri.startswith("?"), F.concat(F.regexp_replace(base, "[?#].*$", ""), iri))
-        .otherwise(F.concat(F.regexp_replace(F.regexp_replace(base, "[?#].*$", ""), "[^/]*$", ""), iri))
+        .otherwise(_without_dots(F.concat(folder, iri)))
     )
 
 
@@ -221,33 +249,47 @@ def _items(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFra
     return rows.withColumn("reason", reason).drop("declares", "untyped")
 
 
-def parse(
+def read(
     docs: DataFrame,
     body: str,
     doc: str,
     scope: Column | None = None,
     base: Column | None = None,
 ) -> DataFrame:
-    """Triples of all readable documents, with the other columns of ``docs``.
+    """Triples of all readable documents, and rows with a ``reason`` for all others.
 
-    ``doc`` names a unique key column fit for blank-node labels.  Labels written in
-    a document are scoped by ``scope`` (default: the document itself).
+    Other columns of ``docs`` are kept.  ``doc`` names a unique key column fit for
+    blank-node labels.  Labels written in a document are scoped by ``scope`` (default:
+    the document itself).  A document has triples or reasons, never both.
     """
     scope = F.col(doc) if scope is None else scope
     placed = docs.withColumn("_scope", scope.cast("string"))
     keep = [c for c in docs.columns if c != body]
     rows = _structure(_readable(placed, body, doc, base), doc)
     whole = Window.partitionBy(doc)
-    good = rows.withColumn("_wrong", F.max("wrong").over(whole)).filter(F.col("_wrong").isNull())
-    return _triples(good, doc, keep)
+    return _triples(rows.withColumn("_wrong", F.max("wrong").over(whole)), doc, keep)
+
+
+def parse(
+    docs: DataFrame,
+    body: str,
+    doc: str,
+    scope: Column | None = None,
+    base: Column | None = None,
+) -> DataFrame:
+    """The triples that ``read`` finds."""
+    return read(docs, body, doc, scope, base).filter(F.col("reason").isNull()).drop("reason")
 
 
 def _readable(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFrame:
-    """Terms and marks of the documents whose tokens are all in order."""
+    """Terms and marks; of a document with a token out of order its last token alone.
+
+    ``bad`` says what is out of order.
+    """
     items = _items(docs, body, doc, base)
-    bad = F.max("reason").over(Window.partitionBy(doc))
-    good = items.withColumn("_bad", bad).filter(F.col("_bad").isNull() & ~F.col("attached"))
-    return good.drop("_bad", "reason", "attached")
+    bad, last = F.max("reason").over(Window.partitionBy(doc)), F.col("after_pos").isNull()
+    items = items.withColumn("bad", bad).filter(F.when(F.col("bad").isNull(), ~F.col("attached")).otherwise(last))
+    return items.withColumn("kind", F.when(F.col("bad").isNotNull(), ".").otherwise(F.col("kind"))).drop("reason", "attached")
 
 
 def _structure(items: DataFrame, doc: str) -> DataFrame:
@@ -323,7 +365,8 @@ def _structure(items: DataFrame, doc: str) -> DataFrame:
     no_object = F.col("is_predicate") & ~next_role.eqNullSafe(F.lit("term"))
     alone = F.col("starts") & is_term & (F.col("kind") != "[") & (next_role == ".")
     wrong = (
-        F.when(~in_list & F.col("is_predicate") & (F.col("kind") != M.IRI), "predicate is no IRI")
+        F.when(F.col("bad").isNotNull(), F.col("bad"))
+        .when(~in_list & F.col("is_predicate") & (F.col("kind") != M.IRI), "predicate is no IRI")
         .when(
             (F.col("depth") == 0) & F.col("starts") & (F.col("kind") == M.LITERAL), "subject is a literal"
         )
@@ -343,7 +386,7 @@ def _made(doc: str, kind: str, pos: Column) -> Column:
 
 
 def _triples(rows: DataFrame, doc: str, keep: list[str]) -> DataFrame:
-    """The triples that the terms of readable documents state."""
+    """The triples that the terms of readable documents state, and what is wrong with others."""
     in_list, is_term = F.col("in_list"), F.col("role") == "term"
 
     def triple(s_kind: Column, s: Column, p: Column, o: Column) -> Column:
@@ -381,70 +424,62 @@ def _triples(rows: DataFrame, doc: str, keep: list[str]) -> DataFrame:
             F.col("node"),
         )
     )
-    return (
-        rows.filter(is_term & (in_list | (~F.col("starts") & ~F.col("is_predicate"))))
-        .select(*keep, F.inline(F.when(in_list, listed).otherwise(stated)))
+    good = F.col("_wrong").isNull()
+    states = good & is_term & (in_list | (~F.col("starts") & ~F.col("is_predicate")))
+    nothing = triple(none, none, none, plain(none, none))
+    facts = F.when(~good, F.array(nothing)).when(in_list, listed).otherwise(stated)
+    return rows.filter(states | F.col("wrong").isNotNull()).select(
+        *keep, F.col("wrong").alias("reason"), F.inline(facts)
     )
 
 
 def rejects(docs: DataFrame, body: str, doc: str, base: Column | None = None) -> DataFrame:
     """Documents that cannot be read, as quarantine rows with the whole text."""
-    keep = [c for c in docs.columns if c != body]
-    placed = docs.withColumn("_scope", F.col(doc).cast("string"))
-    found = [
-        _items(placed, body, doc, base).select(F.col(doc).alias("_doc"), "reason"),
-        _structure(_readable(placed, body, doc, base), doc).select(
-            F.col(doc).alias("_doc"), F.col("wrong").alias("reason")
-        ),
-    ]
-    reasons = (
-        found[0]
-        .unionByName(found[1])
-        .filter(F.col("reason").isNotNull())
-        .groupBy("_doc")
-        .agg(F.max("reason").alias("reason"))
-    )
-    return docs.join(reasons, F.col(doc) == F.col("_doc"), "inner").select(
-        F.col(body).alias("value"), "reason", *keep
-    )
+    return pieces.reasons(read(docs, body, doc, base=base), docs, body, doc)
+
+
+# What the start of a piece may declare, with comments before it.
+_DECLARED = r"\s+[^\s:<>\"'#]*:\s*<[^<>\s]*>"
+_DIRECTIVE = rf"@prefix{_DECLARED}\s*\.|(?i:prefix){_DECLARED}|@base\s*<[^<>\s]*>\s*\.|(?i:base)\s*<[^<>\s]*>"
+_LEAD = rf"^(?:\s++|{_COMMENT}|{_DIRECTIVE})*+"
+# Tokens that may hold brackets, dots or words without meaning them.  Three quotes
+# open a long literal, so they are never an empty one.
+_OPAQUE = "(?s)" + "|".join(
+    [rf"({_COMMENT})", _IRI, *_LONG, r'(?!""")' + _SHORT[0], r"(?!''')" + _SHORT[1], *_NAMES]
+)
+SEPARATOR = " .\n"
+
+
+def _alone(text: Column) -> Column:
+    """Whether a piece ends outside all literals and brackets, behind the dot of a statement."""
+    # Every opaque token but a comment leaves a mark.
+    bare = F.regexp_replace(F.regexp_replace(text, _OPAQUE, " x $1"), rf"\s*+x {_COMMENT}|\s+", " ")
+    bare = F.trim(bare)
+    level = F.regexp_count(bare, F.lit(r"[\[(]")) - F.regexp_count(bare, F.lit(r"[\])]"))
+    directive = F.regexp_like(bare, F.lit(r"(?i)\b(?:prefix|base)\b"))
+    quote = F.regexp_like(bare, F.lit("[\"']"))
+    return (text == "") | (bare.endswith(".") & (level == 0) & ~directive & ~quote)
+
+
+def _marked(found: DataFrame) -> DataFrame:
+    lead = F.regexp_extract("text", _LEAD, 0)
+    declared = F.trim(F.regexp_replace(lead, rf"(<[^<>\s]*>)|{_COMMENT}", "$1"))
+    content = F.substring("text", F.length(lead) + 1, F.length("text"))
+    return found.withColumns(
+        {"declares": F.when(F.contains(declared, F.lit("<")), declared), "content": content}
+    ).withColumn("alone", _alone(F.col("content")))
 
 
 def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Whole files as documents: ``(doc, body)``."""
-    return spark.read.text(paths, wholetext=True).select(
-        F.sha1(F.col("_metadata.file_path")).alias("doc"), F.col("value").alias("body")
-    )
+    """Whole files as documents: ``(doc, file, path, body)``."""
+    return pieces.read_documents(spark, paths)
 
 
 def read_statements(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files of any size, cut at every line that ends in `` .``: ``(doc, file, body)``.
+    """Files of any size, cut at line ends behind `` .``: ``(doc, file, path, body)``.
 
-    For files with one statement per such piece, as written by this package; the
-    file is then read by many tasks.  Its directives are put before each piece.
-    Scope blank nodes by ``file``.
+    Such a file is read by many tasks; its directives are put before each piece.  A file
+    whose statements, literals or comments run over a cut, or that declares something
+    behind its first statement, is one document.  Scope blank nodes by ``file``.
     """
-    pieces = spark.read.option("lineSep", " .\n").text(paths).select(
-        F.sha1(F.col("_metadata.file_path")).alias("file"),
-        F.regexp_replace("value", r"\s*\.?\s*$", "").alias("value"),
-        F.monotonically_increasing_id().alias("piece"),
-    )
-    directive = F.regexp_like(F.col("value"), F.lit(r"(?i)^\s*@?(prefix|base)\b"))
-    heads = (
-        pieces.filter(directive)
-        .groupBy("file")
-        .agg(
-            F.array_join(
-                F.transform(
-                    F.sort_array(F.collect_list(F.struct("piece", "value"))),
-                    lambda d: F.concat(d["value"], F.lit(" .")),
-                ),
-                "\n",
-            ).alias("head")
-        )
-    )
-    statements = pieces.filter(~directive & (F.trim("value") != ""))
-    return join_catalog(statements, heads, ["file"], "left").select(
-        F.concat_ws(".", "file", F.col("piece").cast("string")).alias("doc"),
-        "file",
-        F.concat_ws("\n", "head", F.concat("value", F.lit(" ."))).alias("body"),
-    )
+    return pieces.read(spark, paths, SEPARATOR, _marked)

@@ -164,22 +164,21 @@ SAMPLE = [("a", "p", '"x . y"'), ("a", "p", '"2"^^int'), ("a", "q", "_:n"), ("_:
 
 def test_turtle_blocks_read_back(spark, tmp_path):
     data = triples(spark, [*SAMPLE, *[("hot", "p", f'"{i}"') for i in range(200)]])
-    blocks = resources.turtle_blocks(data, rows=30, large=True)
+    blocks = resources.turtle_blocks(data, parts=4)
     assert blocks.filter(F.col("s") == N + "hot").count() > 1
     docs = blocks.select(F.concat_ws("-", F.sha1("s"), "part").alias("doc"), "value")
     back = turtle.parse(docs, "value", "doc", scope=F.lit(0)).withColumn("s", F.regexp_replace("s", "^_:s0.", "_:")).withColumn("o", F.regexp_replace("o", "^_:s0.", "_:"))
     assert rows_of(back) == rows_of(data)
 
 
-def test_resource_map_splits_a_hot_subject(spark):
-    data = triples(spark, [("hot", "p", f'"{i}"') for i in range(200)] + SAMPLE)
-    for large in (False, True):
-        nested = resources.resource_map(data, rows=30, large=large).collect()
-        hot = [r for r in nested if r["s"] == N + "hot"]
-        assert len(hot) > 1
-        assert sorted(o["value"] for r in hot for o in r["properties"][N + "p"]) == sorted(str(i) for i in range(200))
-    whole = resources.resource_map(data, rows=1000).filter(F.col("s") == N + "a").first()
-    assert [o["value"] for o in whole["properties"][N + "p"]] == ["2", "x . y"]
+@pytest.mark.parametrize("size", [2, 3000])
+def test_resource_map_has_one_shape_at_any_size(spark, size):
+    data = triples(spark, [("hot", "p", f'"{i}"') for i in range(size)] + SAMPLE)
+    whole = {r["s"]: r["properties"] for r in resources.resource_map(data).collect()}
+    assert len(whole) == 4 and len(whole[N + "hot"][N + "p"]) == size
+    assert [o["value"] for o in whole[N + "a"][N + "p"]] == ["2", "x . y"]
+    hot = resources.resource_map(data, parts=5).filter(F.col("s") == N + "hot").collect()
+    assert sorted(o["value"] for r in hot for o in r["properties"][N + "p"]) == sorted(str(i) for i in range(size))
 
 
 def test_json_sink(spark, tmp_path):
@@ -235,23 +234,111 @@ def test_load_sources(spark, tmp_path):
     load.load(spark, sources.filter("id = 1"), target, bad)
     assert graph_counts(spark, target) == {"1": 2, "2": 13, "3": 1}
     with pytest.raises(ValueError):
-        load.read_source(spark, 9, "sparql", "x", "g")
+        load.read_source(spark, 9, "sparql", "x")
+
+
+EX = "@prefix ex: <http://ex.org/> .\n"
+MANY = "".join(f"ex:s{i} ex:p _:n , {i} .\n" for i in range(6))
+TURTLE_FILES = {
+    # name: (text, whether it is cut)
+    "plain": (EX + MANY, True),
+    "no line end": (EX + MANY + "ex:last ex:p 1 .", True),
+    "dot without a space": (EX + MANY + "ex:last ex:p ex:x.", True),
+    "comment first": ("# A file .\n# @prefix old: <http://old.org/> .\n" + EX + MANY, True),
+    "other directives": ("PREFIX ex: <http://ex.org/>\nBASE <http://ex.org/b/>\n" + MANY + "<c> ex:p <../d> .\n", True),
+    "nodes after a directive": ("PREFIX ex: <http://ex.org/>\nex:a ex:p [ ex:q [ ] ] .\n" + MANY, True),
+    "prefixes named like directives": (
+        "@prefix base: <http://b.org/> .\n@prefix prefix: <http://p.org/> .\nbase:a prefix:b base:c .\nprefix:a base:b 1 .\n",
+        True,
+    ),
+    "one statement": ("<http://a.org/> <http://b.org/> 1 .\n", True),
+    "literals like ends": (EX + 'ex:a ex:p """one .\ntwo .\n""" .\n' + MANY, False),
+    "quotes that balance": (EX + 'ex:a ex:p """ say " .\n "x" .\n""" .\n', False),
+    "comment over a cut": (EX + "ex:a ex:p # note .\n ex:o .\n" + MANY, False),
+    "statement begun before a comment": (EX + "ex:a ex:p ex:o . ex:b # note .\n ex:p 2 .\n" + MANY, False),
+    "bracket over a cut": (EX + "ex:a ex:p ( 1 # two .\n3 ) .\n", False),
+    "late directive": (EX + MANY + "@prefix ex: <http://new.org/> .\n" + MANY, False),
+    "declared twice": (EX + "@prefix ex: <http://new.org/> .\n" + MANY, True),
+    "windows line ends": ((EX + MANY).replace("\n", "\r\n"), True),
+    "marks in literals": (EX + "ex:a ex:p '# [ prefix', \"( .\" , <http://x/#a> .\n" + MANY, True),
+}
+RDF_ROOT = '<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:v="http://ex.org/v#">\n'
+FLAT = "".join(
+    f'<rdf:Description rdf:about="http://ex.org/{i}"><v:p rdf:nodeID="n"/><v:q>{i}</v:q></rdf:Description>\n' for i in range(6)
+)
+CITY = '<v:City rdf:about="http://ex.org/c"><v:name>x</v:name></v:City>\n'
+RDF_FILES = {
+    "plain": ("<?xml version='1.0'?>\n<!-- a - note -->\n" + RDF_ROOT + FLAT + "</rdf:RDF>\n", True),
+    "typed elements": (RDF_ROOT + CITY + FLAT + CITY + "</rdf:RDF>", True),
+    "no description": (RDF_ROOT + CITY + "</rdf:RDF>", True),
+    "other root": ((RDF_ROOT + CITY + "</rdf:RDF>").replace("rdf:", "r:").replace("xmlns:rdf", "xmlns:r"), True),
+    "nested": (RDF_ROOT + f"<v:T><v:p>{FLAT.splitlines()[0]}</v:p></v:T>" + FLAT + "</rdf:RDF>", False),
+    "comment": (RDF_ROOT + FLAT + "<!-- </rdf:Description> -->" + FLAT + "</rdf:RDF>", False),
+    "relative": (RDF_ROOT.replace(">", ' xml:base="http://ex.org/b/c">') + FLAT.replace("http://ex.org/", "../") + "</rdf:RDF>", True),
+}
+
+
+@pytest.mark.parametrize("kind, files", [("turtle", TURTLE_FILES), ("rdf", RDF_FILES)])
+def test_pieces_lose_nothing(spark, tmp_path, kind, files):
+    """Every file gives the same triples whole and in pieces, and blank nodes link alike."""
+    for i, (body, _) in enumerate(files.values()):
+        (tmp_path / f"{i}.x").write_bytes(body.encode())
+
+    def linked(rows):
+        # Blank nodes are told apart by what is said of them.
+        found = {}
+        names = sorted({x for r in rows for x, k in ((r["s"], r["s_kind"]), (r["o"], r["o_kind"])) if k == "bnode"})
+        facts = {n: sorted((r["p"], r["o"] if r["o_kind"] != "bnode" else "_", r["s"] == n) for r in rows if n in (r["s"], r["o"])) for n in names}
+        for r in rows:
+            key = tuple(str(facts[x]) if k == "bnode" else x for x, k in ((r["s"], r["s_kind"]), (r["o"], r["o_kind"])))
+            found.setdefault((key[0], r["p"], key[1], r["o_datatype"]), 0)
+            found[(key[0], r["p"], key[1], r["o_datatype"])] += 1
+        return found
+
+    one = {}
+    for whole in (True, False):
+        good, bad = load.read_source(spark, 1, kind, str(tmp_path), whole=whole)
+        one[whole] = linked(good.collect())
+        assert [tuple(r) for r in bad.collect()] == []
+    assert one[True] == one[False] and len(one[True]) > 25
+    reader = turtle.read_statements if kind == "turtle" else rdfxml.read_descriptions
+    cut = {r["path"].rsplit("/", 1)[1]: r["cut"] for r in reader(spark, str(tmp_path)).groupBy("path").agg(F.min(F.col("doc") != F.col("file")).alias("cut")).collect()}
+    assert {n: cut[f"{i}.x"] for i, n in enumerate(files)} == {n: c for n, (_, c) in files.items()}
+
+
+def test_bad_pieces_are_kept_with_their_reason(spark, tmp_path):
+    (tmp_path / "a.ttl").write_text(EX + MANY + "ex:a nowhere:p 1 .\n")
+    (tmp_path / "b.ttl").write_text(EX + "ex:a ex:p [ ex:q 1 .\n" + MANY)
+    good, bad = load.read_source(spark, 1, "turtle", str(tmp_path))
+    assert good.count() == 12  # the other statements of a.ttl
+    got = {r["reason"]: r["value"] for r in bad.collect()}
+    assert set(got) == {"unknown prefix", "unbalanced brackets"}
+    assert got["unbalanced brackets"] == EX + "ex:a ex:p [ ex:q 1 .\n" + MANY
+
+
+@pytest.mark.parametrize(
+    "iri, base, full",
+    [
+        ("../x", "http://ex.org/a/b/c", "http://ex.org/a/x"), ("./x", "http://ex.org/a/b", "http://ex.org/a/x"),
+        ("../../../x", "http://ex.org/a/b", "http://ex.org/x"), ("..", "http://ex.org/a/b/c", "http://ex.org/a/"),
+        (".", "http://ex.org/a/b", "http://ex.org/a/"), ("/a/./b/../c?q=/../d", "http://ex.org/z", "http://ex.org/a/c?q=/../d"),
+        ("x", "http://ex.org", "http://ex.org/x"), ("x/..y", "http://ex.org/", "http://ex.org/x/..y"), ("x", "urn:a", "urn:x"),
+    ],
+)
+def test_relative_addresses(spark, iri, base, full):
+    assert value(spark, turtle.resolve_iri(F.lit(iri), F.lit(base))) == full
 
 
-def test_files_read_in_pieces(spark, tmp_path):
-    data = triples(spark, [(f"s{i}", "p", "_:n") for i in range(20)])
-    blocks = [r["value"] for r in resources.turtle_blocks(data).collect()]
-    path = tmp_path / "big.ttl"
-    path.write_text("@prefix ex: <http://ex.org/> .\n" + "\n".join(blocks) + "\nex:last ex:p 1 .\n", encoding="utf-8")
-    good, bad = load.read_source(spark, 1, "turtle", str(path), "g", pieces=True)
-    assert good.count() == 21 and bad.count() == 0
-    assert len({r["o"] for r in good.filter("o_kind = 'bnode'").collect()}) == 1
-    flat = "".join(f'<rdf:Description rdf:about="x:{i}"><v:p rdf:nodeID="n"/></rdf:Description>\n' for i in range(20))
-    path = tmp_path / "big.rdf"
-    path.write_text('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:v="http://ex.org/">\n' + flat + "</rdf:RDF>", encoding="utf-8")
-    good, bad = load.read_source(spark, 2, "rdf", str(path), "g", pieces=True)
-    assert good.count() == 20 and bad.count() == 0
-    assert len({r["o"] for r in good.collect()}) == 1
+def test_the_format_is_a_column(spark, tmp_path):
+    (tmp_path / "a.txt").write_text(f'_:x <{N}p> "a" .\nbad\n')
+    rows = [(1, "turtle", f"{tmp_path}/a.txt", "ntriples"), (2, "turtle", f"{tmp_path}/a.txt", None)]
+    sources = spark.createDataFrame(rows, "id int, type string, uri string, format string")
+    good, bad, ids = load.read_sources(spark, sources)
+    assert ids == [1, 2]
+    assert [r["source_id"] for r in good.collect()] == [1]
+    assert sorted(r["source_id"] for r in bad.collect()) == [1, 2]
+    with pytest.raises(ValueError, match="csv"):
+        load.read_sources(spark, sources.withColumn("format", F.lit("csv")))
 
 
 def test_catalog(spark):
@@ -314,7 +401,7 @@ def test_error_pages_are_rejected(spark):
 def test_quarantine_is_replaced_and_blank_nodes_are_scoped(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.nt").write_text(f'_:x <{N}p> "{name}" .\nbad line of {name}\n')
-    good, bad = load.read_source(spark, 1, "turtle", f"{tmp_path}/*.nt", "g")
+    good, bad = load.read_source(spark, 1, "turtle", f"{tmp_path}/*.nt")
     assert good.select("s").distinct().count() == 2
     path = str(tmp_path / "quarantine")
     for _ in range(2):
