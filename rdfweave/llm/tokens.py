@@ -11,6 +11,8 @@ import numpy as np
 END = 2
 #: Entries of a worker's word cache; it is emptied when it is full.
 CACHE_WORDS = 400_000
+#: New words that are encoded in one text.
+TOGETHER = 5_000
 #: Separators that stand together; a text with such is encoded whole.
 DOUBLE = (b"  ", b" \n", b"\n ", b"\n\n")
 #: White space besides them, or the beginning of its bytes.
@@ -75,6 +77,9 @@ class Encoder:
         self.end = np.array([END], self.kind).tobytes()
         self.feed = self.whole(["\n"])[0]
         self.spelling = byte_spelling(self.tokenizer)
+        # For space and line feed: the ids that begin with them.
+        words = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.first = {b: np.array([w.startswith(x) for w in words]) for b, x in self.spelling.items() if b in (10, 32)}
         self.tails: dict[str, bytes] = {}  # punctuation behind words
         self.words: dict[str, bytes] = {}  # a word, with its line feed or without its space
 
@@ -89,15 +94,22 @@ class Encoder:
         code = self.code
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def letters(self, word: str) -> bytes:
-        """Ids of letters behind one space or none, which the pre-tokenizer leaves together."""
-        spelled = word.encode().decode("latin-1").translate(self.spelling)
-        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+    def together(self, pieces: list[str], mark: str, first: np.ndarray) -> dict[str, bytes]:
+        """Ids of pieces of letters, encoded side by side in one text with ``mark`` before each.
+
+        ``first`` says which ids begin with the mark; none inside a piece does.
+        """
+        out: dict[str, bytes] = {}
+        parts = [pieces[i : i + TOGETHER] for i in range(0, len(pieces), TOGETHER)]
+        for part, raw in zip(parts, self.whole([mark + mark.join(x) for x in parts]), strict=True):
+            at = (np.flatnonzero(first[self.ids(raw)]) * self.kind.itemsize).tolist()
+            out.update(zip(part, [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)], strict=True)], strict=True))
+        return out
 
     def learn(self, pieces: set[str]) -> None:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        new = pieces - self.words.keys()
+        new = pieces.difference(self.words)
         # Punctuation behind a letter or digit is encoded by itself.
         marked = []
         for p in new:
@@ -106,17 +118,21 @@ class Encoder:
                 if stem and len(stem) < len(p) and stem[-1].isalnum():
                     marked.append((p, stem, p[len(stem) :]))
         new.difference_update([p for p, _, _ in marked])
-        new.update({stem for _, stem, _ in marked} - self.words.keys())
-        tails = list({tail for _, _, tail in marked} - self.tails.keys())
+        new.update({stem for _, stem, _ in marked}.difference(self.words))
+        tails = list({tail for _, _, tail in marked}.difference(self.tails))
         if len(self.tails) > CACHE_WORDS:
             self.tails.clear()
             tails = list({tail for _, _, tail in marked})
         self.tails.update(zip(tails, self.whole(tails), strict=True))
         todo = list(new)
         if self.spelling:
-            self.words.update((p, self.letters(" " + p)) for p in todo if p.isalpha())
-            self.words.update((p, self.feed + self.letters(p[1:])) for p in todo if p[0] == "\n" and p[1:].isalpha())
-            todo = [p for p in todo if p not in self.words]
+            spaced, fed, rest = [], [], []
+            for p in todo:
+                (spaced if p.isalpha() else fed if p[0] == "\n" and p[1:].isalpha() else rest).append(p)
+            self.words.update(self.together(spaced, " ", self.first[32]))
+            found = self.together([p[1:] for p in fed], "\n", self.first[10])
+            self.words.update(("\n" + p, x) for p, x in found.items())
+            todo = rest
         for i in range(0, len(todo), 20_000):
             part = todo[i : i + 20_000]
             self.words.update(zip(part, self.whole([p if p[0] == "\n" else " " + p for p in part]), strict=True))
