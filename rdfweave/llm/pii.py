@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rdfweave.llm import common, words
@@ -119,22 +119,14 @@ PAIR = pa.struct([("value", pa.int64()), ("term", pa.int64()), ("context", pa.in
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, raw in common.chunks(batches):
-        rows: dict[str, list] = {k: [] for k in ("counts", "sha", "base", "values", "pairs")}
+    for _, raw in common.chunks(batches):
+        values, pairs = [], []
         for x in raw:
             text = x.decode("utf-8", "replace")
             spans = base_spans(text)
-            base = named(spans)
-            rows["counts"].append([sum(k == i for _, k, _ in spans) for i in range(4)])
-            rows["sha"].append(hashlib.sha256(base.encode()).hexdigest())
-            rows["base"].append(base)
-            rows["values"].append(sorted({value_hash(k, text[a:b]) for a, k, b in spans}))
-            rows["pairs"].append([dict(zip(("value", "term", "context"), p, strict=True)) for p in contexts(text, spans)])
-        counts = np.array(rows["counts"], np.int64).reshape(-1, 4)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *[pa.array(counts[:, i]) for i in range(4)], pa.array(rows["sha"]), pa.array(rows["base"]), pa.array(rows["values"], pa.list_(pa.int64())), pa.array(rows["pairs"], pa.list_(PAIR))],
-            names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "found", "pairs"],
-        )
+            values.append(sorted({value_hash(k, text[a:b]) for a, k, b in spans}))
+            pairs.append([dict(zip(("value", "term", "context"), p, strict=True)) for p in contexts(text, spans)])
+        yield pa.RecordBatch.from_arrays([pa.array(values, pa.list_(pa.int64())), pa.array(pairs, pa.list_(PAIR))], names=["found", "pairs"])
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +141,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(texts)], names=["term", "texts"])
 
 
-FOUND = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, base string, found array<long>, pairs array<struct<value:long,term:long,context:long>>"
+FOUND = "found array<long>, pairs array<struct<value:long,term:long,context:long>>"
 
 
 def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -160,7 +152,7 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     corpus.  Equal contexts, as copies have them, are evidence once.
     """
     rows = found.count()
-    pairs = found.select(F.explode("pairs").alias("p"), "doc_id").select("p.*", "doc_id")
+    pairs = found.select(F.explode("pairs").alias("p")).select("p.*")
     both = (
         pairs.groupBy("value", "term")
         .agg(F.countDistinct("context").alias("contexts"), F.count(F.lit(1)).alias("together"))
@@ -181,49 +173,90 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def _term_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text_hash, term): the distinct words of each text."""
     for batch, raw in common.chunks(batches):
-        spans = []
+        t = words.Text([x.lower() for x in raw])
+        start, end = t.stretches(words.NOT_WORD)
+        start, end = start[end - start >= 3], end[end - start >= 3]
+        h, owner = t.hashes(start, end), t.owner(start)
+        _, later = words.repeated(words.owned(h, owner))
+        key = batch.column("text_hash").to_numpy()[owner[~later]]
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(h[~later].view(np.int64))], names=["text_hash", "term"])
+
+
+def text_hash() -> Column:
+    """Texts with one hash share their terms; one that has none of them loses nothing."""
+    return F.xxhash64("text")
+
+
+def disclosed(docs: DataFrame, risky: DataFrame) -> DataFrame:
+    """(text_hash, terms): the disclosing terms of every text that holds one.
+
+    A term is marked wherever it stands, most of all in texts without the value.  Its
+    strictest action counts.
+    """
+    actions = common.stage(risky.groupBy("term").agg(F.min("action").alias("action")), "actions")
+    # Staged, so that sizes are known: a short list is broadcast and texts stay in place.
+    return common.stage(
+        common.only(docs, "doc_id", "text").filter("text IS NOT NULL")
+        .select("text", text_hash().alias("text_hash"))
+        .mapInArrow(_words, "text_hash long, term long")
+        .join(actions, "term")
+        .groupBy("text_hash").agg(F.collect_set(F.struct("term", "action")).alias("terms")),
+        "terms",
+    )
+
+
+def all_spans(text: str, terms: list[dict] | None) -> tuple[list, list]:
+    """The base spans of a text, and all spans of it."""
+    base = base_spans(text)
+    if not terms:
+        return base, base
+    t, action = Terms(text), {p["term"]: p["action"] for p in terms}
+    more = [
+        (int(t.start[i]), len(KINDS) + action[int(t.hash[i])], int(t.end[i]))
+        for i in np.flatnonzero(np.isin(t.hash, list(action)))
+        if not any(a < t.end[i] and b > t.start[i] for a, _, b in base)
+    ]
+    return base, sorted(base + more)
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, raw in common.chunks(batches):
+        counts, sha, spans = [], [], []
         for x, terms in zip(raw, batch.column("terms").to_pylist(), strict=True):
-            text = x.decode("utf-8", "replace")
-            base, t = base_spans(text), Terms(text)
-            action: dict[int, int] = {}
-            for p in terms:
-                action[p["term"]] = min(p["action"], action.get(p["term"], 1))
-            more = [
-                (int(t.start[i]), len(KINDS) + action[int(t.hash[i])], int(t.end[i]))
-                for i in np.flatnonzero(np.isin(t.hash, list(action)))
-                if not any(a < t.end[i] and b > t.start[i] for a, _, b in base)
-            ]
-            spans.append(named(sorted(base + more)))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans)], names=["doc_id", "wider"])
+            base, found = all_spans(x.decode("utf-8", "replace"), terms)
+            counts.append([sum(k == i for _, k, _ in base) for i in range(4)])
+            sha.append(hashlib.sha256(named(base).encode()).hexdigest())
+            spans.append(named(found))
+        n = np.array(counts, np.int64).reshape(-1, 4)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), *[pa.array(n[:, i]) for i in range(4)], pa.array(sha), pa.array(spans)],
+            names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"],
+        )
+
+
+SPANS = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string"
+
+
+def terms_of(docs: DataFrame) -> DataFrame:
+    """(text_hash, terms) of every text of ``docs`` that holds a disclosing term."""
+    found = common.stage(common.only(docs, "doc_id", "text").mapInArrow(_found, FOUND), "found")
+    return disclosed(docs, common.stage(disclosing(docs, found), "disclosing"))
 
 
 def find(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every row.
 
-    Terms are looked for only in texts that hold the value they disclose, so a text
-    without personal data has no span.  Null and empty texts have none; repeated rows
-    have equal rows; rows without a doc_id keep their base spans only; an empty table
-    gives an empty result.
+    Spans follow from a row's own text and the disclosing terms of the whole table, with
+    or without a doc_id.  Null and empty texts have none; repeated rows have equal rows;
+    an empty table gives an empty result.
     """
-    source = common.only(docs, "doc_id", "text")
-    found = common.stage(source.mapInArrow(_found, FOUND), "found")
-    risky = common.stage(disclosing(docs, found), "disclosing")
-    # Staged, so that its size is known: a short list is broadcast and texts stay in place.
-    terms = common.stage(
-        found.filter("doc_id IS NOT NULL").select("doc_id", F.explode("found").alias("value"))
-        .join(risky, "value")
-        .groupBy("doc_id").agg(F.collect_set(F.struct("term", "action")).alias("terms")),
-        "terms",
-    )
-    wider = (
-        source.join(terms, "doc_id").select("doc_id", "text", "terms")
-        .mapInArrow(_term_spans, "doc_id long, wider string")
-        .groupBy("doc_id").agg(F.max("wider").alias("wider"))
-    )
-    return found.join(wider, "doc_id", "left").select(
-        "doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", F.coalesce("wider", "base").alias("spans")
+    return (
+        common.only(docs, "doc_id", "text").withColumn("text_hash", text_hash())
+        .join(terms_of(docs), "text_hash", "left").select("doc_id", "text", "terms")
+        .mapInArrow(_spans, SPANS)
     )
 
 

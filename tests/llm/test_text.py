@@ -92,6 +92,17 @@ def test_terms_that_disclose_are_marked(shared, frame):
     assert rows[0]["base_sha256"] == hashlib.sha256(pii.named(pii.base_spans(told[0][1])).encode()).hexdigest()
 
 
+def test_disclosing_terms_go_from_texts_without_the_value(shared, frame):
+    names = ["alpha", "bravo", "carol", "delta", "eagle", "fable"]
+    filler = [(100 + i, f"{names[i % 6]} walks {names[(i + 1) % 6]} home") for i in range(600)]
+    told = [(i, f"{names[i]} wrote that Zebulon uses {names[i + 1]} me@home.org {names[i + 2]} always") for i in range(4)]
+    alone = [(2000, "today Zebulon came"), (None, "today Zebulon came"), (2010, "once Zebulon"), (2010, "two, Zebulon"), (2010, None), (2020, "")]
+    spans = [(r["doc_id"], r["spans"]) for r in pii.find(shared, frame(told + filler + alone)).collect() if r["doc_id"] is None or r["doc_id"] >= 2000]
+    # Eight texts with the term, four with the value: it discloses 1 - ln 2 / ln 152 = 0.86.
+    want = [(2000, "general:6:13"), (None, "general:6:13"), (2010, "general:5:12"), (2010, "general:5:12"), (2010, ""), (2020, "")]
+    assert sorted(spans, key=str) == sorted(want, key=str)
+
+
 def test_personal_data_is_replaced(shared, frame):
     docs = frame([*ODD, (8, "write a@b.cd or +1 (974) 555-3436")])
     clean = pii.without_personal_data(shared, docs)
