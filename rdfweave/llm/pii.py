@@ -274,24 +274,25 @@ def sanitised(text: str, spans: str) -> str:
 def without_personal_data(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced in ``text`` and ``n_chars`` counted anew.
 
-    Rows without personal data stay as they are.
+    Spans follow from a row's own text, whatever its doc_id.  Rows without personal data
+    stay as they are.
     """
-    spans = find(spark, docs).filter("spans <> ''").groupBy("doc_id").agg(F.max("spans").alias("_spans"))
+    terms = terms_of(docs).select(F.col("text_hash").alias("_text_hash"), F.col("terms").alias("_terms"))
 
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = batch.column("_spans").to_pylist()
-            clean = [t if s is None or t is None else sanitised(t, s) for t, s in zip(batch.column("text").to_pylist(), found, strict=True)]
+        for batch, raw in common.chunks(batches):
             columns = {n: batch.column(n) for n in names}
+            found = [named(all_spans(x.decode("utf-8", "replace"), terms)[1]) for x, terms in zip(raw, batch.column("_terms").to_pylist(), strict=True)]
+            clean = [sanitised(t, s) if s else t for t, s in zip(columns["text"].to_pylist(), found, strict=True)]
             columns["text"] = pa.array(clean, columns["text"].type)
             if "n_chars" in columns:
-                counts = [n if s is None or t is None else len(t) for t, s, n in zip(clean, found, columns["n_chars"].to_pylist(), strict=True)]
+                counts = [len(t) if s else n for t, s, n in zip(clean, found, columns["n_chars"].to_pylist(), strict=True)]
                 columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
 
-    return docs.join(spans, "doc_id", "left").mapInArrow(run, docs.schema)
+    return docs.withColumn("_text_hash", text_hash()).join(terms, "_text_hash", "left").mapInArrow(run, docs.schema)
 
 
 def op2_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:

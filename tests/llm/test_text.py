@@ -113,6 +113,13 @@ def test_personal_data_is_replaced(shared, frame):
     assert pii.find(shared, frame([])).count() == 0
 
 
+def test_personal_data_goes_by_the_text_of_a_row(shared, frame):
+    docs = frame([(None, "write a@b.cd"), (None, "quiet"), (3, "from a@b.cd on"), (3, "plain words stay here"), (3, "to c@d.ef"), (3, None)])
+    rows = [(r["doc_id"], r["text"]) for r in pii.without_personal_data(shared, docs).collect()]
+    want = [(None, "write [EMAIL]"), (None, "quiet"), (3, "from [EMAIL] on"), (3, "plain words stay here"), (3, "to [EMAIL]"), (3, None)]
+    assert sorted(rows, key=str) == sorted(want, key=str)
+
+
 def test_trees_learn_and_step_alike():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 5)).astype(np.float32)
