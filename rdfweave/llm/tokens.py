@@ -63,7 +63,7 @@ class Encoder:
 
     The byte-level pre-tokenizer never joins a single space or line feed to what stands
     before it, nor a line feed to the word behind it, nor a letter to punctuation.  So a text may be cut there, and
-    each distinct piece is encoded once.
+    each distinct piece is encoded once.  A text with the string of an added token is encoded whole.
     """
 
     def __init__(self, path: str | None = None) -> None:
@@ -71,12 +71,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or default_path())
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
+        # Strings of added tokens are ids of their own wherever they stand in a text.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.kind = np.dtype("<u2" if self.code == "H" else "<u4")
         self.end = np.array([END], self.kind).tobytes()
         self.feed = self.whole(["\n"])[0]
         self.spelling = byte_spelling(self.tokenizer)
+        if any(x.replace(" ", "").replace("\n", "").isalpha() for x in self.added):
+            self.spelling = {}  # words set side by side could spell one
         # For space and line feed: the ids that begin with them.
         words = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.first = {b: np.array([w.startswith(x) for w in words]) for b, x in self.spelling.items() if b in (10, 32)}
@@ -142,7 +145,7 @@ class Encoder:
     def encode(self, raw: list[bytes]) -> list[bytes]:
         """Ids of each text, the end id last."""
         texts = [x.decode("utf-8", "replace") for x in raw]
-        simple = [plain(r, x) for r, x in zip(raw, texts, strict=True)]
+        simple = [not any(a in x for a in self.added) and plain(r, x) for r, x in zip(raw, texts, strict=True)]
         whole = iter(self.whole([x for x, s in zip(texts, simple, strict=True) if not s]))
         cut = [x.replace("\n", " \n").split(" ") if s else [] for x, s in zip(texts, simple, strict=True)]
         heads = iter(self.whole([x[0] for x in cut if x]))

@@ -159,6 +159,23 @@ def test_cached_words_give_the_ids_of_whole_texts(monkeypatch):
         assert [encoder.ids(x).tolist() for x in encoder.encode([t.encode() for t in TEXTS])] == want
 
 
+def test_ids_are_those_of_the_tokenizer_file(shared, frame):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokens.default_path())
+    texts = [*TEXTS, "hi <|endoftext|> x", "<|endoftext|>", "a<|endoftext|>b c\nd", "<|endoftext| > x", "one\n<|endoftext|>\ntwo"]
+    want = {i: fresh.encode(t, add_special_tokens=False).ids + [tokens.END] for i, t in enumerate(texts)}
+    assert want[len(TEXTS)] == [5303, 220, 50256, 2124, tokens.END]
+    encoder = tokens.Encoder()
+    for _ in range(2):
+        assert dict(enumerate(encoder.ids(x).tolist() for x in encoder.encode([t.encode() for t in texts]))) == want
+    docs = frame(list(enumerate(texts)))
+    files = tokenfile.encode_documents(shared, docs).collect()
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in files} == {i: (len(x), crc(x)) for i, x in want.items()}
+    pieces = packing.pack_documents(docs, ids=True).collect()
+    assert all(crc(want[r["doc_id"]][r["start"] : r["start"] + r["length"]]) == r["ids_crc32"] for r in pieces) and len(pieces) == len(texts)
+
+
 def test_blocks_come_back():
     rng = np.random.default_rng(4)
     blocks = [rng.integers(0, m, n) for m in (2, 300, 65536) for n in (0, 1, 127, 128, 129, 4096)]
