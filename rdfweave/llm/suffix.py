@@ -4,15 +4,17 @@ Every string of LENGTH bytes is dealt by its key, the least hash of the GRAM-byt
 in it, so equal strings meet in one shard.  Neighbouring strings with one key travel as
 one piece of text.  A key that occurs once has nothing to compare; equal pieces of a key
 are merged to the first of them, as otherwise a group of copies would be a shard without
-bound.  What is left of a key goes to its shard, whose suffixes are sorted by external
-induction with their common prefixes: strings with a common prefix of LENGTH are equal,
-and all but the first are repeated.
+bound.  Strings of a key that still has more than a shard are dealt again by longer grams,
+at last by all their bytes, so that no shard depends on how common a line is.  What is left
+of a key goes to its shard, whose suffixes are sorted by external induction with their
+common prefixes: strings with a common prefix of LENGTH are equal, and all but the first
+are repeated.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,9 @@ from rdfweave.llm.induced import Sorter
 
 LENGTH = 100
 GRAM = 24
-#: Text of a shard that is sorted at once; one key with more is sorted by itself, its
-#: queues on disk.
+#: Grams by which strings of keys with more than a shard are dealt again, the last a whole string.
+LONGER = (62, 81, LENGTH)
+#: Text of a shard that is sorted at once; a key with more is dealt again.
 SHARD_BYTES = 2 << 20
 QUEUE_BYTES = 64 << 20
 
@@ -53,7 +56,8 @@ def pieces(t: words.Text, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nd
     owner = np.repeat(np.arange(t.n), np.diff(t.at))[: len(least)]
     inside = np.arange(len(least)) + length <= t.at[1:][owner] - 1
     first = inside.copy()
-    first[1:] &= (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
+    if gram < length:  # else every string is by itself
+        first[1:] &= (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
     start = np.flatnonzero(first)
     counted = np.concatenate([[0], np.cumsum(inside)])
     strings = counted[np.append(start[1:], len(least))] - counted[start] if len(start) else none
@@ -82,6 +86,25 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def dealt_again(gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Like ``_keyed`` for the wanted pieces of each text, by grams of another length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, raw in common.chunks(batches):
+            for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), raw, batch.column("wanted").to_pylist(), strict=True):
+                # A part of the wanted pieces at a time, as they overlap.
+                for i in range(0, len(wanted), 1000):
+                    part = wanted[i : i + 1000]
+                    owner, start, strings, key, digest, inner = pieces(words.Text([text[w["start"] : w["start"] + w["strings"] + LENGTH - 1] for w in part]), gram=gram)
+                    start = start + np.array([w["start"] for w in part], np.int64)[owner]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(np.full(len(key), doc_id, np.int64)), pa.array(start.astype(np.int32)), pa.array(strings.astype(np.int32)), pa.array(inner)],
+                        names=["key", "digest", "doc_id", "start", "strings", "inner"],
+                    )
+
+    return run
+
+
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key, digest and place: those that repeat an earlier piece, and
     the first of each piece if its key has others (``sort``).
@@ -241,28 +264,61 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+KEYED = "key long, digest long, doc_id long, start int, strings int, inner boolean"
+
+
+def _wanted(source: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, text, wanted): the texts of the pieces in ``found``."""
+    wanted = found.groupBy("doc_id").agg(F.collect_list(F.struct("key", "start", "strings")).alias("wanted"))
+    return source.join(wanted, "doc_id").select("doc_id", "text", "wanted")
+
+
+def dealt(source: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """For each length of grams: pieces that repeat an earlier one, and pieces to sort.
+
+    No key has more than SHARD_BYTES to sort: strings of such a key are dealt again, and
+    strings with all bytes in common are merged in the end.
+    """
+    keyed = source.mapInArrow(_keyed, KEYED)
+    for longer in (*LONGER, None):
+        found = common.stage(
+            keyed.repartition("key").sortWithinPartitions("key", "digest", "doc_id", "start")
+            .mapInArrow(_merged, "key long, digest long, doc_id long, start int, strings int, sort boolean"),
+            "pieces",
+        )
+        copies, sort = found.filter("NOT sort"), found.filter("sort")
+        if longer is None:
+            yield copies, sort
+            return
+        # At most one key for each SHARD_BYTES of the pieces, staged to be small enough to broadcast.
+        heavy = common.stage(
+            sort.groupBy("key").agg(F.sum(F.col("strings").cast("long") + LENGTH).alias("bytes"))
+            .filter(F.col("bytes") > SHARD_BYTES).select("key"),
+            "heavy",
+        )
+        if heavy.isEmpty():
+            yield copies, sort
+            return
+        yield copies, sort.join(heavy, "key", "left_anti")
+        keyed = _wanted(source, sort.join(heavy, "key", "left_semi")).mapInArrow(dealt_again(longer), KEYED)
+
+
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """(doc_id, start, end): runs of bytes that repeated strings cover; they may overlap."""
     source = common.only(docs, "doc_id", "text").filter("doc_id IS NOT NULL AND octet_length(text) >= 100")
-    keyed = source.mapInArrow(_keyed, "key long, digest long, doc_id long, start int, strings int, inner boolean")
-    found = common.stage(
-        keyed.repartition("key").sortWithinPartitions("key", "digest", "doc_id", "start")
-        .mapInArrow(_merged, "key long, digest long, doc_id long, start int, strings int, sort boolean"),
-        "pieces",
-    )
-    wanted = (
-        found.filter("sort").groupBy("doc_id").agg(F.collect_list(F.struct("key", "start", "strings")).alias("wanted"))
-    )
-    shards = (
-        source.join(wanted, "doc_id").select("doc_id", "text", "wanted")
-        .mapInArrow(cut, "key long, doc_id long, start int, piece binary")
-        .repartition("key").sortWithinPartitions("key", "doc_id", "start")
-        .mapInArrow(_sorted_shards, "doc_id long, start long, end long")
-    )
-    copies = found.filter("NOT sort").select(
-        "doc_id", F.col("start").cast("long").alias("start"), F.expr(f"cast(start + strings + {LENGTH - 1} AS long)").alias("end")
-    )
-    return copies.unionByName(shards)
+    runs = None
+    for copies, sort in dealt(source):
+        shards = (
+            _wanted(source, sort)
+            .mapInArrow(cut, "key long, doc_id long, start int, piece binary")
+            .repartition("key").sortWithinPartitions("key", "doc_id", "start")
+            .mapInArrow(_sorted_shards, "doc_id long, start long, end long")
+        )
+        both = copies.select(
+            "doc_id", F.col("start").cast("long").alias("start"), F.expr(f"cast(start + strings + {LENGTH - 1} AS long)").alias("end")
+        ).unionByName(shards)
+        runs = both if runs is None else runs.unionByName(both)
+    return runs
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:

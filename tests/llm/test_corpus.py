@@ -64,6 +64,22 @@ def test_repeated_strings_equal_brute_force(shared, frame, seed):
             assert hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"]
 
 
+def test_a_common_line_is_no_shard_of_its_own(shared, frame, monkeypatch):
+    monkeypatch.setattr(suffix, "SHARD_BYTES", 3000)
+    rng = random.Random(7)
+    line = "".join(rng.choice("abcdefgh") for _ in range(130))
+    side = lambda: "".join(rng.choice("ab") for _ in range(rng.randint(3, 90)))
+    rows = [(i, side() + line + side()) for i in range(120)] + [(500 + i, "z" * n) for i, n in enumerate((130, 900, 5000))] + corpus(3)
+    docs = frame(rows)
+    levels = list(suffix.dealt(docs.select("doc_id", "text").filter("octet_length(text) >= 100")))
+    assert len(levels) > 1
+    for _, sort in levels:
+        assert sort.groupBy("key").agg({"strings": "sum", "*": "count"}).filter("`sum(strings)` + 100 * (`count(1)` - 1) > 3000").count() == 0
+    want = removed(rows)
+    for r in suffix.without_repeats(shared, docs).collect():
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]], r["doc_id"]
+
+
 def test_repeated_rows_and_empty_tables(shared, frame):
     got = suffix.without_repeats(shared, frame([(4, PLAIN), (4, PLAIN), (5, PLAIN), (None, PLAIN)])).collect()
     assert sorted((r["doc_id"] or 0, r["n_removed"] > 0) for r in got) == [(0, False), (4, False), (4, False), (5, True)]
