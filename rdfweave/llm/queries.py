@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rdfweave.llm.html import op4_tree_model
+from rdfweave.llm.merkle import OP13_SQL, op13_slot_pivot
 from rdfweave.llm.minhash import op7_bbit_minhash
 from rdfweave.llm.packing import op8_best_fit
 from rdfweave.llm.pii import op2_disclosure
@@ -18,6 +19,7 @@ QUERIES = {
     for f in (
         op1_induced_sorting, op2_disclosure, op3_range_coder, op4_tree_model, op5_quality_trees,
         op6_string_tiling, op7_bbit_minhash, op8_best_fit, op9_host_rules, op10_toxicity,
+        op13_slot_pivot,
     )
 }
-ORACLES = {"op9_host_rules": OP9_SQL}
+ORACLES = {"op9_host_rules": OP9_SQL, "op13_slot_pivot": OP13_SQL}
