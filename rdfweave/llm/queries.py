@@ -8,7 +8,9 @@ from rdfweave.llm.minhash import op7_bbit_minhash
 from rdfweave.llm.packing import op8_best_fit
 from rdfweave.llm.pii import op2_disclosure
 from rdfweave.llm.quality import op5_quality_trees
+from rdfweave.llm.resampling import OP12_SQL, op12_segment_resampling
 from rdfweave.llm.rules import OP9_SQL, op9_host_rules
+from rdfweave.llm.secrets import op11_decoding_worklist
 from rdfweave.llm.suffix import op1_induced_sorting
 from rdfweave.llm.tiling import op6_string_tiling
 from rdfweave.llm.tokenfile import op3_range_coder
@@ -19,7 +21,7 @@ QUERIES = {
     for f in (
         op1_induced_sorting, op2_disclosure, op3_range_coder, op4_tree_model, op5_quality_trees,
         op6_string_tiling, op7_bbit_minhash, op8_best_fit, op9_host_rules, op10_toxicity,
-        op13_slot_pivot,
+        op11_decoding_worklist, op12_segment_resampling, op13_slot_pivot,
     )
 }
-ORACLES = {"op9_host_rules": OP9_SQL, "op13_slot_pivot": OP13_SQL}
+ORACLES = {"op9_host_rules": OP9_SQL, "op12_segment_resampling": OP12_SQL, "op13_slot_pivot": OP13_SQL}
