@@ -84,7 +84,9 @@ def test_layers_end():
     same = base64.b64encode(b"token=abcdefgh %41 nothing").decode()
     found = secrets.secrets(f"{same} {same}")[1]
     assert len([s for s in found if s[1] == 3]) == 2
-    assert list(secrets.opened(gzip.compress(b"x"), {hashlib.blake2b(gzip.compress(b"x"), digest_size=16).digest()})) in ([], ["x"])
+    raw = gzip.compress(b"x", mtime=0)
+    assert list(secrets.opened(raw)) == ["x"]
+    assert list(secrets.opened(raw, {hashlib.blake2b(raw, digest_size=16).digest()})) == []
     broken = base64.b64encode(gzip.compress(b"token=abcdefgh\n" * 5000)[:-20]).decode()
     assert any(k == 3 for _, k, _ in secrets.secrets(broken)[1])
     for text in ("%" * 50_000, "%41" * 20_000, "a" * 100_000, "token" + " " * 100_000, "&#" * 50_000, "\\u" * 50_000):
