@@ -25,11 +25,11 @@ STATEMENT = (
 _GROUPS = "\n".join(f"${n}" for n in range(1, 10))
 
 
-def read_lines(spark: SparkSession, paths: str | list[str], with_file: bool = False) -> DataFrame:
-    """The lines of files, with the ``file`` of each if asked for: blank nodes of two
-    files of one source are two nodes."""
-    lines = spark.read.text(paths)
-    return lines.select("value", F.sha1(F.col("_metadata.file_path")).alias("file")) if with_file else lines
+def read_lines(spark: SparkSession, paths: str | list[str], with_path: bool = False) -> DataFrame:
+    """The lines of files, with the ``path`` of each and its key ``file`` if asked for:
+    blank nodes of two files of one source are two nodes."""
+    lines, path = spark.read.text(paths), F.col("_metadata.file_path")
+    return lines.select("value", path.alias("path"), F.sha1(path).alias("file")) if with_path else lines
 
 
 def with_statement(lines: DataFrame, line: str = "value") -> DataFrame:

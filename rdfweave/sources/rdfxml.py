@@ -1,164 +1,61 @@
-"""RDF/XML documents: many documents in parallel, or one big file cut by element."""
+"""RDF/XML documents: many documents in parallel, or big files cut by element."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rdfweave import model as M
-from rdfweave.sources import pieces
-from rdfweave.sources.turtle import resolve_iri
-
-_XML = "{http://www.w3.org/XML/1998/namespace}"
-_RDF = "{" + M.RDF + "}"
-# Attributes that are syntax, not properties.
-_SYNTAX = {_RDF + n for n in ("about", "ID", "nodeID", "resource", "datatype", "parseType")} | {
-    _XML + "lang",
-    _XML + "base",
-}
-_CLOSE = "</rdf:Description>"
-
-
-def _iri(tag: str) -> str:
-    """The address of an element or attribute name; plain markup has none."""
-    if not tag.startswith("{"):
-        raise ValueError(f"name without a namespace: {tag}")
-    return tag[1:].replace("}", "", 1)
-
-
-class _Reader:
-    """Collects the statements of one document as (s, s_kind, p, o, o_kind, datatype, lang).
-
-    References are returned as written; they are resolved in Spark afterwards.
-    """
-
-    def __init__(self) -> None:
-        self.rows: list[tuple] = []
-        self.made = 0
-
-    def new_node(self) -> tuple[str, str]:
-        self.made += 1
-        return f"-node{self.made}", M.BNODE
-
-    def add(self, s, p, o, datatype=None, lang=None) -> None:
-        self.rows.append((s[0], s[1], p, o[0], o[1], datatype, lang))
-
-    def reference(self, element, about: str) -> tuple[str, str] | None:
-        if element.get(_RDF + about) is not None:
-            return element.get(_RDF + about), M.IRI
-        if element.get(_RDF + "ID") is not None and about == "about":
-            return "#" + element.get(_RDF + "ID"), M.IRI
-        if element.get(_RDF + "nodeID") is not None:
-            return element.get(_RDF + "nodeID"), M.BNODE
-        return None
-
-    def attributes(self, s, element, lang) -> None:
-        for name, text in element.attrib.items():
-            if name == _RDF + "type":
-                self.add(s, M.RDF_TYPE, (text, M.IRI))
-            elif name not in _SYNTAX and name.startswith("{") and not name.startswith(_XML):
-                self.add(s, _iri(name), (text, M.LITERAL), None, lang)
-
-    def node(self, element, lang) -> tuple[str, str]:
-        lang = element.get(_XML + "lang", lang) or None
-        s = self.reference(element, "about") or self.new_node()
-        if element.tag != _RDF + "Description":
-            self.add(s, M.RDF_TYPE, (_iri(element.tag), M.IRI))
-        self.attributes(s, element, lang)
-        self.properties(s, element, lang)
-        return s
-
-    def properties(self, s, element, lang) -> None:
-        members = 0
-        for child in element:
-            predicate = _iri(child.tag)
-            if child.tag == _RDF + "li":
-                members += 1
-                predicate = f"{M.RDF}_{members}"
-            self.property(s, predicate, child, child.get(_XML + "lang", lang) or None)
-
-    def property(self, s, predicate, element, lang) -> None:
-        parse, nested = element.get(_RDF + "parseType"), list(element)
-        target = self.reference(element, "resource")
-        if parse == "Resource":
-            target = self.new_node()
-            self.properties(target, element, lang)
-        elif parse == "Collection":
-            cells = [(self.node(child, lang), self.new_node()) for child in nested]
-            target = cells[0][1] if cells else (M.RDF + "nil", M.IRI)
-            for n, (item, cell) in enumerate(cells):
-                rest = cells[n + 1][1] if n + 1 < len(cells) else (M.RDF + "nil", M.IRI)
-                self.add(cell, M.RDF + "first", item)
-                self.add(cell, M.RDF + "rest", rest)
-        elif parse is not None:
-            inner = (element.text or "") + "".join(
-                ElementTree.tostring(child, encoding="unicode") for child in nested
-            )
-            return self.add(s, predicate, (inner, M.LITERAL), M.RDF + "XMLLiteral")
-        elif nested:
-            target = self.node(nested[0], lang)
-        elif target is not None or any(
-            name not in _SYNTAX and name.startswith("{") for name in element.attrib
-        ):
-            target = target or self.new_node()
-            self.attributes(target, element, lang)
-        if target is not None:
-            return self.add(s, predicate, target)
-        datatype = element.get(_RDF + "datatype")
-        text = (element.text or "", M.LITERAL)
-        self.add(s, predicate, text, datatype, None if datatype else lang)
-
-    def document(self, root) -> None:
-        lang = root.get(_XML + "lang") or None
-        if root.tag == _RDF + "RDF":
-            for child in root:
-                self.node(child, lang)
-        else:
-            self.node(root, None)
-
-
-_FOUND = "array<struct<s:string,s_kind:string,p:string,o:string,o_kind:string,o_datatype:string,o_lang:string>>"
-
-
-def _read(body: str) -> tuple[list[tuple], str | None, str | None]:
-    reader = _Reader()
-    try:
-        root = ElementTree.fromstring(body)
-        reader.document(root)
-    except (ElementTree.ParseError, ValueError) as error:
-        return [], None, f"not RDF/XML: {error}"
-    return reader.rows, root.get(_XML + "base"), None
-
-
-def _documents(docs: DataFrame, body: str) -> DataFrame:
-    """Adds ``_found``, ``_base`` and ``_reason`` to every document."""
-    columns = docs.columns
-    at = columns.index(body)
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+from rdfweave.operators.scale import broadcast_if_small
+from rdfweave.operators.stage import stage
+from rdfweave.sources import pieces, rdfxml_events, rdfxml_syntax
+
+#: Statements of a document that are held until it is known to be readable.  A longer one
+#: is read through to its end first, and then once more.
+HELD_ROWS = 50_000
+
+
+def _checked(text: str, base: str | None) -> Iterator[list[tuple]]:
+    """The statements of a document, none of them before the whole of it is known to be right."""
+    found, held, n = rdfxml_events.statements(text, base), [], 0
+    for rows in found:
+        held.append(rows)
+        n += len(rows)
+        if n > HELD_ROWS:
+            break
+    else:
+        yield from held
+        return
+    for _ in found:
+        pass
+    yield from rdfxml_events.statements(text, base)
+
+
+def _reader(columns: list[str], body: str, start: str):
+    """Rows of the other columns with ``reason`` and the terms of each statement as read."""
+    keep = [c for c in columns if c != body]
+
+    def rows_of(batch: pa.RecordBatch, i: int, reason: str | None, rows: list[tuple]) -> pa.RecordBatch:
+        place = pa.array([i] * len(rows), pa.int64())
+        own = [batch.column(columns.index(c)).take(place) for c in keep]
+        terms = [pa.array([r[k] for r in rows], pa.string()) for k in range(len(M.TERMS))]
+        return pa.RecordBatch.from_arrays([*own, pa.array([reason] * len(rows), pa.string()), *terms], names=[*keep, "reason", *M.TERMS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_read(text) for text in batch.iloc[:, at]]
-            batch["_found"] = [
-                [dict(zip(M.TERMS, row)) for row in rows] for rows, _, _ in found
-            ]
-            batch["_base"] = [base for _, base, _ in found]
-            batch["_reason"] = [reason for _, _, reason in found]
-            yield batch
-
-    schema = T.StructType(
-        docs.schema.fields
-        + [
-            T.StructField("_found", T._parse_datatype_string(_FOUND)),
-            T.StructField("_base", T.StringType()),
-            T.StructField("_reason", T.StringType()),
-        ]
-    )
-    return docs.mapInPandas(read, schema)
+            for i in range(batch.num_rows):
+                text, base = (batch.column(columns.index(c))[i].as_py() for c in (body, start))
+                try:
+                    for rows in _checked(text or "", base):
+                        yield rows_of(batch, i, None, rows)
+                except ValueError as error:
+                    yield rows_of(batch, i, str(error), [(None,) * len(M.TERMS)])
+
+    return run
 
 
 def read(
@@ -178,27 +75,18 @@ def read(
     start = F.lit(None).cast("string") if base is None else base
     keep = [c for c in docs.columns if c != body]
     placed = docs.withColumn("_scope", scope.cast("string")).withColumn("_start", start)
-    rows = _documents(placed, body).select(
-        *keep,
-        "_scope",
-        F.coalesce(resolve_iri(F.col("_base"), F.col("_start")), F.col("_start")).alias("_base"),
-        F.col("_reason").alias("reason"),
-        F.inline_outer("_found"),
-    )
+    terms = [T.StructField(c, T.StringType()) for c in ("reason", *M.TERMS)]
+    schema = T.StructType([f for f in placed.schema.fields if f.name != body] + terms)
+    rows = placed.mapInArrow(_reader(placed.columns, body, "_start"), schema)
 
     def term(value: Column, kind: Column) -> Column:
         own = F.concat(F.lit("."), F.col(doc).cast("string"))
         label = F.concat(
             F.lit("_:s"), "_scope", F.when(value.startswith("-"), own).otherwise(""), F.lit("."), value
         )
-        return (
-            F.when(kind == M.BNODE, label)
-            .when(kind == M.IRI, resolve_iri(value, F.col("_base")))
-            .otherwise(value)
-        )
+        return F.when(kind == M.BNODE, label).otherwise(value)
 
-    stated = F.col("p").isNotNull() | F.col("reason").isNotNull()
-    return rows.filter(stated).select(
+    return rows.select(
         *keep,
         "reason",
         term(F.col("s"), F.col("s_kind")).alias("s"),
@@ -224,46 +112,20 @@ def parse(
 
 def rejects(docs: DataFrame, body: str) -> DataFrame:
     """Documents that cannot be read, as quarantine rows with the whole text."""
-    keep = [c for c in docs.columns if c != body]
-    return _documents(docs, body).filter(F.col("_reason").isNotNull()).select(
-        F.col(body).alias("value"), F.col("_reason").alias("reason"), *keep
-    )
-
-
-# The start of a file up to its root element, and the end of one.
-_HEAD = r"^\s*(?:<\?xml[^<>]*\?>)?\s*(?:<!--(?:[^-]|-(?!->))*+-->\s*)*<(?:[A-Za-z_][\w.\-]*:)?RDF(?:\s[^<>]*[^<>/]|\s)?>"
-_TAIL = r"</(?:[A-Za-z_][\w.\-]*:)?RDF\s*>\s*$"
-_ROOT = r"<((?:[A-Za-z_][\w.\-]*:)?RDF)[\s>]"
-
-
-def _balanced(text: Column) -> Column:
-    """Whether every element that begins in a piece ends there.  Pieces with comments,
-    other markup declarations or a ``>`` that ends no tag count as not."""
-    opens = F.regexp_count(text, F.lit(r"<[^<>/!?](?:[^<>]*[^<>/])?>"))
-    closes = F.regexp_count(text, F.lit(r"</[^<>]*>"))
-    empty = F.regexp_count(text, F.lit(r"<[^<>/!?][^<>]*/>"))
-    tags = opens + closes + empty
-    return (
-        (opens == closes)
-        & (F.regexp_count(text, F.lit("<")) == tags)
-        & (F.regexp_count(text, F.lit(">")) == tags)
-    )
+    keep, at = [c for c in docs.columns if c != body], docs.columns.index(body)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reasons = [rdfxml_events.reason(x or "") for x in batch.column(at).to_pylist()]
+            yield batch.append_column("_reason", pa.array(reasons, pa.string()))
 
-def _marked(found: DataFrame) -> DataFrame:
-    head = F.when(F.col("first"), F.regexp_extract("text", _HEAD, 0)).otherwise("")
-    rest = F.substring("text", F.length(head) + 1, F.length("text"))
-    ended = F.regexp_like(rest, F.lit(_TAIL))
-    content = F.trim(F.when(F.col("last"), F.regexp_replace(rest, _TAIL, "")).otherwise(rest))
-    content = F.regexp_replace(content, r"^\s+$", "")
-    alone = (~F.col("first") | (head != "")) & (~F.col("last") | ended)
-    return found.withColumns(
-        {"declares": F.when(head != "", head), "content": content}
-    ).withColumn("alone", alone & _balanced(F.col("content")))
+    checked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_reason", T.StringType())]))
+    return checked.filter(F.col("_reason").isNotNull()).select(F.col(body).alias("value"), F.col("_reason").alias("reason"), *keep)
 
 
-def _foot(head: Column) -> Column:
-    return F.concat(F.lit("</"), F.regexp_extract(head, _ROOT, 1), F.lit(">"))
+# The start tag of a root that only holds descriptions, in what stands before the first of them.
+_ROOT = r"<((?:[A-Za-z_][\w.\-]*:)?RDF)(?:\s[^<]*)?>$"
+_TAIL = r"</(?:[A-Za-z_][\w.\-]*:)?RDF\s*>(?:\s|<!--(?:[^-]|-(?!->))*+-->)*$"
 
 
 def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -271,11 +133,31 @@ def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return pieces.read_documents(spark, paths)
 
 
-def read_descriptions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files of any size, cut after every ``</rdf:Description>``: ``(doc, file, path, body)``.
+def read_descriptions(spark: SparkSession, paths: str | list[str], size: int = pieces.PIECE_BYTES) -> DataFrame:
+    """Files of any size as documents of about ``size``: ``(doc, file, path, body)``.
 
-    A file whose elements all end before the cuts is read by many tasks; every piece gets
-    the root element of its file, so that prefixes hold.  Any other file is one document.
-    Scope blank nodes by ``file``.
+    Every document holds whole elements between the start and the end of the file's root,
+    so that namespaces, entities, base and language hold.  A file whose root is itself a
+    description is one document.  Scope blank nodes by ``file``.
     """
-    return pieces.read(spark, paths, _CLOSE, _marked, _foot)
+    rows = pieces.split(spark, paths, rdfxml_syntax, size)
+    head = F.when(F.col("ended"), F.col("text"))
+    root = F.regexp_extract(head, _ROOT, 1)
+    heads = rows.filter(F.col("pos") < 0).select("path", head.alias("head"), F.when(root != "", root).alias("root"))
+    known = pieces.named(rows.join(broadcast_if_small(stage(heads, "heads")), "path", "left"))
+    is_head = F.col("pos") < 0
+    # What stands behind the last element is the end of the root, and what is wrong with it.
+    content = F.when(F.col("ended"), F.col("text")).otherwise(F.regexp_replace("text", _TAIL, ""))
+    parts = known.filter(F.col("root").isNotNull() & ~is_head & F.regexp_like(content, F.lit(r"\S"))).select(
+        "doc", "file", "path", F.concat("head", content, F.lit("</"), "root", F.lit(">")).alias("body")
+    )
+    texts = F.sort_array(F.collect_list(F.struct("pos", "part", "text")))
+    whole = known.filter(F.col("root").isNull()).groupBy("file", "path").agg(
+        F.array_join(F.transform(texts, lambda t: t["text"]), "").alias("body")
+    )
+    return parts.unionByName(whole.select(F.col("file").alias("doc"), "file", "path", "body"))
+
+
+def one_by_one(docs: DataFrame, body: str = "body", doc: str = "doc") -> DataFrame:
+    """Every element below the root of ``docs`` as a document of its own."""
+    return pieces.apart(docs, rdfxml_syntax.one_by_one, body, doc)

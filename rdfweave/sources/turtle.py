@@ -8,12 +8,17 @@ and are read in parallel without leaving the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rdfweave import model as M
-from rdfweave.functions.text import unescape
-from rdfweave.sources import pieces
+from rdfweave.functions.text import unescape, written_iri
+from rdfweave.operators.scale import broadcast_if_small
+from rdfweave.operators.stage import stage
+from rdfweave.sources import pieces, turtle_syntax
 
 # Token patterns, tried in this order.  Repeats are possessive, so long literals
 # cannot overflow the matcher's stack.
@@ -159,10 +164,11 @@ def _tokens(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFr
     )
     rows = rows.withColumn("named", named)
     rows = rows.withColumn("reference", F.when(F.col("named").startswith("<"), _inner(F.col("named"))))
-    declared_base = F.when(declares_base, resolve_iri(F.col("reference"), F.col("_start")))
-    rows = rows.withColumn(
-        "base", F.coalesce(F.last(declared_base, ignorenulls=True).over(upto), F.col("_start"))
-    )
+    # A base may rest on those before it.
+    bases = F.collect_list(F.when(declares_base, F.col("reference"))).over(upto)
+    rows = rows.withColumn("_bases", bases).withColumn(
+        "base", F.aggregate("_bases", F.col("_start"), lambda base, x: resolve_iri(x, base))
+    ).drop("_bases")
     rows = rows.withColumn("absolute", resolve_iri(F.col("reference"), F.col("base"))).withColumn(
         "prefix", _prefix(F.col("named"))
     )
@@ -438,36 +444,62 @@ def rejects(docs: DataFrame, body: str, doc: str, base: Column | None = None) ->
     return pieces.reasons(read(docs, body, doc, base=base), docs, body, doc)
 
 
-# What the start of a piece may declare, with comments before it.
-_DECLARED = r"\s+[^\s:<>\"'#]*:\s*<[^<>\s]*>"
-_DIRECTIVE = rf"@prefix{_DECLARED}\s*\.|(?i:prefix){_DECLARED}|@base\s*<[^<>\s]*>\s*\.|(?i:base)\s*<[^<>\s]*>"
-_LEAD = rf"^(?:\s++|{_COMMENT}|{_DIRECTIVE})*+"
-# Tokens that may hold brackets, dots or words without meaning them.  Three quotes
-# open a long literal, so they are never an empty one.
-_OPAQUE = "(?s)" + "|".join(
-    [rf"({_COMMENT})", _IRI, *_LONG, r'(?!""")' + _SHORT[0], r"(?!''')" + _SHORT[1], *_NAMES]
-)
-SEPARATOR = " .\n"
-
+_DECLARED = pa.schema(
+    [
+        ("path", pa.string()), ("pos", pa.int64()), ("part", pa.int32()), ("names", pa.list_(pa.string())),
+        ("directives", pa.list_(pa.struct([("place", pa.int64()), ("name", pa.string()), ("iri", pa.string())]))),
+    ]
+)
+_DECLARED_SQL = "path string, pos long, part int, names array<string>, directives array<struct<place:long,name:string,iri:string>>"
+
+
+def _declared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        found = [[dict(zip(("place", "name", "iri"), d, strict=True)) for d in turtle_syntax.directives(x)] for x in texts]
+        names = pa.array([turtle_syntax.names(x) for x in texts], pa.list_(pa.string()))
+        columns = [*[batch.column(c) for c in ("path", "pos", "part")], names, pa.array(found, _DECLARED.field("directives").type)]
+        yield pa.RecordBatch.from_arrays(columns, schema=_DECLARED)
+
+
+def _absolute(directives: DataFrame) -> DataFrame:
+    """Directives ``(path, at, name, iri)`` with absolute addresses; the base has no name."""
+    order = Window.partitionBy("path").orderBy("at")
+    iri, is_base = unescape(F.col("iri")), F.col("name") == ""
+    absolute = F.regexp_like(iri, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:"))
+    # A relative base rests on those before it, back to the last absolute one.
+    rows = directives.withColumn("iri", iri).withColumn("run", F.count(F.when(is_base & absolute, 1)).over(order))
+    chain = F.collect_list(F.when(is_base, F.col("iri"))).over(Window.partitionBy("path", "run").orderBy("at"))
+    base = F.aggregate(chain, F.col("path"), lambda base, x: resolve_iri(x, base))
+    return rows.withColumn("base", base).select(
+        "path", "at", "name", F.when(is_base, F.col("base")).otherwise(resolve_iri(F.col("iri"), F.col("base"))).alias("iri")
+    )
 
-def _alone(text: Column) -> Column:
-    """Whether a piece ends outside all literals and brackets, behind the dot of a statement."""
-    # Every opaque token but a comment leaves a mark.
-    bare = F.regexp_replace(F.regexp_replace(text, _OPAQUE, " x $1"), rf"\s*+x {_COMMENT}|\s+", " ")
-    bare = F.trim(bare)
-    level = F.regexp_count(bare, F.lit(r"[\[(]")) - F.regexp_count(bare, F.lit(r"[\])]"))
-    directive = F.regexp_like(bare, F.lit(r"(?i)\b(?:prefix|base)\b"))
-    quote = F.regexp_like(bare, F.lit("[\"']"))
-    return (text == "") | (bare.endswith(".") & (level == 0) & ~directive & ~quote)
 
+def _heads(found: DataFrame) -> DataFrame:
+    """(path, pos, part, head): the directives in force where each text begins.
 
-def _marked(found: DataFrame) -> DataFrame:
-    lead = F.regexp_extract("text", _LEAD, 0)
-    declared = F.trim(F.regexp_replace(lead, rf"(<[^<>\s]*>)|{_COMMENT}", "$1"))
-    content = F.substring("text", F.length(lead) + 1, F.length("text"))
-    return found.withColumns(
-        {"declares": F.when(F.contains(declared, F.lit("<")), declared), "content": content}
-    ).withColumn("alone", _alone(F.col("content")))
+    Only the names that a text may use are looked up, each by the last declaration before it.
+    """
+    at = ["pos", "part", "place"]
+    declared = found.select("path", "pos", "part", F.explode("directives").alias("d")).select(
+        "path", F.struct("pos", "part", F.col("d.place").alias("place")).alias("at"), F.col("d.name").alias("name"), F.col("d.iri").alias("iri")
+    )
+    declared = stage(_absolute(declared), "directives")
+    known = declared.select("path", "name").distinct()
+    used = found.select("path", "pos", "part", F.explode(F.array_append("names", F.lit(""))).alias("name")).join(
+        broadcast_if_small(known), ["path", "name"], "left_semi"
+    )
+    used = used.select("path", F.struct("pos", "part", F.lit(-1).cast("long").alias("place")).alias("at"), "name", F.lit(None).cast("string").alias("iri"))
+    before = Window.partitionBy("path", "name").orderBy("at")
+    rows = declared.unionByName(used).withColumn("iri", F.last("iri", ignorenulls=True).over(before))
+    line = F.when(F.col("name") == "", F.concat(F.lit("@base "), written_iri(F.col("iri")))).otherwise(
+        F.concat(F.lit("@prefix "), "name", F.lit(" "), written_iri(F.col("iri")))
+    )
+    lines = rows.filter((F.col("at.place") < 0) & F.col("iri").isNotNull()).groupBy("path", *[F.col(f"at.{c}").alias(c) for c in at[:2]]).agg(
+        F.sort_array(F.collect_list(F.concat(line, F.lit(" .\n")))).alias("lines")
+    )
+    return lines.select("path", "pos", "part", F.array_join("lines", "").alias("head"))
 
 
 def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -475,11 +507,19 @@ def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return pieces.read_documents(spark, paths)
 
 
-def read_statements(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files of any size, cut at line ends behind `` .``: ``(doc, file, path, body)``.
+def read_statements(spark: SparkSession, paths: str | list[str], size: int = pieces.PIECE_BYTES) -> DataFrame:
+    """Files of any size and style as documents of about ``size``: ``(doc, file, path, body)``.
 
-    Such a file is read by many tasks; its directives are put before each piece.  A file
-    whose statements, literals or comments run over a cut, or that declares something
-    behind its first statement, is one document.  Scope blank nodes by ``file``.
+    Every document holds whole statements behind the directives in force there, wherever
+    the file declares them.  Scope blank nodes by ``file``.
     """
-    return pieces.read(spark, paths, SEPARATOR, _marked)
+    rows = pieces.split(spark, paths, turtle_syntax, size)
+    found = stage(rows.select("path", "pos", "part", "text").mapInArrow(_declared, _DECLARED_SQL), "declared")
+    heads = broadcast_if_small(stage(_heads(found), "heads"))
+    docs = pieces.named(rows.join(heads, ["path", "pos", "part"], "left"))
+    return docs.select("doc", "file", "path", F.concat(F.coalesce("head", F.lit("")), "text").alias("body"))
+
+
+def one_by_one(docs: DataFrame, body: str = "body", doc: str = "doc") -> DataFrame:
+    """Every statement of ``docs`` as a document with the directives that it stands behind."""
+    return pieces.apart(docs, turtle_syntax.one_by_one, body, doc)

@@ -7,7 +7,7 @@ from rdfweave import model as M
 from rdfweave.functions import text
 from rdfweave.operators import fragments, resources, stage
 from rdfweave.plans import load
-from rdfweave.sources import answers, catalog, ntriples, rdfxml, store, turtle
+from rdfweave.sources import answers, catalog, ntriples, rdfxml, rdfxml_events, rdfxml_syntax, store, turtle, turtle_syntax
 from tests.frames import N, triples
 
 
@@ -240,27 +240,30 @@ def test_load_sources(spark, tmp_path):
 EX = "@prefix ex: <http://ex.org/> .\n"
 MANY = "".join(f"ex:s{i} ex:p _:n , {i} .\n" for i in range(6))
 TURTLE_FILES = {
-    # name: (text, whether it is cut)
-    "plain": (EX + MANY, True),
-    "no line end": (EX + MANY + "ex:last ex:p 1 .", True),
-    "dot without a space": (EX + MANY + "ex:last ex:p ex:x.", True),
-    "comment first": ("# A file .\n# @prefix old: <http://old.org/> .\n" + EX + MANY, True),
-    "other directives": ("PREFIX ex: <http://ex.org/>\nBASE <http://ex.org/b/>\n" + MANY + "<c> ex:p <../d> .\n", True),
-    "nodes after a directive": ("PREFIX ex: <http://ex.org/>\nex:a ex:p [ ex:q [ ] ] .\n" + MANY, True),
-    "prefixes named like directives": (
-        "@prefix base: <http://b.org/> .\n@prefix prefix: <http://p.org/> .\nbase:a prefix:b base:c .\nprefix:a base:b 1 .\n",
-        True,
-    ),
-    "one statement": ("<http://a.org/> <http://b.org/> 1 .\n", True),
-    "literals like ends": (EX + 'ex:a ex:p """one .\ntwo .\n""" .\n' + MANY, False),
-    "quotes that balance": (EX + 'ex:a ex:p """ say " .\n "x" .\n""" .\n', False),
-    "comment over a cut": (EX + "ex:a ex:p # note .\n ex:o .\n" + MANY, False),
-    "statement begun before a comment": (EX + "ex:a ex:p ex:o . ex:b # note .\n ex:p 2 .\n" + MANY, False),
-    "bracket over a cut": (EX + "ex:a ex:p ( 1 # two .\n3 ) .\n", False),
-    "late directive": (EX + MANY + "@prefix ex: <http://new.org/> .\n" + MANY, False),
-    "declared twice": (EX + "@prefix ex: <http://new.org/> .\n" + MANY, True),
-    "windows line ends": ((EX + MANY).replace("\n", "\r\n"), True),
-    "marks in literals": (EX + "ex:a ex:p '# [ prefix', \"( .\" , <http://x/#a> .\n" + MANY, True),
+    "plain": EX + MANY,
+    "no line end": EX + MANY + "ex:last ex:p 1 .",
+    "dot without a space": EX + MANY.replace(" .", ".") + "ex:last ex:p ex:x.",
+    "comment first": "# A file .\n# @prefix old: <http://old.org/> .\n" + EX + MANY,
+    "other directives": "PREFIX ex: <http://ex.org/>\nBASE <http://ex.org/b/>\n" + MANY + "<c> ex:p <../d> .\n",
+    "relative directives": "@base <http://ex.org/b/c> .\n@prefix ex: <../> .\n<x> ex:p <y> .\n@base <z/> .\n@prefix w: <#> .\n" + MANY + "<x> ex:p w:v .\nBASE <k/>\n<l> ex:p <m> .\n",
+    "directives over lines": "@prefix\nex:\n<http://ex.org/>\n.\nPREFIX # note\n v:\n# other <x>\n <http://v.org/>\n" + MANY + "v:a v:b v:c .\n",
+    "nodes after a directive": "PREFIX ex: <http://ex.org/>\nex:a ex:p [ ex:q [ ] ] .\n" + MANY,
+    "prefixes named like directives": "@prefix base: <http://b.org/> .\n@prefix prefix: <http://p.org/> .\nbase:a prefix:b base:c .\nprefix:a base:b 1 .\n",
+    "one statement": "<http://a.org/> <http://b.org/> 1 .\n",
+    "literals like ends": EX + 'ex:a ex:p """one .\ntwo .\n""" .\n' + MANY,
+    "single quotes": EX + "ex:a ex:p '''one .\n\"\"\" two .\n\\''' [ .\n''' .\n" + MANY,
+    "quotes that balance": EX + 'ex:a ex:p """ say " .\n "x" .\n""" .\n' + MANY,
+    "comment over a cut": EX + "ex:a ex:p # note .\n ex:o .\n" + MANY,
+    "statement begun before a comment": EX + "ex:a ex:p ex:o . ex:b # note .\n ex:p 2 .\n" + MANY,
+    "bracket over a cut": EX + "ex:a ex:p ( 1 # two .\n3 ) .\nex:b ex:p [\nex:q [ ex:r (\n1\n2\n) ] ;\n] .\n" + MANY,
+    "late directive": EX + MANY + "@prefix ex: <http://new.org/> .\n" + MANY + "@prefix ex: <http://newer.org/> . ex:x ex:p 1 .\n" + MANY,
+    "declared twice": EX + "@prefix ex: <http://new.org/> .\n" + MANY,
+    "windows line ends": ((EX + MANY).replace("\n", "\r\n")),
+    "marks in literals": EX + "ex:a ex:p '# [ prefix', \"( .\" , <http://x/#a> .\n" + MANY,
+    "many on a line": EX + MANY.replace("\n", " ") * 3 + "ex:a ex:p 1.5 , 2.0e3, 1 .ex:b ex:p ex:c.d .\n",
+    "long literal": EX + MANY + 'ex:a ex:p """' + "line .\n" * 200 + '""" .\n' + MANY,
+    "empty": "",
+    "blank": "\n \n# nothing\n",
 }
 RDF_ROOT = '<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:v="http://ex.org/v#">\n'
 FLAT = "".join(
@@ -268,42 +271,92 @@ FLAT = "".join(
 )
 CITY = '<v:City rdf:about="http://ex.org/c"><v:name>x</v:name></v:City>\n'
 RDF_FILES = {
-    "plain": ("<?xml version='1.0'?>\n<!-- a - note -->\n" + RDF_ROOT + FLAT + "</rdf:RDF>\n", True),
-    "typed elements": (RDF_ROOT + CITY + FLAT + CITY + "</rdf:RDF>", True),
-    "no description": (RDF_ROOT + CITY + "</rdf:RDF>", True),
-    "other root": ((RDF_ROOT + CITY + "</rdf:RDF>").replace("rdf:", "r:").replace("xmlns:rdf", "xmlns:r"), True),
-    "nested": (RDF_ROOT + f"<v:T><v:p>{FLAT.splitlines()[0]}</v:p></v:T>" + FLAT + "</rdf:RDF>", False),
-    "comment": (RDF_ROOT + FLAT + "<!-- </rdf:Description> -->" + FLAT + "</rdf:RDF>", False),
-    "relative": (RDF_ROOT.replace(">", ' xml:base="http://ex.org/b/c">') + FLAT.replace("http://ex.org/", "../") + "</rdf:RDF>", True),
+    "plain": "<?xml version='1.0'?>\n<!-- a - note -->\n" + RDF_ROOT + FLAT + "</rdf:RDF>\n",
+    "typed elements": RDF_ROOT + CITY + FLAT + CITY + "</rdf:RDF>",
+    "no description": RDF_ROOT + CITY + "</rdf:RDF>",
+    "other root": (RDF_ROOT + CITY + "</rdf:RDF>").replace("rdf:", "r:").replace("xmlns:rdf", "xmlns:r"),
+    "nested": RDF_ROOT + f"<v:T><v:p>\n{FLAT.splitlines()[0]}\n</v:p></v:T>" + FLAT + "</rdf:RDF>",
+    "comment": RDF_ROOT + FLAT + "<!-- </rdf:Description>\n</rdf:RDF> -->" + FLAT + "</rdf:RDF>\n<!-- end -->\n",
+    "relative": RDF_ROOT.replace(">", ' xml:base="http://ex.org/b/c">') + FLAT.replace("http://ex.org/", "../") + "</rdf:RDF>",
+    "base below": RDF_ROOT + '<rdf:Description xml:base="http://base/x/"\n rdf:about="a"><v:p\n xml:base="y/" rdf:resource="b"/>\n</rdf:Description>\n' + FLAT + "</rdf:RDF>",
+    "quotes and entities": '<?xml version="1.0"?>\n<!DOCTYPE rdf:RDF [\n<!ENTITY v "http://ex.org/v#">\n]>\n' + RDF_ROOT.replace("\n", "") + "<v:A\n rdf:about='>'\n v:b=\"/v:A>\n'>\">\n<v:c><![CDATA[</v:A>\n]]></v:c>\n<v:d rdf:resource='&v;x'/></v:A\n>\n" + FLAT + "</rdf:RDF>",
+    "empty elements": RDF_ROOT + '<rdf:Description rdf:about="http://a/"\nv:p="1"\n/>\n<v:T/><v:T rdf:about="http://b/"/>' + FLAT + "</rdf:RDF\n>",
+    "empty root": RDF_ROOT.strip()[:-1] + "/>\n",
+    "root is a description": CITY.replace("<v:City", '<v:City xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:v="http://ex.org/v#"').replace("><", ">\n<"),
 }
 
 
+def linked(rows):
+    """Statements in which blank nodes are told apart by what is said of them."""
+    names = sorted({x for r in rows for x, k in ((r["s"], r["s_kind"]), (r["o"], r["o_kind"])) if k == "bnode"})
+    facts = {n: sorted((r["p"], r["o"] if r["o_kind"] != "bnode" else "_", r["s"] == n) for r in rows if n in (r["s"], r["o"])) for n in names}
+    found = {}
+    for r in rows:
+        s, o = (str(facts[x]) if k == "bnode" else x for x, k in ((r["s"], r["s_kind"]), (r["o"], r["o_kind"])))
+        found[(s, r["p"], o, r["o_datatype"], r["o_lang"])] = found.get((s, r["p"], o, r["o_datatype"], r["o_lang"]), 0) + 1
+    return found
+
+
 @pytest.mark.parametrize("kind, files", [("turtle", TURTLE_FILES), ("rdf", RDF_FILES)])
 def test_pieces_lose_nothing(spark, tmp_path, kind, files):
-    """Every file gives the same triples whole and in pieces, and blank nodes link alike."""
-    for i, (body, _) in enumerate(files.values()):
-        (tmp_path / f"{i}.x").write_bytes(body.encode())
-
-    def linked(rows):
-        # Blank nodes are told apart by what is said of them.
-        found = {}
-        names = sorted({x for r in rows for x, k in ((r["s"], r["s_kind"]), (r["o"], r["o_kind"])) if k == "bnode"})
-        facts = {n: sorted((r["p"], r["o"] if r["o_kind"] != "bnode" else "_", r["s"] == n) for r in rows if n in (r["s"], r["o"])) for n in names}
-        for r in rows:
-            key = tuple(str(facts[x]) if k == "bnode" else x for x, k in ((r["s"], r["s_kind"]), (r["o"], r["o_kind"])))
-            found.setdefault((key[0], r["p"], key[1], r["o_datatype"]), 0)
-            found[(key[0], r["p"], key[1], r["o_datatype"])] += 1
-        return found
-
-    one = {}
-    for whole in (True, False):
-        good, bad = load.read_source(spark, 1, kind, str(tmp_path), whole=whole)
-        one[whole] = linked(good.collect())
-        assert [tuple(r) for r in bad.collect()] == []
-    assert one[True] == one[False] and len(one[True]) > 25
+    """Every file gives the same triples whole and in pieces of any size, in many blocks too."""
+    for i, body in enumerate(files.values()):
+        if body.strip() or kind == "turtle":
+            (tmp_path / f"{i:02}.x").write_bytes(body.encode())
+    whole, bad = load.read_source(spark, 1, kind, str(tmp_path), whole=True)
+    assert [tuple(r) for r in bad.collect()] == []
+    one = linked(whole.collect())
+    assert len(one) > 25
     reader = turtle.read_statements if kind == "turtle" else rdfxml.read_descriptions
-    cut = {r["path"].rsplit("/", 1)[1]: r["cut"] for r in reader(spark, str(tmp_path)).groupBy("path").agg(F.min(F.col("doc") != F.col("file")).alias("cut")).collect()}
-    assert {n: cut[f"{i}.x"] for i, n in enumerate(files)} == {n: c for n, (_, c) in files.items()}
+    try:
+        for size, block in ((1, 128 << 20), (50, 300)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+            good, bad = load.read_source(spark, 1, kind, str(tmp_path), size=size)
+            assert [tuple(r) for r in bad.collect()] == [], (size, block)
+            assert linked(good.collect()) == one, (size, block)
+        docs = {r["path"].rsplit("/", 1)[1]: r["count"] for r in reader(spark, str(tmp_path), size=1).groupBy("path").count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # Whatever the style, a file with many lines is many documents.
+    single = {"one statement", "empty", "blank", "empty root", "root is a description", "no description", "other root"}
+    assert {n for i, n in enumerate(files) if docs.get(f"{i:02}.x", 0) < 2} == single & set(files)
+
+
+@pytest.mark.parametrize("kind", ["turtle", "rdf"])
+def test_documents_are_not_too_many(spark, tmp_path, kind):
+    body = EX + MANY * 2000 if kind == "turtle" else RDF_ROOT + FLAT * 300 + "</rdf:RDF>"
+    (tmp_path / "a.x").write_text(body)
+    reader = turtle.read_statements if kind == "turtle" else rdfxml.read_descriptions
+    assert reader(spark, str(tmp_path)).count() == 1
+    sizes = [r[0] for r in reader(spark, str(tmp_path), size=20_000).select(F.length("body")).collect()]
+    assert len(sizes) >= len(body) // 20_000 and sum(sizes) < 1.2 * len(body)
+
+
+def test_sources_share_a_scan(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"a {i}%20é.ttl").write_text(f"<http://a.org/{i}> <http://b.org/> {i} .\n")
+    rows = [(i, "turtle", f"{tmp_path}/a {i}%20é.ttl") for i in range(5)] + [(9, "turtle", str(tmp_path)), (10, "turtle", str(tmp_path))]
+    assert [len(files) for _, files in load._files(spark, {r[0]: r[2] for r in rows})] == [5, 10]
+    good, bad, ids = load.read_sources(spark, spark.createDataFrame(rows, "id int, type string, uri string"))
+    got = {(r["source_id"], r["o"]) for r in good.collect()}
+    assert got == {(i, str(i)) for i in range(5)} | {(k, str(i)) for k in (9, 10) for i in range(5)}
+    assert good.count() == 15 and bad.count() == 0
+
+
+@pytest.mark.parametrize("syntax, files", [(turtle_syntax, TURTLE_FILES), (rdfxml_syntax, RDF_FILES)])
+def test_states_compose(syntax, files):
+    """What two stretches do one after the other is what the whole does, wherever it is cut."""
+    for body in files.values():
+        lines = body.splitlines(keepends=True)
+        for n in range(len(lines) + 1):
+            first, second = "".join(lines[:n]), "".join(lines[n:])
+            # An open tag holds no other, so only what a file can begin with is tried there.
+            for state in range(syntax.states) if syntax is turtle_syntax else (0,):
+                middle, depth = syntax.passes(first)[state]
+                last, more = syntax.passes(second)[middle]
+                whole = syntax.passes(body)[state]
+                # Blank stretches may not know that they are between statements.
+                assert (last, depth + more) == whole or {last, whole[0]} <= {0, 1} and depth + more == whole[1], (body, n, state)
 
 
 def test_bad_pieces_are_kept_with_their_reason(spark, tmp_path):
@@ -314,6 +367,10 @@ def test_bad_pieces_are_kept_with_their_reason(spark, tmp_path):
     got = {r["reason"]: r["value"] for r in bad.collect()}
     assert set(got) == {"unknown prefix", "unbalanced brackets"}
     assert got["unbalanced brackets"] == EX + "ex:a ex:p [ ex:q 1 .\n" + MANY
+    (tmp_path / "c.rdf").write_text(RDF_ROOT + CITY + "<v:A v:b='1' v:b='2'/>" + FLAT + "<v:open>")
+    good, bad = load.read_source(spark, 1, "rdf", f"{tmp_path}/c.rdf")
+    assert good.count() == 14
+    assert sorted(r["value"].split(RDF_ROOT.strip())[1].strip()[:6] for r in bad.collect()) == ["<v:A v", "<v:ope"]
 
 
 @pytest.mark.parametrize(
@@ -327,6 +384,67 @@ def test_bad_pieces_are_kept_with_their_reason(spark, tmp_path):
 )
 def test_relative_addresses(spark, iri, base, full):
     assert value(spark, turtle.resolve_iri(F.lit(iri), F.lit(base))) == full
+    assert rdfxml_events.resolved(iri, base) == full
+
+
+def rdf(body, root=RDF_ROOT):
+    return [r for rows in rdfxml_events.statements(root + body + "</rdf:RDF>", "http://doc/d") for r in rows]
+
+
+def test_context_is_inherited():
+    inner = '<v:p><v:T rdf:about="b"><v:q xml:lang="">plain</v:q><v:q rdf:resource="c"/></v:T></v:p>'
+    rows = rdf(f'<rdf:Description xml:base="http://base/x/" xml:lang="fr" rdf:about="a"><v:n>un</v:n>{inner}<v:r xml:base="y/z" rdf:resource="d"/></rdf:Description><v:T rdf:about="e"/>')
+    v = "http://ex.org/v#"
+    assert {(r[0], r[2], r[3], r[6]) for r in rows} == {
+        ("http://base/x/a", v + "n", "un", "fr"), ("http://base/x/a", v + "p", "http://base/x/b", None),
+        ("http://base/x/b", M.RDF_TYPE, v + "T", None), ("http://base/x/b", v + "q", "plain", None), ("http://base/x/b", v + "q", "http://base/x/c", None),
+        ("http://base/x/a", v + "r", "http://base/x/y/d", None), ("http://doc/e", M.RDF_TYPE, v + "T", None),
+    }
+
+
+def test_statements_with_an_id_are_described():
+    rows = rdf('<rdf:Description rdf:ID="a"><v:p rdf:ID="s" xml:lang="en">x</v:p><v:q rdf:ID="t"><v:T/></v:q></rdf:Description>')
+    about = {(r[2], r[3], r[6]) for r in rows if r[0] == "http://doc/d#s"}
+    assert about == {
+        (M.RDF_TYPE, M.RDF + "Statement", None), (M.RDF + "subject", "http://doc/d#a", None),
+        (M.RDF + "predicate", "http://ex.org/v#p", None), (M.RDF + "object", "x", "en"),
+    }
+    assert (("http://doc/d#t", "uri", M.RDF + "object", "-node1", "bnode", None, None)) in rows
+
+
+def test_collections_members_and_markup():
+    rows = rdf(
+        '<rdf:Seq><rdf:li>1</rdf:li><rdf:li rdf:resource="http://x/"/></rdf:Seq><v:T v:a="1"><v:l rdf:parseType="Collection"><v:I rdf:nodeID="i"/><v:I/></v:l>'
+        '<v:e rdf:parseType="Collection"/><v:m rdf:parseType="Literal">a<b xmlns="http://h/">c</b></v:m><v:r rdf:parseType="Resource"><v:k>2</v:k></v:r><v:u v:w="3"/></v:T>'
+    )
+    assert [r[3] for r in rows if r[2] in (M.RDF + "_1", M.RDF + "_2")] == ["1", "http://x/"]
+    cells = [r for r in rows if r[2] in (M.RDF + "first", M.RDF + "rest")]
+    assert len(cells) == 4 and cells[-1][3] == M.RDF + "nil" and cells[0][3] == "i"
+    by = {r[2].split("#")[1]: r for r in rows if "v#" in r[2]}
+    assert by["e"][3] == M.RDF + "nil" and by["m"][3].startswith("a<") and by["m"][5] == M.RDF + "XMLLiteral"
+    assert by["k"][0] == by["r"][3] and by["w"][0] == by["u"][3] and by["a"][3] == "1"
+
+
+@pytest.mark.parametrize("body", ["<v:a><v:b><v:c/><v:d/></v:b></v:a>", "<plain/>", "<v:a><plain/></v:a>", "<v:a>"])
+def test_what_is_no_rdfxml(body):
+    with pytest.raises(ValueError, match="not RDF/XML"):
+        rdf(body)
+
+
+def test_a_long_document_is_read_as_a_stream(spark, monkeypatch):
+    import tracemalloc
+
+    many = 40_000
+    text = RDF_ROOT + "".join(f"<v:T rdf:about='http://x/{i}'><v:n>{i}</v:n></v:T>\n" for i in range(many))
+    tracemalloc.start()
+    assert sum(map(len, rdfxml_events.statements(text + "</rdf:RDF>"))) == 2 * many
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000
+    # None of its statements is returned if its end is wrong, however long it is.
+    docs = spark.createDataFrame([("good", text + "</rdf:RDF>"), ("bad", text)], "doc string, body string")
+    got = rdfxml.read(docs, "body", "doc")
+    assert {(r["doc"], r["reason"] is None): r["count"] for r in got.groupBy("doc", "reason").count().collect()} == {("good", True): 2 * many, ("bad", False): 1}
 
 
 def test_the_format_is_a_column(spark, tmp_path):
