@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from hashlib import blake2b
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,16 +66,57 @@ def crossing(lines: list[list[bytes]], buckets: int = BUCKETS) -> list[int]:
     return [c % buckets for c in out]
 
 
+def _key(words: list[bytes]) -> tuple[bytes, bytes]:
+    text = b" ".join(words)
+    return blake2b(text, digest_size=16).digest(), text
+
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(segment, words, occurrences): the distinct lines of each chunk of texts."""
+    for _, raw in common.chunks(batches):
+        found = Counter(_key(words) for x in raw for words in segments(x))
+        keys = list(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in keys], pa.binary()), pa.array([w for _, w in keys], pa.binary()), pa.array(list(found.values()), pa.int64())],
+            names=["segment", "words", "occurrences"],
+        )
+
+
+def distinct(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(segment, chunks, occurrences, features): every distinct line of all texts, computed once.
+
+    ``features`` holds the buckets in order, two or four bytes each.
+    """
+    kind = _kind(buckets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, raw in common.chunks(batches, "words"):
+            found = pa.array([np.sort(np.array(features(x.split(b" "), buckets), kind)).tobytes() for x in raw], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("segment"), batch.column("chunks"), batch.column("occurrences"), found],
+                names=["segment", "chunks", "occurrences", "features"],
+            )
+
+    once = (
+        common.only(docs, "doc_id", "text").mapInArrow(_segments, "segment binary, words binary, occurrences long")
+        .groupBy("segment")
+        .agg(F.first("words").alias("words"), F.count(F.lit(1)).alias("chunks"), F.sum("occurrences").alias("occurrences"))
+    )
+    return common.stage(once.mapInArrow(run, "segment binary, chunks long, occurrences long, features binary"), "distinct", "zstd")
+
+
 _CUT = pa.schema(
     [
-        ("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("crossing", pa.list_(pa.int32())),
-        ("segment", pa.binary()), ("words", pa.binary()), ("rows", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
+        ("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("crossing", pa.binary()),
+        ("segment", pa.binary()), ("rows", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
     ]
 )
-_CUT_SQL = "row long, doc_id long, n_words long, crossing array<int>, segment binary, words binary, rows array<long>, times array<long>"
+_CUT_SQL = "row long, doc_id long, n_words long, crossing binary, segment binary, rows array<long>, times array<long>"
 
 
 def _cut(buckets: int):
+    kind = _kind(buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -84,13 +126,12 @@ def _cut(buckets: int):
             found: dict[bytes, dict[int, int]] = {}
             for doc_id, x in zip(batch.column("doc_id").to_pylist(), raw, strict=True):
                 lines = segments(x)
-                docs.append((row, doc_id, sum(map(len, lines)), crossing(lines, buckets)))
+                docs.append((row, doc_id, sum(map(len, lines)), np.array(crossing(lines, buckets), kind).tobytes()))
                 for words in lines:
-                    links = found.setdefault(b" ".join(words), {})
+                    links = found.setdefault(_key(words)[0], {})
                     links[row] = links.get(row, 0) + 1
                 row += 1
-            keys = [blake2b(k, digest_size=16).digest() for k in found]
-            values = [*map(list, zip(*docs, strict=True)), keys, list(found), [list(x) for x in found.values()], [list(x.values()) for x in found.values()]]
+            values = [*map(list, zip(*docs, strict=True)), list(found), [list(x) for x in found.values()], [list(x.values()) for x in found.values()]]
             n, m = len(docs), len(found)
             columns = [v + [None] * m if i < 4 else [None] * n + v for i, v in enumerate(values)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CUT, strict=True)], schema=_CUT)
@@ -99,39 +140,25 @@ def _cut(buckets: int):
 
 
 def cut(docs: DataFrame, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
-    """Rows (row, doc_id, n_words, crossing) of texts, and links (segment, words, rows, times).
+    """Rows (row, doc_id, n_words, crossing) of texts, and links (segment, rows, times).
 
     A segment has one link row for each chunk of texts that holds it, however often it
     stands there.  ``row`` names the row of a text; both come from one staged pass.
     """
-    both = common.stage(common.only(docs, "doc_id", "text").mapInArrow(_cut(buckets), _CUT_SQL), "segments")
+    both = common.stage(common.only(docs, "doc_id", "text").mapInArrow(_cut(buckets), _CUT_SQL), "links", "zstd")
     texts = both.filter("row IS NOT NULL").select("row", "doc_id", "n_words", "crossing")
-    return texts, both.filter("segment IS NOT NULL").select("segment", "words", "rows", "times")
-
-
-def distinct(links: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(segment, chunks, occurrences, features): every distinct segment, computed once."""
+    return texts, both.filter("segment IS NOT NULL").select("segment", "rows", "times")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw in common.chunks(batches, "words"):
-            found = pa.array([features(x.split(b" "), buckets) for x in raw], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("segment"), batch.column("chunks"), batch.column("occurrences"), found],
-                names=["segment", "chunks", "occurrences", "features"],
-            )
 
-    once = links.groupBy("segment").agg(
-        F.first("words").alias("words"),
-        F.count(F.lit(1)).alias("chunks"),
-        F.sum(F.aggregate("times", F.lit(0).cast("long"), lambda a, x: a + x)).alias("occurrences"),
-    )
-    return common.stage(once.mapInArrow(run, "segment binary, chunks long, occurrences long, features array<int>"), "distinct")
+def _kind(buckets: int) -> str:
+    return "<u2" if buckets <= 1 << 16 else "<u4"
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The values of an array of lists, and the row of each."""
-    sizes = np.asarray(column.value_lengths().fill_null(0))
-    return np.asarray(column.flatten()), np.repeat(np.arange(len(column)), sizes)
+def _flat(column: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets in an array of bytes, and the row of each."""
+    raw = column.to_pylist()
+    values = np.frombuffer(b"".join(raw), _kind(buckets))
+    return values, np.repeat(np.arange(len(raw)), [len(x) // values.itemsize for x in raw])
 
 
 def _summed(rows: DataFrame, column: str, times: str | None, buckets: int) -> DataFrame:
@@ -140,7 +167,7 @@ def _summed(rows: DataFrame, column: str, times: str | None, buckets: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            values, owner = _flat(batch.column(0))
+            values, owner = _flat(batch.column(0), buckets)
             weights = None if times is None else batch.column(1).to_numpy()[owner]
             np.add.at(total, values, 1 if weights is None else weights)
         at = np.flatnonzero(total)
@@ -173,7 +200,7 @@ def _gained(rows: DataFrame, column: str, gain: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, owner = _flat(batch.column(column))
+            values, owner = _flat(batch.column(column), len(gain))
             out = np.zeros(batch.num_rows, np.int64)
             np.add.at(out, owner, gain[values])
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(out)], names=[*keep, "gain"])
@@ -225,10 +252,10 @@ def resample(
     empty result, an empty target counts as one of equal buckets.  Other columns than
     ``doc_id`` and ``text`` are not read.
     """
+    found = distinct(docs, buckets)
     texts, links = cut(docs, buckets)
-    found = distinct(links, buckets)
-    wanted, wanted_links = cut(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), buckets)
-    gain = gains(counts(texts, found, buckets), counts(wanted, distinct(wanted_links, buckets), buckets))
+    wanted = target.select(F.lit(None).cast("long").alias("doc_id"), "text")
+    gain = gains(counts(texts, found, buckets), counts(cut(wanted, buckets)[0], distinct(wanted, buckets), buckets))
     n = F.col("n_words")
     scored = common.stage(
         weights(texts, links, found, gain)
