@@ -82,6 +82,23 @@ def value_hash(kind: int, value: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}:{plain}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def group_of(kind: int, value: str) -> str:
+    """What a value has in common with others of its kind: mail domain, network, issuer,
+    country and area."""
+    if kind == 0:
+        return value.rsplit("@", 1)[1].lower()
+    if kind == 1:
+        return ".".join(value.split(".")[:2])
+    digits = "".join(DIGIT.findall(value))
+    return digits[:6] if kind == 2 else digits[:4]
+
+
+def entities(kind: int, value: str) -> list[int]:
+    """The protected entities that a value stands for: itself, and the group it is one of."""
+    group = int.from_bytes(hashlib.blake2b(f"group {kind}:{group_of(kind, value)}".encode(), digest_size=8).digest(), "little", signed=True)
+    return [value_hash(kind, value), group]
+
+
 class Terms:
     """Words of one text as runs of letters and digits, placed by code points."""
 
@@ -106,12 +123,11 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, in
     letters = (t.end - t.start >= 3) & ~inside
     out = set()
     for a, k, b in spans:
-        value = value_hash(k, text[a:b])
         left, right = np.searchsorted(t.end, a, "right"), np.searchsorted(t.start, b, "left")
         near = np.concatenate([np.arange(max(0, left - CONTEXT), left), np.arange(right, min(len(t.start), right + CONTEXT))])
         near = near[letters[near]]
         context = int(words.mix(np.bitwise_xor.reduce(words.mix(t.hash[near].view(np.uint64)), initial=np.uint64(0)).reshape(1)).view(np.int64)[0])
-        out.update((value, int(h), context) for h in t.hash[near])
+        out.update((value, int(h), context) for value in entities(k, text[a:b]) for h in t.hash[near])
     return sorted(out)
 
 
@@ -124,7 +140,7 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in raw:
             text = x.decode("utf-8", "replace")
             spans = base_spans(text)
-            values.append(sorted({value_hash(k, text[a:b]) for a, k, b in spans}))
+            values.append(sorted({e for a, k, b in spans for e in entities(k, text[a:b])}))
             pairs.append([dict(zip(("value", "term", "context"), p, strict=True)) for p in contexts(text, spans)])
         yield pa.RecordBatch.from_arrays([pa.array(values, pa.list_(pa.int64())), pa.array(pairs, pa.list_(PAIR))], names=["found", "pairs"])
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from rdfweave.llm import common, words
 from rdfweave.llm.induced import Sorter
+from rdfweave.llm.order import numbered
 
 LENGTH = 100
 GRAM = 24
@@ -30,7 +31,10 @@ GRAM = 24
 LONGER = (62, 81, LENGTH)
 #: Text of a shard that is sorted at once; a key with more is dealt again.
 SHARD_BYTES = 2 << 20
-QUEUE_BYTES = 64 << 20
+#: Tuples that the queues of a shard hold in memory, and suffixes of a level of names that
+#: are sorted there; what is beyond lies on disk, and is sorted by induction of its own.
+QUEUE_BYTES = 4 << 20
+INNER_SUFFIXES = 1 << 20
 
 
 def pieces(t: words.Text, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -177,7 +181,7 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_in(doc_id: np.ndarray, start: np.ndarray, texts: list[bytes], length: int = LENGTH, memory: int = QUEUE_BYTES, inner: int = 1 << 22) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_in(doc_id: np.ndarray, start: np.ndarray, texts: list[bytes], length: int = LENGTH, memory: int = QUEUE_BYTES, inner: int = INNER_SUFFIXES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc_id, start, end) of runs of bytes that repeated strings of a shard cover."""
     order = np.lexsort((start, doc_id))
     doc_id, start, texts = doc_id[order], start[order], [texts[i] for i in order]
@@ -213,7 +217,7 @@ def repeated_in(doc_id: np.ndarray, start: np.ndarray, texts: list[bytes], lengt
 def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key, cut into shards of whole keys."""
     held: list[tuple[int, int, int, bytes]] = []
-    size, boundary, bytes_to_boundary = 0, 0, 0
+    size, last = 0, None
 
     def shard(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
         doc_id, start, end = repeated_in(
@@ -225,6 +229,9 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         for row in zip(*[batch.column(n).to_pylist() for n in ("key", "doc_id", "start", "piece")], strict=True):
+            if row[:3] == last:  # a repeated row of the table
+                continue
+            last = row[:3]
             if held and row[0] != held[-1][0]:
                 if size >= SHARD_BYTES:
                     yield shard(held)
@@ -303,9 +310,27 @@ def dealt(source: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
         keyed = _wanted(source, sort.join(heavy, "key", "left_semi")).mapInArrow(dealt_again(longer), KEYED)
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, end): runs of bytes that repeated strings cover; they may overlap."""
-    source = common.only(docs, "doc_id", "text").filter("doc_id IS NOT NULL AND octet_length(text) >= 100")
+def placed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, place) of every row; ``place`` tells documents apart and orders them.
+
+    It is the doc_id, unless one stands on several texts: then documents are numbered by
+    doc_id and the hash of their text.  Rows without a doc_id have none.
+    """
+    rows = common.only(docs, "doc_id", "text")
+    known = rows.filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("_hash"))
+    several = known.groupBy("doc_id").agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).filter("a <> b")
+    if common.stage(several, "several").isEmpty():
+        return rows.withColumn("place", F.col("doc_id"))
+    places = numbered(known.distinct(), [], ["doc_id", "_hash"]).select("doc_id", "_hash", F.col("i").alias("place"))
+    return rows.withColumn("_hash", F.xxhash64("text")).join(common.stage(places, "places"), ["doc_id", "_hash"], "left").drop("_hash")
+
+
+def repeated_runs(rows: DataFrame) -> DataFrame:
+    """(doc_id, start, end): runs of bytes that repeated strings cover; they may overlap.
+
+    ``rows`` are those of ``placed``; ``doc_id`` stands for the place here and below.
+    """
+    source = rows.select(F.col("place").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND octet_length(text) >= 100")
     runs = None
     for copies, sort in dealt(source):
         shards = (
@@ -326,14 +351,16 @@ def without_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     Null texts are empty; texts under 100 bytes and rows without a doc_id keep all their
     bytes and repeat nothing; rows that are repeated as a whole are one document and have
-    equal results; an empty table gives an empty result.
+    equal results; several texts under one doc_id are documents each, in the order of a
+    hash of the text; an empty table gives an empty result.
     """
+    rows = placed(docs)
     spans = (
-        common.stage(repeated_runs(docs), "spans")
-        .groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+        common.stage(repeated_runs(rows), "spans")
+        .groupBy(F.col("doc_id").alias("place")).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     )
     return (
-        common.only(docs, "doc_id", "text").join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+        rows.join(spans, "place", "left").select("doc_id", "text", "spans")
         .mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     )
 

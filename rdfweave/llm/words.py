@@ -1,7 +1,10 @@
 """Words, lines and windows of many texts at once, as numpy arrays.
 
 The bytes of a chunk are joined by one separator and hashed by a polynomial whose
-prefix sums give the hash of any stretch in constant time.  Hashes have 64 bits.
+prefix sums give the hash of any stretch in constant time.  The polynomial is taken modulo
+the prime 2**61 - 1: modulo a power of two, texts of a regular build such as the Thue-Morse
+word and its complement have one hash whatever the base.  Sums modulo 2**64 are only used
+to deal out short grams.
 """
 
 from __future__ import annotations
@@ -16,6 +19,61 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: Every ASCII byte that is neither a letter nor a digit.
 NOT_WORD = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
+PRIME = np.uint64((1 << 61) - 1)
+PRIME_BASE = 0x1B5F3C6D9A4E2871
+#: (Bytes, bits of a limb, limbs): sums of limbs of so many bytes fit 63 bits.
+LIMBS = ((1 << 22, 31, 2), (1 << 33, 21, 3))
+STEP = 1 << 12
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Values below 2**63 modulo the prime."""
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of values below the prime, modulo the prime."""
+    low = np.uint64((1 << 32) - 1)
+    a1, a0, b1, b0 = a >> np.uint64(32), a & low, b >> np.uint64(32), b & low
+    cross, least = a1 * b0 + a0 * b1, a0 * b0
+    return _reduced(
+        (a1 * b1 << np.uint64(3))
+        + (cross >> np.uint64(29))
+        + ((cross & np.uint64((1 << 29) - 1)) << np.uint64(32))
+        + (least & PRIME)
+        + (least >> np.uint64(61))
+    )
+
+
+def _steps(base: int, n: int) -> np.ndarray:
+    return np.array([pow(base, i, int(PRIME)) for i in range(n)], np.uint64)
+
+
+_near, _far = _steps(pow(PRIME_BASE, -1, int(PRIME)), STEP), np.ones(1, np.uint64)
+
+
+def inverse_powers(at: np.ndarray) -> np.ndarray:
+    """The inverse of the prime base to the given powers."""
+    global _far
+    most = int(at.max(initial=0)) // STEP + 1
+    if len(_far) < most:
+        _far = _steps(pow(PRIME_BASE, -STEP, int(PRIME)), most + 256)
+    return times(_near[at % STEP], _far[at // STEP])
+
+
+_prime_powers = np.ones(1, np.uint64)
+
+
+def prime_powers(n: int) -> np.ndarray:
+    """The first n powers of the prime base."""
+    global _prime_powers
+    while len(_prime_powers) < n:
+        m = len(_prime_powers)
+        _prime_powers = np.concatenate([_prime_powers, times(_prime_powers, np.uint64(pow(PRIME_BASE, m, int(PRIME))))])
+    return _prime_powers[:n]
+
+
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
@@ -48,10 +106,11 @@ class Text:
         self.bytes = np.frombuffer(self.buffer, np.uint8)
         self.sizes = np.fromiter(map(len, raw), np.int64, self.n)
         self.at = np.concatenate([[0], np.cumsum(self.sizes + 1)])
-        self._sums = None
+        self._sums = self._limbs = None
 
     @property
     def sums(self) -> np.ndarray:
+        """Prefix sums modulo 2**64, fit for short grams."""
         if self._sums is None:
             power, _ = powers(len(self.bytes))
             sums = np.empty(len(self.bytes) + 1, np.uint64)
@@ -60,10 +119,29 @@ class Text:
             self._sums = sums
         return self._sums
 
+    @property
+    def limbs(self) -> list[tuple[np.uint64, np.ndarray]]:
+        """(weight, prefix sums) of the bytes times each limb of the prime's powers."""
+        if self._limbs is None:
+            power, value = prime_powers(len(self.bytes)), self.bytes.astype(np.uint64) + np.uint64(1)
+            _, bits, count = next(x for x in LIMBS if len(value) <= x[0])
+            self._limbs = []
+            for n in range(count):
+                sums = np.zeros(len(value) + 1, np.uint64)
+                limb = (power >> np.uint64(bits * n)) & np.uint64((1 << bits) - 1)
+                np.cumsum(limb * value, out=sums[1:])
+                self._limbs.append((np.uint64(1 << (bits * n)), sums))
+        return self._limbs
+
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the bytes from each start to each end."""
-        _, inverse = powers(len(self.bytes) + 1)
-        h = (self.sums[end] - self.sums[start]) * inverse[start]
+        if not len(start):
+            return np.zeros(0, np.uint64)
+        total = np.zeros(len(start), np.uint64)
+        for weight, sums in self.limbs:
+            part = _reduced(sums[end] - sums[start])
+            total += part if weight == 1 else times(part, weight)
+        h = times(_reduced(total), inverse_powers(np.asarray(start)))
         return mix(h ^ ((end - start).astype(np.uint64) << np.uint64(48)))
 
     def stretches(self, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

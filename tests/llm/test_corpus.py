@@ -64,6 +64,45 @@ def test_repeated_strings_equal_brute_force(shared, frame, seed):
             assert hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"]
 
 
+def test_several_texts_under_one_id(shared, frame):
+    rng = random.Random(9)
+    a, b, c = ("".join(rng.choice("abcdefgh ") for _ in range(400)) for _ in range(3))
+    rows = [(1, a), (2, a), (2, b), (2, c[:120]), (3, c), (3, b[:150] + c), (2, b), (None, a), (4, None), (4, "")]
+    # The same documents under numbers of their own, in the order of the hash of their text.
+    places = suffix.placed(frame(rows)).filter("doc_id IS NOT NULL").dropDuplicates(["place"]).collect()
+    want = removed([(r["place"], r["text"]) for r in places])
+    texts = {(r["doc_id"], r["text"]): want[r["place"]] for r in places}
+    got = suffix.without_repeats(shared, frame(rows)).collect()
+    assert len(got) == len(rows)
+    assert sorted((r["doc_id"] or 0, r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got if r["doc_id"]) == sorted(
+        (r[0], *texts[r[0], r[1]]) for r in rows if r[0]
+    )
+    assert all(r["n_removed"] <= r["n_bytes"] for r in got)
+
+
+def test_a_shard_of_the_query_spills_and_recurs(monkeypatch):
+    import pyarrow as pa
+
+    from rdfweave.llm import induced
+
+    rng = random.Random(4)
+    word = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+    lines = [" ".join(rng.choices(word, k=30)) for _ in range(2000)]
+    texts = []
+    while sum(map(len, texts)) < 2 * suffix.SHARD_BYTES:
+        texts.append((rng.choice(lines) + " " + " ".join(rng.choices(word, k=6)) + " " + rng.choice(lines)[:110]).encode())
+    spills, sorters = [], []
+    spill, make = induced.Queue._spill, induced.Sorter.__init__
+    monkeypatch.setattr(induced.Queue, "_spill", lambda self: (spills.append(self.held), spill(self))[1])
+    monkeypatch.setattr(induced.Sorter, "__init__", lambda self, *a, **k: (sorters.append(len(a[0])), make(self, *a, **k))[1])
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(n, np.int64)), pa.array(np.arange(n)), pa.array(np.zeros(n, np.int32)), pa.array(texts, pa.binary())], names=["key", "doc_id", "start", "piece"]
+    )
+    found = sum(b.num_rows for b in suffix._sorted_shards(iter([batch])))
+    assert found > 1000 and len(spills) > 3 and len(sorters) > 1
+
+
 def test_a_common_line_is_no_shard_of_its_own(shared, frame, monkeypatch):
     monkeypatch.setattr(suffix, "SHARD_BYTES", 3000)
     rng = random.Random(7)

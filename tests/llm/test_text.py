@@ -1,13 +1,14 @@
 """Operators on single texts: rules, personal data, quality, toxicity, pages, tiling."""
 
 import hashlib
+import math
 import random
 import re
 
 import numpy as np
 import pytest
 
-from rdfweave.llm import boosting, html, pii, quality, rules, tiling, toxicity
+from rdfweave.llm import boosting, html, pii, quality, rules, tiling, toxicity, words
 from tests.llm.conftest import ODD, PLAIN
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -31,6 +32,82 @@ def test_rules_equal_brute_force():
     assert [tuple(int(got[m][i]) for m in rules.MEASURES) for i in range(len(texts))] == [measured(t) for t in texts]
 
 
+def thue_morse(n):
+    """A word and its complement, which every polynomial hash modulo a power of two confuses."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 8192])
+def test_texts_of_regular_build(n):
+    a, b = thue_morse(n)
+    texts = [f"{a}\n{b}\n{a}", f"{a} {b}", " ".join(a) + "\n" + " ".join(b), " ".join([a, b] * 4) + " " + " ".join([b, a] * 4)]
+    got = rules.measure([t.encode() for t in texts])
+    assert [tuple(int(got[m][i]) for m in rules.MEASURES) for i in range(len(texts))] == [measured(t) for t in texts]
+
+
+def test_hash_is_a_polynomial_modulo_a_prime():
+    rng = random.Random(61)
+    p = int(words.PRIME)
+    a, b = ([rng.randrange(p) for _ in range(2000)] + [0, 1, p - 1, p - 1] for _ in range(2))
+    assert [int(x) for x in words.times(np.array(a, np.uint64), np.array(b, np.uint64))] == [x * y % p for x, y in zip(a, b)]
+    # The same stretch has one hash wherever it stands, and however long the buffer is.
+    part = "nächste Zeile".encode()
+    for before in (0, 1, 5000, (1 << 22) + 3):
+        t = words.Text([b"x" * before + part + b"tail"])
+        (h,) = t.hashes(np.array([before]), np.array([before + len(part)]))
+        plain = sum((c + 1) * pow(words.PRIME_BASE, i, p) for i, c in enumerate(part)) % p
+        assert int(h) == int(words.mix(np.array([plain ^ (len(part) << 48)], np.uint64))[0])
+
+
+def disclosed_plainly(texts):
+    """Shares of all (entity, term) pairs, from plain sets and counts."""
+    having, holding, together, seen = {}, {}, {}, {}
+    for text in texts:
+        spans = pii.base_spans(text)
+        tokens = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[A-Za-z0-9]+", text)]
+        for w in {x for _, _, x in tokens if len(x) >= 3}:
+            holding[w] = holding.get(w, 0) + 1
+        out = set()
+        for e in {(k, v) for a, k, b in spans for v in (text[a:b].lower(), "group " + pii.group_of(k, text[a:b]))}:
+            having[e] = having.get(e, 0) + 1
+        for a, k, b in spans:
+            near = [t for t in tokens if t[1] <= a][-pii.CONTEXT :] + [t for t in tokens if t[0] >= b][: pii.CONTEXT]
+            near = [x for s, e, x in near if len(x) >= 3 and not any(s < y and e > z for z, _, y in spans)]
+            for v in (text[a:b].lower(), "group " + pii.group_of(k, text[a:b])):
+                out |= {((k, v), w, tuple(sorted(near))) for w in near}
+        for e, w, context in out:
+            together[e, w] = together.get((e, w), 0) + 1
+            seen.setdefault((e, w), set()).add(context)
+    share = {
+        key: 1 + math.log(min(n, holding[key[1]]) / holding[key[1]]) / math.log(max(len(texts) / having[key[0]], 1.0000001))
+        for key, n in together.items() if len(seen[key]) >= pii.SUPPORT
+    }
+    return sorted(0 if x >= pii.REMOVE else 1 for x in share.values() if x >= pii.GENERALISE)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shares_equal_brute_force(shared, frame, seed):
+    rng = random.Random(seed)
+    word = [f"word{i}" for i in range(60)]
+    special = {f"{n}@d{n % 3}.org": [f"name{n}", f"firm{n % 3}"] for n in range(8)}
+    texts = []
+    for _ in range(200):
+        parts = rng.choices(word, k=rng.randint(5, 30))
+        if rng.random() < 0.4:
+            value = rng.choice(list(special))
+            beside = [w for w in special[value] if rng.random() < 0.8] + rng.choices(word, k=2)
+            rng.shuffle(beside)
+            parts[2:2] = [*beside, value]
+        texts.append(" ".join(parts))
+    docs = frame(list(enumerate(texts)))
+    found = docs.select("doc_id", "text").mapInArrow(pii._found, pii.FOUND)
+    got = sorted(r["action"] for r in pii.disclosing(docs, found).collect())
+    assert got == disclosed_plainly(texts) and len(got) > 3
+    spans = [r["spans"] for r in pii.find(shared, docs).collect()]
+    assert any("term:" in s for s in spans)
+
+
 def test_prior_shrinks_hosts():
     mean, weight = rules.beta_prior(3, 300, 90, 90 * 90 / 100, 3 * 100.0**2)
     assert mean == pytest.approx(0.3) and 1 <= weight < 300
