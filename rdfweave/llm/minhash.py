@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from rdfweave.llm import common, words
 from rdfweave.llm.components import components
+from rdfweave.llm.order import placed
+from rdfweave.operators.scale import skew_join
 
 SHINGLE = 4
 #: A pair is linked if PERCENT of the union of both sets is common.
@@ -261,8 +263,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> D
     ``component_id`` is the least doc_id that links reach; ``kept`` holds for that one.
     Null and empty texts and texts without a word have no shingle, are linked with
     nothing and kept; so are rows without a doc_id (component null).  Repeated rows are
-    one class.  An empty table gives an empty result.
+    one class; several texts under one doc_id are classes each.  An empty table gives an
+    empty result.
     """
+    rows, places = placed(docs)
+    found = _near(rows.select(F.col("place").alias("doc_id"), "text"), k)
+    if places is not None:
+        # The least place of a component has its least doc_id.
+        named = [places.toDF("doc_id", "own"), places.toDF("component_id", "least")]
+        found = skew_join(skew_join(found, named[0], ["doc_id"], "left", large=True), named[1], ["component_id"], "left", large=True)
+        found = found.select(F.col("own").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return found.withColumn("kept", kept)
+
+
+def _near(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row, where a doc_id stands on one text."""
     sketches = common.stage(
         common.only(docs, "doc_id", "text").mapInArrow(
             _sketched(k), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, signature binary"
@@ -307,14 +323,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> D
     return (
         sketches.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"], "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
-        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+        .select("doc_id", "n_shingles", "component_id")
     )
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, k: int = 5) -> DataFrame:
-    """The rows of ``docs`` that represent their group, with all their columns."""
-    dropped = near_duplicates(spark, docs, k).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that represent their group, with all their columns.
+
+    Rows are told apart by a number of their own, so copies go whether they have the same
+    doc_id, another one or none; the one with the least doc_id stays, any of several such.
+    Rows without a word, null or empty ones too, are linked with nothing and all stay.  An
+    empty table stays empty.
+    """
+    number = next(c for n in range(len(docs.columns) + 1) if (c := f"_row{n}") not in docs.columns)
+    rows = common.stage(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    found = _near(rows.select(F.col(number).alias("doc_id"), "text"), k).select(F.col("doc_id").alias(number), "component_id")
+    doc_id = common.only(rows, number, "doc_id")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", number))
+    kept = found.join(doc_id, number).groupBy("component_id").agg(best.alias("best")).select(F.col(f"best.{number}").alias(number))
+    return rows.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

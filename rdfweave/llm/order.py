@@ -42,3 +42,22 @@ def numbered(df: DataFrame, group: list[str], order: list[Column | str]) -> Data
     )
     starts = broadcast_if_small(common.stage(starts, "starts"))
     return rows.join(starts, [*group, "_part"]).withColumn("i", F.col("_row") + F.col("_shift")).drop("_part", "_row", "_shift")
+
+
+def placed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(doc_id, text, place) of every row; ``place`` tells documents apart and orders them.
+
+    It is the doc_id, unless one stands on several texts: then documents are numbered by
+    doc_id and the hash of their text, and (place, doc_id) is returned beside the rows.
+    Rows without a doc_id have no place.
+    """
+    rows = common.only(docs, "doc_id", "text")
+    known = rows.filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("_hash"))
+    several = known.groupBy("doc_id").agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).filter("a <> b")
+    if common.stage(several, "several").isEmpty():
+        return rows.withColumn("place", F.col("doc_id")), None
+    places = common.stage(
+        numbered(known.distinct(), [], ["doc_id", "_hash"]).select("doc_id", "_hash", F.col("i").alias("place")), "places"
+    )
+    rows = rows.withColumn("_hash", F.xxhash64("text")).join(places, ["doc_id", "_hash"], "left").drop("_hash")
+    return rows, places.select("place", "doc_id")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rdfweave.llm import common, words
 from rdfweave.llm.induced import Sorter
-from rdfweave.llm.order import numbered
+from rdfweave.llm.order import placed
 
 LENGTH = 100
 GRAM = 24
@@ -310,21 +310,6 @@ def dealt(source: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
         keyed = _wanted(source, sort.join(heavy, "key", "left_semi")).mapInArrow(dealt_again(longer), KEYED)
 
 
-def placed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, place) of every row; ``place`` tells documents apart and orders them.
-
-    It is the doc_id, unless one stands on several texts: then documents are numbered by
-    doc_id and the hash of their text.  Rows without a doc_id have none.
-    """
-    rows = common.only(docs, "doc_id", "text")
-    known = rows.filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("_hash"))
-    several = known.groupBy("doc_id").agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).filter("a <> b")
-    if common.stage(several, "several").isEmpty():
-        return rows.withColumn("place", F.col("doc_id"))
-    places = numbered(known.distinct(), [], ["doc_id", "_hash"]).select("doc_id", "_hash", F.col("i").alias("place"))
-    return rows.withColumn("_hash", F.xxhash64("text")).join(common.stage(places, "places"), ["doc_id", "_hash"], "left").drop("_hash")
-
-
 def repeated_runs(rows: DataFrame) -> DataFrame:
     """(doc_id, start, end): runs of bytes that repeated strings cover; they may overlap.
 
@@ -354,7 +339,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     equal results; several texts under one doc_id are documents each, in the order of a
     hash of the text; an empty table gives an empty result.
     """
-    rows = placed(docs)
+    rows, _ = placed(docs)
     spans = (
         common.stage(repeated_runs(rows), "spans")
         .groupBy(F.col("doc_id").alias("place")).agg(F.collect_set(F.struct("start", "end")).alias("spans"))

@@ -69,7 +69,7 @@ def test_several_texts_under_one_id(shared, frame):
     a, b, c = ("".join(rng.choice("abcdefgh ") for _ in range(400)) for _ in range(3))
     rows = [(1, a), (2, a), (2, b), (2, c[:120]), (3, c), (3, b[:150] + c), (2, b), (None, a), (4, None), (4, "")]
     # The same documents under numbers of their own, in the order of the hash of their text.
-    places = suffix.placed(frame(rows)).filter("doc_id IS NOT NULL").dropDuplicates(["place"]).collect()
+    places = suffix.placed(frame(rows))[0].filter("doc_id IS NOT NULL").dropDuplicates(["place"]).collect()
     want = removed([(r["place"], r["text"]) for r in places])
     texts = {(r["doc_id"], r["text"]): want[r["place"]] for r in places}
     got = suffix.without_repeats(shared, frame(rows)).collect()
@@ -176,10 +176,27 @@ def test_one_of_each_group_stays(shared, frame):
     docs = frame(ODD)
     left = minhash.one_of_each(shared, docs)
     assert left.columns == docs.columns
-    assert sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 1, 2, 3, 4, 4, 6, 7]
+    # One of all copies stays, under whatever doc_id they are, and without one.
+    assert sorted(r["doc_id"] or 0 for r in left.collect()) == [1, 2, 3, 4, 6, 7]
+    alone = minhash.one_of_each(shared, frame([(None, PLAIN), (None, PLAIN), (None, None), (None, None)]))
+    assert sorted(r["text"] or "" for r in alone.collect()) == ["", "", PLAIN]
+    assert minhash.one_of_each(shared, frame([])).count() == 0
     assert minhash.near_duplicates(shared, frame([])).count() == 0
 
 
+def test_several_texts_of_one_id_are_classes_each(shared, frame):
+    other = " ".join(f"x{i}" for i in range(60))
+    a, b = "".join("ab"[bin(i).count("1") % 2] for i in range(2048)), "".join("ba"[bin(i).count("1") % 2] for i in range(2048))
+    rows = [(5, PLAIN), (5, other), (7, PLAIN + " more"), (9, other), (9, "alone"), (3, other), (11, f"{a} x y z"), (12, f"{b} x y z"), (None, PLAIN)]
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(shared, frame(rows)).collect()}
+    ws = PLAIN.split()
+    n, m = len({tuple(ws[i : i + 4]) for i in range(len(ws) - 3)}), 57
+    assert got == {
+        (5, n, 5, True), (7, n + 1, 5, False), (5, m, 3, False), (9, m, 3, False), (3, m, 3, True), (9, 1, 9, True),
+        (11, 1, 11, True), (12, 1, 12, True), (None, n, None, True),
+    }
+
+
 def test_estimates_follow_the_similarity():
     rng = np.random.default_rng(0)
     for share in (0.5, 0.8, 0.95):
