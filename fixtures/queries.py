@@ -18,7 +18,7 @@ from rdfweave.functions import text, uri
 from rdfweave.model import Pattern, Term
 from rdfweave.operators import describe, expand, federate, fragments, match, paging, resolve, resources
 from rdfweave.operators.stage import new_folder, stage
-from rdfweave.plans import load
+from rdfweave.plans import federation, load
 from rdfweave.plans import query as plans
 from rdfweave.sources import answers, catalog, ntriples, rdfxml, store, turtle
 
@@ -336,14 +336,24 @@ def hash_variants_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- expansion ------------------------------------------------------------------
 
 
+# A link to a nation is followed by what its source says of the nation: name and region.
+_LINKS = (
+    f"SELECT 0 AS source_rank, 'local' AS source_key, {L.CUSTOMER} AS s, c_nationkey AS k FROM customer "
+    f"UNION ALL SELECT DISTINCT 0, 'local', {L.iri('region', 'n_regionkey')}, n_nationkey FROM nation "
+    f"UNION ALL SELECT 1, 'sparql:3', {L.SUPPLIER}, s_nationkey FROM supplier"
+)
+_NATIONS = (
+    f"SELECT n_nationkey AS k, '{V}name' AS p2, n_name AS o2, 'literal' AS o2_kind FROM nation "
+    f"UNION ALL SELECT n_nationkey, '{V}region', {L.iri('region', 'n_regionkey')}, 'uri' FROM nation"
+)
+_NONE = "cast(null as string)"
+
+
 @register(
     "expand_depth2",
-    with_sql(
-        TRIPLES,
-        DATA,
-        f"base AS (SELECT * FROM data WHERE p = '{V}nation')",
-        expand_sql("base", 2),
-    ),
+    f"SELECT source_rank, source_key, s, 'uri' AS s_kind, '{V}nation' AS p, {L.iri('nation', 'k')} AS o, 'uri' AS o_kind, "
+    f"{_NONE} AS o_datatype, {_NONE} AS o_lang, p2, o2, o2_kind, {_NONE} AS o2_datatype, {_NONE} AS o2_lang "
+    f"FROM ({_LINKS}) JOIN ({_NATIONS}) USING (k)",
 )
 def expand_depth2(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_triples = data(spark, sf_dir)
@@ -363,7 +373,34 @@ def expand_depth2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def expand_depth3_construct(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_triples = data(spark, sf_dir)
     base = match.match(all_triples, Pattern(p=Term.iri(V + "nation")))
-    return expand.construct(expand.expand(base, all_triples, 3), 3)
+    return expand.construct_all(base, all_triples, 3)
+
+
+@register(
+    "expand_depth5_construct",
+    with_sql(
+        TRIPLES,
+        DATA,
+        # Each hop of a full path once: forwards by the nodes reached, backwards by what follows.
+        f"base AS (SELECT * FROM data WHERE p = '{V}nation')",
+        *[
+            f"f{n} AS (SELECT * FROM data d WHERE EXISTS (SELECT 1 FROM {'base' if n == 2 else f'f{n - 1}'} b "
+            "WHERE b.source_key = d.source_key AND b.o = d.s AND b.o_kind = d.s_kind AND b.o_kind <> 'literal'))"
+            for n in (2, 3, 4, 5)
+        ],
+        "g5 AS (SELECT * FROM f5)",
+        *[
+            f"g{n} AS (SELECT * FROM f{n} d WHERE d.o_kind <> 'literal' AND EXISTS (SELECT 1 FROM g{n + 1} b "
+            "WHERE b.source_key = d.source_key AND d.o = b.s AND d.o_kind = b.s_kind))"
+            for n in (4, 3, 2)
+        ],
+        "\nUNION ".join(f"SELECT {TERMS} FROM {t}" for t in ("base", "g2", "g3", "g4", "g5")),
+    ),
+)
+def expand_depth5_construct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    all_triples = data(spark, sf_dir)
+    base = match.match(all_triples, Pattern(p=Term.iri(V + "nation")))
+    return expand.construct_all(base, all_triples, 5)
 
 
 @register(
@@ -1279,6 +1316,77 @@ def store_dereference_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.dereference_query(stored, NS + "nation/3", depths(spark)).triples
 
 
+# --- all kinds of sources ---------------------------------------------------------
+
+# What each kind says of names, in the order that pages follow.
+_NAMED = (
+    f"named AS (SELECT source_rank, source_key, {TERMS} FROM data WHERE source_key = 'local' AND p = '{V}name' "
+    f"UNION ALL SELECT 1, concat('sparql:', 100 + s_nationkey), {L.SUPPLIER}, 'uri', '{V}name', s_name, 'literal', {_NONE}, {_NONE} FROM supplier "
+    f"UNION ALL SELECT 2, concat('ldf:', 200 + p_size % 3), {L.PART}, 'uri', '{V}name', p_name, 'literal', {_NONE}, {_NONE} FROM part)"
+)
+
+
+def _federated(spark: SparkSession, sf_dir: str) -> list[federation.TripleSource]:
+    """The store, endpoints by nation, fragment servers of parts."""
+    listed = X.frame(spark, sf_dir, X.FEDERATED)
+    counted, graphs, pages = (X.frame(spark, sf_dir, sql) for sql in (X.FEDERATED_COUNTS, X.FEDERATED_GRAPHS, X.FEDERATED_PAGES))
+    return [
+        federation.StoreSource(data(spark, sf_dir)),
+        federation.EndpointSource(listed, counted, graphs),
+        federation.FragmentSource(listed, pages),
+    ]
+
+
+_ALL_NAMES = Pattern(p=Term.iri(V + "name"))
+
+
+@register(
+    "federated_totals",
+    with_sql(
+        TRIPLES,
+        DATA,
+        _NAMED,
+        "counts AS (SELECT source_rank, source_key, count(*) AS solutions FROM named GROUP BY source_rank, source_key)",
+        "SELECT * FROM counts UNION ALL SELECT null, null, cast(sum(solutions) AS bigint) FROM counts",
+    ),
+)
+def federated_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted in the store, stated by endpoints for their own graph, stated by first pages."""
+    return federate.with_total(federation.totals(_federated(spark, sf_dir), _ALL_NAMES))
+
+
+@register(
+    "federated_page",
+    with_sql(
+        TRIPLES,
+        DATA,
+        _NAMED,
+        f"SELECT * FROM named ORDER BY {order_sql()} LIMIT 230 OFFSET 1500",
+    ),
+)
+def federated_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page that begins in the store, holds all endpoints and ends in a fragment server."""
+    return federation.federated_query(_federated(spark, sf_dir), _ALL_NAMES, 230, 1500).solutions
+
+
+@register(
+    "root_request",
+    with_sql(
+        TRIPLES,
+        DATA,
+        DEPTHS,
+        # The page lies within its first matched triples, as each has a solution at least.
+        f"base AS (SELECT * FROM data ORDER BY {order_sql()} LIMIT 140)",
+        f"page AS (SELECT * FROM ({_by_depth_sql('base')}) ORDER BY {order_sql(3)} LIMIT 100 OFFSET 40)",
+        construct_sql("page", 3),
+    ),
+)
+def root_request(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The address of the root names no subject: all triples are asked for."""
+    answer = plans.dereference_query(data(spark, sf_dir), X.ROOT, depths(spark), offset=40, root=X.ROOT)
+    return answer.triples
+
+
 # --- files ----------------------------------------------------------------------
 
 _SUPPLIERS = (

@@ -149,6 +149,41 @@ FRAGMENTS = "\nUNION ALL ".join(
     ]
 )
 
+# Endpoints by nation, half of them with a named graph, and fragment servers for the parts.
+FEDERATED = (
+    "SELECT 100 + n_nationkey AS id, 'sparql' AS type, concat('http://sparql.example.org/', n_nationkey) AS endpoint, "
+    "CASE WHEN n_nationkey % 2 = 0 THEN 'http://ex.org/graph/even' END AS named_graph, cast(null as string) AS startfragment FROM nation\n"
+    "UNION ALL SELECT DISTINCT 200 + p_size % 3, 'ldf', cast(null as string), cast(null as string), "
+    "concat('http://ldf.example.org/parts/', p_size % 3) FROM part"
+)
+# Every endpoint was asked for its default graph and for a named one; one of them is not its own.
+_GRAPHS = (
+    "(SELECT n_nationkey AS nation, CASE WHEN n_nationkey % 2 = 0 THEN 'http://ex.org/graph/even' END AS own FROM nation) g "
+    "CROSS JOIN (VALUES (cast(null as string)), ('http://ex.org/graph/even')) a(asked)"
+)
+_IS_OWN = "coalesce(own, '') = coalesce(asked, '')"
+FEDERATED_COUNTS = (
+    "SELECT 100 + nation AS source_id, asked AS named_graph, concat('{\"results\": {\"bindings\": [{\"count\": {\"value\": \"', "
+    f"CASE WHEN {_IS_OWN} THEN coalesce(n, 0) ELSE 999999 END, '\"}}}}]}}}}') AS body FROM {_GRAPHS} "
+    "LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey) q ON s_nationkey = nation"
+)
+FEDERATED_GRAPHS = (
+    "SELECT 100 + nation AS source_id, asked AS named_graph, concat('<rdf:RDF xmlns:rdf=\"http://www.w3.org/1999/02/22-rdf-syntax-ns#\" "
+    f"xmlns:v=\"{V}\" xml:base=\"{NS}supplier/\">', CASE WHEN {_IS_OWN} THEN concat_ws('\n', collect_list(concat('<rdf:Description rdf:about=\"', "
+    "s_suppkey, '\"><v:name>', s_name, '</v:name></rdf:Description>'))) ELSE '<v:Other rdf:about=\"other\" v:name=\"of another graph\"/>' END, '</rdf:RDF>') AS body "
+    f"FROM {_GRAPHS} JOIN supplier ON s_nationkey = nation GROUP BY nation, own, asked"
+)
+# Parts in the order of their addresses, twenty on a page, between what a page says of itself.
+FEDERATED_PAGES = (
+    "SELECT 200 + kind AS source_id, url, concat('@prefix hydra: <" + HYDRA + "> .\n@prefix v: <" + V + "> .\n<', url, '> a hydra:PagedCollection ; "
+    "hydra:totalItems ', max(total), ' ; hydra:itemsPerPage 20 .\n', concat_ws('\n', collect_list(concat('<', s, '> v:name \"', p_name, '\" .')))) AS body FROM ("
+    "SELECT *, floor((n - 1) / 20) AS page, CASE WHEN first THEN concat('http://ldf.example.org/parts/', kind) ELSE "
+    "concat('http://ldf.example.org/parts/', kind, '?page=', cast(floor((n - 1) / 20) as int)) END AS url FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY kind ORDER BY s) AS n, count(*) OVER (PARTITION BY kind) AS total FROM ("
+    f"SELECT p_size % 3 AS kind, concat('{NS}part/', p_partkey) AS s, p_name FROM part)) JOIN (VALUES (true), (false)) f(first) ON NOT first OR n <= 20"
+    ") GROUP BY kind, url"
+)
+
 # One Turtle document per order, with both directive forms and all list marks.
 TURTLE = (
     "SELECT cast(o_orderkey as string) AS doc, concat('@prefix v: <http://ex.org/v#> .\n"

@@ -66,20 +66,30 @@ def _hop(data: DataFrame, hop: int) -> DataFrame:
     )
 
 
+def hops(data: DataFrame, start: DataFrame, n: int, columns: list[str] | None = None) -> list[DataFrame]:
+    """The triples that a path of up to ``n`` triples from the nodes ``start`` can pass, by
+    their place on it.
+
+    Every hop is staged, so ``data`` is read once for each, whatever follows; while the list
+    of nodes is short, it filters the scan.
+    """
+    out: list[DataFrame] = []
+    for _ in range(n):
+        rows = _starting_at(data, start)
+        out.append(stage(rows if columns is None else rows.select(*columns), "hop"))
+        start = _object_node(out[-1].filter(_not_literal("o_kind")))
+    return out
+
+
 def paths(data: DataFrame, depth: int, start: DataFrame) -> DataFrame:
     """Every path of ``depth - 1`` triples from the nodes ``start``, with its first node.
 
-    Each hop joins the triples to the nodes reached so far, never to each other as a
-    whole.  While the list of nodes is short, it filters the scan.
+    Each hop joins the triples to the nodes reached so far, never to each other as a whole.
     """
-    rows = _starting_at(data, start)
-    chain = _hop(rows, 2)
+    steps = hops(data, start, depth - 1)
+    chain = _hop(steps[0], 2)
     for hop in range(3, depth + 1):
-        _, o, kind, _, _ = hop_columns(hop - 1)
-        reached = chain.filter(_not_literal(kind)).select(
-            "source_key", F.col(kind).alias("node_kind"), F.col(o).alias("node")
-        )
-        chain = _next_hop(chain, _starting_at(data, reached), hop)
+        chain = _next_hop(chain, steps[hop - 2], hop)
     return chain
 
 
@@ -234,10 +244,45 @@ def construct(solutions: DataFrame, depth: int, by: list[str] | None = None) ->
     )
 
 
+def reduced(base: DataFrame, data: DataFrame, depth: int, large: bool | None = None) -> list[DataFrame]:
+    """The triples of each hop that lie on a full path from ``base``, without any path.
+
+    Forwards, a hop has the triples that start at the nodes reached; backwards from the
+    last, those stay whose object a triple of the next hop starts at.  What passes both
+    lies on a path through all hops.
+    """
+    nodes = _object_node(base.filter(_not_literal("o_kind"))).select(*NODE)
+    steps = hops(data, nodes, depth - 1)
+    for n in range(len(steps) - 2, -1, -1):
+        ahead = steps[n + 1].select("source_key", F.col("s_kind").alias("node_kind"), F.col("s").alias("node")).distinct()
+        edges = _object_node(steps[n].filter(_not_literal("o_kind")))
+        kept = skew_join(edges, broadcast_if_small(stage(ahead, "ahead")), NODE, "left_semi", large=large)
+        steps[n] = stage(kept.select(*steps[n + 1].columns), "kept")
+    return steps
+
+
+def construct_all(base: DataFrame, data: DataFrame, depth: int, large: bool | None = None) -> DataFrame:
+    """The distinct triples of all solutions of ``base``: ``construct(expand(...))`` of a
+    whole answer.
+
+    Solutions are not built, so their number does not matter.  A page cuts solutions, so it
+    is constructed from them.
+    """
+    _check(depth)
+    rows = base.select(*M.TERMS)
+    for step in reduced(base, data, depth, large) if depth > 1 else []:
+        rows = rows.unionByName(step.select(*M.TERMS))
+    return rows.distinct()
+
+
+# What a count needs of a triple.
+_EDGE = ["source_key", "s_kind", "s", "o_kind", "o"]
+
+
 def path_counts(
-    data: DataFrame, hops: int, start: DataFrame, large: bool | None = None
+    data: DataFrame, n: int, start: DataFrame, large: bool | None = None
 ) -> DataFrame:
-    """How many paths of ``hops`` triples start at each of the nodes ``start``, without
+    """How many paths of ``n`` triples start at each of the nodes ``start``, without
     building one.
 
     The nodes of each hop are found forwards, then paths are counted backwards from
@@ -245,9 +290,7 @@ def path_counts(
     grows with the number of paths, or with what the nodes do not reach.
     """
     node = [F.col("source_key"), F.col("s_kind").alias("node_kind"), F.col("s").alias("node")]
-    steps = [_starting_at(data, start)]
-    for _ in range(hops - 1):
-        steps.append(_starting_at(data, _object_node(steps[-1].filter(_not_literal("o_kind")))))
+    steps = hops(data, start, n, _EDGE)
     counts = steps[-1].groupBy(*node).agg(F.count(F.lit(1)).alias("paths"))
     for step in steps[-2::-1]:
         edges = step.filter(_not_literal("o_kind")).select(
@@ -301,6 +344,8 @@ def expanded_counts(
         F.when(_not_literal("o_kind"), F.col("o_kind")).alias("node_kind"),
         node.alias("node"),
     ).agg(F.count(F.lit(1)).alias("_rows"))
+    # Read twice: for the nodes, and for the sum.
+    ends = stage(ends, "ends")
     counts = path_counts(data, depth - 1, ends.filter(F.col("node").isNotNull()), large)
     solutions = F.col("_rows") * F.coalesce(F.col("paths"), F.lit(1))
     return ends.join(counts, NODE, "left").groupBy(*by).agg(F.sum(solutions).alias("solutions"))

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rdfweave import model as M
+from rdfweave.model import Pattern
 from rdfweave.operators.expand import by_depth, expand_by_source, expanded_counts, levels_of
-from rdfweave.operators.match import match_subjects
-from rdfweave.operators.paging import PAGE_SIZE, order_columns, page_per_group
+from rdfweave.operators.match import match, match_subjects
+from rdfweave.operators.paging import PAGE_SIZE, order_columns, page, page_per_group
 from rdfweave.operators.scale import broadcast_if_small
 from rdfweave.operators.stage import stage
 
@@ -89,18 +90,45 @@ def dereference(
     limit: int = PAGE_SIZE,
     offset: int = 0,
     hash_variants: bool = False,
+    root: str | None = None,
 ) -> DataFrame:
     """The page of solutions of every request ``(request_id, uri)``.
 
+    With a ``root``, a request for no address or for the root's asks for all triples; what
+    it gets is found once, however many such requests there are.
+
     Every matched triple has at least one solution and sorts first by its own
     terms, so each request is cut to its first ``offset + limit`` matched triples
     before anything is expanded, and to the exact page afterwards.  The cut is
     staged, since every depth level and every hop starts from it.
     """
-    wanted = broadcast_if_small(stage(requests.select("request_id", "uri"), "requests"))
+    wanted = stage(requests.select("request_id", "uri"), "requests")
+    if root is not None:
+        subject = M.request_subject(F.col("uri"), F.lit(root))
+        for_all, wanted = wanted.filter(subject.isNull()).select("request_id"), wanted.filter(subject.isNotNull())
+        if not for_all.isEmpty():
+            page_of_all = stage(expanded_page_by_source(match(data, Pattern()), data, depths, limit, offset), "all")
+            named = dereference(data, wanted, depths, limit, offset, hash_variants)
+            every = F.lit(0).alias("_every")
+            rows = page_of_all.select("*", every).join(for_all.select("*", every), "_every").select(*named.columns)
+            return named.unionByName(rows)
+    wanted = broadcast_if_small(wanted)
     found = match_subjects(data, wanted, hash_variants).select("request_id", *M.SOURCE, *M.TERMS)
     first = page_per_group(found, ["request_id"], order_columns(), offset + limit)
     solutions = expand_by_source(stage(first, "pages"), data, depths)
     return page_per_group(
         solutions, ["request_id"], order_columns(max(levels_of(depths))), limit, offset
     )
+
+
+def expanded_page_by_source(
+    base: DataFrame, data: DataFrame, depths: DataFrame, limit: int = PAGE_SIZE, offset: int = 0
+) -> DataFrame:
+    """A page of ``expand_by_source(base, data, depths)``, whatever ``base`` matches.
+
+    Every matched triple has at least one solution and sorts first by its own terms, so the
+    page lies within the first ``offset + limit`` of them.
+    """
+    first = stage(page(base, offset + limit), "page")
+    deepest = max(levels_of(depths))
+    return page(expand_by_source(first, data, depths), limit, offset, deepest)

@@ -32,6 +32,11 @@ def _result(df: DataFrame, root: str, path: str, query: str, limit: int, offset:
     return describe.describe(df.sparkSession.createDataFrame(values, columns)).drop("result_id")
 
 
+def result(df: DataFrame, root: str, query: str, limit: int, offset: int, total: int) -> DataFrame:
+    """The description of a page of a pattern's matches."""
+    return _result(df, root, describe.PATTERN_PATH, query, limit, offset, total)
+
+
 def pattern_query(
     data: DataFrame,
     pattern: Pattern,
@@ -59,7 +64,7 @@ def pattern_query(
         counts=counts,
         total=total,
         found=not page.isEmpty(),
-        description=_result(data, root, describe.PATTERN_PATH, query_string, limit, offset, total),
+        description=result(data, root, query_string, limit, offset, total),
     )
 
 
@@ -73,9 +78,12 @@ def dereference_query(
     path: str = "",
     query_string: str = "",
 ) -> Answer:
-    """Everything known about one URI, each source expanded to its own depth."""
-    request = data.sparkSession.createDataFrame([(0, uri)], "request_id long, uri string")
-    pattern = Pattern(s=Term.iri(uri), hash_variants=hash_variants)
+    """Everything known about one URI, each source expanded to its own depth.
+
+    An empty address, or that of the root, names no subject: all triples are asked for.
+    """
+    named = uri not in ("", root)
+    pattern = Pattern(s=Term.iri(uri), hash_variants=hash_variants) if named else Pattern()
     base = match(data, pattern)
     # The count rule of pattern queries: hash variants are counted as matched triples.
     if expand.counts_expansion(pattern, expand.MAX_DEPTH):
@@ -84,12 +92,9 @@ def dereference_query(
         counts = expand.expanded_counts(base, data, expand.MIN_DEPTH, M.SOURCE)
     counts = stage(counts, "counts")
     total = counts.agg(F.sum("solutions")).first()[0] or 0
-    pages = stage(
-        federate.dereference(
-            data, request, depths, offset=offset, hash_variants=hash_variants
-        ),
-        "answer",
-    )
+    request = data.sparkSession.createDataFrame([(0, uri)], "request_id long, uri string")
+    found = federate.dereference(data, request, depths, offset=offset, hash_variants=hash_variants, root=root)
+    pages = stage(found, "answer")
     return Answer(
         solutions=pages,
         triples=expand.construct(pages, max(expand.levels_of(depths))),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rdfweave.sources import rdfxml
+from rdfweave.operators.stage import stage
+from rdfweave.sources import pieces, rdfxml
 
 # Fixed value: where a count answer holds its number.
 COUNT_PATH = "$.results.bindings[0].count.value"
@@ -46,3 +47,14 @@ def rejected(answers: DataFrame) -> DataFrame:
     )
     markup = rdfxml.rejects(answers.filter(is_graph()), "body").select("value", "reason", "source_id")
     return text.unionByName(markup)
+
+
+def parsed(answers: DataFrame, doc: str = "source_id") -> tuple[DataFrame, DataFrame]:
+    """``graphs`` and ``rejected`` of the same answers, every one of which is read once."""
+    markup = answers.filter(is_graph())
+    read = stage(rdfxml.read(markup, "body", doc), "answers")
+    wrong = pieces.reasons(read, markup, "body", doc).select("value", "reason", "source_id")
+    text = answers.filter(~is_graph() & (F.length("body") > 0)).select(
+        F.col("body").alias("value"), F.lit("answer is not RDF/XML").alias("reason"), "source_id"
+    )
+    return read.filter(F.col("reason").isNull()).drop("reason"), text.unionByName(wrong)

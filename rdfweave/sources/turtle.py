@@ -125,60 +125,86 @@ def _prefix(token: Column) -> Column:
     )
 
 
+_KNOWN = "struct<base:string,known:array<struct<pos:int,name:string,iri:string>>>"
+
+
+def _known(found: Column, marks: Column, start: Column) -> Column:
+    """What the directives of a document declare, in their order: ``(pos, name, iri)``.
+
+    The base has an empty name; an address may rest on the base declared before it.
+    """
+
+    def directive(at: Column) -> Column:
+        named = F.get(marks, at).isin(_AT_PREFIX, _PREFIX)
+        iri = F.when(named, F.get(found, at + 2)).otherwise(F.get(found, at + 1))
+        name = F.when(named, F.get(found, at + 1)).otherwise("")
+        return F.struct(at.alias("pos"), name.alias("name"), F.when(iri.startswith("<"), _inner(iri)).alias("iri"))
+
+    def declare(done: Column, x: Column) -> Column:
+        iri = resolve_iri(x["iri"], done["base"])
+        entry = F.struct(x["pos"].alias("pos"), x["name"].alias("name"), iri.alias("iri"))
+        base = F.when((x["name"] == "") & iri.isNotNull(), iri).otherwise(done["base"])
+        return F.struct(base.alias("base"), F.concat(done["known"], F.array(entry)).alias("known"))
+
+    places = F.filter(F.transform(marks, lambda m, i: F.when(m > _CARET, i)), lambda i: i.isNotNull())
+    nothing = F.struct(start.alias("base"), F.array().alias("known")).cast(_KNOWN)
+    return F.aggregate(F.transform(places, directive), nothing, declare)["known"]
+
+
 def _tokens(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFrame:
-    """One row per token with its neighbours, the base in force and its prefix's IRI."""
+    """One row per token with its neighbours, the base in force and its prefix's IRI.
+
+    Neighbours and declarations are found in the document's array of tokens, before there
+    is a row for each; only the nesting is a window.
+    """
     start = F.lit(None).cast("string") if base is None else base
     keep = [c for c in docs.columns if c != body]
-    found = F.regexp_extract_all(F.col(body), F.lit(f"(?s){TOKEN}"), F.lit(0))
+    tokens = F.regexp_extract_all(F.col(body), F.lit(f"(?s){TOKEN}"), F.lit(0))
     # A number of partitions is given so that they are not merged by text size: the
     # token rows made from a text are many times larger.
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (
+    found, marks = F.col("_found"), F.col("_marks")
+
+    def beside(token: Column, at: Column) -> Column:
+        back = [F.coalesce(F.get(marks, at - n), F.lit(_OTHER)).alias(f"back{n}") for n in (1, 2, 3)]
+        return F.struct(
+            token.alias("token"),
+            F.get(marks, at).alias("mark"),
+            *back,
+            F.get(found, at + 1).alias("after"),
+            F.get(found, at + 2).alias("second"),
+            F.when(at + 1 < F.size(found), at + 1).alias("after_pos"),
+        )
+
+    texts = (
         docs.repartition(partitions, F.col(doc))
         .withColumn("_start", start)
-        .select(*keep, "_start", F.posexplode(found).alias("pos", "token"))
-        .filter(~F.col("token").startswith("#"))
+        .withColumn("_found", F.filter(tokens, lambda t: ~t.startswith("#")))
+        .withColumn("_marks", F.transform(found, _mark))
+        .withColumn("_known", _known(found, marks, F.col("_start")))
     )
-    order = Window.partitionBy(doc).orderBy("pos")
-    token, mark = F.col("token"), F.col("mark")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    nesting = F.when(token.isin("[", "("), 1).when(token.isin("]", ")"), -1).otherwise(0)
-    rows = rows.withColumn("mark", _mark(token)).withColumns(
-        {
-            "back1": F.lag("mark", 1, _OTHER).over(order),
-            "back2": F.lag("mark", 2, _OTHER).over(order),
-            "back3": F.lag("mark", 3, _OTHER).over(order),
-            "after": F.lead("token", 1).over(order),
-            "second": F.lead("token", 2).over(order),
-            "after_pos": F.lead("pos", 1).over(order),
-            "level": F.sum(nesting).over(upto),
-        }
-    )
-    # The token that names an IRI here: what a directive declares, a literal's
-    # datatype, or the token itself.
-    declares_prefix, declares_base = mark.isin(_AT_PREFIX, _PREFIX), mark.isin(_AT_BASE, _BASE)
-    named = (
-        F.when(mark == _OTHER, token)
-        .when(declares_base, F.col("after"))
-        .when(declares_prefix | (F.col("after") == "^^"), F.col("second"))
+    rows = texts.select(*keep, "_start", "_known", F.posexplode(F.transform(found, beside)).alias("pos", "t")).select(
+        *keep, "_start", "_known", "pos", "t.*"
     )
+    mark = F.col("mark")
+    # The token that names an IRI here: a literal's datatype, or the token itself.
+    named = F.when(mark == _OTHER, F.col("token")).when(F.col("after") == "^^", F.col("second"))
     rows = rows.withColumn("named", named)
     rows = rows.withColumn("reference", F.when(F.col("named").startswith("<"), _inner(F.col("named"))))
-    # A base may rest on those before it.
-    bases = F.collect_list(F.when(declares_base, F.col("reference"))).over(upto)
-    rows = rows.withColumn("_bases", bases).withColumn(
-        "base", F.aggregate("_bases", F.col("_start"), lambda base, x: resolve_iri(x, base))
-    ).drop("_bases")
-    rows = rows.withColumn("absolute", resolve_iri(F.col("reference"), F.col("base"))).withColumn(
-        "prefix", _prefix(F.col("named"))
-    )
-    # The few prefixes in force travel with each token; the last declaration counts.
-    declaration = F.struct(F.col("after").alias("name"), F.col("absolute").alias("iri"))
-    known = F.collect_list(F.when(declares_prefix, declaration)).over(upto)
-    rows = rows.withColumn("_known", known)
-    same = F.filter("_known", lambda d: d["name"] == F.col("prefix"))
-    declared = F.when(F.col("prefix").isNotNull(), F.get(same, F.size(same) - 1)["iri"])
-    return rows.withColumn("declared", declared).drop("_start", "_known")
+    rows = rows.withColumn("prefix", _prefix(F.col("named")))
+
+    def last(name: Column) -> Column:
+        # The last declaration before the token counts.
+        same = F.filter("_known", lambda d: (d["name"] == name) & (d["pos"] <= F.col("pos")))
+        return F.get(same, F.size(same) - 1)["iri"]
+
+    in_force = F.coalesce(last(F.lit("")), F.col("_start"))
+    rows = rows.withColumn("base", F.when(F.col("reference").isNotNull(), in_force))
+    rows = rows.withColumn("absolute", resolve_iri(F.col("reference"), F.col("base")))
+    rows = rows.withColumn("declared", F.when(F.col("prefix").isNotNull(), last(F.col("prefix"))))
+    nesting = F.when(F.col("token").isin("[", "("), 1).when(F.col("token").isin("]", ")"), -1).otherwise(0)
+    order = Window.partitionBy(doc).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.drop("_start", "_known", "second", "reference", "base").withColumn("level", F.sum(nesting).over(order))
 
 
 def _items(docs: DataFrame, body: str, doc: str, base: Column | None) -> DataFrame:

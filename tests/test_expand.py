@@ -82,6 +82,44 @@ def test_random_graphs(spark, seed):
             assert {r["source_key"]: r["solutions"] for r in counts} == per_source
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_construct_without_paths(spark, seed):
+    rng = random.Random(100 + seed)
+    nodes = [f"x{i}" for i in range(8)] + ["_:b0"]
+    rows = [(rng.choice(nodes), rng.choice("pqr"), rng.choice([*nodes, '"lit"']), *rng.choice([(1, "turtle"), (3, "sparql")])) for _ in range(16)]
+    data = match.default_graphs(triples(spark, rows)).cache()
+    base = match.match(data, Pattern(p=Term.iri(N + "p")))
+    for depth, large in ((1, False), (2, True), (3, False), (5, True)):
+        want = sorted(map(tuple, expand.construct(expand.expand(base, data, depth), depth).collect()), key=str)
+        got = expand.construct_all(base, data, depth, large=large)
+        assert sorted(map(tuple, got.collect()), key=str) == want, (depth, large)
+
+
+def test_construct_builds_no_path(spark):
+    # 30 x 30 x 30 paths over 120 triples.
+    rows = [("a", "p", "l0n0")]
+    rows += [("l0n0", "q", f"l1n{j}") for j in range(30)]
+    rows += [(f"l1n{i}", "q", f"l2n{j}") for i in range(30) for j in range(30)]
+    rows += [(f"l2n{i}", "q", f'"{j}"') for i in range(30) for j in range(30)]
+    data = match.default_graphs(triples(spark, rows))
+    base = match.match(data, Pattern(p=Term.iri(N + "p")))
+    steps = expand.reduced(base, data, 4)
+    assert [s.count() for s in steps] == [30, 900, 900]
+    plan = expand.construct_all(base, data, 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" not in plan and "Join LeftOuter" not in plan
+
+
+def test_hops_are_read_once(spark):
+    data = match.default_graphs(triples(spark, CHAIN))
+    base = match.match(data, Pattern(p=Term.iri(N + "nation")))
+    for depth in (2, 4):
+        counts = expand.solution_counts(data, Pattern(p=Term.iri(N + "nation")), depth)
+        # What is left to do reads staged hops alone.
+        plan = counts._jdf.queryExecution().optimizedPlan().toString()
+        assert "LogicalRDD" not in plan and plan.count("Relation") == depth, plan
+        assert counts.agg({"solutions": "sum"}).first()[0] == expand.expand(base, data, depth).count()
+
+
 def test_open_pattern_count_leaves_the_path_out(spark):
     data = match.default_graphs(triples(spark, CHAIN))
     (row,) = expand.solution_counts(data, Pattern(), 3).collect()
