@@ -1316,6 +1316,22 @@ def store_dereference_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.dereference_query(stored, NS + "nation/3", depths(spark)).triples
 
 
+@register(
+    "page_by_rank",
+    with_sql(
+        TRIPLES,
+        DATA,
+        f"SELECT * FROM data WHERE p = '{V}name' ORDER BY {order_sql()} LIMIT 200 OFFSET 3300",
+    ),
+)
+def page_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deep page, looked up in the ranks of the published table."""
+    folder, table = new_folder(spark, "store"), new_folder(spark, "published")
+    store.append(L.lift(spark, sf_dir), folder)
+    store.publish(spark, folder, table)
+    return store.ranked_page(spark, table, Pattern(p=Term.iri(V + "name")), 200, 3300)[0]
+
+
 # --- all kinds of sources ---------------------------------------------------------
 
 # What each kind says of names, in the order that pages follow.
@@ -1451,4 +1467,4 @@ def load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = _written_sources(spark, sf_dir)
     for _ in range(2):
         load.load(spark, sources, f"{folder}/store", f"{folder}/bad")
-    return spark.read.parquet(f"{folder}/bad").select(F.col("source_id").cast("int"), "value", "reason")
+    return store.quarantined(spark, f"{folder}/bad").select("source_id", "value", "reason")

@@ -1,8 +1,8 @@
 """The triples table on shared storage: load, replace, clear, read.
 
-One Parquet folder per named graph, sorted by predicate and subject so that
-row-group statistics prune pattern scans, with the fragment-free lower-case subject
-stored for hash variants.
+One Parquet folder per named graph, sorted by predicate and subject so that row-group
+statistics prune pattern scans, with the fragment-free lower-case subject stored for hash
+variants.  Graphs are replaced by commits, see ``versions``.
 """
 
 from __future__ import annotations
@@ -12,26 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rdfweave import model as M
+from rdfweave.model import Pattern
 from rdfweave.operators.match import default_graphs, subject_base
 from rdfweave.operators.stage import stage
+from rdfweave.sources import ranks
+from rdfweave.sources.ntriples import QUARANTINE_SCHEMA
+from rdfweave.sources.versions import Versions
 
 STORE_SCHEMA = T.StructType(
     [f for f in M.TRIPLES_SCHEMA.fields if f.name != "graph"]
     + [T.StructField("s_base", T.StringType()), T.StructField("graph", T.StringType())]
 )
-# Characters that partition folder names escape.
-_ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
 
-def graph_folder(store: str, graph: str) -> str:
-    name = "".join(
-        f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 0x20 else c for c in graph
-    )
-    return f"{store.rstrip('/')}/graph={name}"
+def table(store: str) -> Versions:
+    return Versions(store, "graph", STORE_SCHEMA)
 
 
 def read(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.schema(STORE_SCHEMA).parquet(store)
+    """The triples of the last commit; later writes do not change what is read."""
+    return table(store).read(spark)
 
 
 def _laid_out(triples: DataFrame, ordered: bool) -> DataFrame:
@@ -45,57 +45,44 @@ def _laid_out(triples: DataFrame, ordered: bool) -> DataFrame:
         "s_base", subject_base(F.col("s"))
     )
     rows = rows.select(*STORE_SCHEMA.names)
-    return rows.repartitionByRange(*key).sortWithinPartitions(*key) if ordered else rows
-
-
-def _write(triples: DataFrame, store: str, mode: str, ordered: bool) -> None:
-    (
-        _laid_out(triples, ordered)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("graph")
-        .parquet(store)
-    )
+    # Finding the ranges reads the rows, and dealing them out reads them again.
+    return stage(rows, "distinct").repartitionByRange(*key).sortWithinPartitions(*key) if ordered else rows
 
 
 def append(triples: DataFrame, store: str, ordered: bool = True) -> None:
-    """Add graphs that are not in the store yet."""
-    _write(triples, store, "append", ordered)
+    """Add triples to their graphs."""
+    table(store).append(_laid_out(triples, ordered))
 
 
 def replace(triples: DataFrame, store: str, graphs: list[str], ordered: bool = True) -> None:
     """Put ``triples`` in the place of the named graphs; other graphs stay.
 
-    A graph for which ``triples`` holds nothing ends up empty.
+    A graph for which ``triples`` holds nothing ends up empty.  All graphs change at once,
+    and only when the new rows are written.
     """
-    spark = triples.sparkSession
-    listed = triples.filter(F.col("graph").isin(graphs))
-    _write(listed, store, "overwrite", ordered)
-    # Only graph names are brought to the driver, one row per graph.
-    filled = {row[0] for row in listed.select("graph").distinct().collect()}
-    for graph in graphs:
-        if graph not in filled:
-            clear(spark, store, graph)
+    table(store).replace(_laid_out(triples.filter(F.col("graph").isin(graphs)), ordered), graphs)
 
 
-def clear(spark: SparkSession, store: str, graph: str) -> None:
-    """Empty one graph: its folder is overwritten by no rows."""
-    columns = T.StructType([f for f in STORE_SCHEMA.fields if f.name != "graph"])
-    spark.createDataFrame([], columns).write.mode("overwrite").parquet(graph_folder(store, graph))
+def clear(spark: SparkSession, store: str, *graphs: str) -> None:
+    """Empty graphs: the next commit does not name them."""
+    table(store).clear(spark, list(graphs))
+
+
+def vacuum(spark: SparkSession, store: str, keep: int = 1) -> list[str]:
+    """Remove what the last ``keep`` commits do not name."""
+    return table(store).vacuum(spark, keep)
 
 
 def quarantine(rejects: DataFrame, path: str, source_ids: list[int]) -> None:
     """Keep what could not be read, with the reason, in the place of what the named
     sources had there; a source without bad rows has none left."""
-    spark = rejects.sparkSession
-    rows = rejects.filter(F.col("source_id").isin(source_ids)).select("value", "reason", "source_id")
-    rows = stage(rows, "quarantine")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(path)
-    filled = {row[0] for row in rows.select("source_id").distinct().collect()}
-    empty = rows.drop("source_id").limit(0)
-    for source_id in source_ids:
-        if source_id not in filled:
-            empty.write.mode("overwrite").parquet(f"{path}/source_id={source_id}")
+    rows = rejects.select("value", "reason", F.col("source_id").cast("int").alias("source_id"))
+    Versions(path, "source_id", QUARANTINE_SCHEMA).replace(rows, source_ids)
+
+
+def quarantined(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, reason, source_id)`` of all sources."""
+    return Versions(path, "source_id", QUARANTINE_SCHEMA).read(spark)
 
 
 PUBLISHED_SCHEMA = T.StructType(
@@ -106,7 +93,8 @@ PUBLISHED_SCHEMA = T.StructType(
 
 
 def publish(spark: SparkSession, store: str, table: str, source_keys: list[str] | None = None) -> None:
-    """Write the default graphs of a store once, so that queries need not merge copies.
+    """Write the default graphs of a store once, so that queries need not merge copies, and
+    the ranks of their triples, so that deep pages need not count.
 
     All loaded files become the one graph ``local``.  After graphs were replaced, name
     their ``source_keys``; only those folders are rewritten.
@@ -114,9 +102,10 @@ def publish(spark: SparkSession, store: str, table: str, source_keys: list[str]
     data = default_graphs(read(spark, store))
     if source_keys is not None:
         data = data.filter(F.col("source_key").isin(source_keys))
-    key = ["source_key", "p", "s", "o"]
+    # Below a predicate, the order of pages.
+    key = ["source_key", "p", *ranks.WITHIN]
     (
-        data.select(*PUBLISHED_SCHEMA.names)
+        stage(data.select(*PUBLISHED_SCHEMA.names), "published")
         .repartitionByRange(*key)
         .sortWithinPartitions(*key)
         .write.mode("overwrite")
@@ -124,8 +113,15 @@ def publish(spark: SparkSession, store: str, table: str, source_keys: list[str]
         .partitionBy("source_key")
         .parquet(table)
     )
+    written = published(spark, table)
+    ranks.write(spark, table, written if source_keys is None else written.filter(F.col("source_key").isin(source_keys)))
 
 
 def published(spark: SparkSession, table: str) -> DataFrame:
     """The default graphs as queries take them."""
     return spark.read.schema(PUBLISHED_SCHEMA).parquet(table)
+
+
+def ranked_page(spark: SparkSession, table: str, pattern: Pattern, limit: int, offset: int) -> tuple[DataFrame, int]:
+    """A page of a predicate's triples and their total, from the files that hold the page."""
+    return ranks.page(spark, table, PUBLISHED_SCHEMA, pattern, limit, offset)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from rdfweave.model import Pattern, Term
 from rdfweave.operators import expand, federate, match, paging
 from rdfweave.plans import query
+from rdfweave.sources import store
 from tests.frames import N, triples
 
 
@@ -128,3 +129,33 @@ def test_no_source_vanishes(spark):
     assert {r["source_key"] for r in federate.dereference(data, asked, depths).collect()} == keys
     with pytest.raises(ValueError, match="depth"):
         expand.levels_of(spark.createDataFrame([("x", 6)], "source_key string, depth int"))
+
+
+def test_pages_are_looked_up_by_rank(spark, tmp_path):
+    path, table = str(tmp_path / "store"), str(tmp_path / "table one")
+    rows = [(f"s{i % 37}", p, f'"{i}"', *source) for i in range(300) for p in ("p", "q") for source in ((1, "turtle"), (3, "sparql"))]
+    rows += [("_:s0", "p", "s0"), ("s0", "p", '"0"@en'), ("s0", "p", '"0"^^int')]
+    store.append(triples(spark, rows), path)
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        store.publish(spark, path, table)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    data, pattern = store.published(spark, table), Pattern(p=Term.iri(N + "p"))
+    columns = paging.order_columns()
+    every = [tuple(r) for r in paging.page(match.match(data, pattern), 10_000, 0).select(*columns).collect()]
+    files = len(data.inputFiles())
+    assert files > 6 and len(every) == 603
+    for limit, offset in ((10, 0), (25, 280), (50, 290), (7, 540), (100, 600), (5, 603), (5, 9999), (0, 3)):
+        got, total = store.ranked_page(spark, table, pattern, limit, offset)
+        assert [tuple(r) for r in got.select(*columns).collect()] == every[offset : offset + limit], (limit, offset)
+        assert total == 603
+        # Only the files of the page are read.
+        assert len(got.inputFiles()) <= 4 < files
+    with pytest.raises(ValueError, match="predicate"):
+        store.ranked_page(spark, table, Pattern(), 1, 0)
+    # After a part was published again, ranks follow.
+    store.replace(triples(spark, [("z", "p", '"z"', 3, "sparql")]), path, [N + "graph/3"])
+    store.publish(spark, path, table, ["sparql:3"])
+    got, total = store.ranked_page(spark, table, pattern, 5, 303)
+    assert total == 304 and [r["s"] for r in got.collect()] == [N + "z"]
