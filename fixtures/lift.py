@@ -1,8 +1,8 @@
-"""Test tables as triples.
+"""Test tables as statements.
 
 The test tables hold no RDF, so queries, tests and the benchmark lift whole
-tables into the triples layout.  Each lift is one SELECT whose expressions read
-the same in Spark and DuckDB, so both engines start from equal triples.
+tables into the statements layout.  Each lift is one SELECT whose expressions read
+the same in Spark and DuckDB, so both engines start from equal statements.
 """
 
 from __future__ import annotations

@@ -28,7 +28,7 @@ ORACLES: dict[str, str] = {}
 
 NS, V = L.NS, L.V
 TERMS = ", ".join(M.TERMS)
-TRIPLES = f"triples AS ({L.lift_sql()})"
+STATEMENTS = f"statements AS ({L.lift_sql()})"
 SOURCE_KEY = (
     "CASE WHEN source_type IN ('turtle', 'rdf') THEN 'local' "
     "ELSE concat(source_type, ':', source_id) END"
@@ -38,10 +38,10 @@ SOURCE_RANK = (
 )
 
 
-def data_sql(triples: str = "triples", name: str = "data", where: str = "true") -> str:
+def data_sql(statements: str = "statements", name: str = "data", where: str = "true") -> str:
     return (
         f"{name} AS (SELECT DISTINCT {SOURCE_RANK} AS source_rank, {SOURCE_KEY} AS source_key, "
-        f"{TERMS} FROM {triples} WHERE {where})"
+        f"{TERMS} FROM {statements} WHERE {where})"
     )
 
 
@@ -78,7 +78,7 @@ LEVELS = (1, 2, 3)
 
 
 def paths_sql(depth: int, source: str = "data") -> str:
-    """All paths of ``depth - 1`` triples."""
+    """All paths of ``depth - 1`` statements."""
     columns, joins = ["t2.source_key AS k", "t2.s AS n", "t2.s_kind AS nk"], f"{source} t2"
     for hop in range(2, depth + 1):
         t = f"t{hop}"
@@ -151,14 +151,14 @@ def _count(pattern: Pattern, depth: int) -> Query:
 for _name, (_pattern, _where, _depth) in COUNTS.items():
     register(
         _name,
-        with_sql(TRIPLES, DATA, f"SELECT count(*) AS solutions FROM data WHERE {_where}"),
+        with_sql(STATEMENTS, DATA, f"SELECT count(*) AS solutions FROM data WHERE {_where}"),
     )(_count(_pattern, _depth))
 
 for _depth in (2, 3, 5):
     register(
         f"expand_depth{_depth}_count",
         with_sql(
-            TRIPLES,
+            STATEMENTS,
             DATA,
             f"base AS (SELECT * FROM data WHERE p = '{V}nation')",
             f"SELECT count(*) AS solutions FROM ({expand_sql('base', _depth)})",
@@ -168,7 +168,7 @@ for _depth in (2, 3, 5):
 register(
     "expand_subject_count",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         f"base AS (SELECT * FROM data WHERE s = '{NS}nation/3' AND s_kind = 'uri')",
         f"SELECT count(*) AS solutions FROM ({expand_sql('base', 3)})",
@@ -182,7 +182,7 @@ GRAPH2 = L.graph(2)
 @register(
     "count_named_graph",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         data_sql(where=f"graph = '{GRAPH2}'"),
         f"base AS (SELECT * FROM data WHERE p = '{V}nation')",
         f"SELECT count(*) AS solutions FROM ({expand_sql('base', 3)})",
@@ -197,7 +197,7 @@ def count_named_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "match_named_graph",
-    with_sql(TRIPLES, data_sql(where=f"graph = '{GRAPH2}'"), f"SELECT DISTINCT {TERMS} FROM data"),
+    with_sql(STATEMENTS, data_sql(where=f"graph = '{GRAPH2}'"), f"SELECT DISTINCT {TERMS} FROM data"),
 )
 def match_named_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = match.default_graphs(L.lift(spark, sf_dir), graph=GRAPH2)
@@ -207,7 +207,7 @@ def match_named_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "match_predicate_page",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         f"page AS (SELECT * FROM data WHERE p = '{V}name' ORDER BY {order_sql()} LIMIT 150)",
         f"SELECT DISTINCT {TERMS} FROM page",
@@ -221,7 +221,7 @@ def match_predicate_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "match_parameters",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         f"SELECT source_key, {TERMS} FROM data WHERE p = '{V}segment' AND o = 'BUILDING' "
         "AND o_kind = 'literal' AND o_datatype IS NULL AND o_lang IS NULL",
@@ -257,7 +257,7 @@ def coerce_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- hash variants --------------------------------------------------------------
 
-PAGES = f"triples AS ({L.lift_sql(L.PAGES)})"
+PAGES = f"statements AS ({L.lift_sql(L.PAGES)})"
 BASE = "regexp_replace({}, '#.*$', '')"
 VARIANT = "(lower(s) = lower(uri) OR starts_with(lower(s), concat(lower(uri), '#')))"
 
@@ -310,14 +310,14 @@ def hash_variants_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def hash_variants_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    triples = L.lift(spark, sf_dir, L.PAGES).withColumn("s_base", match.subject_base(F.col("s")))
-    return match.match(match.default_graphs(triples), HASH).select(*M.TERMS)
+    statements = L.lift(spark, sf_dir, L.PAGES).withColumn("s_base", match.subject_base(F.col("s")))
+    return match.match(match.default_graphs(statements), HASH).select(*M.TERMS)
 
 
 @register(
     "hash_variants_expand",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         f"base AS (SELECT data.* FROM data, (SELECT '{NS.upper()}nation/3' AS uri) "
         f"WHERE p = '{V}region' AND {VARIANT})",
@@ -329,8 +329,8 @@ def hash_variants_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     pattern = Pattern(
         s=Term.iri(NS.upper() + "nation/3"), p=Term.iri(V + "region"), hash_variants=True
     )
-    all_triples = data(spark, sf_dir)
-    return expand.construct(expand.expand(match.match(all_triples, pattern), all_triples, 3), 3)
+    all_statements = data(spark, sf_dir)
+    return expand.construct(expand.expand(match.match(all_statements, pattern), all_statements, 3), 3)
 
 
 # --- expansion ------------------------------------------------------------------
@@ -356,14 +356,14 @@ _NONE = "cast(null as string)"
     f"FROM ({_LINKS}) JOIN ({_NATIONS}) USING (k)",
 )
 def expand_depth2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_triples = data(spark, sf_dir)
-    return expand.expand(match.match(all_triples, Pattern(p=Term.iri(V + "nation"))), all_triples, 2)
+    all_statements = data(spark, sf_dir)
+    return expand.expand(match.match(all_statements, Pattern(p=Term.iri(V + "nation"))), all_statements, 2)
 
 
 @register(
     "expand_depth3_construct",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         f"base AS (SELECT * FROM data WHERE p = '{V}nation')",
         f"solutions AS ({expand_sql('base', 3)})",
@@ -371,15 +371,15 @@ def expand_depth2(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def expand_depth3_construct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_triples = data(spark, sf_dir)
-    base = match.match(all_triples, Pattern(p=Term.iri(V + "nation")))
-    return expand.construct_all(base, all_triples, 3)
+    all_statements = data(spark, sf_dir)
+    base = match.match(all_statements, Pattern(p=Term.iri(V + "nation")))
+    return expand.construct_all(base, all_statements, 3)
 
 
 @register(
     "expand_depth5_construct",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         # Each hop of a full path once: forwards by the nodes reached, backwards by what follows.
         f"base AS (SELECT * FROM data WHERE p = '{V}nation')",
@@ -398,15 +398,15 @@ def expand_depth3_construct(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def expand_depth5_construct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_triples = data(spark, sf_dir)
-    base = match.match(all_triples, Pattern(p=Term.iri(V + "nation")))
-    return expand.construct_all(base, all_triples, 5)
+    all_statements = data(spark, sf_dir)
+    base = match.match(all_statements, Pattern(p=Term.iri(V + "nation")))
+    return expand.construct_all(base, all_statements, 5)
 
 
 @register(
     "expand_subject_construct",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         f"base AS (SELECT * FROM data WHERE s = '{NS}region/1' AND s_kind = 'uri')",
         f"solutions AS ({expand_sql('base', 3)})",
@@ -414,9 +414,9 @@ def expand_depth5_construct(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def expand_subject_construct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_triples = data(spark, sf_dir)
-    base = match.match(all_triples, Pattern(s=Term.iri(NS + "region/1")))
-    return expand.construct(expand.expand(base, all_triples, 3), 3)
+    all_statements = data(spark, sf_dir)
+    base = match.match(all_statements, Pattern(s=Term.iri(NS + "region/1")))
+    return expand.construct(expand.expand(base, all_statements, 3), 3)
 
 
 def _by_depth_sql(base: str, extra: str = "") -> str:
@@ -435,12 +435,12 @@ def _by_depth_sql(base: str, extra: str = "") -> str:
 
 @register(
     "expand_depth_per_source",
-    with_sql(TRIPLES, DATA, DEPTHS, f"SELECT source_key, count(*) AS solutions, count(p2) AS depth2, count(p3) AS depth3 FROM ({_by_depth_sql('data')}) GROUP BY source_key"),
+    with_sql(STATEMENTS, DATA, DEPTHS, f"SELECT source_key, count(*) AS solutions, count(p2) AS depth2, count(p3) AS depth3 FROM ({_by_depth_sql('data')}) GROUP BY source_key"),
 )
 def expand_depth_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_triples = data(spark, sf_dir)
+    all_statements = data(spark, sf_dir)
     solutions = expand.expand_by_source(
-        match.match(all_triples, Pattern()), all_triples, depths(spark)
+        match.match(all_statements, Pattern()), all_statements, depths(spark)
     )
     return solutions.groupBy("source_key").agg(
         F.count(F.lit(1)).alias("solutions"), F.count("p2").alias("depth2"), F.count("p3").alias("depth3")
@@ -449,12 +449,12 @@ def expand_depth_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "count_depth_per_source",
-    with_sql(TRIPLES, DATA, DEPTHS, f"SELECT source_rank, source_key, count(*) AS solutions FROM ({_by_depth_sql('data')}) GROUP BY source_rank, source_key"),
+    with_sql(STATEMENTS, DATA, DEPTHS, f"SELECT source_rank, source_key, count(*) AS solutions FROM ({_by_depth_sql('data')}) GROUP BY source_rank, source_key"),
 )
 def count_depth_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_triples = data(spark, sf_dir)
+    all_statements = data(spark, sf_dir)
     return federate.counts_by_source(
-        match.match(all_triples, Pattern()), all_triples, depths(spark)
+        match.match(all_statements, Pattern()), all_statements, depths(spark)
     )
 
 
@@ -464,7 +464,7 @@ def count_depth_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "totals_by_source",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         "counts AS (SELECT source_rank, source_key, count(*) AS solutions FROM data "
         f"WHERE p = '{V}name' GROUP BY source_rank, source_key)",
@@ -479,38 +479,38 @@ def totals_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "page_within_source",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         f"base AS (SELECT * FROM data WHERE p = '{V}nation')",
         f"SELECT * FROM ({expand_sql('base', 3)}) ORDER BY {order_sql(3)} LIMIT 100 OFFSET 250",
     ),
 )
 def page_within_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_triples = data(spark, sf_dir)
-    base = match.match(all_triples, Pattern(p=Term.iri(V + "nation")))
-    return paging.expanded_page(base, all_triples, 3, limit=100, offset=250)
+    all_statements = data(spark, sf_dir)
+    base = match.match(all_statements, Pattern(p=Term.iri(V + "nation")))
+    return paging.expanded_page(base, all_statements, 3, limit=100, offset=250)
 
 
 @register(
     "page_across_sources",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         f"SELECT * FROM data WHERE p = '{V}name' ORDER BY {order_sql()} LIMIT 200 OFFSET 1480",
     ),
 )
 def page_across_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_triples = data(spark, sf_dir)
+    all_statements = data(spark, sf_dir)
     pattern = Pattern(p=Term.iri(V + "name"))
-    counts = expand.solution_counts(all_triples, pattern)
-    base, offset = federate.reaching(match.match(all_triples, pattern), counts, 200, 1480)
+    counts = expand.solution_counts(all_statements, pattern)
+    base, offset = federate.reaching(match.match(all_statements, pattern), counts, 200, 1480)
     return paging.page(base, 200, offset)
 
 
 @register(
     "page_sources",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         "counts AS (SELECT source_rank, source_key, count(*) AS solutions FROM data "
         f"WHERE p = '{V}name' GROUP BY source_rank, source_key)",
@@ -529,24 +529,24 @@ def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "merge_graphs_distinct",
     with_sql(
-        TRIPLES, f"SELECT count(*) AS distinct_triples FROM (SELECT DISTINCT {TERMS} FROM triples)"
+        STATEMENTS, f"SELECT count(*) AS distinct_statements FROM (SELECT DISTINCT {TERMS} FROM statements)"
     ),
 )
 def merge_graphs_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return federate.distinct_triples(L.lift(spark, sf_dir))
+    return federate.distinct_statements(L.lift(spark, sf_dir))
 
 
 @register(
     "merge_graphs",
     with_sql(
-        TRIPLES,
-        f"SELECT {TERMS} FROM triples WHERE source_id = 1 UNION SELECT {TERMS} FROM triples "
-        f"WHERE source_id = 2 UNION SELECT {TERMS} FROM triples WHERE source_id = 3",
+        STATEMENTS,
+        f"SELECT {TERMS} FROM statements WHERE source_id = 1 UNION SELECT {TERMS} FROM statements "
+        f"WHERE source_id = 2 UNION SELECT {TERMS} FROM statements WHERE source_id = 3",
     ),
 )
 def merge_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    triples = L.lift(spark, sf_dir)
-    return federate.merge(*[triples.filter(F.col("source_id") == n) for n in (1, 2, 3)])
+    statements = L.lift(spark, sf_dir)
+    return federate.merge(*[statements.filter(F.col("source_id") == n) for n in (1, 2, 3)])
 
 
 # --- requests -------------------------------------------------------------------
@@ -581,7 +581,7 @@ RESOLVED = (
     "THEN 'dataset' "
     "WHEN split_part(identifier, '/', 1) IN ('info', 'discovery') THEN 'core' "
     "WHEN identifier IN (SELECT identifier FROM members) THEN 'collection' "
-    "WHEN concat(root, '/', identifier) IN (SELECT s FROM data WHERE s_kind = 'uri') THEN 'triples' "
+    "WHEN concat(root, '/', identifier) IN (SELECT s FROM data WHERE s_kind = 'uri') THEN 'statements' "
     "END AS resolution FROM identified i)"
 )
 
@@ -595,7 +595,7 @@ def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-RESOLVE_PARTS = (TRIPLES, DATA, REQUESTS, DEFINITIONS, IDENTIFIED, ANCESTORS, RESOLVED)
+RESOLVE_PARTS = (STATEMENTS, DATA, REQUESTS, DEFINITIONS, IDENTIFIED, ANCESTORS, RESOLVED)
 
 
 @register(
@@ -640,33 +640,33 @@ def unresolved_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         RESOLVED,
         DEPTHS,
         "base AS (SELECT request_id, data.* FROM resolved JOIN data ON s = uri AND s_kind = 'uri' "
-        "WHERE resolution = 'triples')",
+        "WHERE resolution = 'statements')",
         f"solutions AS ({_by_depth_sql('base', 'request_id, ')})",
         f"ranked AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY {order_sql(3)}) AS r FROM solutions)",
         "SELECT * EXCLUDE (r) FROM ranked WHERE r > 2 AND r <= 102",
     ),
 )
 def dereference_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = resolved(spark, sf_dir).filter(F.col("resolution") == "triples")
+    asked = resolved(spark, sf_dir).filter(F.col("resolution") == "statements")
     return federate.dereference(data(spark, sf_dir), asked, depths(spark), offset=2)
 
 
 @register(
-    "dereference_triples",
+    "dereference_statements",
     with_sql(
         *RESOLVE_PARTS[:-1],
         RESOLVED,
         DEPTHS,
         "base AS (SELECT request_id, data.* FROM resolved JOIN data ON s = uri AND s_kind = 'uri' "
-        "WHERE resolution = 'triples')",
+        "WHERE resolution = 'statements')",
         f"solutions AS ({_by_depth_sql('base', 'request_id, ')})",
         f"ranked AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY {order_sql(3)}) AS r FROM solutions)",
         "page AS (SELECT * FROM ranked WHERE r <= 100)",
         construct_sql("page", 3, "request_id, "),
     ),
 )
-def dereference_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = resolved(spark, sf_dir).filter(F.col("resolution") == "triples")
+def dereference_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = resolved(spark, sf_dir).filter(F.col("resolution") == "statements")
     pages = federate.dereference(data(spark, sf_dir), asked, depths(spark))
     return expand.construct(pages, 3, by=["request_id"])
 
@@ -902,11 +902,11 @@ def ntriples_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "ntriples_lines",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         "SELECT concat(CASE WHEN s_kind = 'uri' THEN concat('<', s, '>') ELSE s END, ' <', p, '> ', "
         "CASE WHEN o_kind = 'uri' THEN concat('<', o, '>') WHEN o_kind = 'bnode' THEN o "
         "WHEN o_datatype IS NULL THEN concat('\"', o, '\"') "
-        "ELSE concat('\"', o, '\"^^<', o_datatype, '>') END, ' .') AS value FROM triples",
+        "ELSE concat('\"', o, '\"^^<', o_datatype, '>') END, ' .') AS value FROM statements",
     ),
 )
 def ntriples_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1103,8 +1103,8 @@ def catalog_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "resource_map",
     with_sql(
-        TRIPLES,
-        f"g AS (SELECT DISTINCT {TERMS} FROM triples)",
+        STATEMENTS,
+        f"g AS (SELECT DISTINCT {TERMS} FROM statements)",
         "SELECT s_kind, s, p, string_agg(o, '|' ORDER BY o) AS objects, count(*) AS n FROM g GROUP BY s_kind, s, p",
     ),
 )
@@ -1122,11 +1122,11 @@ def resource_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "turtle_blocks",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         "g AS (SELECT DISTINCT s_kind, s, p, CASE WHEN s_kind = 'uri' THEN concat('<', s, '>') ELSE s END AS subject, "
         "concat('<', p, '>') AS predicate, CASE WHEN o_kind = 'uri' THEN concat('<', o, '>') WHEN o_kind = 'bnode' THEN o "
         "WHEN o_datatype IS NULL THEN concat('\"', o, '\"') ELSE concat('\"', o, '\"^^<', o_datatype, '>') END AS object "
-        "FROM triples)",
+        "FROM statements)",
         "l AS (SELECT s_kind, s, subject, predicate, string_agg(object, concat(' ,', chr(10), '    ') ORDER BY object) AS objects "
         "FROM g GROUP BY ALL)",
         "SELECT s_kind, s, 0 AS part, concat(subject, chr(10), '  ', string_agg(concat(predicate, ' ', objects), "
@@ -1183,15 +1183,14 @@ def turtle_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    "turtle_rejects", "SELECT count(*) AS documents, count(*) AS rejected FROM documents"
+    "turtle_rejects",
+    "SELECT doc_id, text AS value FROM documents",
 )
 def turtle_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prose is no Turtle: every document is set aside as a whole."""
+    """Prose is no Turtle: every document is set aside, with its whole text and a reason."""
     docs = L.table(spark, sf_dir, "documents").select("doc_id", "text")
     bad = turtle.rejects(docs, "text", "doc_id")
-    return docs.join(bad.select("doc_id", "reason"), "doc_id", "left").agg(
-        F.count(F.lit(1)).alias("documents"), F.count("reason").alias("rejected")
-    )
+    return bad.filter(F.col("reason") != "").drop("reason")
 
 
 _CUSTOMER = "concat('http://ex.org/customer/', c_custkey)"
@@ -1259,8 +1258,8 @@ def fragment_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "replace_graph",
     with_sql(
-        TRIPLES,
-        f"kept AS (SELECT DISTINCT {TERMS}, graph, source_id FROM triples WHERE (source_id = 2 AND p <> '{V}segment') "
+        STATEMENTS,
+        f"kept AS (SELECT DISTINCT {TERMS}, graph, source_id FROM statements WHERE (source_id = 2 AND p <> '{V}segment') "
         "OR source_id = 3 OR source_id = 5)",
         "SELECT graph, count(*) AS n, count(DISTINCT s) AS subjects FROM kept GROUP BY graph",
     ),
@@ -1268,9 +1267,9 @@ def fragment_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replace_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load all graphs, replace one by a smaller one, empty two, and read what is left."""
     folder = new_folder(spark, "store")
-    triples = L.lift(spark, sf_dir)
-    store.append(triples, folder)
-    smaller = triples.filter((F.col("source_id") == 2) & (F.col("p") != V + "segment"))
+    statements = L.lift(spark, sf_dir)
+    store.append(statements, folder)
+    smaller = statements.filter((F.col("source_id") == 2) & (F.col("p") != V + "segment"))
     store.replace(smaller, folder, [L.graph(2), L.graph(4)])
     store.clear(spark, folder, L.graph(1))
     return store.read(spark, folder).groupBy("graph").agg(
@@ -1281,7 +1280,7 @@ def replace_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "store_pattern_query",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         f"base AS (SELECT * FROM data WHERE p = '{V}nation')",
         f"page AS (SELECT * FROM ({expand_sql('base', 3)}) ORDER BY {order_sql(3)} LIMIT 100 OFFSET 40)",
@@ -1293,13 +1292,13 @@ def store_pattern_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.append(L.lift(spark, sf_dir), folder)
     stored = match.default_graphs(store.read(spark, folder))
     answer = plans.pattern_query(stored, Pattern(p=Term.iri(V + "nation")), 100, 40, depth=3)
-    return answer.triples
+    return answer.statements
 
 
 @register(
     "store_dereference_query",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         DEPTHS,
         f"base AS (SELECT * FROM data WHERE s = '{NS}nation/3' AND s_kind = 'uri')",
@@ -1313,13 +1312,13 @@ def store_dereference_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.append(L.lift(spark, sf_dir), folder)
     store.publish(spark, folder, table)
     stored = store.published(spark, table)
-    return plans.dereference_query(stored, NS + "nation/3", depths(spark)).triples
+    return plans.dereference_query(stored, NS + "nation/3", depths(spark)).statements
 
 
 @register(
     "page_by_rank",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         f"SELECT * FROM data WHERE p = '{V}name' ORDER BY {order_sql()} LIMIT 200 OFFSET 3300",
     ),
@@ -1342,7 +1341,7 @@ _NAMED = (
 )
 
 
-def _federated(spark: SparkSession, sf_dir: str) -> list[federation.TripleSource]:
+def _federated(spark: SparkSession, sf_dir: str) -> list[federation.StatementSource]:
     """The store, endpoints by nation, fragment servers of parts."""
     listed = X.frame(spark, sf_dir, X.FEDERATED)
     counted, graphs, pages = (X.frame(spark, sf_dir, sql) for sql in (X.FEDERATED_COUNTS, X.FEDERATED_GRAPHS, X.FEDERATED_PAGES))
@@ -1359,7 +1358,7 @@ _ALL_NAMES = Pattern(p=Term.iri(V + "name"))
 @register(
     "federated_totals",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         _NAMED,
         "counts AS (SELECT source_rank, source_key, count(*) AS solutions FROM named GROUP BY source_rank, source_key)",
@@ -1374,7 +1373,7 @@ def federated_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "federated_page",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         _NAMED,
         f"SELECT * FROM named ORDER BY {order_sql()} LIMIT 230 OFFSET 1500",
@@ -1388,19 +1387,19 @@ def federated_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "root_request",
     with_sql(
-        TRIPLES,
+        STATEMENTS,
         DATA,
         DEPTHS,
-        # The page lies within its first matched triples, as each has a solution at least.
+        # The page lies within its first matched statements, as each has a solution at least.
         f"base AS (SELECT * FROM data ORDER BY {order_sql()} LIMIT 140)",
         f"page AS (SELECT * FROM ({_by_depth_sql('base')}) ORDER BY {order_sql(3)} LIMIT 100 OFFSET 40)",
         construct_sql("page", 3),
     ),
 )
 def root_request(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The address of the root names no subject: all triples are asked for."""
+    """The address of the root names no subject: all statements are asked for."""
     answer = plans.dereference_query(data(spark, sf_dir), X.ROOT, depths(spark), offset=40, root=X.ROOT)
-    return answer.triples
+    return answer.statements
 
 
 # --- files ----------------------------------------------------------------------
@@ -1435,10 +1434,10 @@ def _written_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "load_files",
     with_sql(
-        f"triples AS ({L.lift_sql()})",
+        f"statements AS ({L.lift_sql()})",
         f"texts AS ({L.lift_sql(L.DOCUMENTS)})",
         f"suppliers AS ({_rows('supplier', (L.SUPPLIER, 'uri', V + 'name', 's_name', 'literal', '', ''), (L.SUPPLIER, 'uri', V + 'nation', L.iri('nation', 's_nationkey'), 'uri', '', ''))})",
-        f"SELECT DISTINCT '{load.GRAPH_BASE}1' AS graph, {TERMS} FROM triples WHERE source_id = 2 "
+        f"SELECT DISTINCT '{load.GRAPH_BASE}1' AS graph, {TERMS} FROM statements WHERE source_id = 2 "
         f"UNION ALL SELECT DISTINCT '{load.GRAPH_BASE}2', {TERMS} FROM suppliers "
         f"UNION ALL SELECT DISTINCT '{load.GRAPH_BASE}3', {TERMS} FROM texts",
     ),

@@ -1,7 +1,7 @@
 """Requests, definitions, catalog rows, saved answers and fragment pages.
 
 All are derived from whole test tables by SELECTs that read the same in Spark and
-DuckDB; see ``lift`` for the triples themselves.
+DuckDB; see ``lift`` for the statements themselves.
 """
 
 from __future__ import annotations
@@ -110,7 +110,7 @@ COUNT_ANSWERS = (
     "ON o_custkey = c_custkey"
 )
 
-# Fragment pages: one per customer, holding the customer's order triples between
+# Fragment pages: one per customer, holding the customer's order statements between
 # the page's own metadata.
 _PAGE = f"concat('{START}?customer=', c_custkey)"
 _ORDER_PAGE = f"concat('{START}?customer=', o_custkey)"

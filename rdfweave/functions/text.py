@@ -105,5 +105,5 @@ def written_value() -> Column:
 
 
 def statement() -> Column:
-    """One N-Triples statement per row of a triples frame."""
+    """One N-Triples statement per row of a statements frame."""
     return F.concat_ws(" ", written_subject(), written_predicate(), written_value(), F.lit("."))

@@ -1,6 +1,6 @@
-"""The triples table: column layout, terms and triple patterns.
+"""The statements table: column layout, terms and statement patterns.
 
-One row is one triple.  Terms are stored without angle brackets or quotes; what
+One row is one statement.  Terms are stored without angle brackets or quotes; what
 they are is told by ``s_kind`` / ``o_kind`` and, for literals, by ``o_datatype``
 and ``o_lang``.  Two terms are the same when all of these agree.
 """
@@ -32,7 +32,7 @@ SOURCE_TYPES = LOCAL_TYPES + REMOTE_TYPES
 TERMS = ["s", "s_kind", "p", "o", "o_kind", "o_datatype", "o_lang"]
 SOURCE = ["source_rank", "source_key"]
 
-TRIPLES_SCHEMA = T.StructType(
+STATEMENTS_SCHEMA = T.StructType(
     [
         T.StructField("s", T.StringType()),
         T.StructField("s_kind", T.StringType()),
@@ -49,7 +49,7 @@ TRIPLES_SCHEMA = T.StructType(
 
 
 def source_key(source_type: Column, source_id: Column) -> Column:
-    """The default graph a triple belongs to: all loaded files share ``local``."""
+    """The default graph a statement belongs to: all loaded files share ``local``."""
     return F.when(source_type.isin(*LOCAL_TYPES), F.lit("local")).otherwise(
         F.concat(source_type, F.lit(":"), source_id.cast("string"))
     )
@@ -71,7 +71,7 @@ def scoped_bnode(label: Column, source_id: Column) -> Column:
 
 @dataclass(frozen=True)
 class Term:
-    """A bound position of a triple pattern."""
+    """A bound position of a statement pattern."""
 
     kind: str
     value: str
@@ -113,7 +113,7 @@ class Term:
 
 @dataclass(frozen=True)
 class Pattern:
-    """A triple pattern; an unset position is open.
+    """A statement pattern; an unset position is open.
 
     ``hash_variants`` lets the subject also match ``subject#anything``, ignoring
     case.  It has no effect on an open subject.

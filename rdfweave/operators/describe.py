@@ -1,4 +1,4 @@
-"""Statistics and paging triples that accompany an answer (VoID and Hydra)."""
+"""Statistics and paging statements that accompany an answer (VoID and Hydra)."""
 
 from __future__ import annotations
 
@@ -79,7 +79,7 @@ def paging_links(results: DataFrame) -> DataFrame:
     )
 
 
-def _triple(s: Column, s_kind: str, p: str, o: Column, o_kind: str, datatype: str | None = None) -> Column:
+def _statement(s: Column, s_kind: str, p: str, o: Column, o_kind: str, datatype: str | None = None) -> Column:
     return F.struct(
         s.alias("s"),
         F.lit(s_kind).alias("s_kind"),
@@ -92,7 +92,7 @@ def _triple(s: Column, s_kind: str, p: str, o: Column, o_kind: str, datatype: st
 
 
 def describe(results: DataFrame, key: str = "result_id") -> DataFrame:
-    """Description triples of every answer: 22 fixed ones and one per page link.
+    """Description statements of every answer: 22 fixed ones and one per page link.
 
     ``results(<key>, root, path, query_string, limit, offset, total)``.
     """
@@ -102,15 +102,15 @@ def describe(results: DataFrame, key: str = "result_id") -> DataFrame:
         return F.concat(F.lit("_:r"), F.col(key).cast("string"), F.lit(f".{name}"))
 
     def iri(s: Column, p: str, o: Column, s_kind: str = M.IRI) -> Column:
-        return _triple(s, s_kind, p, o, M.IRI)
+        return _statement(s, s_kind, p, o, M.IRI)
 
     template = node("template")
     out = [
         iri(dataset, M.RDF_TYPE, F.lit(M.VOID + "Dataset")),
         iri(dataset, M.RDF_TYPE, F.lit(M.HYDRA + "Collection")),
-        _triple(dataset, M.IRI, M.HYDRA + "search", template, M.BNODE),
+        _statement(dataset, M.IRI, M.HYDRA + "search", template, M.BNODE),
         iri(template, M.RDF_TYPE, F.lit(M.HYDRA + "IriTemplate"), M.BNODE),
-        _triple(
+        _statement(
             template,
             M.BNODE,
             M.HYDRA + "template",
@@ -121,9 +121,9 @@ def describe(results: DataFrame, key: str = "result_id") -> DataFrame:
     for name in VARIABLES:
         out += [
             iri(node(name), M.RDF_TYPE, F.lit(M.HYDRA + "IriTemplateMapping"), M.BNODE),
-            _triple(node(name), M.BNODE, M.HYDRA + "variable", F.lit(name), M.LITERAL),
+            _statement(node(name), M.BNODE, M.HYDRA + "variable", F.lit(name), M.LITERAL),
             iri(node(name), M.HYDRA + "property", F.lit(M.RDF + name), M.BNODE),
-            _triple(template, M.BNODE, M.HYDRA + "mapping", node(name), M.BNODE),
+            _statement(template, M.BNODE, M.HYDRA + "mapping", node(name), M.BNODE),
         ]
     full = result_uri(F.col("root"), F.col("path"), F.col("query_string"))
     for predicate, value in (
@@ -131,7 +131,7 @@ def describe(results: DataFrame, key: str = "result_id") -> DataFrame:
         (M.VOID + "triples", "total"),
         (M.HYDRA + "itemsPerPage", "limit"),
     ):
-        out.append(_triple(full, M.IRI, predicate, F.col(value), M.LITERAL, M.XSD_INTEGER))
+        out.append(_statement(full, M.IRI, predicate, F.col(value), M.LITERAL, M.XSD_INTEGER))
     out += [iri(full, M.VOID + "subset", dataset), iri(dataset, M.VOID + "subset", full)]
     for name in ("first", "next", "last", "previous"):
         out.append(iri(full, f"{M.HYDRA}{name}Page", F.col(name)))

@@ -1,8 +1,8 @@
-"""Bounded-depth expansion along object -> subject, its counts and its triples.
+"""Bounded-depth expansion along object -> subject, its counts and its statements.
 
-A solution of depth ``d`` is a matched triple followed by one path of ``d - 1``
-further triples, each starting at the object of the one before.  The path is all
-or nothing: a triple without any full path keeps one solution with an empty path.
+A solution of depth ``d`` is a matched statement followed by one path of ``d - 1``
+further statements, each starting at the object of the one before.  The path is all
+or nothing: a statement without any full path keeps one solution with an empty path.
 Paths never leave their ``source_key`` and never start at a literal.
 """
 
@@ -52,7 +52,7 @@ def _not_literal(column: str) -> Column:
 
 
 def _hop(data: DataFrame, hop: int) -> DataFrame:
-    """All triples as hop ``hop``, keyed by the node they start from."""
+    """All statements as hop ``hop``, keyed by the node they start from."""
     p, o, kind, datatype, lang = hop_columns(hop)
     return data.select(
         "source_key",
@@ -67,7 +67,7 @@ def _hop(data: DataFrame, hop: int) -> DataFrame:
 
 
 def hops(data: DataFrame, start: DataFrame, n: int, columns: list[str] | None = None) -> list[DataFrame]:
-    """The triples that a path of up to ``n`` triples from the nodes ``start`` can pass, by
+    """The statements that a path of up to ``n`` statements from the nodes ``start`` can pass, by
     their place on it.
 
     Every hop is staged, so ``data`` is read once for each, whatever follows; while the list
@@ -82,9 +82,9 @@ def hops(data: DataFrame, start: DataFrame, n: int, columns: list[str] | None =
 
 
 def paths(data: DataFrame, depth: int, start: DataFrame) -> DataFrame:
-    """Every path of ``depth - 1`` triples from the nodes ``start``, with its first node.
+    """Every path of ``depth - 1`` statements from the nodes ``start``, with its first node.
 
-    Each hop joins the triples to the nodes reached so far, never to each other as a whole.
+    Each hop joins the statements to the nodes reached so far, never to each other as a whole.
     """
     steps = hops(data, start, depth - 1)
     chain = _hop(steps[0], 2)
@@ -94,7 +94,7 @@ def paths(data: DataFrame, depth: int, start: DataFrame) -> DataFrame:
 
 
 def _starting_at(data: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The triples that start at ``nodes`` (``NODE`` keys).
+    """The statements that start at ``nodes`` (``NODE`` keys).
 
     The distinct nodes are staged, so their number is known when the join is planned:
     a short list becomes a filter or a broadcast, a long one an ordinary semi-join.
@@ -147,7 +147,7 @@ def expand(
     depth: int,
     large: bool | None = None,
 ) -> DataFrame:
-    """Solutions of the matched triples ``base`` down to ``depth``.
+    """Solutions of the matched statements ``base`` down to ``depth``.
 
     Paths are grown from the objects of ``base``, whatever their number: what the
     pattern does not reach is never joined.
@@ -227,28 +227,28 @@ def expand_by_source(
 
 
 def construct(solutions: DataFrame, depth: int, by: list[str] | None = None) -> DataFrame:
-    """The distinct triples that solutions are made of, merged over all sources.
+    """The distinct statements that solutions are made of, merged over all sources.
 
-    With ``by`` columns (such as a request id) the triples are kept apart by them.
+    With ``by`` columns (such as a request id) the statements are kept apart by them.
     """
     hops = [M.TERMS]
     subject = ["o", "o_kind"]
     for hop in range(2, depth + 1):
         hops.append([*subject, *hop_columns(hop)])
         subject = [f"o{hop}", f"o{hop}_kind"]
-    triples = [F.struct(*[F.col(c).alias(n) for c, n in zip(hop, M.TERMS)]) for hop in hops]
+    statements = [F.struct(*[F.col(c).alias(n) for c, n in zip(hop, M.TERMS)]) for hop in hops]
     return (
-        solutions.select(*(by or []), F.inline(F.array(*triples)))
+        solutions.select(*(by or []), F.inline(F.array(*statements)))
         .filter(F.col("p").isNotNull())
         .distinct()
     )
 
 
 def reduced(base: DataFrame, data: DataFrame, depth: int, large: bool | None = None) -> list[DataFrame]:
-    """The triples of each hop that lie on a full path from ``base``, without any path.
+    """The statements of each hop that lie on a full path from ``base``, without any path.
 
-    Forwards, a hop has the triples that start at the nodes reached; backwards from the
-    last, those stay whose object a triple of the next hop starts at.  What passes both
+    Forwards, a hop has the statements that start at the nodes reached; backwards from the
+    last, those stay whose object a statement of the next hop starts at.  What passes both
     lies on a path through all hops.
     """
     nodes = _object_node(base.filter(_not_literal("o_kind"))).select(*NODE)
@@ -262,7 +262,7 @@ def reduced(base: DataFrame, data: DataFrame, depth: int, large: bool | None = N
 
 
 def construct_all(base: DataFrame, data: DataFrame, depth: int, large: bool | None = None) -> DataFrame:
-    """The distinct triples of all solutions of ``base``: ``construct(expand(...))`` of a
+    """The distinct statements of all solutions of ``base``: ``construct(expand(...))`` of a
     whole answer.
 
     Solutions are not built, so their number does not matter.  A page cuts solutions, so it
@@ -275,14 +275,14 @@ def construct_all(base: DataFrame, data: DataFrame, depth: int, large: bool | No
     return rows.distinct()
 
 
-# What a count needs of a triple.
+# What a count needs of a statement.
 _EDGE = ["source_key", "s_kind", "s", "o_kind", "o"]
 
 
 def path_counts(
     data: DataFrame, n: int, start: DataFrame, large: bool | None = None
 ) -> DataFrame:
-    """How many paths of ``n`` triples start at each of the nodes ``start``, without
+    """How many paths of ``n`` statements start at each of the nodes ``start``, without
     building one.
 
     The nodes of each hop are found forwards, then paths are counted backwards from
@@ -318,7 +318,7 @@ def solution_counts(
 ) -> DataFrame:
     """Number of solutions per source: ``(source_rank, source_key, solutions)``.
 
-    Counts solutions, not distinct triples, and follows the count rule above.
+    Counts solutions, not distinct statements, and follows the count rule above.
     """
     _check(depth)
     base = match(data, pattern)
@@ -354,7 +354,7 @@ def expanded_counts(
 def with_solution_number(
     base: DataFrame, data: DataFrame, depth: int, large: bool | None = None
 ) -> DataFrame:
-    """Adds to every matched triple how many solutions it has, without expanding it."""
+    """Adds to every matched statement how many solutions it has, without expanding it."""
     literals = base.filter(~_not_literal("o_kind")).withColumn("solutions", F.lit(1).cast("long"))
     nodes = _object_node(base.filter(_not_literal("o_kind")))
     counts = path_counts(data, depth - 1, nodes, large)

@@ -35,20 +35,20 @@ def counts_by_source(base: DataFrame, data: DataFrame, depths: DataFrame) -> Dat
 
 
 def merge(*graphs: DataFrame) -> DataFrame:
-    """Set union of graphs: a triple found in several of them stays once."""
+    """Set union of graphs: a statement found in several of them stays once."""
     return reduce(DataFrame.unionByName, [g.select(*M.TERMS) for g in graphs]).distinct()
 
 
-def distinct_triples(triples: DataFrame) -> DataFrame:
-    """Size of the merged graph: one row, ``distinct_triples``."""
-    return triples.select(*M.TERMS).distinct().agg(F.count(F.lit(1)).alias("distinct_triples"))
+def distinct_statements(statements: DataFrame) -> DataFrame:
+    """Size of the merged graph: one row, ``distinct_statements``."""
+    return statements.select(*M.TERMS).distinct().agg(F.count(F.lit(1)).alias("distinct_statements"))
 
 
 def page_sources(counts: DataFrame, limit: int, offset: int) -> DataFrame:
     """The sources a page reaches and how much of each it takes.
 
     ``counts`` has one row per source, so the running total is over the catalog,
-    never over triples.
+    never over statements.
     """
     before = Window.orderBy("source_rank", "source_key").rowsBetween(
         Window.unboundedPreceding, -1
@@ -94,11 +94,11 @@ def dereference(
 ) -> DataFrame:
     """The page of solutions of every request ``(request_id, uri)``.
 
-    With a ``root``, a request for no address or for the root's asks for all triples; what
+    With a ``root``, a request for no address or for the root's asks for all statements; what
     it gets is found once, however many such requests there are.
 
-    Every matched triple has at least one solution and sorts first by its own
-    terms, so each request is cut to its first ``offset + limit`` matched triples
+    Every matched statement has at least one solution and sorts first by its own
+    terms, so each request is cut to its first ``offset + limit`` matched statements
     before anything is expanded, and to the exact page afterwards.  The cut is
     staged, since every depth level and every hop starts from it.
     """
@@ -126,7 +126,7 @@ def expanded_page_by_source(
 ) -> DataFrame:
     """A page of ``expand_by_source(base, data, depths)``, whatever ``base`` matches.
 
-    Every matched triple has at least one solution and sorts first by its own terms, so the
+    Every matched statement has at least one solution and sorts first by its own terms, so the
     page lies within the first ``offset + limit`` of them.
     """
     first = stage(page(base, offset + limit), "page")

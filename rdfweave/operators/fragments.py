@@ -1,6 +1,6 @@
 """Pages of a fragment server: totals, page plan, and data without metadata.
 
-Input is a triples frame with ``url`` (the page) and ``startfragment`` columns.
+Input is a statements frame with ``url`` (the page) and ``startfragment`` columns.
 """
 
 from __future__ import annotations
@@ -81,7 +81,7 @@ def metadata_subjects(rows: DataFrame) -> DataFrame:
 
 
 def strip_metadata(rows: DataFrame) -> DataFrame:
-    """The data triples of every page, all term columns kept."""
+    """The data statements of every page, all term columns kept."""
     dataset = F.concat(F.col("startfragment"), F.lit("#dataset"))
     return skew_join(
         rows.filter(F.col("s") != dataset), metadata_subjects(rows), ["url", "s"], "left_anti"

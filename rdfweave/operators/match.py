@@ -1,4 +1,4 @@
-"""Triple-pattern matching over one default graph per source."""
+"""Statement-pattern matching over one default graph per source."""
 
 from __future__ import annotations
 
@@ -45,25 +45,25 @@ def matches(df: DataFrame, pattern: Pattern, unescaped: bool = False) -> Column:
     return test
 
 
-def in_graph(triples: DataFrame, graph: str | None) -> DataFrame:
+def in_graph(statements: DataFrame, graph: str | None) -> DataFrame:
     """Restrict to one named graph; prunes partitions of the store."""
-    return triples if graph is None else triples.filter(F.col("graph") == graph)
+    return statements if graph is None else statements.filter(F.col("graph") == graph)
 
 
 def default_graphs(
-    triples: DataFrame, graph: str | None = None, distinct: bool = True
+    statements: DataFrame, graph: str | None = None, distinct: bool = True
 ) -> DataFrame:
-    """The triples as queries see them: one set per ``source_key``.
+    """The statements as queries see them: one set per ``source_key``.
 
     All loaded files make up the single graph ``local``; each endpoint and each
-    fragment server is a graph of its own.  The same triple loaded from two files
+    fragment server is a graph of its own.  The same statement loaded from two files
     counts once.  ``distinct=False`` skips that step where the caller knows there
     are no copies, such as within one loaded graph.
     """
     key = M.source_key(F.col("source_type"), F.col("source_id"))
     rank = M.source_rank(F.col("source_type"))
-    extra = ["s_base"] if "s_base" in triples.columns else []
-    rows = in_graph(triples, graph).select(
+    extra = ["s_base"] if "s_base" in statements.columns else []
+    rows = in_graph(statements, graph).select(
         rank.alias("source_rank"), key.alias("source_key"), *M.TERMS, *extra
     )
     return rows.distinct() if distinct else rows

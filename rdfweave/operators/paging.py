@@ -16,7 +16,7 @@ PAGE_SIZE = 100
 # no burden to it.
 LAST_TASK_ROWS = 2_000_000
 TASK_BYTES = 128 * 1024 * 1024
-# Up to here the matched triples of an expanded page are found by their own order.
+# Up to here the matched statements of an expanded page are found by their own order.
 FIRST_ROWS = 10_000
 # Split keys per narrowing pass over a deep page, and rows drawn to find them.
 SPLITS = 16
@@ -158,9 +158,9 @@ def expanded_page(
 ) -> DataFrame:
     """A page of ``expand(base, data, depth)`` without expanding what lies outside it.
 
-    Solutions sort by their matched triple first, and every matched triple has at
+    Solutions sort by their matched statement first, and every matched statement has at
     least one.  So a page near the start lies within the first ``offset + limit``
-    matched triples.  For a deep page the matched triples are numbered with their
+    matched statements.  For a deep page the matched statements are numbered with their
     solutions and narrowed to those the page falls on.  Only these are expanded.
     """
     if depth == 1:

@@ -73,7 +73,7 @@ def resolve(
     """Adds ``resolution`` to every request: the first kind of thing that it names.
 
     In order: a published ``dataset``, a ``core`` resource (by its first segment), a
-    ``collection``, the ``triples`` of a subject; null when there is nothing.
+    ``collection``, the ``statements`` of a subject; null when there is nothing.
     Requests are staged, catalog tables are broadcast when small, and subjects are
     first cut down to those that are requested at all.
     """
@@ -90,7 +90,7 @@ def resolve(
     if estimated_bytes(asked) <= BROADCAST_BYTES:
         subjects = subjects.join(F.broadcast(asked), "uri", "left_semi").distinct()
     else:
-        # Made distinct before the shuffle, a subject with many triples is one row.
+        # Made distinct before the shuffle, a subject with many statements is one row.
         subjects = subjects.distinct().join(asked, "uri", "left_semi")
 
     joined = named.withColumn("_first", U.first_segment(F.col("identifier")))
@@ -98,14 +98,14 @@ def resolve(
         (datasets, "identifier", "_dataset"),
         (core, "_first", "_core"),
         (collections, "identifier", "_collection"),
-        (subjects, "uri", "_triples"),
+        (subjects, "uri", "_statements"),
     ):
         joined = join_lookup(joined, lookup.withColumn(name, F.lit(True)), [key])
     resolution = (
         F.when(F.col("_dataset"), "dataset")
         .when(F.col("_core"), "core")
         .when(F.col("_collection"), "collection")
-        .when(F.col("_triples"), "triples")
+        .when(F.col("_statements"), "statements")
     )
     return joined.withColumn("resolution", resolution).select(
         "request_id", *[c for c in named.columns if c != "request_id"], "resolution"

@@ -1,4 +1,4 @@
-"""Triples grouped by their subject: nested maps and Turtle blocks."""
+"""Statements grouped by their subject: nested maps and Turtle blocks."""
 
 from __future__ import annotations
 
@@ -11,18 +11,18 @@ from rdfweave.functions.text import written_predicate, written_subject, written_
 SUBJECT = ["s_kind", "s"]
 
 
-def with_part(triples: DataFrame, parts: int = 1) -> DataFrame:
-    """Adds ``part``: every subject is spread over up to ``parts`` rows by a hash of its triples.
+def with_part(statements: DataFrame, parts: int = 1) -> DataFrame:
+    """Adds ``part``: every subject is spread over up to ``parts`` rows by a hash of its statements.
 
     The caller names the number, so the shape of the result never depends on the data.
     """
     if parts == 1:
-        return triples.withColumn("part", F.lit(0))
+        return statements.withColumn("part", F.lit(0))
     part = F.pmod(F.xxhash64("p", "o", "o_kind", "o_datatype", "o_lang"), F.lit(parts))
-    return triples.withColumn("part", part.cast("int"))
+    return statements.withColumn("part", part.cast("int"))
 
 
-def resource_map(triples: DataFrame, parts: int = 1) -> DataFrame:
+def resource_map(statements: DataFrame, parts: int = 1) -> DataFrame:
     """``(s_kind, s, part, properties)`` with predicate -> sorted list of objects."""
     value = F.struct(
         F.col("o").alias("value"),
@@ -30,7 +30,7 @@ def resource_map(triples: DataFrame, parts: int = 1) -> DataFrame:
         F.col("o_datatype").alias("datatype"),
         F.col("o_lang").alias("lang"),
     )
-    graph = triples.select(*M.TERMS).distinct()
+    graph = statements.select(*M.TERMS).distinct()
     lists = (
         with_part(graph, parts)
         .groupBy(*SUBJECT, "part", "p")
@@ -41,14 +41,14 @@ def resource_map(triples: DataFrame, parts: int = 1) -> DataFrame:
     )
 
 
-def write_json(triples: DataFrame, path: str, mode: str = "errorifexists", parts: int = 1) -> None:
+def write_json(statements: DataFrame, path: str, mode: str = "errorifexists", parts: int = 1) -> None:
     """One JSON object per subject (and part)."""
-    resource_map(triples, parts).write.mode(mode).option("ignoreNullFields", "true").json(path)
+    resource_map(statements, parts).write.mode(mode).option("ignoreNullFields", "true").json(path)
 
 
-def turtle_blocks(triples: DataFrame, parts: int = 1) -> DataFrame:
+def turtle_blocks(statements: DataFrame, parts: int = 1) -> DataFrame:
     """One Turtle block per subject (and part): ``(s_kind, s, part, value)``."""
-    graph = triples.select(*M.TERMS).distinct()
+    graph = statements.select(*M.TERMS).distinct()
     written = with_part(graph, parts).select(
         *SUBJECT,
         "part",
@@ -68,5 +68,5 @@ def turtle_blocks(triples: DataFrame, parts: int = 1) -> DataFrame:
     )
 
 
-def write_turtle(triples: DataFrame, path: str, mode: str = "errorifexists", parts: int = 1) -> None:
-    turtle_blocks(triples, parts).select("value").write.mode(mode).text(path)
+def write_turtle(statements: DataFrame, path: str, mode: str = "errorifexists", parts: int = 1) -> None:
+    turtle_blocks(statements, parts).select("value").write.mode(mode).text(path)

@@ -35,7 +35,7 @@ class Share:
     take: int
 
 
-class TripleSource(Protocol):
+class StatementSource(Protocol):
     """One kind of source."""
 
     def counts(self, pattern: Pattern) -> DataFrame:
@@ -166,21 +166,21 @@ class FragmentSource:
         return _taken(rows, shares, F.col("page") * F.col("page_size") + F.row_number().over(inside) - 1)
 
 
-def totals(sources: list[TripleSource], pattern: Pattern) -> DataFrame:
+def totals(sources: list[StatementSource], pattern: Pattern) -> DataFrame:
     """``(source_rank, source_key, solutions)`` over all kinds; sources without any are left out."""
     counts = reduce(DataFrame.unionByName, [s.counts(pattern).select(*M.SOURCE, F.col("solutions").cast("long").alias("solutions")) for s in sources])
     return counts.filter(F.col("solutions") > 0)
 
 
 def federated_query(
-    sources: list[TripleSource],
+    sources: list[StatementSource],
     pattern: Pattern,
     limit: int = paging.PAGE_SIZE,
     offset: int = 0,
     root: str = "http://localhost",
     query_string: str = "",
 ) -> Answer:
-    """Matching triples of all kinds of sources as one page, with totals.
+    """Matching statements of all kinds of sources as one page, with totals.
 
     Sources come in the order of their rank and key, so a page may begin in the loaded
     graphs and end in a fragment server.
@@ -194,7 +194,7 @@ def federated_query(
     page = stage(reduce(DataFrame.unionByName, parts), "answer")
     return Answer(
         solutions=page,
-        triples=page.select(*M.TERMS).distinct(),
+        statements=page.select(*M.TERMS).distinct(),
         counts=counts,
         total=total,
         found=not page.isEmpty(),

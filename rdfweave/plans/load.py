@@ -55,7 +55,7 @@ def _files(spark: SparkSession, paths: dict[int, str]) -> list[tuple[list[str],
 def _read_format(
     spark: SparkSession, kind: str, paths: dict[int, str], whole: bool, size: int = pieces.PIECE_BYTES
 ) -> tuple[DataFrame, DataFrame]:
-    """Triples and quarantine rows of all sources of one format, each with ``source_id``.
+    """Statements and quarantine rows of all sources of one format, each with ``source_id``.
 
     The files are read and staged once, and parsed once for both; which source a row
     belongs to follows from its file.
@@ -98,7 +98,7 @@ def _read_format(
 def read_sources(
     spark: SparkSession, sources: DataFrame, base: str = GRAPH_BASE, whole: bool = False, size: int = pieces.PIECE_BYTES
 ) -> tuple[DataFrame, DataFrame, list[int]]:
-    """Triples, quarantine rows and ids of all file sources of a resolved catalog.
+    """Statements, quarantine rows and ids of all file sources of a resolved catalog.
 
     A ``uri`` may be a file, a folder or a pattern; relative addresses in a file are
     resolved against the file's own path.  The ``format`` of a source is ``turtle``,
@@ -117,17 +117,17 @@ def read_sources(
         good.append(found.select(*M.TERMS, "source_id"))
         bad.append(wrong.select("value", "reason", "source_id"))
     if not rows:
-        empty = spark.createDataFrame([], M.TRIPLES_SCHEMA)
+        empty = spark.createDataFrame([], M.STATEMENTS_SCHEMA)
         return empty, spark.createDataFrame([], ntriples.QUARANTINE_SCHEMA), []
     ids = [r["id"] for r in rows]
     types = spark.createDataFrame([(r["id"], r["type"]) for r in rows], "source_id int, source_type string")
-    triples = reduce(DataFrame.unionByName, good).join(broadcast_if_small(stage(types, "types")), "source_id").select(
+    statements = reduce(DataFrame.unionByName, good).join(broadcast_if_small(stage(types, "types")), "source_id").select(
         *M.TERMS,
         F.concat(F.lit(base), F.col("source_id").cast("string")).alias("graph"),
         "source_id",
         "source_type",
     )
-    return triples, reduce(DataFrame.unionByName, bad), ids
+    return statements, reduce(DataFrame.unionByName, bad), ids
 
 
 def read_source(
@@ -139,7 +139,7 @@ def read_source(
     whole: bool = False,
     size: int = pieces.PIECE_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
-    """Triples and quarantine rows of one source."""
+    """Statements and quarantine rows of one source."""
     if source_type not in FORMATS:
         raise ValueError(f"{source_type} sources are not loaded")
     source = spark.createDataFrame([(source_id, source_type, uri)], "id int, type string, uri string")
@@ -159,9 +159,9 @@ def load(
     The catalog has one row per source; endpoints and fragment servers are skipped.
     Bad statements and documents take the place of the sources' rows in the quarantine table.
     """
-    triples, rejects, ids = read_sources(spark, sources, base, whole)
+    statements, rejects, ids = read_sources(spark, sources, base, whole)
     graphs = [graph_name(i, base) for i in ids]
     if ids:
-        store.replace(triples, store_path, graphs)
+        store.replace(statements, store_path, graphs)
         store.quarantine(rejects, quarantine_path, ids)
     return graphs

@@ -19,7 +19,7 @@ class Answer:
     """A page of an answer with its totals and its description."""
 
     solutions: DataFrame
-    triples: DataFrame
+    statements: DataFrame
     counts: DataFrame
     total: int
     found: bool
@@ -46,7 +46,7 @@ def pattern_query(
     root: str = "http://localhost",
     query_string: str = "",
 ) -> Answer:
-    """Matching triples of all sources as one page, with totals.
+    """Matching statements of all sources as one page, with totals.
 
     ``data`` comes from ``match.default_graphs``.  Sources are counted once; the
     counts give the total and leave out the sources the page does not reach.
@@ -60,7 +60,7 @@ def pattern_query(
     page = stage(paging.expanded_page(base, data, depth, limit, rest), "answer")
     return Answer(
         solutions=page,
-        triples=expand.construct(page, depth),
+        statements=expand.construct(page, depth),
         counts=counts,
         total=total,
         found=not page.isEmpty(),
@@ -80,12 +80,12 @@ def dereference_query(
 ) -> Answer:
     """Everything known about one URI, each source expanded to its own depth.
 
-    An empty address, or that of the root, names no subject: all triples are asked for.
+    An empty address, or that of the root, names no subject: all statements are asked for.
     """
     named = uri not in ("", root)
     pattern = Pattern(s=Term.iri(uri), hash_variants=hash_variants) if named else Pattern()
     base = match(data, pattern)
-    # The count rule of pattern queries: hash variants are counted as matched triples.
+    # The count rule of pattern queries: hash variants are counted as matched statements.
     if expand.counts_expansion(pattern, expand.MAX_DEPTH):
         counts = federate.counts_by_source(base, data, depths)
     else:
@@ -97,7 +97,7 @@ def dereference_query(
     pages = stage(found, "answer")
     return Answer(
         solutions=pages,
-        triples=expand.construct(pages, max(expand.levels_of(depths))),
+        statements=expand.construct(pages, max(expand.levels_of(depths))),
         counts=counts,
         total=total,
         found=not pages.isEmpty(),

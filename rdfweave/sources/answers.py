@@ -33,7 +33,7 @@ def is_graph() -> Column:
 
 
 def graphs(answers: DataFrame, doc: str = "source_id") -> DataFrame:
-    """Triples of the graph answers, with the other columns of ``answers``."""
+    """Statements of the graph answers, with the other columns of ``answers``."""
     return rdfxml.parse(answers.filter(is_graph()), "body", doc)
 
 

@@ -52,7 +52,7 @@ def _given(part: Column) -> Column:
 
 
 def parse(lines: DataFrame, source_id: Column, line: str = "value") -> DataFrame:
-    """Triples of the good lines.  Blank nodes are scoped by ``source_id``.
+    """Statements of the good lines.  Blank nodes are scoped by ``source_id``.
 
     Other columns of ``lines`` are kept.
     """
@@ -90,12 +90,12 @@ def rejects(lines: DataFrame, line: str = "value") -> DataFrame:
     return bad.select(F.col(line).alias("value"), reason.alias("reason"), *kept)
 
 
-def lines(triples: DataFrame) -> DataFrame:
-    return triples.select(statement().alias("value"))
+def lines(statements: DataFrame) -> DataFrame:
+    return statements.select(statement().alias("value"))
 
 
-def write(triples: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    lines(triples).write.mode(mode).text(path)
+def write(statements: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    lines(statements).write.mode(mode).text(path)
 
 
 QUARANTINE_SCHEMA = T.StructType(

@@ -1,7 +1,7 @@
-"""Where the n-th triple of a predicate lies, so that a deep page is looked up and not counted.
+"""Where the n-th statement of a predicate lies, so that a deep page is looked up and not counted.
 
-Published triples are sorted by predicate and then in the order of pages, over files that
-do not overlap.  For every file and predicate the index holds how many triples there are and
+Published statements are sorted by predicate and then in the order of pages, over files that
+do not overlap.  For every file and predicate the index holds how many statements there are and
 the first of them: one row per file, and one more for each predicate that a file holds.
 """
 
@@ -25,11 +25,11 @@ def folder(table: str) -> str:
     return f"{table.rstrip('/')}.ranks"
 
 
-def write(spark: SparkSession, table: str, triples: DataFrame) -> None:
-    """Index the published ``triples`` of ``table``; other source keys keep their entries."""
+def write(spark: SparkSession, table: str, statements: DataFrame) -> None:
+    """Index the published ``statements`` of ``table``; other source keys keep their entries."""
     first = F.min(F.struct(*[x for c in WITHIN for x in (F.col(c).isNotNull(), F.col(c))]))
     (
-        triples.groupBy("source_rank", "source_key", "p", F.col("_metadata.file_path").alias("file"))
+        statements.groupBy("source_rank", "source_key", "p", F.col("_metadata.file_path").alias("file"))
         .agg(F.count(F.lit(1)).alias("rows"), first.alias("first"))
         .coalesce(1)
         .write.mode("overwrite")
@@ -54,7 +54,7 @@ class Place:
 
 
 def find(spark: SparkSession, table: str, pattern: Pattern, limit: int, offset: int) -> Place:
-    """Where rows ``offset .. offset + limit`` of a predicate's triples lie.
+    """Where rows ``offset .. offset + limit`` of a predicate's statements lie.
 
     Runs over the entries of one predicate, at most one for each file; of these, only the
     entries of the page come to the driver.
@@ -74,7 +74,7 @@ def find(spark: SparkSession, table: str, pattern: Pattern, limit: int, offset:
 
 
 def page(spark: SparkSession, table: str, schema, pattern: Pattern, limit: int, offset: int) -> tuple[DataFrame, int]:
-    """The page, and how many triples match in all; reads no other files than the page's."""
+    """The page, and how many statements match in all; reads no other files than the page's."""
     place = find(spark, table, pattern, limit, offset)
     if not place.files:
         return match(spark.createDataFrame([], schema), pattern), place.total

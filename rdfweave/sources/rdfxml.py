@@ -65,7 +65,7 @@ def read(
     scope: Column | None = None,
     base: Column | None = None,
 ) -> DataFrame:
-    """Triples of all readable documents, and one row with a ``reason`` for each other one.
+    """Statements of all readable documents, and one row with a ``reason`` for each other one.
 
     Other columns of ``docs`` are kept.  ``doc`` names a unique key column fit for
     blank-node labels.  Labels written in a document are scoped by ``scope`` (default:
@@ -106,7 +106,7 @@ def parse(
     scope: Column | None = None,
     base: Column | None = None,
 ) -> DataFrame:
-    """The triples that ``read`` finds."""
+    """The statements that ``read`` finds."""
     return read(docs, body, doc, scope, base).filter(F.col("reason").isNull()).drop("reason")
 
 

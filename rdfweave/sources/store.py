@@ -1,4 +1,4 @@
-"""The triples table on shared storage: load, replace, clear, read.
+"""The statements table on shared storage: load, replace, clear, read.
 
 One Parquet folder per named graph, sorted by predicate and subject so that row-group
 statistics prune pattern scans, with the fragment-free lower-case subject stored for hash
@@ -20,7 +20,7 @@ from rdfweave.sources.ntriples import QUARANTINE_SCHEMA
 from rdfweave.sources.versions import Versions
 
 STORE_SCHEMA = T.StructType(
-    [f for f in M.TRIPLES_SCHEMA.fields if f.name != "graph"]
+    [f for f in M.STATEMENTS_SCHEMA.fields if f.name != "graph"]
     + [T.StructField("s_base", T.StringType()), T.StructField("graph", T.StringType())]
 )
 
@@ -30,18 +30,18 @@ def table(store: str) -> Versions:
 
 
 def read(spark: SparkSession, store: str) -> DataFrame:
-    """The triples of the last commit; later writes do not change what is read."""
+    """The statements of the last commit; later writes do not change what is read."""
     return table(store).read(spark)
 
 
-def _laid_out(triples: DataFrame, ordered: bool) -> DataFrame:
-    """Distinct triples of each graph in store layout.
+def _laid_out(statements: DataFrame, ordered: bool) -> DataFrame:
+    """Distinct statements of each graph in store layout.
 
     The range partitioning runs over the whole sort key, so a predicate that fills a
     third of a graph is spread over many files.
     """
     key = ["graph", "p", "s", "o"]
-    rows = triples.dropDuplicates(["graph", "source_id", *M.TERMS]).withColumn(
+    rows = statements.dropDuplicates(["graph", "source_id", *M.TERMS]).withColumn(
         "s_base", subject_base(F.col("s"))
     )
     rows = rows.select(*STORE_SCHEMA.names)
@@ -49,18 +49,18 @@ def _laid_out(triples: DataFrame, ordered: bool) -> DataFrame:
     return stage(rows, "distinct").repartitionByRange(*key).sortWithinPartitions(*key) if ordered else rows
 
 
-def append(triples: DataFrame, store: str, ordered: bool = True) -> None:
-    """Add triples to their graphs."""
-    table(store).append(_laid_out(triples, ordered))
+def append(statements: DataFrame, store: str, ordered: bool = True) -> None:
+    """Add statements to their graphs."""
+    table(store).append(_laid_out(statements, ordered))
 
 
-def replace(triples: DataFrame, store: str, graphs: list[str], ordered: bool = True) -> None:
-    """Put ``triples`` in the place of the named graphs; other graphs stay.
+def replace(statements: DataFrame, store: str, graphs: list[str], ordered: bool = True) -> None:
+    """Put ``statements`` in the place of the named graphs; other graphs stay.
 
-    A graph for which ``triples`` holds nothing ends up empty.  All graphs change at once,
+    A graph for which ``statements`` holds nothing ends up empty.  All graphs change at once,
     and only when the new rows are written.
     """
-    table(store).replace(_laid_out(triples.filter(F.col("graph").isin(graphs)), ordered), graphs)
+    table(store).replace(_laid_out(statements.filter(F.col("graph").isin(graphs)), ordered), graphs)
 
 
 def clear(spark: SparkSession, store: str, *graphs: str) -> None:
@@ -87,14 +87,14 @@ def quarantined(spark: SparkSession, path: str) -> DataFrame:
 
 PUBLISHED_SCHEMA = T.StructType(
     [T.StructField("source_rank", T.IntegerType())]
-    + [f for f in M.TRIPLES_SCHEMA.fields if f.name in M.TERMS]
+    + [f for f in M.STATEMENTS_SCHEMA.fields if f.name in M.TERMS]
     + [T.StructField("s_base", T.StringType()), T.StructField("source_key", T.StringType())]
 )
 
 
 def publish(spark: SparkSession, store: str, table: str, source_keys: list[str] | None = None) -> None:
     """Write the default graphs of a store once, so that queries need not merge copies, and
-    the ranks of their triples, so that deep pages need not count.
+    the ranks of their statements, so that deep pages need not count.
 
     All loaded files become the one graph ``local``.  After graphs were replaced, name
     their ``source_keys``; only those folders are rewritten.
@@ -123,5 +123,5 @@ def published(spark: SparkSession, table: str) -> DataFrame:
 
 
 def ranked_page(spark: SparkSession, table: str, pattern: Pattern, limit: int, offset: int) -> tuple[DataFrame, int]:
-    """A page of a predicate's triples and their total, from the files that hold the page."""
+    """A page of a predicate's statements and their total, from the files that hold the page."""
     return ranks.page(spark, table, PUBLISHED_SCHEMA, pattern, limit, offset)

@@ -288,18 +288,18 @@ def read(
     scope: Column | None = None,
     base: Column | None = None,
 ) -> DataFrame:
-    """Triples of all readable documents, and rows with a ``reason`` for all others.
+    """Statements of all readable documents, and rows with a ``reason`` for all others.
 
     Other columns of ``docs`` are kept.  ``doc`` names a unique key column fit for
     blank-node labels.  Labels written in a document are scoped by ``scope`` (default:
-    the document itself).  A document has triples or reasons, never both.
+    the document itself).  A document has statements or reasons, never both.
     """
     scope = F.col(doc) if scope is None else scope
     placed = docs.withColumn("_scope", scope.cast("string"))
     keep = [c for c in docs.columns if c != body]
     rows = _structure(_readable(placed, body, doc, base), doc)
     whole = Window.partitionBy(doc)
-    return _triples(rows.withColumn("_wrong", F.max("wrong").over(whole)), doc, keep)
+    return _statements(rows.withColumn("_wrong", F.max("wrong").over(whole)), doc, keep)
 
 
 def parse(
@@ -309,7 +309,7 @@ def parse(
     scope: Column | None = None,
     base: Column | None = None,
 ) -> DataFrame:
-    """The triples that ``read`` finds."""
+    """The statements that ``read`` finds."""
     return read(docs, body, doc, scope, base).filter(F.col("reason").isNull()).drop("reason")
 
 
@@ -417,11 +417,11 @@ def _made(doc: str, kind: str, pos: Column) -> Column:
     )
 
 
-def _triples(rows: DataFrame, doc: str, keep: list[str]) -> DataFrame:
-    """The triples that the terms of readable documents state, and what is wrong with others."""
+def _statements(rows: DataFrame, doc: str, keep: list[str]) -> DataFrame:
+    """The statements that the terms of readable documents state, and what is wrong with others."""
     in_list, is_term = F.col("in_list"), F.col("role") == "term"
 
-    def triple(s_kind: Column, s: Column, p: Column, o: Column) -> Column:
+    def statement(s_kind: Column, s: Column, p: Column, o: Column) -> Column:
         return F.struct(
             s.alias("s"),
             s_kind.alias("s_kind"),
@@ -444,12 +444,12 @@ def _triples(rows: DataFrame, doc: str, keep: list[str]) -> DataFrame:
     ).otherwise(plain(F.lit(M.IRI), F.lit(M.RDF + "nil")))
     here = _made(doc, "list", F.col("pos"))
     listed = F.array(
-        triple(F.lit(M.BNODE), here, F.lit(M.RDF + "first"), F.col("node")),
-        triple(F.lit(M.BNODE), here, F.lit(M.RDF + "rest"), rest),
+        statement(F.lit(M.BNODE), here, F.lit(M.RDF + "first"), F.col("node")),
+        statement(F.lit(M.BNODE), here, F.lit(M.RDF + "rest"), rest),
     )
     at_top = F.col("depth") == 0
     stated = F.array(
-        triple(
+        statement(
             F.when(at_top, F.col("first.kind")).otherwise(M.BNODE),
             F.when(at_top, F.col("first.value")).otherwise(_made(doc, "node", F.col("frame"))),
             F.col("predicate"),
@@ -458,7 +458,7 @@ def _triples(rows: DataFrame, doc: str, keep: list[str]) -> DataFrame:
     )
     good = F.col("_wrong").isNull()
     states = good & is_term & (in_list | (~F.col("starts") & ~F.col("is_predicate")))
-    nothing = triple(none, none, none, plain(none, none))
+    nothing = statement(none, none, none, plain(none, none))
     facts = F.when(~good, F.array(nothing)).when(in_list, listed).otherwise(stated)
     return rows.filter(states | F.col("wrong").isNotNull()).select(
         *keep, F.col("wrong").alias("reason"), F.inline(facts)

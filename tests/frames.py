@@ -1,4 +1,4 @@
-"""Small triples frames for tests."""
+"""Small statements frames for tests."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ def term(text: str) -> tuple[str, str, str | None, str | None]:
     return N + text, M.IRI, None, None
 
 
-def triples(spark, rows):
+def statements(spark, rows):
     """Rows of (s, p, o[, source_id, source_type])."""
     out = []
     for s, p, o, *source in rows:
@@ -27,11 +27,11 @@ def triples(spark, rows):
         sv, sk, _, _ = term(s)
         ov, ok, dt, lang = term(o)
         out.append((sv, sk, N + p, ov, ok, dt, lang, f"{N}graph/{source_id}", source_id, source_type))
-    return spark.createDataFrame(out, M.TRIPLES_SCHEMA)
+    return spark.createDataFrame(out, M.STATEMENTS_SCHEMA)
 
 
 def solutions(rows, p, depth):
-    """All solutions of a predicate by brute force: lists of triples, per source key."""
+    """All solutions of a predicate by brute force: lists of statements, per source key."""
 
     def key(row):
         source_id, source_type = row[3:] or (1, "turtle")

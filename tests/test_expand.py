@@ -6,7 +6,7 @@ import pytest
 from rdfweave.model import Pattern, Term
 from rdfweave.operators import expand, match
 from rdfweave.operators.scale import skew_join
-from tests.frames import N, solutions, triples
+from tests.frames import N, solutions, statements
 
 CHAIN = [
     ("c1", "nation", "n1"),
@@ -45,14 +45,14 @@ def expected(rows, p, depth):
 @pytest.mark.parametrize("large", [False, True])
 @pytest.mark.parametrize("depth", [1, 2, 3, 4])
 def test_all_or_nothing(spark, depth, large):
-    data = match.default_graphs(triples(spark, CHAIN))
+    data = match.default_graphs(statements(spark, CHAIN))
     base = match.match(data, Pattern(p=Term.iri(N + "nation")))
     got = found(expand.expand(base, data, depth, large=large), depth)
     assert got == expected(CHAIN, "nation", depth)
 
 
 def test_two_hop_path_is_dropped_at_depth_three(spark):
-    data = match.default_graphs(triples(spark, CHAIN))
+    data = match.default_graphs(statements(spark, CHAIN))
     base = match.match(data, Pattern(s=Term.iri(N + "c2")))
     (row,) = expand.expand(base, data, 3).collect()
     assert row["p2"] is None and row["p3"] is None
@@ -67,7 +67,7 @@ def test_random_graphs(spark, seed):
     for _ in range(40):
         o = rng.choice([*nodes, '"lit"', '"4"^^int'])
         rows.append((rng.choice(nodes), rng.choice(["p", "q"]), o, *rng.choice(sources)))
-    data = match.default_graphs(triples(spark, rows)).cache()
+    data = match.default_graphs(statements(spark, rows)).cache()
     for depth in (2, 3):
         pattern = Pattern(p=Term.iri(N + "p"))
         want = expected(rows, "p", depth)
@@ -87,7 +87,7 @@ def test_construct_without_paths(spark, seed):
     rng = random.Random(100 + seed)
     nodes = [f"x{i}" for i in range(8)] + ["_:b0"]
     rows = [(rng.choice(nodes), rng.choice("pqr"), rng.choice([*nodes, '"lit"']), *rng.choice([(1, "turtle"), (3, "sparql")])) for _ in range(16)]
-    data = match.default_graphs(triples(spark, rows)).cache()
+    data = match.default_graphs(statements(spark, rows)).cache()
     base = match.match(data, Pattern(p=Term.iri(N + "p")))
     for depth, large in ((1, False), (2, True), (3, False), (5, True)):
         want = sorted(map(tuple, expand.construct(expand.expand(base, data, depth), depth).collect()), key=str)
@@ -96,12 +96,12 @@ def test_construct_without_paths(spark, seed):
 
 
 def test_construct_builds_no_path(spark):
-    # 30 x 30 x 30 paths over 120 triples.
+    # 30 x 30 x 30 paths over 120 statements.
     rows = [("a", "p", "l0n0")]
     rows += [("l0n0", "q", f"l1n{j}") for j in range(30)]
     rows += [(f"l1n{i}", "q", f"l2n{j}") for i in range(30) for j in range(30)]
     rows += [(f"l2n{i}", "q", f'"{j}"') for i in range(30) for j in range(30)]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     base = match.match(data, Pattern(p=Term.iri(N + "p")))
     steps = expand.reduced(base, data, 4)
     assert [s.count() for s in steps] == [30, 900, 900]
@@ -110,7 +110,7 @@ def test_construct_builds_no_path(spark):
 
 
 def test_hops_are_read_once(spark):
-    data = match.default_graphs(triples(spark, CHAIN))
+    data = match.default_graphs(statements(spark, CHAIN))
     base = match.match(data, Pattern(p=Term.iri(N + "nation")))
     for depth in (2, 4):
         counts = expand.solution_counts(data, Pattern(p=Term.iri(N + "nation")), depth)
@@ -121,7 +121,7 @@ def test_hops_are_read_once(spark):
 
 
 def test_open_pattern_count_leaves_the_path_out(spark):
-    data = match.default_graphs(triples(spark, CHAIN))
+    data = match.default_graphs(statements(spark, CHAIN))
     (row,) = expand.solution_counts(data, Pattern(), 3).collect()
     assert row["solutions"] == len(CHAIN)
     hashed = Pattern(s=Term.iri(N + "c1"), hash_variants=True)
@@ -134,30 +134,30 @@ def test_open_pattern_count_leaves_the_path_out(spark):
 
 def test_literal_never_expands(spark):
     rows = [("a", "p", '"http://ex.org/b"'), ("b", "q", '"x"')]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     (row,) = expand.expand(match.match(data, Pattern(p=Term.iri(N + "p"))), data, 2).collect()
     assert row["p2"] is None
 
 
 def test_sources_are_evaluated_alone(spark):
     rows = [("a", "p", "b", 3, "sparql"), ("b", "q", "c", 1, "turtle"), ("b", "q", "d", 2, "rdf")]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     (row,) = expand.expand(match.match(data, Pattern(p=Term.iri(N + "p"))), data, 2).collect()
     assert row["p2"] is None
     local = [("a", "p", "b", 2, "rdf"), *rows[1:]]
-    data = match.default_graphs(triples(spark, local))
+    data = match.default_graphs(statements(spark, local))
     assert expand.expand(match.match(data, Pattern(p=Term.iri(N + "p"))), data, 2).count() == 2
 
 
 def test_copies_in_local_graphs_count_once(spark):
     rows = [("a", "p", "b", 1, "turtle"), ("a", "p", "b", 2, "rdf"), ("a", "p", "b", 3, "sparql")]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     assert data.count() == 2
-    assert match.default_graphs(triples(spark, rows), distinct=False).count() == 3
+    assert match.default_graphs(statements(spark, rows), distinct=False).count() == 3
 
 
 def test_construct_is_distinct_and_skips_empty_paths(spark):
-    data = match.default_graphs(triples(spark, CHAIN))
+    data = match.default_graphs(statements(spark, CHAIN))
     base = match.match(data, Pattern(p=Term.iri(N + "nation")))
     got = {(r["s"], r["p"]) for r in expand.construct(expand.expand(base, data, 3), 3).collect()}
     assert got == {
@@ -167,7 +167,7 @@ def test_construct_is_distinct_and_skips_empty_paths(spark):
 
 
 def test_depth_bounds(spark):
-    data = match.default_graphs(triples(spark, CHAIN))
+    data = match.default_graphs(statements(spark, CHAIN))
     for depth in (0, 6):
         with pytest.raises(ValueError):
             expand.expand(data, data, depth)
@@ -179,7 +179,7 @@ def test_depth_per_source(spark):
         for source in ((1, "turtle"), (3, "sparql"), (5, "ldf"), (6, "sparql"))
         for s, p, o in CHAIN
     ]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     depths = spark.createDataFrame([("local", 3), ("sparql:3", 2), ("ldf:5", 1)], "source_key string, depth int")
     base = match.match(data, Pattern(p=Term.iri(N + "nation")))
     got = expand.expand_by_source(base, data, depths)

@@ -7,7 +7,7 @@ from rdfweave.model import Pattern, Term
 from rdfweave.operators import federate, match
 from rdfweave.plans import federation
 from rdfweave.plans import query as plans
-from tests.frames import N, triples
+from tests.frames import N, statements
 
 P = N + "p"
 OWN = "http://graph/own"
@@ -30,7 +30,7 @@ def page(url, *pairs, total=5):
 
 @pytest.fixture(scope="module")
 def sources(spark):
-    data = match.default_graphs(triples(spark, [("l1", "p", '"1"'), ("l1", "p", '"2"'), ("l2", "p", '"3"'), ("l2", "q", '"x"'), ("r", "p", '"no"', 3, "sparql")]))
+    data = match.default_graphs(statements(spark, [("l1", "p", '"1"'), ("l1", "p", '"2"'), ("l2", "p", '"3"'), ("l2", "q", '"x"'), ("r", "p", '"no"', 3, "sparql")]))
     catalog = spark.createDataFrame(
         [(4, "sparql", OWN, None), (5, "sparql", None, None), (6, "sparql", None, None), (7, "turtle", None, None), (9, "ldf", None, START)],
         "id int, type string, named_graph string, startfragment string",
@@ -76,7 +76,7 @@ def test_what_a_page_does_not_reach_is_not_parsed(sources):
 
 
 def test_requests_for_the_root(spark, sources):
-    data = match.default_graphs(triples(spark, [(f"x{i}", "p", f'"{i}"') for i in range(5)] + [("x0", "q", "x1")]))
+    data = match.default_graphs(statements(spark, [(f"x{i}", "p", f'"{i}"') for i in range(5)] + [("x0", "q", "x1")]))
     depths = spark.createDataFrame([("local", 2)], "source_key string, depth int")
     requests = spark.createDataFrame([(1, N + "x0"), (2, ""), (3, "http://root"), (4, N + "none")], "request_id long, uri string")
     got = federate.dereference(data, requests, depths, limit=4, offset=1, root="http://root").collect()
@@ -86,6 +86,6 @@ def test_requests_for_the_root(spark, sources):
     assert set(by) == {1, 2, 3} and sorted(by[2]) == sorted(by[3]) and len(by[2]) == 4
     assert by[1] == [(N + "x0", N + "x1", "1")]
     whole = plans.dereference_query(data, "http://root", depths, root="http://root")
-    assert whole.total == 6 and len(whole.triples.collect()) == 6
+    assert whole.total == 6 and len(whole.statements.collect()) == 6
     # Without the root's address it is a subject like any other.
     assert not plans.dereference_query(data, "http://root", depths, root="http://other").found

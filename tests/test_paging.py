@@ -5,13 +5,13 @@ from rdfweave.model import Pattern, Term
 from rdfweave.operators import expand, federate, match, paging
 from rdfweave.plans import query
 from rdfweave.sources import store
-from tests.frames import N, triples
+from tests.frames import N, statements
 
 
 def many(spark):
     rows = [(f"a{i:03}", "p", f'"{i}"', 1, "turtle") for i in range(100)]
     rows += [(f"b{i:03}", "p", f'"{i}"', 3, "sparql") for i in range(50)]
-    return match.default_graphs(triples(spark, rows))
+    return match.default_graphs(statements(spark, rows))
 
 
 @pytest.mark.parametrize("offset, first, n", [(0, "a000", 20), (90, "a090", 20), (100, "b000", 20), (140, "b040", 10), (150, None, 0)])
@@ -39,7 +39,7 @@ def test_empty_page(spark):
 @pytest.mark.parametrize("offset", [0, 60, 399, 590, 700])
 def test_deep_page_equals_plain_page(spark, offset):
     rows = [("hot", f"p{i % 7}", f'"{i}"') for i in range(400)] + [(f"s{i}", "p", '"x"') for i in range(200)]
-    data = match.default_graphs(triples(spark, rows)).cache()
+    data = match.default_graphs(statements(spark, rows)).cache()
     plain = [tuple(r) for r in paging.page(data, 25, offset).collect()]
     deep = [tuple(r) for r in paging.page(data, 25, offset, last_rows=60).collect()]
     assert deep == plain
@@ -47,7 +47,7 @@ def test_deep_page_equals_plain_page(spark, offset):
 
 def test_expanded_page_equals_page_of_expansion(spark):
     rows = [(f"a{i:02}", "p", f"b{i % 5}") for i in range(40)] + [(f"b{i}", "q", f'"{j}"') for i in range(4) for j in range(3)]
-    data = match.default_graphs(triples(spark, rows)).cache()
+    data = match.default_graphs(statements(spark, rows)).cache()
     base = match.match(data, Pattern(p=Term.iri(N + "p")))
     for offset in (0, 17, 90):
         want = paging.page(expand.expand(base, data, 2), 20, offset, 2).collect()
@@ -57,7 +57,7 @@ def test_expanded_page_equals_page_of_expansion(spark):
 
 def test_page_per_group_with_a_hot_group(spark):
     rows = [("hot", "p", f'"{i:05}"') for i in range(3000)] + [("cold", "p", '"1"')]
-    data = match.default_graphs(triples(spark, rows)).withColumn("request_id", F.col("s"))
+    data = match.default_graphs(statements(spark, rows)).withColumn("request_id", F.col("s"))
     order = paging.order_columns()
     for limit, offset in ((100, 0), (100, 50), (500, 1500)):
         got = paging.page_per_group(data, ["request_id"], order, limit, offset).collect()
@@ -75,16 +75,16 @@ def test_group_page_is_cut_before_the_shuffle(spark):
 
 def test_totals_and_copies_across_sources(spark):
     rows = [("a", "p", "b", 1, "turtle"), ("a", "p", "b", 3, "sparql"), ("a", "p", "c", 3, "sparql")]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     totals = {r["source_key"]: r["solutions"] for r in federate.with_total(expand.solution_counts(data, Pattern())).collect()}
     assert totals == {"local": 1, "sparql:3": 2, None: 3}
-    assert federate.distinct_triples(data).first()[0] == 2
+    assert federate.distinct_statements(data).first()[0] == 2
     assert federate.merge(data, data).count() == 2
 
 
 def test_pattern_query(spark):
     answer = query.pattern_query(many(spark), Pattern(p=Term.iri(N + "p")), limit=20, offset=90)
-    assert (answer.total, answer.found, answer.triples.count()) == (150, True, 20)
+    assert (answer.total, answer.found, answer.statements.count()) == (150, True, 20)
     assert answer.description.count() == 22 + 4
     nothing = query.pattern_query(many(spark), Pattern(p=Term.iri(N + "none")))
     assert (nothing.total, nothing.found) == (0, False)
@@ -92,7 +92,7 @@ def test_pattern_query(spark):
 
 def test_open_query_pages_what_its_count_leaves_out(spark):
     rows = [("a", "p", "b"), ("b", "q", "c"), ("b", "q", "d")]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     answer = query.pattern_query(data, Pattern(), limit=10, offset=1, depth=2)
     assert answer.total == 3
     assert answer.solutions.count() == 3  # four solutions, the first one skipped
@@ -100,13 +100,13 @@ def test_open_query_pages_what_its_count_leaves_out(spark):
 
 def test_dereference_query(spark):
     rows = [("a", "p", "b"), ("b", "q", "c"), ("a#x", "p", '"y"')]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     depths = spark.createDataFrame([("local", 3)], "source_key string, depth int")
     answer = query.dereference_query(data, N + "a", depths)
-    assert (answer.total, answer.found, answer.triples.count()) == (1, True, 1)
+    assert (answer.total, answer.found, answer.statements.count()) == (1, True, 1)
     hashed = query.dereference_query(data, N + "A", depths, hash_variants=True)
-    assert {r["s"] for r in hashed.triples.collect()} == {N + "a", N + "a#x"}
-    # The total counts matched triples, as a pattern query with hash variants does.
+    assert {r["s"] for r in hashed.statements.collect()} == {N + "a", N + "a#x"}
+    # The total counts matched statements, as a pattern query with hash variants does.
     variants = Pattern(s=Term.iri(N + "A"), hash_variants=True)
     assert hashed.total == query.pattern_query(data, variants, depth=3).total == 2
     assert not query.dereference_query(data, N + "none", depths).found
@@ -114,7 +114,7 @@ def test_dereference_query(spark):
 
 def test_no_source_vanishes(spark):
     rows = [(f"n{i}", "p", f"n{i + 1}", source, kind) for i in range(6) for source, kind in ((1, "turtle"), (3, "sparql"), (4, "sparql"), (5, "ldf"))]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     keys = {r[0] for r in data.select("source_key").distinct().collect()}
     assert len(keys) == 4
     named = sorted(keys)
@@ -135,7 +135,7 @@ def test_pages_are_looked_up_by_rank(spark, tmp_path):
     path, table = str(tmp_path / "store"), str(tmp_path / "table one")
     rows = [(f"s{i % 37}", p, f'"{i}"', *source) for i in range(300) for p in ("p", "q") for source in ((1, "turtle"), (3, "sparql"))]
     rows += [("_:s0", "p", "s0"), ("s0", "p", '"0"@en'), ("s0", "p", '"0"^^int')]
-    store.append(triples(spark, rows), path)
+    store.append(statements(spark, rows), path)
     try:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         store.publish(spark, path, table)
@@ -155,7 +155,7 @@ def test_pages_are_looked_up_by_rank(spark, tmp_path):
     with pytest.raises(ValueError, match="predicate"):
         store.ranked_page(spark, table, Pattern(), 1, 0)
     # After a part was published again, ranks follow.
-    store.replace(triples(spark, [("z", "p", '"z"', 3, "sparql")]), path, [N + "graph/3"])
+    store.replace(statements(spark, [("z", "p", '"z"', 3, "sparql")]), path, [N + "graph/3"])
     store.publish(spark, path, table, ["sparql:3"])
     got, total = store.ranked_page(spark, table, pattern, 5, 303)
     assert total == 304 and [r["s"] for r in got.collect()] == [N + "z"]

@@ -8,7 +8,7 @@ from rdfweave.functions import text
 from rdfweave.operators import fragments, resources, stage
 from rdfweave.plans import load
 from rdfweave.sources import answers, catalog, ntriples, rdfxml, rdfxml_events, rdfxml_syntax, store, turtle, turtle_syntax
-from tests.frames import N, triples
+from tests.frames import N, statements
 
 
 def value(spark, column):
@@ -163,7 +163,7 @@ SAMPLE = [("a", "p", '"x . y"'), ("a", "p", '"2"^^int'), ("a", "q", "_:n"), ("_:
 
 
 def test_turtle_blocks_read_back(spark, tmp_path):
-    data = triples(spark, [*SAMPLE, *[("hot", "p", f'"{i}"') for i in range(200)]])
+    data = statements(spark, [*SAMPLE, *[("hot", "p", f'"{i}"') for i in range(200)]])
     blocks = resources.turtle_blocks(data, parts=4)
     assert blocks.filter(F.col("s") == N + "hot").count() > 1
     docs = blocks.select(F.concat_ws("-", F.sha1("s"), "part").alias("doc"), "value")
@@ -173,7 +173,7 @@ def test_turtle_blocks_read_back(spark, tmp_path):
 
 @pytest.mark.parametrize("size", [2, 3000])
 def test_resource_map_has_one_shape_at_any_size(spark, size):
-    data = triples(spark, [("hot", "p", f'"{i}"') for i in range(size)] + SAMPLE)
+    data = statements(spark, [("hot", "p", f'"{i}"') for i in range(size)] + SAMPLE)
     whole = {r["s"]: r["properties"] for r in resources.resource_map(data).collect()}
     assert len(whole) == 4 and len(whole[N + "hot"][N + "p"]) == size
     assert [o["value"] for o in whole[N + "a"][N + "p"]] == ["2", "x . y"]
@@ -183,7 +183,7 @@ def test_resource_map_has_one_shape_at_any_size(spark, size):
 
 def test_json_sink(spark, tmp_path):
     path = str(tmp_path / "json")
-    resources.write_json(triples(spark, SAMPLE), path)
+    resources.write_json(statements(spark, SAMPLE), path)
     back = spark.read.json(path)
     assert back.count() == 3
 
@@ -194,12 +194,12 @@ def graph_counts(spark, path):
 
 def test_store_replace_and_clear(spark, tmp_path):
     path = str(tmp_path / "store")
-    both = triples(spark, [("a", "p", f'"{i}"', n, "turtle") for n in (1, 2) for i in range(5)] + [("a", "p", '"0"', 1, "turtle")])
+    both = statements(spark, [("a", "p", f'"{i}"', n, "turtle") for n in (1, 2) for i in range(5)] + [("a", "p", '"0"', 1, "turtle")])
     store.append(both, path)
     assert graph_counts(spark, path) == {"1": 5, "2": 5}
-    store.replace(triples(spark, [("b", "p", '"x"', 2, "turtle")]), path, [N + "graph/2"])
+    store.replace(statements(spark, [("b", "p", '"x"', 2, "turtle")]), path, [N + "graph/2"])
     assert graph_counts(spark, path) == {"1": 5, "2": 1}
-    store.replace(triples(spark, []), path, [N + "graph/2"])
+    store.replace(statements(spark, []), path, [N + "graph/2"])
     assert graph_counts(spark, path) == {"1": 5}
     store.clear(spark, path, N + "graph/1")
     assert graph_counts(spark, path) == {}
@@ -207,15 +207,15 @@ def test_store_replace_and_clear(spark, tmp_path):
 
 def test_a_failed_write_leaves_the_old_version(spark, tmp_path):
     path = str(tmp_path / "store")
-    store.append(triples(spark, [("a", "p", f'"{i}"', n, "turtle") for n in (1, 2, 3) for i in range(5)]), path)
+    store.append(statements(spark, [("a", "p", f'"{i}"', n, "turtle") for n in (1, 2, 3) for i in range(5)]), path)
     before = store.read(spark, path)
     fails = F.udf(lambda s: 1 / 0, "string")
-    broken = triples(spark, [("b", "p", '"x"', 1, "turtle")]).withColumn("o", fails("s"))
+    broken = statements(spark, [("b", "p", '"x"', 1, "turtle")]).withColumn("o", fails("s"))
     with pytest.raises(Exception, match="ZeroDivisionError"):
         store.replace(broken, path, [f"{N}graph/{n}" for n in (1, 2, 3)])
     assert graph_counts(spark, path) == {"1": 5, "2": 5, "3": 5}
     # All graphs change together: one filled, two emptied, in one commit.
-    store.replace(triples(spark, [("b", "p", '"x"', 1, "turtle")]), path, [f"{N}graph/{n}" for n in (1, 2, 3)])
+    store.replace(statements(spark, [("b", "p", '"x"', 1, "turtle")]), path, [f"{N}graph/{n}" for n in (1, 2, 3)])
     assert graph_counts(spark, path) == {"1": 1}
     assert store.table(path).committed(spark)[0] == 2
     # Who has read the old commit keeps it, until it is removed.
@@ -226,10 +226,10 @@ def test_a_failed_write_leaves_the_old_version(spark, tmp_path):
 
 def test_two_writers_do_not_overwrite_each_other(spark, tmp_path):
     path = str(tmp_path / "store")
-    store.append(triples(spark, [("a", "p", '"1"')]), path)
+    store.append(statements(spark, [("a", "p", '"1"')]), path)
     table = store.table(path)
     n, pairs = table.committed(spark)
-    store.append(triples(spark, [("a", "p", '"2"')]), path)
+    store.append(statements(spark, [("a", "p", '"2"')]), path)
     with pytest.raises(Exception, match="(?i)exists"):
         table.commit(spark, n, pairs)
     assert store.read(spark, path).count() == 2
@@ -237,10 +237,10 @@ def test_two_writers_do_not_overwrite_each_other(spark, tmp_path):
 
 def test_publish_merges_copies(spark, tmp_path):
     path, table = str(tmp_path / "store"), str(tmp_path / "table")
-    store.append(triples(spark, [("a", "p", "b", n, t) for n, t in ((1, "turtle"), (2, "rdf"), (3, "sparql"))]), path)
+    store.append(statements(spark, [("a", "p", "b", n, t) for n, t in ((1, "turtle"), (2, "rdf"), (3, "sparql"))]), path)
     store.publish(spark, path, table)
     assert {r["source_key"] for r in store.published(spark, table).collect()} == {"local", "sparql:3"}
-    store.replace(triples(spark, [("x", "p", "y", 3, "sparql"), ("x", "p", "z", 3, "sparql")]), path, [N + "graph/3"])
+    store.replace(statements(spark, [("x", "p", "y", 3, "sparql"), ("x", "p", "z", 3, "sparql")]), path, [N + "graph/3"])
     store.publish(spark, path, table, ["sparql:3"])
     assert store.published(spark, table).count() == 3
 
@@ -329,7 +329,7 @@ def linked(rows):
 
 @pytest.mark.parametrize("kind, files", [("turtle", TURTLE_FILES), ("rdf", RDF_FILES)])
 def test_pieces_lose_nothing(spark, tmp_path, kind, files):
-    """Every file gives the same triples whole and in pieces of any size, in many blocks too."""
+    """Every file gives the same statements whole and in pieces of any size, in many blocks too."""
     for i, body in enumerate(files.values()):
         if body.strip() or kind == "turtle":
             (tmp_path / f"{i:02}.x").write_bytes(body.encode())

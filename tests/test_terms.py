@@ -5,7 +5,7 @@ from rdfweave import model as M
 from rdfweave.functions import uri as U
 from rdfweave.model import Pattern, Term, pattern_from_parameters
 from rdfweave.operators import describe, match, resolve
-from tests.frames import N, triples
+from tests.frames import N, statements
 
 
 def test_parameters():
@@ -25,14 +25,14 @@ def count(data, pattern, **kw):
 
 def test_terms_differ_by_kind_datatype_and_language(spark):
     rows = [("a", "p", '"42"'), ("a", "p", '"42"^^int'), ("a", "p", '"42"@en'), ("a", "p", "42")]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     for term in (Term.text("42"), Term.number(42), Term.text("42", "en"), Term.iri(N + "42")):
         assert count(data, Pattern(o=term)) == 1
 
 
 def test_hash_variants(spark):
     rows = [(s, "p", '"x"') for s in ("bar", "bar#a", "BAR#B", "barn", "bar/x", "bxr")] + [("_:bar", "p", '"x"')]
-    data = match.default_graphs(triples(spark, rows))
+    data = match.default_graphs(statements(spark, rows))
     exact = Pattern(s=Term.iri(N + "bar"))
     hashed = Pattern(s=Term.iri(N + "Bar"), hash_variants=True)
     assert count(data, exact) == 1
@@ -46,8 +46,8 @@ def test_hash_variants(spark):
 
 def test_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
-    triples(spark, [("a", "p", "b")]).write.partitionBy("graph").parquet(path)
-    stored = spark.read.schema(M.TRIPLES_SCHEMA).parquet(path)
+    statements(spark, [("a", "p", "b")]).write.partitionBy("graph").parquet(path)
+    stored = spark.read.schema(M.STATEMENTS_SCHEMA).parquet(path)
     one = match.default_graphs(stored, graph=N + "graph/1")
     plan = match.match(one, Pattern(s=Term.iri(N + "a"), p=Term.iri(N + "p")))._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(s,http://ex.org/a)" in plan and "EqualTo(p,http://ex.org/p)" in plan
@@ -148,11 +148,11 @@ def test_resolution_order(spark):
     )
     definitions = spark.createDataFrame([("c/", "d"), ("c/e/f", "g")], "collection_uri string, resource_name string")
     core = spark.createDataFrame([("info",)], "name string")
-    data = match.default_graphs(triples(spark, [("s", "p", "o"), ("t.v1", "p", "o"), ("c", "p", "o"), ("info/x", "p", "o")]))
+    data = match.default_graphs(statements(spark, [("s", "p", "o"), ("t.v1", "p", "o"), ("c", "p", "o"), ("info/x", "p", "o")]))
     resolved = resolve.resolve(requests, definitions, core, data).cache()
     got = {r["path"]: r["resolution"] for r in resolved.collect()}
     assert got == {
-        "c/d": "dataset", "c": "collection", "info/x": "core", "s.json": "triples", "t.v1": "triples", "none": None, "cc": None,
+        "c/d": "dataset", "c": "collection", "info/x": "core", "s.json": "statements", "t.v1": "statements", "none": None, "cc": None,
     }
     listing = {(r["kind"], r["uri"]) for r in resolve.list_collections(resolved, definitions).collect()}
     assert listing == {("dataset", "http://ex.org/c/d"), ("collection", "http://ex.org/c/e/f")}
