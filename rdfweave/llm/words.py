@@ -21,8 +21,11 @@ NOT_WORD = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
 PRIME = np.uint64((1 << 61) - 1)
 PRIME_BASE = 0x1B5F3C6D9A4E2871
-#: (Bytes, bits of a limb, limbs): sums of limbs of so many bytes fit 63 bits.
-LIMBS = ((1 << 22, 31, 2), (1 << 33, 21, 3))
+#: Sums of products of a byte and a limb of LIMB bits fit 63 bits for so many bytes;
+#: beyond, powers have three limbs of SHORT bits.
+LIMB, SHORT, LIMB_BYTES = 31, 21, 1 << 22
+#: Stretches that are hashed at a time, few enough to stay in a core's cache.
+BLOCK = 1 << 14
 STEP = 1 << 12
 
 
@@ -62,16 +65,24 @@ def inverse_powers(at: np.ndarray) -> np.ndarray:
     return times(_near[at % STEP], _far[at // STEP])
 
 
-_prime_powers = np.ones(1, np.uint64)
+# Powers of the prime base, their low and high limbs; grown as long texts come.
+_low, _high = np.ones(1, np.uint32), np.zeros(1, np.uint32)
 
 
-def prime_powers(n: int) -> np.ndarray:
-    """The first n powers of the prime base."""
-    global _prime_powers
-    while len(_prime_powers) < n:
-        m = len(_prime_powers)
-        _prime_powers = np.concatenate([_prime_powers, times(_prime_powers, np.uint64(pow(PRIME_BASE, m, int(PRIME))))])
-    return _prime_powers[:n]
+def prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Low and high limbs of the first n powers of the prime base."""
+    global _low, _high
+    if len(_low) < n:
+        size = max(n + n // 4, 1 << 16)
+        low, high = np.empty(size, np.uint32), np.empty(size, np.uint32)
+        near = np.array([pow(PRIME_BASE, i, int(PRIME)) for i in range(BLOCK)], np.uint64)
+        step, at = pow(PRIME_BASE, BLOCK, int(PRIME)), 1
+        for i in range(0, size, BLOCK):
+            part = times(near, np.uint64(at))[: size - i]
+            low[i : i + BLOCK], high[i : i + BLOCK] = part & np.uint64((1 << LIMB) - 1), part >> np.uint64(LIMB)
+            at = at * step % int(PRIME)
+        _low, _high = low, high
+    return _low[:n], _high[:n]
 
 
 _powers = np.ones(1, np.uint64)
@@ -123,26 +134,34 @@ class Text:
     def limbs(self) -> list[tuple[np.uint64, np.ndarray]]:
         """(weight, prefix sums) of the bytes times each limb of the prime's powers."""
         if self._limbs is None:
-            power, value = prime_powers(len(self.bytes)), self.bytes.astype(np.uint64) + np.uint64(1)
-            _, bits, count = next(x for x in LIMBS if len(value) <= x[0])
+            low, high = prime_powers(len(self.bytes))
+            value = self.bytes.astype(np.uint16) + np.uint16(1)
+            if len(value) <= LIMB_BYTES:
+                parts = [(0, low), (LIMB, high)]
+            else:
+                power, mask = high.astype(np.uint64) << np.uint64(LIMB) | low, np.uint64((1 << SHORT) - 1)
+                parts = [(n * SHORT, power >> np.uint64(n * SHORT) & mask) for n in range(3)]
             self._limbs = []
-            for n in range(count):
+            for bits, limb in parts:
                 sums = np.zeros(len(value) + 1, np.uint64)
-                limb = (power >> np.uint64(bits * n)) & np.uint64((1 << bits) - 1)
-                np.cumsum(limb * value, out=sums[1:])
-                self._limbs.append((np.uint64(1 << (bits * n)), sums))
+                np.multiply(limb, value, out=sums[1:], dtype=np.uint64)
+                np.cumsum(sums, out=sums)
+                self._limbs.append((np.uint64(1 << bits), sums))
         return self._limbs
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the bytes from each start to each end."""
-        if not len(start):
-            return np.zeros(0, np.uint64)
-        total = np.zeros(len(start), np.uint64)
-        for weight, sums in self.limbs:
-            part = _reduced(sums[end] - sums[start])
-            total += part if weight == 1 else times(part, weight)
-        h = times(_reduced(total), inverse_powers(np.asarray(start)))
-        return mix(h ^ ((end - start).astype(np.uint64) << np.uint64(48)))
+        start, end = np.asarray(start), np.asarray(end)
+        out = np.empty(len(start), np.uint64)
+        for i in range(0, len(start), BLOCK):
+            a, b = start[i : i + BLOCK], end[i : i + BLOCK]
+            total = np.zeros(len(a), np.uint64)
+            for weight, sums in self.limbs:
+                part = _reduced(sums[b] - sums[a])
+                total += part if weight == 1 else times(part, weight)
+            h = times(_reduced(total), inverse_powers(a))
+            out[i : i + BLOCK] = mix(h ^ ((b - a).astype(np.uint64) << np.uint64(48)))
+        return out
 
     def stretches(self, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the maximal runs without a separator."""
