@@ -66,17 +66,20 @@ def _hop(data: DataFrame, hop: int) -> DataFrame:
     )
 
 
-def hops(data: DataFrame, start: DataFrame, n: int, columns: list[str] | None = None) -> list[DataFrame]:
+def hops(
+    data: DataFrame, start: DataFrame, n: int, columns: list[str] | None = None, once: bool = False
+) -> list[DataFrame]:
     """The statements that a path of up to ``n`` statements from the nodes ``start`` can pass, by
     their place on it.
 
     Every hop is staged, so ``data`` is read once for each, whatever follows; while the list
-    of nodes is short, it filters the scan.
+    of nodes is short, it filters the scan.  The last hop is not, if it is used ``once``.
     """
     out: list[DataFrame] = []
-    for _ in range(n):
+    for i in range(n):
         rows = _starting_at(data, start)
-        out.append(stage(rows if columns is None else rows.select(*columns), "hop"))
+        rows = rows if columns is None else rows.select(*columns)
+        out.append(rows if once and i == n - 1 else stage(rows, "hop"))
         start = _object_node(out[-1].filter(_not_literal("o_kind")))
     return out
 
@@ -290,7 +293,7 @@ def path_counts(
     grows with the number of paths, or with what the nodes do not reach.
     """
     node = [F.col("source_key"), F.col("s_kind").alias("node_kind"), F.col("s").alias("node")]
-    steps = hops(data, start, n, _EDGE)
+    steps = hops(data, start, n, _EDGE, once=True)
     counts = steps[-1].groupBy(*node).agg(F.count(F.lit(1)).alias("paths"))
     for step in steps[-2::-1]:
         edges = step.filter(_not_literal("o_kind")).select(
