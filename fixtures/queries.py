@@ -1331,6 +1331,19 @@ def page_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.ranked_page(spark, table, Pattern(p=Term.iri(V + "name")), 200, 3300)[0]
 
 
+@register(
+    "match_bound_object",
+    with_sql(STATEMENTS, DATA, f"SELECT * FROM data WHERE o = '{NS}nation/7' AND o_kind = 'uri'"),
+)
+def match_bound_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that points at a node, from the copy of the published table that is sorted by object."""
+    folder, table = new_folder(spark, "store"), new_folder(spark, "published")
+    store.append(L.lift(spark, sf_dir), folder)
+    store.publish(spark, folder, table, by_object=True)
+    pattern = Pattern(o=Term.iri(NS + "nation/7"))
+    return match.match(store.for_pattern(spark, table, pattern), pattern)
+
+
 # --- all kinds of sources ---------------------------------------------------------
 
 # What each kind says of names, in the order that pages follow.

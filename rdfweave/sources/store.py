@@ -92,29 +92,53 @@ PUBLISHED_SCHEMA = T.StructType(
 )
 
 
-def publish(spark: SparkSession, store: str, table: str, source_keys: list[str] | None = None) -> None:
+def publish(
+    spark: SparkSession, store: str, table: str, source_keys: list[str] | None = None, by_object: bool = False
+) -> None:
     """Write the default graphs of a store once, so that queries need not merge copies, and
     the ranks of their statements, so that deep pages need not count.
 
     All loaded files become the one graph ``local``.  After graphs were replaced, name
-    their ``source_keys``; only those folders are rewritten.
+    their ``source_keys``; only those folders are rewritten.  ``by_object`` writes a second
+    copy, sorted by object, for patterns that bind it (``for_pattern``).
     """
     data = default_graphs(read(spark, store))
     if source_keys is not None:
         data = data.filter(F.col("source_key").isin(source_keys))
+    rows = stage(data.select(*PUBLISHED_SCHEMA.names), "published")
     # Below a predicate, the order of pages.
-    key = ["source_key", "p", *ranks.WITHIN]
+    _publish(rows, table, ["source_key", "p", *ranks.WITHIN], "s")
+    if by_object:
+        _publish(rows, _objects(table), ["source_key", "o", "p", "s"], "p")
+    written = published(spark, table)
+    ranks.write(spark, table, written if source_keys is None else written.filter(F.col("source_key").isin(source_keys)))
+
+
+def _objects(table: str) -> str:
+    return f"{table.rstrip('/')}.objects"
+
+
+def _publish(rows: DataFrame, table: str, key: list[str], bloom: str) -> None:
+    """Files in the order of ``key``; ``bloom`` is a column that this order scatters."""
     (
-        stage(data.select(*PUBLISHED_SCHEMA.names), "published")
-        .repartitionByRange(*key)
+        rows.repartitionByRange(*key)
         .sortWithinPartitions(*key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option(f"parquet.bloom.filter.enabled#{bloom}", "true")
         .partitionBy("source_key")
         .parquet(table)
     )
-    written = published(spark, table)
-    ranks.write(spark, table, written if source_keys is None else written.filter(F.col("source_key").isin(source_keys)))
+
+
+def for_pattern(spark: SparkSession, table: str, pattern: Pattern) -> DataFrame:
+    """The default graphs in the layout in which a pattern reads least.
+
+    A bound object is looked up in the copy sorted by object, which ``publish`` must have
+    written; all else in the one sorted by predicate, where a subject alone is found by its
+    Bloom filters.
+    """
+    return published(spark, table if pattern.o is None or pattern.s is not None else _objects(table))
 
 
 def published(spark: SparkSession, table: str) -> DataFrame:

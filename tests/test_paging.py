@@ -159,3 +159,36 @@ def test_pages_are_looked_up_by_rank(spark, tmp_path):
     store.publish(spark, path, table, ["sparql:3"])
     got, total = store.ranked_page(spark, table, pattern, 5, 303)
     assert total == 304 and [r["s"] for r in got.collect()] == [N + "z"]
+
+
+def test_a_bound_object_reads_few_row_groups(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path, table = str(tmp_path / "store"), str(tmp_path / "table")
+    rows = [(f"s{i}", f"p{i % 7}", f"o{i * 37 % 500}" if i % 2 else f'"{i}"') for i in range(2000)]
+    store.append(statements(spark, rows), path)
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        store.publish(spark, path, table, by_object=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+    def groups(folder, column, value):
+        found = 0
+        for file in glob.glob(f"{folder}/*/*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            for i in range(meta.num_row_groups):
+                columns = {meta.row_group(i).column(k).path_in_schema: meta.row_group(i).column(k).statistics for k in range(meta.num_columns)}
+                found += columns[column].min <= value <= columns[column].max
+        return found
+
+    for pattern in (Pattern(o=Term.iri(N + "o37")), Pattern(o=Term.text("44"), p=Term.iri(N + "p2"))):
+        layout = store.for_pattern(spark, table, pattern)
+        got = match.match(layout, pattern)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, match.match(store.published(spark, table), pattern).collect())) != []
+        assert "EqualTo(o," in got._jdf.queryExecution().executedPlan().toString()
+        assert groups(f"{table}.objects", "o", pattern.o.value) <= 2 < 4 <= groups(table, "o", pattern.o.value)
+    both = Pattern(s=Term.iri(N + "s1"), o=Term.iri(N + "o37"))
+    assert store.for_pattern(spark, table, both).inputFiles() == store.published(spark, table).inputFiles()
