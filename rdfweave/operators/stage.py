@@ -1,12 +1,15 @@
 """Intermediate results written once to shared storage.
 
 A staged frame has no lineage, is read back by every executor, survives the loss
-of any of them, and has a known size, so later broadcast decisions rest on facts.
+of any of them, and has a known size, so later broadcast decisions rest on facts.  Jobs
+that write their result end with their staged folders removed, see ``scope``.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,8 +35,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+# Folders made in each open ``scope``, the innermost last.
+_scopes: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(folder)
+    return folder
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Folders made inside are removed at the end, when what was made of them is written."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        configuration = spark._jsc.hadoopConfiguration()
+        for folder in _scopes.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(configuration).delete(path, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rdfweave import model as M
 from rdfweave.operators.scale import broadcast_if_small
-from rdfweave.operators.stage import stage
+from rdfweave.operators.stage import scope, stage
 from rdfweave.sources import catalog, ntriples, pieces, rdfxml, store, turtle
 
 GRAPH_BASE = "urn:rdfweave:graph:"
@@ -159,9 +159,10 @@ def load(
     The catalog has one row per source; endpoints and fragment servers are skipped.
     Bad statements and documents take the place of the sources' rows in the quarantine table.
     """
-    statements, rejects, ids = read_sources(spark, sources, base, whole)
-    graphs = [graph_name(i, base) for i in ids]
-    if ids:
-        store.replace(statements, store_path, graphs)
-        store.quarantine(rejects, quarantine_path, ids)
+    with scope(spark):
+        statements, rejects, ids = read_sources(spark, sources, base, whole)
+        graphs = [graph_name(i, base) for i in ids]
+        if ids:
+            store.replace(statements, store_path, graphs)
+            store.quarantine(rejects, quarantine_path, ids)
     return graphs

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from rdfweave import model as M
 from rdfweave.model import Pattern
 from rdfweave.operators.match import default_graphs, subject_base
-from rdfweave.operators.stage import stage
+from rdfweave.operators.stage import scope, stage
 from rdfweave.sources import ranks
 from rdfweave.sources.ntriples import QUARANTINE_SCHEMA
 from rdfweave.sources.versions import Versions
@@ -51,7 +51,8 @@ def _laid_out(statements: DataFrame, ordered: bool) -> DataFrame:
 
 def append(statements: DataFrame, store: str, ordered: bool = True) -> None:
     """Add statements to their graphs."""
-    table(store).append(_laid_out(statements, ordered))
+    with scope(statements.sparkSession):
+        table(store).append(_laid_out(statements, ordered))
 
 
 def replace(statements: DataFrame, store: str, graphs: list[str], ordered: bool = True) -> None:
@@ -60,7 +61,8 @@ def replace(statements: DataFrame, store: str, graphs: list[str], ordered: bool
     A graph for which ``statements`` holds nothing ends up empty.  All graphs change at once,
     and only when the new rows are written.
     """
-    table(store).replace(_laid_out(statements.filter(F.col("graph").isin(graphs)), ordered), graphs)
+    with scope(statements.sparkSession):
+        table(store).replace(_laid_out(statements.filter(F.col("graph").isin(graphs)), ordered), graphs)
 
 
 def clear(spark: SparkSession, store: str, *graphs: str) -> None:
@@ -105,11 +107,12 @@ def publish(
     data = default_graphs(read(spark, store))
     if source_keys is not None:
         data = data.filter(F.col("source_key").isin(source_keys))
-    rows = stage(data.select(*PUBLISHED_SCHEMA.names), "published")
-    # Below a predicate, the order of pages.
-    _publish(rows, table, ["source_key", "p", *ranks.WITHIN], "s")
-    if by_object:
-        _publish(rows, _objects(table), ["source_key", "o", "p", "s"], "p")
+    with scope(spark):
+        rows = stage(data.select(*PUBLISHED_SCHEMA.names), "published")
+        # Below a predicate, the order of pages.
+        _publish(rows, table, ["source_key", "p", *ranks.WITHIN], "s")
+        if by_object:
+            _publish(rows, _objects(table), ["source_key", "o", "p", "s"], "p")
     written = published(spark, table)
     ranks.write(spark, table, written if source_keys is None else written.filter(F.col("source_key").isin(source_keys)))
 

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -261,7 +262,11 @@ def test_load_sources(spark, tmp_path):
     assert graph_counts(spark, target) == {"1": 2, "2": 13, "3": 1}
     reasons = {(r["source_id"], r["reason"]) for r in store.quarantined(spark, bad).collect()}
     assert reasons == {(3, "statement has no closing dot"), (4, "unknown prefix")}
+    # What was staged on the way is gone.
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
     load.load(spark, sources.filter("id = 1"), target, bad)
+    assert set(os.listdir(folder)) <= before
     assert graph_counts(spark, target) == {"1": 2, "2": 13, "3": 1}
     with pytest.raises(ValueError):
         load.read_source(spark, 9, "sparql", "x")
