@@ -5,7 +5,11 @@ from __future__ import annotations
 import pyarrow as pa
 import pytest
 
-from rdfweave.sources import rdfxml, turtle
+from rdfweave import model as M
+from rdfweave.model import Pattern, Term
+from rdfweave.operators import resources
+from rdfweave.operators.stage import stage
+from rdfweave.sources import ranks, rdfxml, store, turtle
 
 DOCUMENT = '@prefix v: <http://ex.org/v#> . @base <http://ex.org/> .\n<a> v:p "x"@en , [ v:q (1 <b>) ] .'
 
@@ -41,3 +45,28 @@ def test_rdfxml_documents_are_dealt_and_written_together(spark):
     assert {r["doc"] for r in found if r["reason"]} == {str(n) for n in range(0, 30, 3)}
     batch = pa.RecordBatch.from_pylist([{"doc": str(n), "body": body.format(n), "_start": None} for n in range(20)], pa.schema([(c, pa.string()) for c in ("doc", "body", "_start")]))
     assert [b.num_rows for b in rdfxml._reader(["doc", "body", "_start"], "body", "_start")(iter([batch]))] == [20]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_subjects_are_shuffled_once(spark, parts):
+    data = spark.createDataFrame([("http://ex.org/a", "uri", "http://ex.org/p", "x", "literal", None, None)] * 3, ", ".join(f"{c} string" for c in M.TERMS))
+    for made in (resources.turtle_blocks(data, parts), resources.resource_map(data, parts)):
+        assert plan(made).count("Exchange hashpartitioning") == 1
+        assert made.count() == 1
+
+
+def test_ranks_are_found_without_a_sort(spark, tmp_path, monkeypatch):
+    rows = [(0, f"http://ex.org/{n:03}", "uri", "http://ex.org/p", str(n), "literal", None, None, "", "local") for n in range(60)]
+    data = spark.createDataFrame(rows, store.PUBLISHED_SCHEMA)
+    store._publish(data, f"{tmp_path}/t", ["source_key", "p", *ranks.WITHIN], "s")
+    merged = []
+    monkeypatch.setattr(ranks, "stage", lambda df, name: merged.append(plan(df)) or stage(df, name))
+    ranks.write(spark, f"{tmp_path}/t", store.published(spark, f"{tmp_path}/t"))
+    assert merged and "Sort" not in merged[0]
+    page, total = store.ranked_page(spark, f"{tmp_path}/t", Pattern(p=Term.iri("http://ex.org/p")), 7, 41)
+    assert total == 60 and [r["s"] for r in page.collect()] == [f"http://ex.org/{n:03}" for n in range(41, 48)]
+
+
+def test_copies_are_merged_in_tasks_of_their_own(spark):
+    text = plan(store._laid_out(spark.createDataFrame([], M.STATEMENTS_SCHEMA), ordered=False))
+    assert text.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in text
