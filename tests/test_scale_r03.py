@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from rdfweave import model as M
 from rdfweave.model import Pattern, Term
 from rdfweave.operators import resources
 from rdfweave.operators.stage import stage
-from rdfweave.sources import ranks, rdfxml, store, turtle
+from rdfweave.plans import load
+from rdfweave.sources import ntriples, ranks, rdfxml, store, turtle
 
 DOCUMENT = '@prefix v: <http://ex.org/v#> . @base <http://ex.org/> .\n<a> v:p "x"@en , [ v:q (1 <b>) ] .'
 
@@ -70,3 +73,43 @@ def test_ranks_are_found_without_a_sort(spark, tmp_path, monkeypatch):
 def test_copies_are_merged_in_tasks_of_their_own(spark):
     text = plan(store._laid_out(spark.createDataFrame([], M.STATEMENTS_SCHEMA), ordered=False))
     assert text.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in text
+
+
+def test_statements_are_dealt_once_and_long_ones_spread(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "TASK_BYTES", 1 << 10, raising=False)
+    text = "".join(chr(97 + n * n % 26) for n in range(2000))
+    rows = [(f"http://ex.org/{n:02}", "uri", "http://ex.org/p", f"{n}{text}{end}", "literal", None, "en", "g", 1, "turtle") for n in range(40) for end in "ab"]
+    data = spark.createDataFrame(rows * 2 + [(*rows[0][:5], "http://ex.org/d", None, *rows[0][7:])], M.STATEMENTS_SCHEMA)
+    text = plan(store._laid_out(data, ordered=True))
+    assert text.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in text
+    store.replace(data, f"{tmp_path}/s", ["g"])
+    found = store.read(spark, f"{tmp_path}/s")
+    assert len(found.inputFiles()) > spark.sparkContext.defaultParallelism
+    assert sorted((r["s"], r["o"]) for r in found.collect()) == sorted([(r[0], r[3]) for r in [*rows, rows[0]]])
+    for file in found.inputFiles():
+        part = pq.ParquetFile(file.removeprefix("file://")).read(["s", "o"]).to_pylist()
+        assert [(r["s"], r["o"]) for r in part] == sorted((r["s"], r["o"]) for r in part)
+
+
+def test_lines_are_parsed_once_for_statements_and_rejects(spark, tmp_path, monkeypatch):
+    lines = [
+        '<http://ex.org/a> <http://ex.org/p> "x\\n"@en . # end', "_:n <http://ex.org/p> _:m .", "", "  # note", "no statement",
+        '"x" <http://ex.org/p> <http://ex.org/a> .', "<a b> <c> <d> .", '<http://ex.org/a> <http://ex.org/p> "x\\n"@en .',
+        '<http://ex.org/a> <http://ex.org/q> "4"^^<http://www.w3.org/2001/XMLSchema#integer> .', "no statement",
+    ]
+    data = spark.createDataFrame([(x, 1) for x in lines] + [(None, 1)], "value string, source_id int")
+    rows = ntriples.read(data, F.lit("7"))
+    good, bad = rows.filter("reason IS NULL"), rows.filter("reason IS NOT NULL")
+    terms = [*M.TERMS, "source_id"]
+    assert sorted(map(str, good.select(terms).collect())) == sorted(map(str, ntriples.parse(data, F.lit("7")).select(terms).collect()))
+    assert good.filter("value IS NOT NULL").isEmpty()
+    wrong = ["value", "reason", "source_id"]
+    assert sorted(map(str, bad.select(wrong).collect())) == sorted(map(str, ntriples.rejects(data).select(wrong).collect()))
+    (tmp_path / "a.nt").write_text("\n".join(lines[:-1]))
+    staged = []
+    monkeypatch.setattr(load, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    sources = spark.createDataFrame([(1, "turtle", f"{tmp_path}/a.nt")], "id int, type string, uri string")
+    statements, rejects, _ = load.read_sources(spark, sources)
+    assert "documents" not in staged and staged.count("read") == 1
+    assert statements.count() == 4 and rejects.count() == 3
+    assert "RegExpReplace" not in plan(statements) and "regexp_replace" not in plan(rejects)
