@@ -1,15 +1,18 @@
 """Adaptive context-mixing range coder for token ids, many blocks in step.
 
 A block is coded by itself: its models start empty, so any block can be read alone.
-Blocks of one call are lanes of numpy arrays, and every step codes one id of each lane.
+Blocks of one call are lanes of numpy arrays, longest first, and every step codes one id
+of each lane that still has one.
 
 An id is coded as one of four cases: it is what followed the last two ids before (order
 2), what followed the last id (order 1), the block's commonest id (order 0), or none of
 these.  How likely each case is, three adaptive count tables say, one per order, and
 their opinions are mixed with weights that count how often each order was right.  An id
-outside the predictions is coded by order-0 counts of its upper and its lower byte.
+outside the predictions is coded by order-0 counts of its upper and its lower byte; the
+case and the upper byte narrow the range together.
 Models learn after every EPOCH ids, from whole numbers only, so that the reader repeats
-the writer's steps exactly.
+the writer's steps exactly.  All opinions of an epoch are mixed once for each pair of
+contexts, and what it saw is counted by these pairs.
 """
 
 from __future__ import annotations
@@ -23,78 +26,93 @@ EPOCH = 128
 SLOTS = 1 << 12
 BITS = 16
 TOTAL = 1 << BITS
-TOP, LOW_BITS = np.uint64(1 << 32), np.uint64(48)
-WORD = np.uint64(0xFFFF)
+WORD_BITS = 32
 U = np.uint64
+TOP, SHIFT, HALF = U(1 << WORD_BITS), U(WORD_BITS), U(BITS)
+#: Contexts of order 2 (confidence, and whether order 1 agrees) and of order 1 (confidence).
+TWO, ONE = 8, 4
 
 
 class Encoder:
-    """Range coder of all lanes: 48 bits of low, 16-bit words out, carries settled at the end."""
+    """Range coder of all lanes: 64 bits of low, 32-bit words out, carries settled at the end."""
 
     def __init__(self, lanes: int, words: int) -> None:
-        self.low, self.range = np.zeros(lanes, U), np.full(lanes, 1 << 48, U)
-        self.out, self.used = np.zeros((lanes, words), np.int64), np.zeros(lanes, np.int64)
-
-    def _shift(self, lanes: np.ndarray) -> None:
-        low = self.low[lanes]
-        self.out[lanes, self.used[lanes]] = (low >> U(32)).astype(np.int64)
-        self.used[lanes] += 1
-        self.low[lanes] = (low & U(0xFFFFFFFF)) << U(16)
-
-    def put(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        part = self.range[lanes] >> U(BITS)
-        low = self.low[lanes] + part * start
-        part = part * size
-        over = low >> LOW_BITS
-        self.low[lanes] = low & U((1 << 48) - 1)
+        self.low, self.range = np.zeros(lanes, U), np.full(lanes, (1 << 64) - 1, U)
+        self.out, self.words = np.zeros(lanes * words, np.int64), words
+        self.next = np.arange(lanes) * words
+
+    def put(self, start: np.ndarray, size: np.ndarray, bits: np.uint64) -> None:
+        """Narrow the ranges of the first lanes to ``size`` of 2**bits parts from ``start`` on."""
+        k = len(start)
+        low, part = self.low[:k], self.range[:k] >> bits
+        add = part * start
+        low += add
+        over = low < add
         if over.any():
-            at = lanes[over > 0]
-            self.out[at, self.used[at] - 1] += 1
-        small = part <= TOP
-        self.range[lanes] = np.where(small, part << U(16), part)
-        if small.any():
-            self._shift(lanes[small])
+            self.out[self.next[:k][over] - 1] += 1
+        part *= size
+        at = np.flatnonzero(part < TOP)
+        if len(at):
+            low_at, next_at = low[at], self.next[at]
+            self.out[next_at] = low_at >> SHIFT
+            low[at] = low_at << SHIFT
+            part[at] <<= SHIFT
+            self.next[at] = next_at + 1
+        self.range[:k] = part
 
     def finish(self) -> list[bytes]:
-        every = np.arange(len(self.low))
-        for _ in range(3):
-            self._shift(every)
-        carry = np.zeros(len(every), np.int64)
-        for j in range(self.out.shape[1] - 1, -1, -1):
-            w = self.out[:, j] + carry
-            self.out[:, j], carry = w & 0xFFFF, w >> 16
-        return [self.out[i, : self.used[i]].astype("<u2").tobytes() for i in every]
+        for _ in range(2):
+            self.out[self.next] = self.low >> SHIFT
+            self.low <<= SHIFT
+            self.next += 1
+        lanes = len(self.low)
+        out, used = self.out.reshape(lanes, self.words), self.next - np.arange(lanes) * self.words
+        # A carry seldom goes on: as many rounds as the longest chain of full words.
+        while (carry := out >> WORD_BITS).any():
+            out &= (1 << WORD_BITS) - 1
+            out[:, :-1] += carry[:, 1:]
+        small = out.astype("<u4")
+        return [small[i, : used[i]].tobytes() for i in range(lanes)]
 
 
 class Decoder:
     def __init__(self, payloads: list[bytes]) -> None:
-        sizes = [len(p) // 2 for p in payloads]
-        self.words = np.zeros((len(payloads), max(sizes, default=0) + 4), U)
+        lanes, words = len(payloads), max(map(len, payloads)) // 4 + 4
+        self.words = np.zeros((lanes, words), U)
         for i, p in enumerate(payloads):
-            self.words[i, : sizes[i]] = np.frombuffer(p, "<u2")
-        self.code = (self.words[:, 0] << U(32)) | (self.words[:, 1] << U(16)) | self.words[:, 2]
-        self.used, self.range = np.full(len(payloads), 3, np.int64), np.full(len(payloads), 1 << 48, U)
-
-    def peek(self, lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        part = self.range[lanes] >> U(BITS)
-        return np.minimum(self.code[lanes] // part, U(TOTAL - 1)), part
-
-    def take(self, lanes: np.ndarray, part: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        code, part_size = self.code[lanes] - part * start, part * size
-        small = part_size <= TOP
-        self.code[lanes], self.range[lanes] = code, np.where(small, part_size << U(16), part_size)
-        at = lanes[small]
+            self.words[i, : len(p) // 4] = np.frombuffer(p, "<u4", len(p) // 4)
+        self.code = (self.words[:, 0] << SHIFT) | self.words[:, 1]
+        self.last = np.arange(lanes) * words + words - 1
+        self.next = np.arange(lanes) * words + 2
+        self.words, self.range = self.words.reshape(-1), np.full(lanes, (1 << 64) - 1, U)
+
+    def peek(self, k: int, bits: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        part = self.range[:k] >> bits
+        return np.minimum(self.code[:k] // part, (U(1) << bits) - U(1)), part
+
+    def take(self, part: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        k = len(part)
+        code = self.code[:k]
+        code -= part * start
+        part = part * size
+        at = np.flatnonzero(part < TOP)
         if len(at):
-            self.code[at] = (self.code[at] << U(16)) | self.words[at, self.used[at]]
-            self.used[at] += 1
+            next_at = np.minimum(self.next[at], self.last[at])  # a damaged payload may run out
+            code[at] = (code[at] << SHIFT) | self.words[next_at]
+            part[at] <<= SHIFT
+            self.next[at] = next_at + 1
+        self.range[:k] = part
 
 
 def cumulative(counts: np.ndarray) -> np.ndarray:
     """Cumulative frequencies over the last axis: from 0 to TOTAL, each at least one."""
     n = counts.shape[-1]
-    sums = np.cumsum(counts, -1, dtype=np.int64)
-    out = np.zeros((*counts.shape[:-1], n + 1), np.int64)
-    out[..., 1:] = sums * (TOTAL - n) // sums[..., -1:] + np.arange(1, n + 1)
+    sums = np.cumsum(counts, -1, dtype=np.uint32)
+    sums *= (np.uint32(TOTAL - n) << np.uint32(BITS)) // sums[..., -1:]
+    sums >>= np.uint32(BITS)
+    out = np.zeros((*counts.shape[:-1], n + 1), np.uint32)
+    np.add(sums, np.arange(1, n + 1, dtype=np.uint32), out=out[..., 1:])
+    out[..., -1] = TOTAL
     return out
 
 
@@ -110,71 +128,76 @@ class Models:
     """Predictions and counts of all lanes, frozen between two calls of ``learn``."""
 
     def __init__(self, lanes: int) -> None:
-        self.lanes, self.lane = lanes, np.arange(lanes)
+        self.lanes = lanes
         self.two, self.one = np.zeros(lanes * SLOTS, np.int32), np.zeros(lanes * SLOTS, np.int32)
         self.zero = np.zeros(lanes, np.int64)
-        self.common, self.latest = np.zeros(lanes * 512, np.int64), np.zeros(lanes * 512, np.int64)
+        self.common, self.latest = np.zeros(lanes * 512, np.int32), np.zeros(lanes * 512, np.int32)
         # Opinions on the four cases: by confidence of order 2 and whether order 1 agrees,
         # by confidence of order 1, and by nothing.
         start = np.array([1, 1, 1, 3])
-        self.cases = [np.tile(start, (lanes, n, 1)) for n in (8, 4, 1)]
+        self.cases = [np.tile(start, (lanes, *n, 1)) for n in ((TWO, 1), (1, ONE), (1, 1))]
         self.right = np.ones((lanes, 3), np.int64)
-        self.upper, self.lower = np.ones((lanes, 256), np.int64), np.ones((lanes, 3, 256), np.int64)
+        self.upper, self.lower = np.ones(lanes * 256, np.uint32), np.ones(lanes * 768, np.uint32)
         self.freeze()
 
     def freeze(self) -> None:
         # The shares add up to 2**12 and the weights to 2**4, a mixture so to TOTAL.
-        self.scaled = [np.cumsum(shares(c, TOTAL >> 4), -1).reshape(-1, 4) for c in self.cases]
-        self.weight = shares(self.right, 16)
-        self.upper_sums, self.lower_sums = cumulative(self.upper), cumulative(self.lower)
-
-    def predict(self, before: np.ndarray, last: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(slot 2, slot 1, entry 2, entry 1, case sums) after the ids before and last."""
-        two = lane * SLOTS + (((before * 40503) ^ (last * 2654435)) >> 4) % SLOTS
-        one = lane * SLOTS + (last * 40503 >> 3) % SLOTS
-        e2, e1 = self.two[two].astype(np.int64), self.one[one].astype(np.int64)
-        s2, s1 = e2 >> 16, e1 >> 16
+        self.scaled = [shares(c, TOTAL >> 4) for c in self.cases]
+        weight = shares(self.right, 16)
+        mixed = np.zeros((self.lanes, TWO, ONE, 5), U)
+        mixed[..., 1:] = sum(np.cumsum(s, -1) * weight[:, i, None, None, None] for i, s in enumerate(self.scaled))
+        self.mixed = mixed.reshape(-1)
+        self.upper_sums = cumulative(self.upper.reshape(-1, 256))
+        self.lower_sums = cumulative(self.lower.reshape(-1, 256))
+
+    def predict(self, before: np.ndarray, last: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(slot 2, slot 1, entry 2, entry 1, pair of contexts) after the ids before and last.
+
+        ``base`` is the first slot of each lane.
+        """
+        two = base + ((((before * 40503) ^ (last * 2654435)) >> 4) & (SLOTS - 1))
+        one = base + ((last * 40503 >> 3) & (SLOTS - 1))
+        e2, e1 = self.two.take(two), self.one.take(one)
         same = ((e2 ^ e1) & 0xFFFF) == 0
-        w = self.weight[lane]
-        sums = np.zeros((len(lane), 5), np.int64)
-        sums[:, 1:] = self.scaled[0][lane * 8 + 2 * s2 + same] * w[:, :1]
-        sums[:, 1:] += self.scaled[1][lane * 4 + s1] * w[:, 1:2]
-        sums[:, 1:] += self.scaled[2][lane] * w[:, 2:]
-        return two, one, e2, e1, sums
-
-    def case(self, ids: np.ndarray, e2: np.ndarray, e1: np.ndarray, zero: np.ndarray) -> np.ndarray:
-        """Which case codes each id: the first that is right; 3 is none of them."""
-        p2, p1 = np.where(e2 >> 16, e2 & 0xFFFF, -1), np.where(e1 >> 16, e1 & 0xFFFF, -1)
-        return np.where(ids == p2, 0, np.where(ids == p1, 1, np.where(ids == zero, 2, 3)))
-
-    def learn(self, ids: np.ndarray, lane: np.ndarray, case: np.ndarray, two: np.ndarray, one: np.ndarray, e2: np.ndarray, e1: np.ndarray) -> None:
+        # A confidence has two bits, whether both agree one: 32 pairs in a lane.
+        pair = ((e2 >> 16) << 3) + (same.view(np.int8) << 2) + (e1 >> 16)
+        return two, one, e2, e1, (base >> 7) + pair
+
+    def learn(self, ids: np.ndarray, lane: np.ndarray, case: np.ndarray, two: np.ndarray, one: np.ndarray, e2: np.ndarray, e1: np.ndarray, pair: np.ndarray) -> None:
         """Take in the ids of an epoch, in the order of their steps."""
+        small = ids.astype(np.int32)
         for table, slot, entry in ((self.two, two, e2), (self.one, one, e1)):
-            same = (entry >> 16 > 0) & ((entry & 0xFFFF) == ids)
-            table[slot] = np.where(same, np.minimum((entry >> 16) + 1, 3), 1) << 16 | ids
-        same = ((e2 ^ e1) & 0xFFFF) == 0
-        context = [2 * (e2 >> 16) + same, e1 >> 16, np.zeros_like(e1)]
-        best = []
-        for counts, scaled, c in zip(self.cases, self.scaled, context, strict=True):
-            row = lane * counts.shape[1] + c
-            best.append(scaled[row, case] - np.where(case > 0, scaled[row, case - 1], 0))
-            n = counts.shape[1] * 4
-            counts += 8 * np.bincount(lane * n + c * 4 + case, minlength=self.lanes * n).reshape(counts.shape)
-        top = np.argmax(np.stack(best), 0)
-        self.right += np.bincount(lane * 3 + top, minlength=self.lanes * 3).reshape(-1, 3)
-        hit = case == 3
-        hi, lo, at = ids[hit] >> 8, ids[hit] & 255, lane[hit]
-        self.upper += 8 * np.bincount(at * 256 + hi, minlength=self.lanes * 256).reshape(-1, 256)
-        group = at * 768 + np.minimum(hi, 2) * 256 + lo
-        self.lower += 8 * np.bincount(group, minlength=self.lanes * 768).reshape(-1, 3, 256)
+            # The confidence of a right prediction grows up to 3; any other begins at 1.
+            known = np.minimum(entry >> 16, 2)
+            known *= (entry & 0xFFFF) == small
+            table[slot] = ((known + 1) << 16) | small
+        seen = np.bincount(pair * 4 + case, minlength=self.lanes * TWO * ONE * 4).reshape(self.lanes, TWO, ONE, 4)
+        a, b, c = self.scaled
+        first = (a >= b) & (a >= c)
+        second = ~first & (b >= c)
+        every = seen.sum((1, 2, 3))
+        firsts, seconds = (seen * first).sum((1, 2, 3)), (seen * second).sum((1, 2, 3))
+        self.right += np.stack([firsts, seconds, every - firsts - seconds], 1)
+        for counts, axes in zip(self.cases, (2, 1, (1, 2)), strict=True):
+            counts += 8 * seen.sum(axes, keepdims=True)
+        hit = np.flatnonzero(case == 3)
+        some, at = ids[hit], lane[hit]
+        hi, lo = some >> 8, some & 255
+        np.add.at(self.upper, at * 256 + hi, np.uint32(8))
+        np.add.at(self.lower, at * 768 + np.minimum(hi, 2) * 256 + lo, np.uint32(8))
         # The commonest id so far, by counts of its lower bits, and the last id that has them.
         slot = lane * 512 + (ids & 511)
-        self.common += np.bincount(slot, minlength=self.lanes * 512)
-        self.latest[slot] = ids
-        self.zero = self.latest[np.argmax(self.common.reshape(-1, 512), 1) + self.lane * 512]
+        np.add.at(self.common, slot, np.int32(1))
+        self.latest[slot] = small
+        self.zero = self.latest[np.argmax(self.common.reshape(-1, 512), 1) + np.arange(self.lanes) * 512].astype(np.int64)
         self.freeze()
 
 
+def _active(sizes: np.ndarray, first: int, last: int) -> np.ndarray:
+    """How many lanes have an id in each step; sizes are descending."""
+    return np.searchsorted(-sizes, -np.arange(first, last), "left")
+
+
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """The payload of each block of at most BLOCK ids below 65,536."""
     if not blocks:
@@ -182,82 +205,131 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     sizes = np.array([len(b) for b in blocks])
     if sizes.max() > BLOCK:
         raise ValueError(f"a block has at most {BLOCK} ids")
-    ids = np.zeros((sizes.max() + 2, len(blocks)), np.int64)  # two ids 0 stand before each block
-    for i, b in enumerate(blocks):
-        ids[2 : 2 + len(b), i] = b
+    order = np.argsort(-sizes, kind="stable")
+    sizes, longest = sizes[order], int(sizes.max())
+    ids = np.zeros((longest + 2, len(blocks)), np.int64)  # two ids 0 stand before each block
+    for i, b in enumerate(order.tolist()):
+        ids[2 : 2 + sizes[i], i] = blocks[b]
     models = Models(len(blocks))
-    coder = Encoder(len(blocks), 3 * int(sizes.max()) + 8)
-    for first in range(0, int(sizes.max()), EPOCH):
-        steps = np.arange(first, min(first + EPOCH, int(sizes.max())))
-        step, lane = np.nonzero(steps[:, None] < sizes[None, :])
-        step += first
-        now = ids[step + 2, lane]
-        two, one, e2, e1, sums = models.predict(ids[step, lane], ids[step + 1, lane], lane)
-        case = models.case(now, e2, e1, models.zero[lane])
-        at = np.arange(len(case))
-        start, size = sums[at, case], sums[at, case + 1] - sums[at, case]
-        hi, lo = now >> 8, now & 255
-        group = np.minimum(hi, 2)
-        hi_start, lo_start = models.upper_sums[lane, hi], models.lower_sums[lane, group, lo]
-        hi_size, lo_size = models.upper_sums[lane, hi + 1] - hi_start, models.lower_sums[lane, group, lo + 1] - lo_start
-        start, size, hi_start, hi_size, lo_start, lo_size = (x.astype(U) for x in (start, size, hi_start, hi_size, lo_start, lo_size))
-        bounds = np.searchsorted(step, np.append(steps, steps[-1] + 1))
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            coder.put(lane[a:b], start[a:b], size[a:b])
-            rest = a + np.flatnonzero(case[a:b] == 3)
-            if len(rest):
-                coder.put(lane[rest], hi_start[rest], hi_size[rest])
-                coder.put(lane[rest], lo_start[rest], lo_size[rest])
-        models.learn(now, lane, case, two, one, e2, e1)
-    return coder.finish()
+    coder = Encoder(len(blocks), 2 * longest + 4)
+    lanes = np.arange(len(blocks))
+    for first in range(0, longest, EPOCH):
+        end = min(first + EPOCH, longest)
+        active = _active(sizes, first, end)
+        if active[-1] == active[0]:
+            k = active[0]
+            lane = np.tile(lanes[:k], end - first)
+            before, last, now = (ids[first + j : end + j, :k].reshape(-1) for j in range(3))
+        else:
+            lane = np.concatenate([lanes[:k] for k in active])
+            before, last, now = (np.concatenate([ids[first + i + j, :k] for i, k in enumerate(active)]) for j in range(3))
+        two, one, e2, e1, pair = models.predict(before, last, lane * SLOTS)
+        case = np.where(now == models.zero.take(lane), 2, 3)
+        case[(e1 > 0xFFFF) & ((e1 & 0xFFFF) == now)] = 1
+        case[(e2 > 0xFFFF) & ((e2 & 0xFFFF) == now)] = 0
+        at = pair * 5 + case
+        start = models.mixed.take(at)
+        size = models.mixed.take(at + 1) - start
+        start <<= HALF
+        rest = np.flatnonzero(case == 3)
+        some, row = now[rest], lane[rest]
+        hi = some >> 8
+        at = row * 257 + hi
+        hi_start = models.upper_sums.take(at)
+        start[rest] += size[rest] * hi_start
+        scale = np.full(len(size), TOTAL, U)
+        scale[rest] = models.upper_sums.take(at + 1) - hi_start
+        size *= scale
+        at = (row * 3 + np.minimum(hi, 2)) * 257 + (some & 255)
+        lo_start, lo_size = np.zeros(len(size), U), np.full(len(size), TOTAL, U)
+        lo_start[rest] = found = models.lower_sums.take(at)
+        lo_size[rest] = models.lower_sums.take(at + 1) - found
+        ends = np.cumsum(active).tolist()
+        for a, b in zip([0, *ends], ends, strict=False):
+            coder.put(start[a:b], size[a:b], SHIFT)
+            coder.put(lo_start[a:b], lo_size[a:b], HALF)
+        models.learn(now, lane, case, two, one, e2, e1, pair)
+    payloads = coder.finish()
+    out = [b""] * len(blocks)
+    for i, b in enumerate(order.tolist()):
+        out[b] = payloads[i]
+    return out
+
+
+def _bounds(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The last value of each symbol, and of each 16 symbols, as rows of 16."""
+    last = (sums[:, 1:] - np.uint32(1)).astype(np.uint16)
+    return np.ascontiguousarray(last[:, 15::16]), last.reshape(-1, 16)
+
 
+def _below(table: np.ndarray, row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """How many of the 16 entries of each row are less than ``value``."""
+    less = (table.take(row, 0) < value).view(U)
+    # The upper byte of this product is the sum of all bytes.
+    return (((less[:, 0] + less[:, 1]) * U(0x0101010101010101)) >> U(56)).view(np.int64)
 
-def _find(sums: np.ndarray, row: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """In each row of 257 cumulative frequencies, the symbol that ``value`` lies in."""
-    at = np.zeros(len(row), np.int64)
-    base = row * 257
-    flat = sums.reshape(-1)
-    for bit in (128, 64, 32, 16, 8, 4, 2, 1):
-        at += bit * (flat[base + at + bit] <= value)
-    return at
+
+def _find(bounds: tuple[np.ndarray, np.ndarray], row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """In each row of 256 symbols, the one that ``value`` lies in."""
+    value = value.astype(np.uint16)[:, None]
+    at = row * 16 + _below(bounds[0], row, value)
+    return at * 16 + _below(bounds[1], at, value) - row * 256
 
 
 def decode(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """The ids of each payload, given how many there are."""
     if not payloads:
         return []
-    size, lanes = np.array(sizes), len(payloads)
-    ids = np.zeros((size.max() + 2, lanes), np.int64)
-    models, coder = Models(lanes), Decoder(payloads)
-    for first in range(0, int(size.max()), EPOCH):
+    size = np.array(sizes)
+    order = np.argsort(-size, kind="stable")
+    size, longest, lanes = size[order], int(size.max()), len(payloads)
+    ids = np.zeros((longest + 2, lanes), np.int64)
+    models, coder = Models(lanes), Decoder([payloads[i] for i in order])
+    lane, base = np.arange(lanes), np.arange(lanes) * SLOTS
+    for first in range(0, longest, EPOCH):
+        end = min(first + EPOCH, longest)
+        upper, lower = _bounds(models.upper_sums), _bounds(models.lower_sums)
+        upper_sums, lower_sums = models.upper_sums.reshape(-1), models.lower_sums.reshape(-1)
         seen: list[tuple[np.ndarray, ...]] = []
-        for i in range(first, min(first + EPOCH, int(size.max()))):
-            lane = np.flatnonzero(size > i)
-            two, one, e2, e1, sums = models.predict(ids[i, lane], ids[i + 1, lane], lane)
-            value, part = coder.peek(lane)
-            value = value.astype(np.int64)
-            case = (value[:, None] >= sums[:, 1:4]).sum(1)
-            at = np.arange(len(lane))
-            start = sums[at, case]
-            coder.take(lane, part, start.astype(U), (sums[at, case + 1] - start).astype(U))
-            now = np.where(case == 0, e2 & 0xFFFF, np.where(case == 1, e1 & 0xFFFF, models.zero[lane]))
+        for i, k in enumerate(_active(size, first, end).tolist(), first):
+            two, one, e2, e1, pair = models.predict(ids[i, :k], ids[i + 1, :k], base[:k])
+            value, part = coder.peek(k, SHIFT)
+            at, high = pair * 5, value >> HALF
+            case = (high >= models.mixed.take(at + 1)).astype(np.int64)
+            case += high >= models.mixed.take(at + 2)
+            case += high >= models.mixed.take(at + 3)
+            at += case
+            start = models.mixed.take(at)
+            share = models.mixed.take(at + 1) - start
+            start <<= HALF
+            now = np.where(case == 2, models.zero[:k], np.where(case == 1, e1, e2) & 0xFFFF)
             rest = np.flatnonzero(case == 3)
+            scale, lo_start, lo_size = np.full(k, TOTAL, U), np.zeros(k, U), np.full(k, TOTAL, U)
+            if len(rest):
+                inside = share[rest]
+                hi = _find(upper, rest, (value[rest] - start[rest]) // inside)
+                at = rest * 257 + hi
+                hi_start = upper_sums.take(at)
+                start[rest] += inside * hi_start
+                scale[rest] = upper_sums.take(at + 1) - hi_start
+            share *= scale
+            coder.take(part, start, share)
+            value, part = coder.peek(k, HALF)
             if len(rest):
-                some = lane[rest]
-                value, part = coder.peek(some)
-                hi = _find(models.upper_sums, some, value.astype(np.int64))
-                start = models.upper_sums[some, hi]
-                coder.take(some, part, start.astype(U), (models.upper_sums[some, hi + 1] - start).astype(U))
-                group = np.minimum(hi, 2)
-                value, part = coder.peek(some)
-                lo = _find(models.lower_sums, some * 3 + group, value.astype(np.int64))
-                start = models.lower_sums[some, group, lo]
-                coder.take(some, part, start.astype(U), (models.lower_sums[some, group, lo + 1] - start).astype(U))
+                row = rest * 3 + np.minimum(hi, 2)
+                lo = _find(lower, row, value[rest])
+                at = row * 257 + lo
+                lo_start[rest] = found = lower_sums.take(at)
+                lo_size[rest] = lower_sums.take(at + 1) - found
                 now[rest] = hi << 8 | lo
-            ids[i + 2, lane] = now
-            seen.append((now, lane, case, two, one, e2, e1))
+            coder.take(part, lo_start, lo_size)
+            ids[i + 2, :k] = now
+            seen.append((now, lane[:k], case, two, one, e2, e1, pair))
         models.learn(*[np.concatenate(x) for x in zip(*seen, strict=True)])
-    return [ids[2 : 2 + n, i] for i, n in enumerate(sizes)]
+    out = [ids[:0, 0]] * lanes
+    for i, b in enumerate(order.tolist()):
+        out[b] = ids[2 : 2 + size[i], i]
+    return out
 
 
 def checksum(ids: np.ndarray) -> int:

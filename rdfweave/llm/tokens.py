@@ -7,6 +7,7 @@ import zlib
 from array import array
 
 import numpy as np
+import pyarrow as pa
 
 END = 2
 #: Entries of a worker's word cache; it is emptied when it is full.
@@ -142,25 +143,35 @@ class Encoder:
         for p, stem, tail in marked:
             self.words[p] = self.words[stem] + self.tails[tail]
 
+    def pieces(self, raw: list[bytes]) -> list[bytes]:
+        """Ids of texts that are ``plain``, without the end id; each distinct piece is looked up once."""
+        buffer = b" " + b" ".join(raw)
+        symbols = np.frombuffer(buffer, np.uint8)
+        at = np.flatnonzero((symbols == 32) | (symbols == 10))
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
+        first = np.searchsorted(at, np.cumsum(sizes) - sizes).tolist()  # the piece that begins each text
+        offsets = np.append(at, len(symbols))
+        # A piece is a space or line feed and the word behind it.
+        cut = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(buffer)]).dictionary_encode()
+        words = cut.dictionary.buffers()[2].to_pybytes().decode().replace("\n", " \n").split(" ")[1:]
+        self.learn(set(words))
+        found = pa.array(list(map(self.words.__getitem__, words)), pa.large_binary()).take(cut.indices)
+        ends, ids = np.frombuffer(found.buffers()[1], np.int64), memoryview(found.buffers()[2])
+        # The first word of a text has no space.
+        heads = self.whole([buffer[offsets[i] + 1 : offsets[i + 1]].decode() for i in first])
+        return [b"".join([head, ids[ends[i + 1] : ends[j]]]) for head, i, j in zip(heads, first, [*first[1:], len(at)], strict=True)]
+
     def encode(self, raw: list[bytes]) -> list[bytes]:
         """Ids of each text, the end id last."""
         texts = [x.decode("utf-8", "replace") for x in raw]
-        simple = [not any(a in x for a in self.added) and plain(r, x) for r, x in zip(raw, texts, strict=True)]
+        simple = [
+            not any(a in x for a in self.added) and plain(r, x) and ("\ufffd" not in x or x.encode() == r)
+            for r, x in zip(raw, texts, strict=True)
+        ]
         whole = iter(self.whole([x for x, s in zip(texts, simple, strict=True) if not s]))
-        cut = [x.replace("\n", " \n").split(" ") if s else [] for x, s in zip(texts, simple, strict=True)]
-        heads = iter(self.whole([x[0] for x in cut if x]))
-        for x in cut:
-            if x:
-                x[0] = "\n"  # stands in for the first word, which has no space
-        self.learn(set().union(*cut))
-        get = self.words.__getitem__
-        out = []
-        for x in cut:
-            if x:
-                out.append(b"".join([next(heads), *map(get, x[1:]), self.end]))
-            else:
-                out.append(next(whole) + self.end)
-        return out
+        cut = [r for r, s in zip(raw, simple, strict=True) if s]
+        pieces = iter(self.pieces(cut) if cut else ())
+        return [next(pieces if s else whole) + self.end for s in simple]
 
     def ids(self, encoded: bytes) -> np.ndarray:
         return np.frombuffer(encoded, self.kind)

@@ -258,6 +258,39 @@ def test_blocks_come_back():
     assert np.array_equal(coder.decode([payloads[-1]], [4000])[0], blocks[-1]) and len(payloads[-1]) < 1000
 
 
+def test_two_narrowings_code_an_id(monkeypatch):
+    calls, put = [], coder.Encoder.put
+    monkeypatch.setattr(coder.Encoder, "put", lambda self, *a: (calls.append(1), put(self, *a))[1])
+    blocks = [np.random.default_rng(i).integers(0, 65536, 1000 - 130 * i) for i in (3, 0, 7, 1)]
+    payloads = coder.encode(blocks)
+    assert len(calls) == 2 * 1000
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, coder.decode(payloads, [len(b) for b in blocks]), strict=True))
+    # Carries run through full words, and a payload that ends early is no error of its own.
+    assert len(coder.decode([p[:8] for p in payloads], [len(b) for b in blocks])[1]) == 1000
+    low = coder.Encoder(1, 8)
+    low.out[:3], low.next[:], low.low[:], low.range[:] = [5, 0xFFFFFFFF, 0xFFFFFFFF], 3, (1 << 64) - 1, 1 << 40
+    low.put(np.array([3], coder.U), np.array([1], coder.U), coder.SHIFT)
+    assert np.frombuffer(low.finish()[0], "<u4")[:3].tolist() == [6, 0, 0]
+
+
+def test_each_piece_is_looked_up_once(monkeypatch):
+    class Counted(dict):
+        found = 0
+
+        def __getitem__(self, key):
+            Counted.found += 1
+            return super().__getitem__(key)
+
+    encoder = tokens.Encoder()
+    encoder.words = Counted()
+    texts = ["one two\ntwo " * 50 + "end", "two é one", "a \ufffd b"]
+    want = [e.ids + [tokens.END] for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [encoder.ids(x).tolist() for x in encoder.encode([t.encode() for t in texts])] == want
+    assert Counted.found < 20
+    # Bytes that are no UTF-8 are read as before, with a replacement character.
+    assert encoder.encode([b"one \xff two"]) == encoder.encode(["one \ufffd two".encode()])
+
+
 def test_wide_ids_and_damage():
     ids = [np.array([1, 70_000, 2**31, 5]), np.array([2]), np.arange(9000)]
     row = tokenfile.segment(0, 0, [1, 2, 3], ids)
