@@ -80,31 +80,25 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return values if step == width else np.minimum(values[: len(values) - width + step], values[width - step :])
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, raw in common.chunks(batches):
-        owner, start, strings, key, digest, inner = pieces(words.Text(raw))
-        ids = batch.column("doc_id").to_numpy()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids[owner]), pa.array(start.astype(np.int32)), pa.array(strings.astype(np.int32)), pa.array(inner)],
-            names=["key", "digest", "doc_id", "start", "strings", "inner"],
-        )
+def keyed(gram: int = GRAM) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pieces of each text by grams of a length.
 
-
-def dealt_again(gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Like ``_keyed`` for the wanted pieces of each text, by grams of another length."""
+    A text that itself is a piece of a document has a column ``at``, where it begins there:
+    ``start`` counts from the beginning of the document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in common.chunks(batches):
-            for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), raw, batch.column("wanted").to_pylist(), strict=True):
-                # A part of the wanted pieces at a time, as they overlap.
-                for i in range(0, len(wanted), 1000):
-                    part = wanted[i : i + 1000]
-                    owner, start, strings, key, digest, inner = pieces(words.Text([text[w["start"] : w["start"] + w["strings"] + LENGTH - 1] for w in part]), gram=gram)
-                    start = start + np.array([w["start"] for w in part], np.int64)[owner]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(np.full(len(key), doc_id, np.int64)), pa.array(start.astype(np.int32)), pa.array(strings.astype(np.int32)), pa.array(inner)],
-                        names=["key", "digest", "doc_id", "start", "strings", "inner"],
-                    )
+            owner, start, strings, key, digest, inner = pieces(words.Text(raw), gram=gram)
+            names, more = ["key", "digest", "doc_id", "start", "strings", "inner"], []
+            if "at" in batch.schema.names:
+                at = batch.column("at").to_numpy()[owner]
+                names, more, start = [*names, "at"], [pa.array(at)], start + at
+            ids = batch.column("doc_id").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids[owner]), pa.array(start.astype(np.int32)), pa.array(strings.astype(np.int32)), pa.array(inner), *more],
+                names=names,
+            )
 
     return run
 
@@ -116,26 +110,27 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A piece that may repeat a string itself (``inner``) is sorted in any case.  Only the
     last row of a batch is carried on.
     """
-    names = ["key", "digest", "doc_id", "start", "strings"]
+    fields: list[pa.Field] = []  # of key, digest, doc_id, start, strings and what else there is
     last = None  # (key, digest, doc_id, start) of the row before
     first_of_key = None  # the only piece of the last key so far, not yet given out
 
     def rows(columns: list[np.ndarray], chosen: np.ndarray, sort: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(c[chosen]) for c in columns] + [pa.array(sort[chosen])], names=[*names, "sort"]
+            [pa.array(c[chosen]) for c in columns] + [pa.array(sort[chosen])], names=[*[f.name for f in fields], "sort"]
         )
 
     def held(row: tuple) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)] + [pa.array([True])],
-            names=[*names, "sort"],
+            [pa.array([v], f.type) for v, f in zip(row, fields, strict=True)] + [pa.array([True])],
+            names=[*[f.name for f in fields], "sort"],
         )
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(n).to_numpy() for n in names]
-        key, digest, doc, start, strings = columns
+        fields = [f for f in batch.schema if f.name != "inner"]
+        columns = [batch.column(f.name).to_numpy() for f in fields]
+        key, digest, doc, start = columns[:4]
         before = [np.concatenate([[c[0] if last is None else last[i]], c[:-1]]) for i, c in enumerate(columns[:4])]
         new_key = key != before[0]
         new_piece = new_key | (digest != before[1])
@@ -168,15 +163,17 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text of each wanted piece."""
     for batch, raw in common.chunks(batches):
-        out: dict[str, list] = {n: [] for n in ("key", "doc_id", "start", "piece")}
-        for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), raw, batch.column("wanted").to_pylist(), strict=True):
+        out: dict[str, list] = {n: [] for n in ("key", "doc_id", "start", "strings", "piece")}
+        begin = batch.column("at").to_pylist() if "at" in batch.schema.names else [0] * len(raw)
+        for doc_id, at, text, wanted in zip(batch.column("doc_id").to_pylist(), begin, raw, batch.column("wanted").to_pylist(), strict=True):
             for w in wanted:
                 out["key"].append(w["key"])
                 out["doc_id"].append(doc_id)
                 out["start"].append(w["start"])
-                out["piece"].append(text[w["start"] : w["start"] + w["strings"] + LENGTH - 1])
+                out["strings"].append(w["strings"])
+                out["piece"].append(text[w["start"] - at : w["start"] - at + w["strings"] + LENGTH - 1])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(out["key"], pa.int64()), pa.array(out["doc_id"], pa.int64()), pa.array(out["start"], pa.int32()), pa.array(out["piece"], pa.binary())],
+            [pa.array(out["key"], pa.int64()), pa.array(out["doc_id"], pa.int64()), pa.array(out["start"], pa.int32()), pa.array(out["strings"], pa.int32()), pa.array(out["piece"], pa.binary())],
             names=list(out),
         )
 
@@ -272,30 +269,33 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 KEYED = "key long, digest long, doc_id long, start int, strings int, inner boolean"
+MERGED = "key long, digest long, doc_id long, start int, strings int{}, sort boolean"
+TEXTS = "key long, doc_id long, start int, strings int, piece binary"
 
 
 def _wanted(source: DataFrame, found: DataFrame) -> DataFrame:
-    """(doc_id, text, wanted): the texts of the pieces in ``found``."""
-    wanted = found.groupBy("doc_id").agg(F.collect_list(F.struct("key", "start", "strings")).alias("wanted"))
-    return source.join(wanted, "doc_id").select("doc_id", "text", "wanted")
+    """(doc_id[, at], text, wanted): the texts of the pieces in ``found``."""
+    row = [c for c in ("doc_id", "at") if c in source.columns]
+    wanted = found.groupBy(*row).agg(F.collect_list(F.struct("key", "start", "strings")).alias("wanted"))
+    return source.join(wanted, row).select(*row, "text", "wanted")
 
 
 def dealt(source: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """For each length of grams: pieces that repeat an earlier one, and pieces to sort.
+    """For each length of grams: pieces that repeat an earlier one, and the texts of those to sort.
 
     No key has more than SHARD_BYTES to sort: strings of such a key are dealt again, and
-    strings with all bytes in common are merged in the end.
+    strings with all bytes in common are merged in the end.  Documents are shuffled for
+    the first texts only; what is dealt again is cut from these.
     """
-    keyed = source.mapInArrow(_keyed, KEYED)
+    rows, at = source.mapInArrow(keyed(), KEYED), ""
     for longer in (*LONGER, None):
         found = common.stage(
-            keyed.repartition("key").sortWithinPartitions("key", "digest", "doc_id", "start")
-            .mapInArrow(_merged, "key long, digest long, doc_id long, start int, strings int, sort boolean"),
-            "pieces",
+            rows.repartition("key").sortWithinPartitions("key", "digest", "doc_id", "start").mapInArrow(_merged, MERGED.format(at)), "pieces"
         )
         copies, sort = found.filter("NOT sort"), found.filter("sort")
+        texts = _wanted(source, sort).mapInArrow(cut, TEXTS)
         if longer is None:
-            yield copies, sort
+            yield copies, texts
             return
         # At most one key for each SHARD_BYTES of the pieces, staged to be small enough to broadcast.
         heavy = common.stage(
@@ -304,10 +304,12 @@ def dealt(source: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
             "heavy",
         )
         if heavy.isEmpty():
-            yield copies, sort
+            yield copies, texts
             return
-        yield copies, sort.join(heavy, "key", "left_anti")
-        keyed = _wanted(source, sort.join(heavy, "key", "left_semi")).mapInArrow(dealt_again(longer), KEYED)
+        texts = common.stage(texts, "texts", "zstd")
+        yield copies, texts.join(heavy, "key", "left_anti")
+        source = texts.join(heavy, "key", "left_semi").select("doc_id", F.col("start").alias("at"), F.col("piece").alias("text"))
+        rows, at = source.mapInArrow(keyed(longer), f"{KEYED}, at int"), ", at int"
 
 
 def repeated_runs(rows: DataFrame) -> DataFrame:
@@ -317,11 +319,9 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
     """
     source = rows.select(F.col("place").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND octet_length(text) >= 100")
     runs = None
-    for copies, sort in dealt(source):
+    for copies, texts in dealt(source):
         shards = (
-            _wanted(source, sort)
-            .mapInArrow(cut, "key long, doc_id long, start int, piece binary")
-            .repartition("key").sortWithinPartitions("key", "doc_id", "start")
+            texts.select("key", "doc_id", "start", "piece").repartition("key").sortWithinPartitions("key", "doc_id", "start")
             .mapInArrow(_sorted_shards, "doc_id long, start long, end long")
         )
         both = copies.select(

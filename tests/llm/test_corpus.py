@@ -119,6 +119,27 @@ def test_a_common_line_is_no_shard_of_its_own(shared, frame, monkeypatch):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]], r["doc_id"]
 
 
+def test_documents_are_joined_once_however_often_lines_are_dealt(shared, frame, monkeypatch):
+    monkeypatch.setattr(suffix, "SHARD_BYTES", 3000)
+    rng = random.Random(8)
+    line = "".join(rng.choice("abcdefgh") for _ in range(130))
+    side = lambda: "".join(rng.choice("ab") for _ in range(rng.randint(3, 90)))
+    rows = [(i, side() + line + side()) for i in range(120)] + corpus(4)
+    rows += rows[:3]
+    docs, sources, wanted = frame(rows), [], suffix._wanted
+    monkeypatch.setattr(suffix, "_wanted", lambda source, found: (sources.append(source), wanted(source, found))[1])
+    got = suffix.without_repeats(shared, docs).collect()
+    assert len(sources) > 1
+    # Later levels cut from staged pieces, each where it lies in its document.
+    texts = dict(rows)
+    for source in sources[1:]:
+        assert "at" in source.columns
+        assert all(texts[r["doc_id"]].encode()[r["at"] :].startswith(bytes(r["text"])) for r in source.collect())
+    want = removed(rows)
+    for r in got:
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]], r["doc_id"]
+
+
 def test_repeated_rows_and_empty_tables(shared, frame):
     got = suffix.without_repeats(shared, frame([(4, PLAIN), (4, PLAIN), (5, PLAIN), (None, PLAIN)])).collect()
     assert sorted((r["doc_id"] or 0, r["n_removed"] > 0) for r in got) == [(0, False), (4, False), (4, False), (5, True)]
