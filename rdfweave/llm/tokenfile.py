@@ -50,7 +50,7 @@ def documents(row: dict) -> list[np.ndarray]:
     for i, (b, crc) in enumerate(zip(blocks, row["block_crc32"], strict=True)):
         if crc32(b) != crc:
             raise ValueError(f"block {i} of the segment at {row['start']} of part {row['part']} is damaged")
-    ids = np.concatenate([np.zeros(0, np.int64), *blocks])
+    ids = np.concatenate([np.zeros(0, np.uint32), *blocks])
     return np.split(ids, np.cumsum(row["lengths"])[:-1])
 
 
@@ -80,7 +80,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, segment_ids:
 
         for batch, raw in common.chunks(batches):
             for doc_id, x in zip(batch.column("doc_id").to_pylist(), encoder.encode(raw), strict=True):
-                tokens = encoder.ids(x).astype(np.int64)
+                tokens = encoder.ids(x)
                 if held and held + len(tokens) > segment_ids:
                     yield flush()
                     start, held = start + held, 0
