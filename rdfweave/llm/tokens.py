@@ -11,9 +11,7 @@ import pyarrow as pa
 
 END = 2
 #: Entries of a worker's word cache; it is emptied when it is full.
-CACHE_WORDS = 400_000
-#: New words that are encoded in one text.
-TOGETHER = 5_000
+CACHE_WORDS = 1_000_000
 #: Separators that stand together; a text with such is encoded whole.
 DOUBLE = (b"  ", b" \n", b"\n ", b"\n\n")
 #: White space besides them, or the beginning of its bytes.
@@ -79,11 +77,7 @@ class Encoder:
         self.end = np.array([END], self.kind).tobytes()
         self.feed = self.whole(["\n"])[0]
         self.spelling = byte_spelling(self.tokenizer)
-        if any(x.replace(" ", "").replace("\n", "").isalpha() for x in self.added):
-            self.spelling = {}  # words set side by side could spell one
-        # For space and line feed: the ids that begin with them.
-        words = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        self.first = {b: np.array([w.startswith(x) for w in words]) for b, x in self.spelling.items() if b in (10, 32)}
+        self.model = self.tokenizer.model
         self.tails: dict[str, bytes] = {}  # punctuation behind words
         self.words: dict[str, bytes] = {}  # a word, with its line feed or without its space
 
@@ -98,17 +92,13 @@ class Encoder:
         code = self.code
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def together(self, pieces: list[str], mark: str, first: np.ndarray) -> dict[str, bytes]:
-        """Ids of pieces of letters, encoded side by side in one text with ``mark`` before each.
-
-        ``first`` says which ids begin with the mark; none inside a piece does.
-        """
-        out: dict[str, bytes] = {}
-        parts = [pieces[i : i + TOGETHER] for i in range(0, len(pieces), TOGETHER)]
-        for part, raw in zip(parts, self.whole([mark + mark.join(x) for x in parts]), strict=True):
-            at = (np.flatnonzero(first[self.ids(raw)]) * self.kind.itemsize).tolist()
-            out.update(zip(part, [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)], strict=True)], strict=True))
-        return out
+    def letters(self, words: list[str], mark: str = "") -> list[bytes]:
+        """Ids of words of letters with ``mark`` before each: to the pre-tokenizer one piece, so the model takes them as they are."""
+        code, tokenize = self.code, self.model.tokenize
+        # The words' bytes, each as its spelling; a space is no letter and parts them.
+        spelled = " ".join(words).encode().decode("latin-1").translate(self.spelling).split(self.spelling[32])
+        mark = "".join(self.spelling[b] for b in mark.encode())
+        return [array(code, [t.id for t in tokenize(mark + x)]).tobytes() for x in spelled]
 
     def learn(self, pieces: set[str]) -> None:
         if len(self.words) > CACHE_WORDS:
@@ -133,9 +123,11 @@ class Encoder:
             spaced, fed, rest = [], [], []
             for p in todo:
                 (spaced if p.isalpha() else fed if p[0] == "\n" and p[1:].isalpha() else rest).append(p)
-            self.words.update(self.together(spaced, " ", self.first[32]))
-            found = self.together([p[1:] for p in fed], "\n", self.first[10])
-            self.words.update(("\n" + p, x) for p, x in found.items())
+            if spaced:
+                self.words.update(zip(spaced, self.letters(spaced, " "), strict=True))
+            if fed:
+                found = self.letters([p[1:] for p in fed])
+                self.words.update((p, self.feed + x) for p, x in zip(fed, found, strict=True))
             todo = rest
         for i in range(0, len(todo), 20_000):
             part = todo[i : i + 20_000]

@@ -294,6 +294,29 @@ def test_two_narrowings_code_an_id(monkeypatch):
     assert np.frombuffer(low.finish()[0], "<u4")[:3].tolist() == [6, 0, 0]
 
 
+def test_order_0_costs_little_more_than_the_counts_say():
+    rng = np.random.default_rng(9)
+    pool = rng.choice(50_000, 400, replace=False)
+    blocks = [pool[np.minimum(rng.zipf(1.4, 4096) - 1, 399)] for _ in range(4)]
+    for block, payload in zip(blocks, coder.encode(blocks), strict=True):
+        share = np.unique(block, return_counts=True)[1] / len(block)
+        # Up to three bytes for each distinct id and one for its count, as the ids are far apart.
+        assert 8 * len(payload) < -4096 * (share * np.log2(share)).sum() + 30 * len(share) + 600
+    # Truncated and broken payloads are read to the end, for the checksums to judge.
+    for payload in (b"", b"\xff", b"\xff" * 3000, coder.encode(blocks[:1])[0][:500]):
+        assert len(coder.decode([payload], [4096])[0]) == 4096
+
+
+def test_new_words_go_to_the_model_alone(monkeypatch):
+    encoder, seen = tokens.Encoder(), []
+    whole = encoder.whole
+    monkeypatch.setattr(encoder, "whole", lambda texts: (seen.extend(texts), whole(texts))[1])
+    letters = "one two. \u00e9t\u00e9 \u0416\u0438\u0437\u043d\u044c, \u65e5\u672c\u8a9e \u02b0 \U00010400z\nline\n\u00df"
+    want = [*encoder.tokenizer.encode(letters, add_special_tokens=False).ids, tokens.END]
+    assert encoder.ids(encoder.encode([letters.encode()])[0]).tolist() == want
+    assert sorted(seen) == [",", ".", "one"]  # punctuation, and the first word, which has no space
+
+
 def test_each_piece_is_looked_up_once(monkeypatch):
     class Counted(dict):
         found = 0
