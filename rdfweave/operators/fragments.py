@@ -5,7 +5,7 @@ Input is a statements frame with ``url`` (the page) and ``startfragment`` column
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rdfweave import model as M
@@ -62,30 +62,47 @@ def unusable(stated: DataFrame) -> DataFrame:
     return stated.filter(F.col("total").isNull() | F.col("page_size").isNull())
 
 
+def _listed() -> Column:
+    """Whether a statement says that its subject is a page."""
+    return (F.col("p") == M.RDF_TYPE) & F.col("o").isin(M.HYDRA + "Collection", M.HYDRA + "PagedCollection")
+
+
+def _dataset() -> Column:
+    return F.concat(F.col("startfragment"), F.lit("#dataset"))
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    """``rows`` with a hash of ``(url, s)`` as ``_key``: leading a join key, it is what is compared in sorts."""
+    return rows.withColumn("_key", F.xxhash64("url", "s"))
+
+
 def metadata_subjects(rows: DataFrame) -> DataFrame:
-    """Subjects that describe the page rather than belong to its data: ``(url, s)``."""
-    dataset = F.concat(F.col("startfragment"), F.lit("#dataset"))
-    listed = rows.filter(
-        (F.col("p") == M.RDF_TYPE)
-        & F.col("o").isin(M.HYDRA + "Collection", M.HYDRA + "PagedCollection")
-    ).select("url", "s")
-    search = rows.filter((F.col("s") == dataset) & (F.col("p") == M.HYDRA + "search")).select(
-        "url", F.col("o").alias("s")
-    )
-    mapping = (
-        rows.filter((F.col("p") == M.HYDRA + "mapping") & (F.col("o_kind") == M.BNODE))
-        .join(search, ["url", "s"], "left_semi")
-        .select("url", F.col("o").alias("s"))
+    """Subjects that describe the page rather than belong to its data: ``(url, s)``.
+
+    One scan: a mapping counts if a search of the same page names its subject.
+    """
+    search = (F.col("s") == _dataset()) & (F.col("p") == M.HYDRA + "search")
+    mapping = (F.col("p") == M.HYDRA + "mapping") & (F.col("o_kind") == M.BNODE)
+    listed, searches = F.col("p") == M.RDF_TYPE, F.col("p") == M.HYDRA + "search"
+    found = rows.filter(_listed() | search | mapping).select(
+        "url",
+        F.when(searches, F.col("o")).otherwise(F.col("s")).alias("s"),
+        F.when(listed, F.col("s")).otherwise(F.col("o")).alias("node"),
+        searches.alias("searched"),
+        (F.col("p") == M.HYDRA + "mapping").alias("maps"),
     )
-    return listed.unionByName(search).unionByName(mapping).distinct()
+    around = Window.partitionBy("_key", "url", "s")
+    searched = F.max("searched").over(around) & F.col("url").isNotNull() & F.col("s").isNotNull()
+    found = _hashed(found).withColumn("searched", searched)
+    return found.filter(~F.col("maps") | F.col("searched")).select("url", F.col("node").alias("s")).distinct()
 
 
 def strip_metadata(rows: DataFrame) -> DataFrame:
     """The data statements of every page, all term columns kept."""
-    dataset = F.concat(F.col("startfragment"), F.lit("#dataset"))
-    return skew_join(
-        rows.filter(F.col("s") != dataset), metadata_subjects(rows), ["url", "s"], "left_anti"
-    )
+    # What lists its subject is metadata without a look at other statements.
+    plain = F.coalesce(_listed() & F.col("url").isNotNull() & F.col("s").isNotNull(), F.lit(False))
+    left = _hashed(rows.filter((F.col("s") != _dataset()) & ~plain))
+    return skew_join(left, _hashed(metadata_subjects(rows)), ["_key", "url", "s"], "left_anti").drop("_key")
 
 
 __all__ = [
